@@ -1,0 +1,22 @@
+"""Broadcast only behind a checked size; otherwise let the join shuffle."""
+
+from __future__ import annotations
+
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Upper bound on rows for a broadcast side.  Calendars (one row per snapshot
+# date) and forget-request key sets are the only frames broadcast here.
+DEFAULT_BROADCAST_ROWS = 200_000
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """``broadcast(df)`` if it has at most ``max_rows`` rows, else ``df`` unchanged.
+
+    The frame is persisted first, so the bounded count and the join that follows
+    share one computation.  The count stops at ``max_rows + 1`` rows.
+    """
+    df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df
