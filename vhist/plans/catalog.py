@@ -2,7 +2,11 @@
 
 Every query reads whole tables.  Merge-type operators work on "the last
 snapshot against the history of all earlier snapshots", so they cover every
-row of the table too.
+row of the table too.  Snapshot sets (see ``vhist.sources.derived``):
+
+* EV  - events, last event per user and day: user_id, event_type, flag, value
+* EVF - the same, flag only
+* OR  - orders, last order per customer and month, with c_name (incremental)
 """
 
 from __future__ import annotations
@@ -10,14 +14,41 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from vhist.config import HistoryConfig
+from vhist.functions.hashing import with_hash_key
+from vhist.functions.predicates import is_closed, is_open
+from vhist.operators import classify as cl
+from vhist.operators import parts
 from vhist.operators.history import build_history
+from vhist.operators.merge import merge_snapshot, merge_snapshots, prepare_snapshot
 from vhist.sources import derived as dv
+from vhist.sources import sinks
+from vhist.sources import snapshots as sn
+
+D = "snapshot_date"
+
+
+def _snaps(spark, sf, which: str) -> tuple[DataFrame, HistoryConfig]:
+    if which == "EV":
+        return dv.events_daily(spark, sf), dv.EVENTS_CFG
+    if which == "EVF":
+        return dv.events_daily(spark, sf, flag_only=True), dv.EVENTS_CFG
+    return dv.orders_monthly(spark, sf), dv.ORDERS_CFG
+
 
+def _split_last(spark, sf, which: str):
+    """(history of all snapshots before the last, last snapshot prepared, last date, cfg)."""
+    snaps, cfg = _snaps(spark, sf, which)
+    last = snaps.select(F.max(D)).scalar()
+    hist = build_history(snaps.filter(F.col(D) < last), cfg, dedupe=False)
+    today = snaps.filter(F.col(D) == last)
+    return hist, prepare_snapshot(today, last, cfg, dedupe=False), today, last, cfg
 
-# ---------------------------------------------------------------- H1
+
+# ---------------------------------------------------------------- H1 / H2 / H4
 
 def history_full(spark: SparkSession, sf: str) -> DataFrame:
-    """H1 full mode over the per-user error/ok flag."""
+    """H1 full mode over the per-user error/ok flag (flagship)."""
     return build_history(dv.events_daily(spark, sf, flag_only=True), dv.EVENTS_CFG, dedupe=False)
 
 
@@ -31,8 +62,219 @@ def history_incremental(spark: SparkSession, sf: str) -> DataFrame:
     return build_history(dv.orders_monthly(spark, sf), dv.ORDERS_CFG, dedupe=False)
 
 
+def history_dedupe(spark: SparkSession, sf: str) -> DataFrame:
+    """H1 with the (key, date) de-duplication aggregate: one row per user and
+    day from every event of the day, the smallest row hash winning (U4/D16)."""
+    ev = dv.table(spark, sf, "events").select(
+        "user_id", F.to_date("ts").alias(D), "event_type", F.col("value").cast("decimal(10,2)").alias("value")
+    )
+    return build_history(ev, dv.EVENTS_CFG, dedupe=True)
+
+
+def merge_step(spark: SparkSession, sf: str) -> DataFrame:
+    """H2 + U2: last snapshot merged into the history of the earlier ones."""
+    hist, _, today, last, cfg = _split_last(spark, sf, "EV")
+    return merge_snapshot(hist, today, last, cfg, dedupe=False)
+
+
+def merge_step_incremental(spark: SparkSession, sf: str) -> DataFrame:
+    """H2 incremental mode (orders)."""
+    hist, _, today, last, cfg = _split_last(spark, sf, "OR")
+    return merge_snapshot(hist, today, last, cfg, dedupe=False)
+
+
+def merge_by_columns(spark: SparkSession, sf: str) -> DataFrame:
+    """H4: merge comparing columns NULL-safely instead of the hash."""
+    hist, _, today, last, cfg = _split_last(spark, sf, "EV")
+    return merge_snapshot(hist, today, last, cfg, compare="columns", dedupe=False)
+
+
+def history_chained(spark: SparkSession, sf: str) -> DataFrame:
+    """H2 chained over all 30 days with checkpoints; equals ``history_full``."""
+    from vhist.sources.snapshots import empty_history
+
+    snaps = dv.events_daily(spark, sf, flag_only=True)
+    empty = empty_history(spark, snaps.drop(D).schema)
+    return merge_snapshots(empty, snaps, dv.EVENTS_CFG, checkpoint_every=5)
+
+
+# ---------------------------------------------------------------- J1 / A3
+
+def classify_full(spark, sf):
+    hist, prepared, *_ = _split_last(spark, sf, "EV")
+    return cl.classify(prepared, hist)
+
+
+def classify_incremental(spark, sf):
+    hist, prepared, *_ = _split_last(spark, sf, "OR")
+    return cl.classify(prepared, hist, incremental=True)
+
+
+def classify_sql(spark, sf):
+    hist, prepared, *_ = _split_last(spark, sf, "EV")
+    return cl.classify_sql(prepared, hist)
+
+
+def change_summary(spark, sf):
+    hist, prepared, *_ = _split_last(spark, sf, "EV")
+    return cl.change_summary(cl.classify(prepared, hist))
+
+
+# ---------------------------------------------------------------- J2-J8, U3, A1, P10
+
+def deleted_rows(spark, sf):
+    hist, prepared, _, last, _ = _split_last(spark, sf, "EV")
+    return parts.deleted_rows(hist, cl.classify(prepared, hist), last)
+
+
+def expired_rows(spark, sf):
+    hist, prepared, _, last, _ = _split_last(spark, sf, "EV")
+    return parts.expired_rows(hist, cl.classify(prepared, hist), last)
+
+
+def inserted_rows(spark, sf):
+    hist, prepared, _, last, _ = _split_last(spark, sf, "EV")
+    return parts.inserted_rows(prepared, hist, cl.classify(prepared, hist), last)
+
+
+def new_and_updated(spark, sf):
+    hist, prepared, *_ = _split_last(spark, sf, "EV")
+    return parts.keys_with_status(cl.classify(prepared, hist), "new", "updated")
+
+
+def insert_only(spark, sf):
+    hist, prepared, _, _, cfg = _split_last(spark, sf, "EV")
+    return parts.insert_only(prepared, hist, cfg.key_cols)
+
+
+def disappeared(spark, sf):
+    hist, _, today, last, cfg = _split_last(spark, sf, "EV")
+    return parts.disappeared(hist, today, cfg.key_cols, last)
+
+
+def carried_rows(spark, sf):
+    hist, prepared, *_ = _split_last(spark, sf, "EV")
+    return parts.carried_rows(hist, cl.classify(prepared, hist))
+
+
+def changed_by_columns(spark, sf):
+    hist, prepared, _, _, cfg = _split_last(spark, sf, "EV")
+    return parts.changed_by_columns_rows(hist, prepared, cfg.key_cols)
+
+
+def unchanged_except_all(spark, sf):
+    hist, prepared, _, _, cfg = _split_last(spark, sf, "EVF")
+    return parts.unchanged_except_all(hist, prepared, cfg.key_cols)
+
+
+def first_snapshot(spark, sf):
+    return parts.first_snapshot(history_full_wide(spark, sf))
+
+
+# ---------------------------------------------------------------- P, S
+
+def row_hash(spark, sf):
+    """Row hash and business key of every daily snapshot row."""
+    snaps, cfg = _snaps(spark, sf, "EV")
+    return with_hash_key(snaps, cfg.key_cols).select("BusinessKey", "RowHashKey", D)
+
+
+def row_hash_composite(spark, sf):
+    """P4 composite key (customer, month) and strict-mode hash (NULL marked)."""
+    snaps, _ = _snaps(spark, sf, "OR")
+    cfg = HistoryConfig(key_cols=("o_custkey", D), hash_mode="strict")
+    return with_hash_key(snaps, cfg.key_cols, hash_cols=("o_custkey", "o_orderstatus", "o_orderpriority", "c_name"),
+                         mode="strict").select("BusinessKey", "RowHashKey")
+
+
+def prepared_snapshot(spark, sf):
+    """P5: the last snapshot with system columns, as fresh inserts."""
+    return _split_last(spark, sf, "EV")[1]
+
+
+def active_rows(spark, sf):
+    """Open versions."""
+    return history_full_wide(spark, sf).filter(is_open())
+
+
+def closed_rows(spark, sf):
+    """Closed versions."""
+    return history_full_wide(spark, sf).filter(is_closed())
+
+
+def deleted_versions(spark, sf):
+    """Versions ended by disappearance."""
+    return history_full_wide(spark, sf).filter(F.col("IsDeleted"))
+
+
+def snapshot_on(spark, sf):
+    """One snapshot by date equality (the last), date renamed."""
+    snaps, _ = _snaps(spark, sf, "EV")
+    last = snaps.select(F.max(D)).scalar()
+    return sn.snapshot_on(snaps, last)
+
+
+def scan_from(spark, sf):
+    """Events from a first date on (the 15th day after the first), as
+    daily snapshots; the filter reaches the parquet scan."""
+    ev = dv.table(spark, sf, "events")
+    first = ev.select(F.date_add(F.min(F.to_date("ts")), 14)).scalar()
+    ev = ev.filter(F.col("ts") >= first.cast("timestamp_ntz"))
+    return ev.select("event_id", "user_id", F.to_date("ts").alias(D), "event_type")
+
+
+def snapshot_distinct(spark, sf):
+    """Business columns of the monthly order rows, exact duplicates removed."""
+    o = dv.table(spark, sf, "orders").select(
+        "o_custkey", F.trunc(F.to_date("o_orderdate"), "month").alias(D), "o_orderstatus", "o_orderpriority"
+    )
+    return sn.snapshot_distinct(o, ["o_custkey", D, "o_orderstatus", "o_orderpriority"])
+
+
+def key_file(spark, sf):
+    """Distinct (RowHashKey, SnapshotDate) of every daily snapshot."""
+    snaps, cfg = _snaps(spark, sf, "EV")
+    return sinks.key_file(with_hash_key(snaps, cfg.key_cols))
+
+
+def json_project(spark, sf):
+    """``events.props`` parsed with a given schema and projected."""
+    ev = dv.table(spark, sf, "events")
+    return sn.parse_json_column(ev, "props", "k INT", ["event_id", "user_id"])
+
+
 QUERIES = {
     "history_full": history_full,
     "history_full_wide": history_full_wide,
     "history_incremental": history_incremental,
+    "history_dedupe": history_dedupe,
+    "history_chained": history_chained,
+    "merge_step": merge_step,
+    "merge_step_incremental": merge_step_incremental,
+    "merge_by_columns": merge_by_columns,
+    "classify_full": classify_full,
+    "classify_incremental": classify_incremental,
+    "classify_sql": classify_sql,
+    "change_summary": change_summary,
+    "deleted_rows": deleted_rows,
+    "expired_rows": expired_rows,
+    "inserted_rows": inserted_rows,
+    "new_and_updated": new_and_updated,
+    "insert_only": insert_only,
+    "disappeared": disappeared,
+    "carried_rows": carried_rows,
+    "changed_by_columns": changed_by_columns,
+    "unchanged_except_all": unchanged_except_all,
+    "first_snapshot": first_snapshot,
+    "row_hash": row_hash,
+    "row_hash_composite": row_hash_composite,
+    "prepared_snapshot": prepared_snapshot,
+    "active_rows": active_rows,
+    "closed_rows": closed_rows,
+    "deleted_versions": deleted_versions,
+    "snapshot_on": snapshot_on,
+    "scan_from": scan_from,
+    "snapshot_distinct": snapshot_distinct,
+    "key_file": key_file,
+    "json_project": json_project,
 }

@@ -2,8 +2,117 @@
 
 from vhist.plans import oracle as o
 
+OPEN = o.OPEN
+K_EV, K_OR = ["user_id"], ["o_custkey"]
+
+H_EV = o.history_sql(o.EV_SNAP, K_EV, o.EV_COLS, "full")
+H_EVF = o.history_sql(o.EVF_SNAP, K_EV, o.EVF_COLS, "full")
+H_OR = o.history_sql(o.OR_SNAP, K_OR, o.OR_COLS, "incremental")
+HP_EV = o.history_sql(o.before_last(o.EV_SNAP), K_EV, o.EV_COLS, "full")
+HP_OR = o.history_sql(o.before_last(o.OR_SNAP), K_OR, o.OR_COLS, "incremental")
+HP_EVF = o.history_sql(o.before_last(o.EVF_SNAP), K_EV, o.EVF_COLS, "full")
+PL_EVF = o.prepared_sql(o.on_last(o.EVF_SNAP), K_EV, o.EVF_COLS)
+PL_EV = o.prepared_sql(o.on_last(o.EV_SNAP), K_EV, o.EV_COLS)
+PL_OR = o.prepared_sql(o.on_last(o.OR_SNAP), K_OR, o.OR_COLS)
+LAST_EV = f"(SELECT max(snapshot_date) FROM ({o.EV_SNAP}) m)"
+SYS = "BusinessKey, RowHashKey, SnapshotDate, FirstSnapshot, ValidFrom, ValidTo, IsDeleted, GDPR_Compliant"
+EVC = ", ".join(o.EV_COLS)
+HIST_EV_COLS = f"{SYS}, {EVC}"
+
+
+def _classify(hp: str, pl: str, absent: str) -> str:
+    return f"""
+SELECT coalesce(h.BusinessKey, c.BusinessKey) AS BusinessKey,
+       h.RowHashKey AS hist_RowHashKey, c.RowHashKey AS curr_RowHashKey,
+       CASE WHEN h.RowHashKey IS NULL THEN 'new'
+            WHEN c.RowHashKey IS NULL THEN '{absent}'
+            WHEN c.RowHashKey = h.RowHashKey THEN 'unchanged'
+            ELSE 'updated' END AS HistoryStatus
+FROM (SELECT * FROM ({hp}) x WHERE ValidTo = {OPEN}) h
+FULL OUTER JOIN ({pl}) c ON h.BusinessKey = c.BusinessKey"""
+
+
+CLASSIFY_EV = _classify(HP_EV, PL_EV, "deleted")
+OPEN_PREV = f"(SELECT * FROM ({HP_EV}) x WHERE ValidTo = {OPEN})"
+DIFF = " OR ".join(f"h.{c} IS DISTINCT FROM s.{c}" for c in ("event_type", "flag", "value"))
+
+DEDUP_EV = f"""
+SELECT user_id, snapshot_date, event_type, value FROM (
+  SELECT *, row_number() OVER (PARTITION BY user_id, snapshot_date
+                               ORDER BY {o.row_hash_sql(['user_id', 'event_type', 'value'])}) AS _rn
+  FROM (SELECT user_id, CAST(ts AS DATE) AS snapshot_date, event_type,
+               CAST(value AS DECIMAL(10,2)) AS value FROM events) e) t
+WHERE _rn = 1"""
+
+
+def _strict(c: str) -> str:
+    return f"coalesce(replace(replace(CAST({c} AS VARCHAR), '\\', '\\\\'), '|', '\\|'), '\\N')"
+
+
 ORACLES = {
-    "history_full": o.history_sql(o.EVF_SNAP, ["user_id"], o.EVF_COLS, "full"),
-    "history_full_wide": o.history_sql(o.EV_SNAP, ["user_id"], o.EV_COLS, "full"),
-    "history_incremental": o.history_sql(o.OR_SNAP, ["o_custkey"], o.OR_COLS, "incremental"),
+    "history_full": H_EVF,
+    "history_full_wide": H_EV,
+    "history_incremental": H_OR,
+    "history_dedupe": o.history_sql(DEDUP_EV, K_EV, ("user_id", "event_type", "value"), "full"),
+    "history_chained": H_EVF,
+    "merge_step": H_EV,
+    "merge_step_incremental": H_OR,
+    "merge_by_columns": H_EV,
+    "classify_full": CLASSIFY_EV,
+    "classify_incremental": _classify(HP_OR, PL_OR, "unchanged"),
+    "classify_sql": CLASSIFY_EV,
+    "change_summary": f"SELECT HistoryStatus, count(*) AS n_keys FROM ({CLASSIFY_EV}) c GROUP BY HistoryStatus",
+    "deleted_rows": f"""
+SELECT BusinessKey, RowHashKey, SnapshotDate, FirstSnapshot, ValidFrom,
+       CAST({LAST_EV} - INTERVAL 1 DAY AS DATE) AS ValidTo, true AS IsDeleted, GDPR_Compliant, {EVC}
+FROM {OPEN_PREV} h WHERE NOT EXISTS (SELECT 1 FROM ({PL_EV}) c WHERE c.BusinessKey = h.BusinessKey)""",
+    "expired_rows": f"""
+SELECT BusinessKey, RowHashKey, SnapshotDate, FirstSnapshot, ValidFrom,
+       CAST({LAST_EV} - INTERVAL 1 DAY AS DATE) AS ValidTo, IsDeleted, GDPR_Compliant, {EVC}
+FROM {OPEN_PREV} h
+WHERE EXISTS (SELECT 1 FROM ({PL_EV}) c WHERE c.BusinessKey = h.BusinessKey AND c.RowHashKey <> h.RowHashKey)""",
+    "inserted_rows": f"""
+SELECT c.BusinessKey, c.RowHashKey, c.SnapshotDate,
+       coalesce((SELECT min(FirstSnapshot) FROM ({HP_EV}) a WHERE a.BusinessKey = c.BusinessKey), c.SnapshotDate)
+         AS FirstSnapshot,
+       c.ValidFrom, c.ValidTo, c.IsDeleted, c.GDPR_Compliant, c.user_id, c.event_type, c.flag, c.value
+FROM ({PL_EV}) c
+WHERE NOT EXISTS (SELECT 1 FROM {OPEN_PREV} h WHERE h.BusinessKey = c.BusinessKey AND h.RowHashKey = c.RowHashKey)""",
+    "new_and_updated": f"SELECT BusinessKey FROM ({CLASSIFY_EV}) c WHERE HistoryStatus IN ('new', 'updated')",
+    "insert_only": f"SELECT * FROM ({PL_EV}) c WHERE user_id NOT IN (SELECT user_id FROM {OPEN_PREV} h)",
+    "disappeared": f"""
+SELECT BusinessKey, RowHashKey, SnapshotDate, FirstSnapshot, ValidFrom,
+       CAST({LAST_EV} - INTERVAL 1 DAY AS DATE) AS ValidTo, true AS IsDeleted, GDPR_Compliant, {EVC}
+FROM {OPEN_PREV} h WHERE user_id NOT IN (SELECT user_id FROM ({o.on_last(o.EV_SNAP)}) c)""",
+    "carried_rows": f"""
+SELECT * FROM ({HP_EV}) x WHERE ValidTo <> {OPEN}
+UNION ALL
+SELECT h.* FROM {OPEN_PREV} h
+WHERE EXISTS (SELECT 1 FROM ({PL_EV}) c WHERE c.BusinessKey = h.BusinessKey AND c.RowHashKey = h.RowHashKey)""",
+    "changed_by_columns": f"""
+SELECT h.BusinessKey, h.ValidFrom, h.event_type AS old_event_type, s.event_type AS new_event_type,
+       h.flag AS old_flag, s.flag AS new_flag, h.value AS old_value, s.value AS new_value
+FROM {OPEN_PREV} h JOIN ({PL_EV}) s ON h.user_id = s.user_id WHERE {DIFF}""",
+    "unchanged_except_all": f"""
+SELECT h.* FROM (SELECT * FROM ({HP_EVF}) x WHERE ValidTo = {OPEN}) h
+JOIN ({PL_EVF}) s ON h.user_id = s.user_id WHERE NOT (h.flag IS DISTINCT FROM s.flag)""",
+    "first_snapshot": f"SELECT BusinessKey, min(FirstSnapshot) AS FirstSnapshot FROM ({H_EV}) h GROUP BY BusinessKey",
+    "row_hash": f"SELECT BusinessKey, RowHashKey, snapshot_date FROM ({o.hashed_sql(o.EV_SNAP, K_EV, o.EV_COLS)}) x",
+    "row_hash_composite": f"""
+SELECT concat_ws('||', CAST(o_custkey AS VARCHAR), CAST(snapshot_date AS VARCHAR)) AS BusinessKey,
+       md5(concat_ws('||', {', '.join(_strict(c) for c in o.OR_COLS)})) AS RowHashKey
+FROM ({o.OR_SNAP}) s""",
+    "prepared_snapshot": PL_EV,
+    "active_rows": f"SELECT * FROM ({H_EV}) h WHERE ValidTo = {OPEN}",
+    "closed_rows": f"SELECT * FROM ({H_EV}) h WHERE ValidTo <> {OPEN}",
+    "deleted_versions": f"SELECT * FROM ({H_EV}) h WHERE IsDeleted",
+    "snapshot_on": f"SELECT user_id, snapshot_date AS SnapshotDate, event_type, flag, value FROM ({o.on_last(o.EV_SNAP)}) s",
+    "scan_from": """
+SELECT event_id, user_id, CAST(ts AS DATE) AS snapshot_date, event_type FROM events
+WHERE ts >= (SELECT min(CAST(ts AS DATE)) + 14 FROM events)""",
+    "snapshot_distinct": """
+SELECT DISTINCT o_custkey, CAST(date_trunc('month', o_orderdate) AS DATE) AS snapshot_date,
+       o_orderstatus, o_orderpriority FROM orders""",
+    "key_file": f"SELECT DISTINCT RowHashKey, snapshot_date AS SnapshotDate FROM ({o.hashed_sql(o.EV_SNAP, K_EV, o.EV_COLS)}) x",
+    "json_project": "SELECT event_id, user_id, CAST(json_extract(props, '$.k') AS INTEGER) AS k FROM events",
 }
