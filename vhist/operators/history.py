@@ -62,7 +62,9 @@ def dedupe_snapshots(rows: DataFrame, key_cols: Sequence[str], date_col: str) ->
 
 def prepare_snapshots(snapshots: DataFrame, cfg: HistoryConfig, dedupe: bool = True) -> DataFrame:
     """Hash and key the snapshot rows; add the forget flag column if absent."""
-    rows = with_hash_key(snapshots, cfg.key_cols, cfg.hash_cols, cfg.hash_mode, cfg.salt, cfg.date_col)
+    rows = snapshots
+    if "RowHashKey" not in rows.columns:  # a pre-hashed frame keeps its hash (taken before masking)
+        rows = with_hash_key(rows, cfg.key_cols, cfg.hash_cols, cfg.hash_mode, cfg.salt, cfg.date_col)
     if "GDPR_Compliant" not in rows.columns:
         rows = rows.withColumn("GDPR_Compliant", F.lit(NOT_FORGOTTEN))
     if dedupe:

@@ -58,7 +58,8 @@ def prepare_snapshot(snapshot: DataFrame, snapshot_date, cfg: HistoryConfig, ded
     from vhist.functions.columns import with_system_columns
 
     snap = snapshot.drop(cfg.date_col) if cfg.date_col in snapshot.columns else snapshot
-    snap = with_hash_key(snap, cfg.key_cols, cfg.hash_cols, cfg.hash_mode, cfg.salt, cfg.date_col)
+    if "RowHashKey" not in snap.columns:  # a pre-hashed snapshot keeps its hash (taken before masking)
+        snap = with_hash_key(snap, cfg.key_cols, cfg.hash_cols, cfg.hash_mode, cfg.salt, cfg.date_col)
     if dedupe:
         rest = [c for c in snap.columns if c not in cfg.key_cols]
         snap = (

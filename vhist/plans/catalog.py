@@ -19,6 +19,11 @@ from vhist.functions.hashing import with_hash_key
 from vhist.functions.predicates import is_closed, is_open
 from vhist.operators import classify as cl
 from vhist.operators import parts
+from vhist.operators import privacy as pv
+from vhist.operators import reload as rl
+from vhist.operators import report as rp
+from vhist.operators import views as vw
+from vhist.plans import process as pr
 from vhist.operators.history import build_history
 from vhist.operators.merge import merge_snapshot, merge_snapshots, prepare_snapshot
 from vhist.sources import derived as dv
@@ -243,6 +248,154 @@ def json_project(spark, sf):
     return sn.parse_json_column(ev, "props", "k INT", ["event_id", "user_id"])
 
 
+# ---------------------------------------------------------------- G1-G3, J9, A7, H5
+
+def _orders_hashed(spark, sf):
+    snaps, cfg = _snaps(spark, sf, "OR")
+    return with_hash_key(snaps, cfg.key_cols), cfg
+
+
+def _forget(spark, sf):
+    """Forget-request ids: keys flagged by the signal in any monthly snapshot."""
+    hashed, cfg = _orders_hashed(spark, sf)
+    return pv.detect_and_anonymise(hashed, cfg.key_cols, cfg.signal_pattern, cfg.signal_col, cfg.sensitive_cols)
+
+
+def rtbf_snapshot(spark, sf):
+    """G1: every monthly snapshot with flagged rows masked, hash taken before."""
+    return _forget(spark, sf)[0]
+
+
+def rtbf_ids(spark, sf):
+    """Distinct forget-request keys."""
+    return pv.forget_ids(_forget(spark, sf)[1], dv.ORDERS_KEY)
+
+
+def rtbf_exposed(spark, sf):
+    """History rows of those keys not anonymised yet."""
+    return pv.exposed_rows(history_incremental(spark, sf), _forget(spark, sf)[1], dv.ORDERS_KEY)
+
+
+def rtbf_history(spark, sf):
+    """History with every version of those keys anonymised."""
+    cfg = dv.ORDERS_CFG
+    return pv.anonymise_history(history_incremental(spark, sf), _forget(spark, sf)[1], cfg.key_cols,
+                                cfg.sensitive_cols)
+
+
+def process_snapshot(spark, sf):
+    """H5: the last month processed end to end into the history of the earlier ones."""
+    hist, _, today, last, cfg = _split_last(spark, sf, "OR")
+    return pr.process_snapshot(today, hist, last, cfg)[1]
+
+
+# ---------------------------------------------------------------- H3, W1, U1, U4, P11
+
+def history_half_open(spark, sf):
+    return vw.half_open(history_full_wide(spark, sf))
+
+
+def lag_change_flags(spark, sf):
+    snaps, _ = _snaps(spark, sf, "EV")
+    return vw.lag_change_flags(snaps, dv.EVENTS_KEY, ["event_type", "flag"])
+
+
+def union_snapshots(spark, sf):
+    """The daily snapshots as seven weekday frames, weekend frames without
+    ``value``, put together by column name."""
+    snaps, _ = _snaps(spark, sf, "EV")
+    frames = []
+    for dow in range(1, 8):
+        f = snaps.filter(F.dayofweek(D) == dow)
+        frames.append(f.drop("value") if dow in (1, 7) else f)
+    return vw.union_snapshots(frames)
+
+
+def dedup_versions(spark, sf):
+    """U4: history with its open versions appended again, de-duplicated."""
+    h = history_full_wide(spark, sf)
+    return vw.dedup_versions(h.unionByName(h.filter(is_open())))
+
+
+def schema_evolution(spark, sf):
+    """Flag-only history, then a last snapshot with two more columns; the
+    hash covers the configured columns, so only real changes open versions."""
+    snaps, _ = _snaps(spark, sf, "EV")
+    flags = snaps.select("user_id", D, "flag")
+    last = snaps.select(F.max(D)).scalar()
+    hist = build_history(flags.filter(F.col(D) < last), dv.EVENTS_FLAG_CFG, dedupe=False)
+    today = snaps.filter(F.col(D) == last)
+    return merge_snapshot(hist, today, last, dv.EVENTS_FLAG_CFG, dedupe=False)
+
+
+# ---------------------------------------------------------------- A4, A5, O1-O3
+
+def history_totals(spark, sf):
+    return rp.history_totals(history_full_wide(spark, sf))
+
+
+def multi_version_keys(spark, sf):
+    return rp.multi_version_keys(history_full(spark, sf))
+
+
+def active_top10(spark, sf):
+    return rp.active_top(history_full_wide(spark, sf), ["event_type", "flag", "value"], 10)
+
+
+def most_changed_top10(spark, sf):
+    return rp.most_changed(history_full(spark, sf), 10)
+
+
+def versions_of_top_key(spark, sf):
+    return rp.versions_of_top_key(history_full(spark, sf), ["flag"])
+
+
+# ---------------------------------------------------------------- A2, A6, P8, R1-R3
+
+def load_range(spark, sf):
+    return rl.load_range(dv.load_log(spark, sf))
+
+
+def reload_plan(spark, sf):
+    return rl.reload_plan(dv.load_log(spark, sf), dv.reload_requests(spark, sf))
+
+
+def load_log_lookup(spark, sf):
+    snaps, _ = _snaps(spark, sf, "EV")
+    return rl.log_lookup(snaps, dv.load_log(spark, sf), "event_type")
+
+
+def _restore_day(snaps):
+    return snaps.select(F.date_add(F.min(D), 15)).scalar()
+
+
+def _restore_month(snaps):
+    return snaps.select(F.add_months(F.min(D), 40)).scalar()
+
+
+def rollback(spark, sf):
+    """R2: full history rolled back to before the 16th day."""
+    snaps, _ = _snaps(spark, sf, "EV")
+    return rl.rollback(history_full_wide(spark, sf), _restore_day(snaps))
+
+
+def rollback_incremental(spark, sf):
+    """R2 on the incremental history, to before the 41st month."""
+    snaps, _ = _snaps(spark, sf, "OR")
+    return rl.rollback(history_incremental(spark, sf), _restore_month(snaps))
+
+
+def reload(spark, sf):
+    """Roll back to the 16th day and reload the rest; equals the full build."""
+    snaps, cfg = _snaps(spark, sf, "EV")
+    return rl.reload_history(history_full_wide(spark, sf), snaps, _restore_day(snaps), cfg, dedupe=False)
+
+
+def reload_incremental(spark, sf):
+    snaps, cfg = _snaps(spark, sf, "OR")
+    return rl.reload_history(history_incremental(spark, sf), snaps, _restore_month(snaps), cfg, dedupe=False)
+
+
 QUERIES = {
     "history_full": history_full,
     "history_full_wide": history_full_wide,
@@ -277,4 +430,26 @@ QUERIES = {
     "snapshot_distinct": snapshot_distinct,
     "key_file": key_file,
     "json_project": json_project,
+    "rtbf_snapshot": rtbf_snapshot,
+    "rtbf_ids": rtbf_ids,
+    "rtbf_exposed": rtbf_exposed,
+    "rtbf_history": rtbf_history,
+    "process_snapshot": process_snapshot,
+    "history_half_open": history_half_open,
+    "lag_change_flags": lag_change_flags,
+    "union_snapshots": union_snapshots,
+    "dedup_versions": dedup_versions,
+    "schema_evolution": schema_evolution,
+    "history_totals": history_totals,
+    "multi_version_keys": multi_version_keys,
+    "active_top10": active_top10,
+    "most_changed_top10": most_changed_top10,
+    "versions_of_top_key": versions_of_top_key,
+    "load_range": load_range,
+    "reload_plan": reload_plan,
+    "load_log_lookup": load_log_lookup,
+    "rollback": rollback,
+    "rollback_incremental": rollback_incremental,
+    "reload": reload,
+    "reload_incremental": reload_incremental,
 }

@@ -49,6 +49,39 @@ def _strict(c: str) -> str:
     return f"coalesce(replace(replace(CAST({c} AS VARCHAR), '\\', '\\\\'), '|', '\\|'), '\\N')"
 
 
+HASHED_OR = o.hashed_sql(o.OR_SNAP, K_OR, o.OR_COLS)
+FLAG = "coalesce(regexp_matches(c_name, '7$'), false)"
+IDS = f"(SELECT DISTINCT o_custkey FROM ({o.OR_SNAP}) s WHERE {FLAG})"
+LAST_IDS = f"(SELECT DISTINCT o_custkey FROM ({o.on_last(o.OR_SNAP)}) s WHERE {FLAG})"
+ORC = ", ".join(o.OR_COLS)
+
+
+def _masked_history(ids: str) -> str:
+    return f"""
+SELECT BusinessKey, RowHashKey, SnapshotDate, FirstSnapshot, ValidFrom, ValidTo, IsDeleted,
+       CASE WHEN o_custkey IN {ids} THEN 'Yes' ELSE GDPR_Compliant END AS GDPR_Compliant,
+       o_custkey, o_orderstatus, o_orderpriority,
+       CASE WHEN o_custkey IN {ids} THEN 'ANONYMISED' ELSE c_name END AS c_name
+FROM ({H_OR}) h"""
+
+
+LOG = """
+SELECT concat_ws('_', DataGroupName, strftime(SnapshotDate, '%Y%m%d')) AS PK_DataGroupLoadLogID,
+       DataGroupName, SnapshotDate, 'Bronze' AS Layer
+FROM (SELECT DISTINCT event_type AS DataGroupName, CAST(ts AS DATE) AS SnapshotDate FROM events) d"""
+RANGES = f"""
+SELECT DataGroupName, count(DISTINCT PK_DataGroupLoadLogID) AS n_loads,
+       min(SnapshotDate) AS first_snapshot, max(SnapshotDate) AS last_snapshot
+FROM ({LOG}) l GROUP BY DataGroupName"""
+REQUESTS = """
+SELECT DataGroupName, SnapshotDate FROM (
+  SELECT event_type AS DataGroupName, CAST(ts AS DATE) AS SnapshotDate,
+         row_number() OVER (PARTITION BY event_type ORDER BY value DESC, event_id ASC) AS _rn
+  FROM events) r WHERE _rn = 1"""
+RESTORE_DAY = f"(SELECT min(snapshot_date) + 15 FROM ({o.EV_SNAP}) m)"
+RESTORE_MONTH = f"(SELECT CAST(min(snapshot_date) + INTERVAL 40 MONTH AS DATE) FROM ({o.OR_SNAP}) m)"
+H_EVF_TXT = H_EVF
+
 ORACLES = {
     "history_full": H_EVF,
     "history_full_wide": H_EV,
@@ -115,4 +148,73 @@ SELECT DISTINCT o_custkey, CAST(date_trunc('month', o_orderdate) AS DATE) AS sna
        o_orderstatus, o_orderpriority FROM orders""",
     "key_file": f"SELECT DISTINCT RowHashKey, snapshot_date AS SnapshotDate FROM ({o.hashed_sql(o.EV_SNAP, K_EV, o.EV_COLS)}) x",
     "json_project": "SELECT event_id, user_id, CAST(json_extract(props, '$.k') AS INTEGER) AS k FROM events",
+    "rtbf_snapshot": f"""
+SELECT o_custkey, snapshot_date, o_orderstatus, o_orderpriority,
+       CASE WHEN {FLAG} THEN 'ANONYMISED' ELSE c_name END AS c_name, RowHashKey, BusinessKey,
+       CASE WHEN {FLAG} THEN 'Yes' ELSE 'No' END AS GDPR_Compliant
+FROM ({HASHED_OR}) x""",
+    "rtbf_ids": f"SELECT * FROM {IDS} i",
+    "rtbf_exposed": f"SELECT * FROM ({H_OR}) h WHERE o_custkey IN {IDS} AND GDPR_Compliant = 'No'",
+    "rtbf_history": _masked_history(IDS),
+    "process_snapshot": _masked_history(LAST_IDS),
+    "history_half_open": f"""
+SELECT {EVC}, ValidFrom AS eff_start_date,
+       CASE WHEN ValidTo = {OPEN} THEN NULL ELSE CAST(ValidTo + INTERVAL 1 DAY AS DATE) END AS eff_end_date,
+       ValidTo = {OPEN} AS is_current
+FROM ({H_EV}) h""",
+    "lag_change_flags": f"""
+SELECT *, CASE WHEN NOT is_changed THEN snapshot_date END AS end_date FROM (
+  SELECT *, CASE WHEN event_type <> prev_event_type OR flag <> prev_flag OR prev_event_type IS NULL
+                 THEN true ELSE false END AS is_changed,
+            snapshot_date AS start_date
+  FROM (SELECT *, lag(event_type) OVER w AS prev_event_type, lag(flag) OVER w AS prev_flag
+        FROM ({o.EV_SNAP}) s WINDOW w AS (PARTITION BY user_id ORDER BY snapshot_date)) a) b""",
+    "union_snapshots": f"""
+SELECT user_id, snapshot_date, event_type, flag,
+       CASE WHEN dayofweek(snapshot_date) IN (0, 6) THEN NULL ELSE value END AS value
+FROM ({o.EV_SNAP}) s""",
+    "dedup_versions": H_EV,
+    "schema_evolution": f"""
+SELECT h.*, e.event_type, e.value
+FROM ({H_EVF}) h
+LEFT JOIN ({o.on_last(o.EV_SNAP)}) e ON h.user_id = e.user_id AND h.ValidFrom = e.snapshot_date""",
+    "history_totals": f"""
+SELECT count(*) AS total_versions,
+       count(*) FILTER (WHERE ValidTo = {OPEN}) AS active_versions,
+       count(*) FILTER (WHERE IsDeleted) AS deleted_versions,
+       count(*) FILTER (WHERE ValidTo <> {OPEN}) AS historical_versions
+FROM ({H_EV}) h""",
+    "multi_version_keys": f"""
+SELECT BusinessKey, count(*) AS version_count FROM ({H_EVF}) h GROUP BY BusinessKey HAVING count(*) > 1""",
+    "active_top10": f"""
+SELECT BusinessKey, event_type, flag, value, ValidFrom, ValidTo FROM ({H_EV}) h
+WHERE ValidTo = {OPEN} ORDER BY BusinessKey LIMIT 10""",
+    "most_changed_top10": f"""
+SELECT BusinessKey, count(*) AS version_count FROM ({H_EVF}) h GROUP BY BusinessKey HAVING count(*) > 1
+ORDER BY version_count DESC, BusinessKey LIMIT 10""",
+    "versions_of_top_key": f"""
+SELECT BusinessKey, flag, ValidFrom, ValidTo, IsDeleted FROM ({H_EVF}) h
+WHERE BusinessKey = (SELECT BusinessKey FROM ({H_EVF}) x GROUP BY BusinessKey HAVING count(*) > 1
+                     ORDER BY count(*) DESC, BusinessKey LIMIT 1)
+ORDER BY ValidFrom""",
+    "load_range": RANGES,
+    "reload_plan": f"""
+SELECT r.DataGroupName, r.n_loads, r.first_snapshot, r.last_snapshot,
+       coalesce(q.req, false) AS reload_requested,
+       CASE WHEN r.n_loads > 1 THEN 'force_restore' WHEN coalesce(q.req, false) THEN 'restore' ELSE 'skip' END
+         AS action,
+       CASE WHEN r.n_loads > 1 OR coalesce(q.req, false) THEN r.first_snapshot END AS restore_from
+FROM ({RANGES}) r
+LEFT JOIN (SELECT DISTINCT DataGroupName, SnapshotDate, true AS req FROM ({REQUESTS}) x) q
+  ON q.DataGroupName = r.DataGroupName AND q.SnapshotDate = r.first_snapshot""",
+    "load_log_lookup": f"""
+SELECT s.*, l.PK_DataGroupLoadLogID FROM ({o.EV_SNAP}) s
+LEFT JOIN (SELECT * FROM ({LOG}) x WHERE Layer = 'Bronze') l
+  ON l.DataGroupName = s.event_type AND l.SnapshotDate = s.snapshot_date""",
+    "rollback": o.history_sql(f"SELECT * FROM ({o.EV_SNAP}) s WHERE snapshot_date < {RESTORE_DAY}",
+                              K_EV, o.EV_COLS, "full"),
+    "rollback_incremental": o.history_sql(f"SELECT * FROM ({o.OR_SNAP}) s WHERE snapshot_date < {RESTORE_MONTH}",
+                                          K_OR, o.OR_COLS, "incremental"),
+    "reload": H_EV,
+    "reload_incremental": H_OR,
 }
