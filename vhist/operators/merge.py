@@ -70,42 +70,42 @@ def prepare_snapshot(snapshot: DataFrame, snapshot_date, cfg: HistoryConfig, ded
     return with_system_columns(snap, _as_date(snapshot_date))
 
 
-def merge_snapshot(
-    history: DataFrame,
+def merge_open_rows(
+    open_rows: DataFrame,
     snapshot: DataFrame,
     snapshot_date,
     cfg: HistoryConfig,
+    deleted_rows: Optional[DataFrame] = None,
     compare: str = "hash",
     dedupe: bool = True,
 ) -> DataFrame:
-    """New history after loading ``snapshot`` taken on ``snapshot_date``.
+    """The rows that replace the open versions after loading ``snapshot``.
 
-    ``compare="hash"`` tests RowHashKey; ``compare="columns"`` (H4) tests every
-    non-key data column NULL-safely, which tells NULL from '' and is immune to
-    delimiter collisions.  ``snapshot_date`` must be later than every ValidFrom.
+    Returns kept open versions, versions closed on ``snapshot_date - 1`` and
+    versions opened on ``snapshot_date``; closed history is not touched, so a
+    store can write just these rows (see ``vhist.sources.store``).
+    ``deleted_rows``: versions ended by deletion (or any superset of them, such
+    as all closed rows); returning keys take their FirstSnapshot from them.
     """
     if compare not in ("hash", "columns"):
         raise ValueError("compare must be 'hash' or 'columns'")
     keys = list(cfg.key_cols)
     d = _as_date(snapshot_date)
     snap = prepare_snapshot(snapshot, d, cfg, dedupe)
-    history, snap, dcols = align_columns(history, snap, cfg.date_col)
+    open_rows, snap, dcols = align_columns(open_rows, snap, cfg.date_col)
     cols = history_columns(dcols)
 
-    open_rows = history.filter(is_open()).select(*cols)
-    closed_rows = history.filter(is_closed()).select(*cols)
-
-    if cfg.incremental:
+    if cfg.incremental or deleted_rows is None:
         snap = snap.withColumn("_prior_first", F.lit(None).cast("date"))
     else:
         returning = (
-            closed_rows.filter(F.col("IsDeleted"))
+            deleted_rows.filter(F.col("IsDeleted"))
             .groupBy(*keys)
             .agg(F.min("FirstSnapshot").alias("_prior_first"))
         )
         snap = snap.join(returning, keys, "left")
 
-    h, s = open_rows.alias("h"), snap.alias("s")
+    h, s = open_rows.select(*cols).alias("h"), snap.alias("s")
     cond = [F.col(f"h.{k}") == F.col(f"s.{k}") for k in keys]
     j = h.join(s, cond, "full_outer")
 
@@ -133,8 +133,36 @@ def merge_snapshot(
         close, h_row(F.date_sub(d, 1), ~has_s)
     )
     new_version = F.when(opens, s_row)
-    merged = j.select(F.inline(F.array_compact(F.array(old_version, new_version))))
-    return closed_rows.unionByName(merged)
+    return j.select(F.inline(F.array_compact(F.array(old_version, new_version))))
+
+
+def conform(df: DataFrame, like: DataFrame) -> DataFrame:
+    """``df`` with the columns of ``like`` in its order; missing ones as typed NULL."""
+    have = set(df.columns)
+    return df.select(*[F.col(c) if c in have else F.lit(None).cast(t).alias(c) for c, t in like.dtypes])
+
+
+def merge_snapshot(
+    history: DataFrame,
+    snapshot: DataFrame,
+    snapshot_date,
+    cfg: HistoryConfig,
+    compare: str = "hash",
+    dedupe: bool = True,
+) -> DataFrame:
+    """New history after loading ``snapshot`` taken on ``snapshot_date``.
+
+    ``compare="hash"`` tests RowHashKey; ``compare="columns"`` (H4) tests every
+    non-key data column NULL-safely, which tells NULL from '' and is immune to
+    delimiter collisions.  ``snapshot_date`` must be later than every ValidFrom.
+    Closed versions pass through unchanged.
+    """
+    closed_rows = history.filter(is_closed())
+    delta = merge_open_rows(
+        history.filter(is_open()), snapshot, snapshot_date, cfg, deleted_rows=closed_rows, compare=compare,
+        dedupe=dedupe,
+    )
+    return conform(closed_rows, delta).unionByName(delta)
 
 
 def merge_snapshots(

@@ -103,6 +103,25 @@ def history_chained(spark: SparkSession, sf: str) -> DataFrame:
     return merge_snapshots(empty, snaps, dv.EVENTS_CFG, checkpoint_every=5)
 
 
+def history_store(spark: SparkSession, sf: str) -> DataFrame:
+    """H2 on the versioned store: bulk-build the earlier days, store them, merge
+    the last day as a new version (rewriting only open rows and the rows it
+    closes), and read the state back.  Written under the session's
+    ``spark.checkpoint.dir`` (a shared folder on a cluster)."""
+    import uuid
+
+    from vhist.session import ensure_checkpoint_dir
+    from vhist.sources import store
+
+    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/vhist-store-{uuid.uuid4().hex}"
+    snaps, cfg = _snaps(spark, sf, "EV")
+    days = [r[0] for r in snaps.select(D).distinct().orderBy(D).collect()]  # the calendar only
+    prior, last = days[:-1], days[-1]
+    store.write_initial(build_history(snaps.filter(F.col(D) < last), cfg, dedupe=False), root, prior[-1])
+    store.merge_into(spark, root, snaps.filter(F.col(D) == last).drop(D), last, cfg)
+    return store.read_state(spark, root, last)
+
+
 # ---------------------------------------------------------------- J1 / A3
 
 def classify_full(spark, sf):
@@ -402,6 +421,7 @@ QUERIES = {
     "history_incremental": history_incremental,
     "history_dedupe": history_dedupe,
     "history_chained": history_chained,
+    "history_store": history_store,
     "merge_step": merge_step,
     "merge_step_incremental": merge_step_incremental,
     "merge_by_columns": merge_by_columns,

@@ -88,6 +88,7 @@ ORACLES = {
     "history_incremental": H_OR,
     "history_dedupe": o.history_sql(DEDUP_EV, K_EV, ("user_id", "event_type", "value"), "full"),
     "history_chained": H_EVF,
+    "history_store": H_EV,
     "merge_step": H_EV,
     "merge_step_incremental": H_OR,
     "merge_by_columns": H_EV,
