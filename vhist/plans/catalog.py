@@ -11,6 +11,7 @@ row of the table too.  Snapshot sets (see ``vhist.sources.derived``):
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -41,11 +42,22 @@ def _snaps(spark, sf, which: str) -> tuple[DataFrame, HistoryConfig]:
     return dv.orders_monthly(spark, sf), dv.ORDERS_CFG
 
 
+def _last_date(snaps: DataFrame):
+    """The newest snapshot date, as a value: a merge runs for a given date, as a
+    daily job would (one aggregate over the date column only)."""
+    return snaps.agg(F.max(D)).first()[0]
+
+
 def _split_last(spark, sf, which: str):
-    """(history of all snapshots before the last, last snapshot prepared, last date, cfg)."""
+    """(history of all snapshots before the last, last snapshot prepared, last
+    snapshot, last date, cfg).
+
+    The earlier history is persisted: a merge reads it three ways (open rows,
+    closed rows, deleted keys); a production job reads it from the store.
+    """
     snaps, cfg = _snaps(spark, sf, which)
-    last = snaps.select(F.max(D)).scalar()
-    hist = build_history(snaps.filter(F.col(D) < last), cfg, dedupe=False)
+    last = _last_date(snaps)
+    hist = build_history(snaps.filter(F.col(D) < last), cfg, dedupe=False).persist(StorageLevel.MEMORY_AND_DISK)
     today = snaps.filter(F.col(D) == last)
     return hist, prepare_snapshot(today, last, cfg, dedupe=False), today, last, cfg
 
@@ -234,8 +246,7 @@ def deleted_versions(spark, sf):
 def snapshot_on(spark, sf):
     """One snapshot by date equality (the last), date renamed."""
     snaps, _ = _snaps(spark, sf, "EV")
-    last = snaps.select(F.max(D)).scalar()
-    return sn.snapshot_on(snaps, last)
+    return sn.snapshot_on(snaps, _last_date(snaps))
 
 
 def scan_from(spark, sf):
@@ -341,7 +352,7 @@ def schema_evolution(spark, sf):
     hash covers the configured columns, so only real changes open versions."""
     snaps, _ = _snaps(spark, sf, "EV")
     flags = snaps.select("user_id", D, "flag")
-    last = snaps.select(F.max(D)).scalar()
+    last = _last_date(snaps)
     hist = build_history(flags.filter(F.col(D) < last), dv.EVENTS_FLAG_CFG, dedupe=False)
     today = snaps.filter(F.col(D) == last)
     return merge_snapshot(hist, today, last, dv.EVENTS_FLAG_CFG, dedupe=False)
@@ -385,11 +396,11 @@ def load_log_lookup(spark, sf):
 
 
 def _restore_day(snaps):
-    return snaps.select(F.date_add(F.min(D), 15)).scalar()
+    return snaps.agg(F.date_add(F.min(D), 15)).first()[0]
 
 
 def _restore_month(snaps):
-    return snaps.select(F.add_months(F.min(D), 40)).scalar()
+    return snaps.agg(F.add_months(F.min(D), 40)).first()[0]
 
 
 def rollback(spark, sf):
