@@ -93,3 +93,18 @@ def test_anonymise_is_idempotent(spark, seed):
     assert rows(once) == rows(twice)
     assert {r["a"] for r in once.filter("k in (1, 3)").collect()} <= {"ANONYMISED"}
     assert once.filter("k in (1, 3) AND GDPR_Compliant = 'No'").count() == 0
+
+
+@pytest.mark.parametrize("seed", [4, 5])
+@pytest.mark.parametrize("mode", MODES)
+def test_chain_of_processing_equals_single_pass_with_forgetting(spark, seed, mode):
+    from vhist.operators.history import build_history_forgetting
+    from vhist.plans.process import process_snapshots
+
+    s, _ = random_snapshots(spark, seed, keys=10, days=7)
+    # signal: column a is 'x'; sensitive: column b; hash over every data column
+    c = HistoryConfig(key_cols=["k"], mode=mode, sensitive_cols=["b"], signal_col="a", signal_pattern="^x$")
+    one = build_history_forgetting(s, c)
+    chain = process_snapshots(empty_history(spark, s.drop(D).schema), s, c, checkpoint_every=3)
+    assert rows(one) == rows(chain.select(*one.columns))
+    assert one.filter("GDPR_Compliant = 'Yes'").count() > 0

@@ -156,3 +156,21 @@ def runs_to_history(rows: DataFrame, cfg: HistoryConfig, data_cols: List[str]) -
         }
     )
     return out.select(*history_columns(data_cols))
+
+
+def build_history_forgetting(
+    snapshots: DataFrame,
+    cfg: HistoryConfig,
+    calendar_dates: Optional[DataFrame] = None,
+    dedupe: bool = True,
+) -> DataFrame:
+    """H1 with forget requests: the history that processing every snapshot in
+    order (detect, anonymise history, merge) produces, in one pass.
+
+    The row hash is taken before masking, so versions are those of the plain
+    build; masking follows ``anonymise_from_signals``.
+    """
+    from vhist.operators.privacy import anonymise_from_signals
+
+    hist = build_history(snapshots, cfg, calendar_dates, dedupe)
+    return anonymise_from_signals(hist, snapshots, cfg)

@@ -170,11 +170,15 @@ def merge_snapshots(
     snapshots: DataFrame,
     cfg: HistoryConfig,
     dates: Optional[Iterable] = None,
-    checkpoint_every: int = 5,
+    checkpoint_every: int = 2,
     compare: str = "hash",
+    step=None,
 ) -> DataFrame:
     """Chain of merges over the snapshots' dates in order, as a daily job would.
 
+    ``step(history, snapshot, date)`` replaces the plain merge (for example by
+    the whole per-snapshot process, ``vhist.plans.process.process_snapshots``).
+
     The dates (the calendar, one value per snapshot) are read to the driver; the
     data is not.  Each step is persisted, because the next one reads it three
     times (open rows, closed rows, deleted keys); every ``checkpoint_every``
@@ -196,7 +200,8 @@ def merge_snapshots(
     cached: list[DataFrame] = []
     for i, day in enumerate(dates, start=1):
         snap = snapshots.filter(F.col(cfg.date_col) == F.lit(day)).drop(cfg.date_col)
-        history = merge_snapshot(history, snap, day, cfg, compare=compare).persist(StorageLevel.MEMORY_AND_DISK)
+        merged = step(history, snap, day) if step else merge_snapshot(history, snap, day, cfg, compare=compare)
+        history = merged.persist(StorageLevel.MEMORY_AND_DISK)
         cached.append(history)
         if checkpoint_every and i % checkpoint_every == 0 and i < len(dates):
             history = history.coalesce(target).checkpoint(eager=True)

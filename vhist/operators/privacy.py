@@ -86,3 +86,24 @@ def anonymise_history(
     cols = {c: F.when(hit, _mask(history, c, mask)).otherwise(F.col(c)) for c in sens}
     cols["GDPR_Compliant"] = F.when(hit, F.lit(FORGOTTEN)).otherwise(F.col("GDPR_Compliant"))
     return j.withColumns(cols).select(*history.columns)
+
+
+def anonymise_from_signals(history: DataFrame, snapshots: DataFrame, cfg) -> DataFrame:
+    """Mask what processing the snapshots one by one would have masked.
+
+    When a snapshot signals a key, every version of that key present then is
+    masked, and so is the signalled row; versions opened later from rows
+    without a signal are not.  So a version ends up masked exactly when it
+    started on or before the key's last signalled snapshot.  One aggregate
+    (combined map-side) and one join on the key; the history coming out of
+    ``build_history`` is already partitioned by the key.
+    """
+    keys = list(cfg.key_cols)
+    flagged = F.coalesce(F.col(cfg.signal_col).rlike(cfg.signal_pattern), F.lit(False))
+    last_signal = snapshots.filter(flagged).groupBy(*keys).agg(F.max(cfg.date_col).alias("_forget_upto"))
+    j = history.join(last_signal, keys, "left")
+    hit = F.coalesce(F.col("ValidFrom") <= F.col("_forget_upto"), F.lit(False))
+    sens, _ = split_sensitive(history.columns, cfg.sensitive_cols)
+    cols = {c: F.when(hit, _mask(history, c, cfg.mask)).otherwise(F.col(c)) for c in sens}
+    cols["GDPR_Compliant"] = F.when(hit, F.lit(FORGOTTEN)).otherwise(F.col("GDPR_Compliant"))
+    return j.withColumns(cols).select(*history.columns)

@@ -112,7 +112,7 @@ def history_chained(spark: SparkSession, sf: str) -> DataFrame:
 
     snaps = dv.events_daily(spark, sf, flag_only=True)
     empty = empty_history(spark, snaps.drop(D).schema)
-    return merge_snapshots(empty, snaps, dv.EVENTS_CFG, checkpoint_every=5)
+    return merge_snapshots(empty, snaps, dv.EVENTS_CFG, checkpoint_every=2)
 
 
 def history_store(spark: SparkSession, sf: str) -> DataFrame:
@@ -313,6 +313,24 @@ def rtbf_history(spark, sf):
                                 cfg.sensitive_cols)
 
 
+def history_forgetting(spark, sf):
+    """H1 + G1/G3 in one pass: every month processed with forget requests."""
+    snaps, cfg = _snaps(spark, sf, "OR")
+    from vhist.operators.history import build_history_forgetting
+
+    return build_history_forgetting(snaps, cfg, dedupe=False)
+
+
+def process_all(spark, sf):
+    """H5 for every month in order (a chain with checkpoints); equals
+    ``history_forgetting``."""
+    from vhist.plans.process import process_snapshots
+    from vhist.sources.snapshots import empty_history
+
+    snaps, cfg = _snaps(spark, sf, "OR")
+    return process_snapshots(empty_history(spark, snaps.drop(D).schema), snaps, cfg, checkpoint_every=2)
+
+
 def process_snapshot(spark, sf):
     """H5: the last month processed end to end into the history of the earlier ones."""
     hist, _, today, last, cfg = _split_last(spark, sf, "OR")
@@ -466,6 +484,8 @@ QUERIES = {
     "rtbf_exposed": rtbf_exposed,
     "rtbf_history": rtbf_history,
     "process_snapshot": process_snapshot,
+    "history_forgetting": history_forgetting,
+    "process_all": process_all,
     "history_half_open": history_half_open,
     "lag_change_flags": lag_change_flags,
     "union_snapshots": union_snapshots,

@@ -82,7 +82,8 @@ RESTORE_DAY = f"(SELECT min(snapshot_date) + 15 FROM ({o.EV_SNAP}) m)"
 RESTORE_MONTH = f"(SELECT CAST(min(snapshot_date) + INTERVAL 40 MONTH AS DATE) FROM ({o.OR_SNAP}) m)"
 H_EVF_TXT = H_EVF
 
-ORACLES = {
+ORACLES = {}
+ORACLES_BASE = {
     "history_full": H_EVF,
     "history_full_wide": H_EV,
     "history_incremental": H_OR,
@@ -158,6 +159,14 @@ FROM ({HASHED_OR}) x""",
     "rtbf_exposed": f"SELECT * FROM ({H_OR}) h WHERE o_custkey IN {IDS} AND GDPR_Compliant = 'No'",
     "rtbf_history": _masked_history(IDS),
     "process_snapshot": _masked_history(LAST_IDS),
+    "history_forgetting": f"""
+SELECT BusinessKey, RowHashKey, SnapshotDate, FirstSnapshot, ValidFrom, ValidTo, IsDeleted,
+       CASE WHEN ValidFrom <= f.upto THEN 'Yes' ELSE GDPR_Compliant END AS GDPR_Compliant,
+       h.o_custkey, o_orderstatus, o_orderpriority,
+       CASE WHEN ValidFrom <= f.upto THEN 'ANONYMISED' ELSE c_name END AS c_name
+FROM ({H_OR}) h
+LEFT JOIN (SELECT o_custkey, max(snapshot_date) AS upto FROM ({o.OR_SNAP}) s WHERE {FLAG} GROUP BY o_custkey) f
+  ON f.o_custkey = h.o_custkey""",
     "history_half_open": f"""
 SELECT {EVC}, ValidFrom AS eff_start_date,
        CASE WHEN ValidTo = {OPEN} THEN NULL ELSE CAST(ValidTo + INTERVAL 1 DAY AS DATE) END AS eff_end_date,
@@ -219,3 +228,6 @@ LEFT JOIN (SELECT * FROM ({LOG}) x WHERE Layer = 'Bronze') l
     "reload": H_EV,
     "reload_incremental": H_OR,
 }
+
+ORACLES.update(ORACLES_BASE)
+ORACLES["process_all"] = ORACLES["history_forgetting"]

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 
 from vhist.config import HistoryConfig
 from vhist.functions.hashing import with_hash_key
-from vhist.operators.merge import merge_snapshot
+from vhist.operators.merge import merge_snapshot, merge_snapshots
 from vhist.operators.privacy import anonymise_history, detect_and_anonymise
 from vhist.sources.sinks import key_file, write_key_file
 
@@ -44,3 +44,20 @@ def process_snapshot(
         )
         history = anonymise_history(history, ids, cfg.key_cols, cfg.sensitive_cols, cfg.mask)
     return "Successful", merge_snapshot(history, hashed, snapshot_date, cfg)
+
+
+def process_snapshots(
+    history: DataFrame,
+    snapshots: DataFrame,
+    cfg: HistoryConfig,
+    dates=None,
+    checkpoint_every: int = 2,
+) -> DataFrame:
+    """``process_snapshot`` for every date of ``snapshots`` in order, with lineage
+    cut by reliable checkpoints; ``build_history_forgetting`` gives the same
+    history in one pass."""
+
+    def step(h: DataFrame, snap: DataFrame, day) -> DataFrame:
+        return process_snapshot(snap, h, day, cfg)[1]
+
+    return merge_snapshots(history, snapshots, cfg, dates=dates, checkpoint_every=checkpoint_every, step=step)
