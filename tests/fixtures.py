@@ -23,28 +23,27 @@ CUSTOMER_SCHEMA = T.StructType(
 
 
 def customer_schedule(spark, days: int = 10, n: int = 100):
-    """The customer snapshot schedule the reference's demo generates:
-    ids divisible by 10 change email daily from day 3, by 15 change phone from
-    day 5, by 20 turn inactive at day 5, by 50 are absent from day 7."""
-    data = []
-    for day in range(days):
-        d = D0 + dt.timedelta(days=day)
-        for cid in range(1, n + 1):
-            if cid % 50 == 0 and day > 6:
-                continue
-            email = f"v{day + 1}" if cid % 10 == 0 and day > 2 else "v1"
-            phone = f"{1000 + day}" if cid % 15 == 0 and day > 4 else "1000"
-            data.append(
-                (
-                    cid,
-                    f"Customer_{cid}",
-                    f"customer_{cid}_{email}@example.com",
-                    f"555-{phone}-{cid:04d}",
-                    f"City_{cid % 100}",
-                    "active" if cid % 20 != 0 or day < 5 else "inactive",
-                    d,
-                )
-            )
+    """Customer snapshots following the change schedule stated in FIXTURES.md
+    (day index from 0, keys 1..n): keys divisible by 10 get a new email every
+    day from day 3, by 15 a new phone every day from day 5, by 20 turn
+    inactive at day 5, by 50 are missing from day 7.  Only the schedule
+    matters for the golden counts; the values are this fixture's own."""
+
+    def row(cid: int, day: int):
+        email_rev = day if cid % 10 == 0 and day >= 3 else 0
+        phone_rev = day if cid % 15 == 0 and day >= 5 else 0
+        inactive = cid % 20 == 0 and day >= 5
+        return (
+            cid,
+            f"name {cid}",
+            f"mail {cid} rev {email_rev}",
+            f"phone {cid} rev {phone_rev}",
+            f"town {cid % 7}",
+            "inactive" if inactive else "active",
+            D0 + dt.timedelta(days=day),
+        )
+
+    data = [row(cid, day) for day in range(days) for cid in range(1, n + 1) if not (cid % 50 == 0 and day >= 7)]
     return spark.createDataFrame(data, CUSTOMER_SCHEMA)
 
 
