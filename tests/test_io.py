@@ -98,3 +98,17 @@ def test_union_snapshots_by_name(spark):
     b = spark.createDataFrame([("y", 2, 5)], "v string, k long, extra int")
     u = union_snapshots([a, b])
     assert rows(u, "k", "v", "extra") == [(1, "x", None), (2, "y", 5)]
+
+
+def test_history_over_bucketed_snapshots_needs_no_key_shuffle(spark):
+    from vhist.sources import derived as dv
+
+    snaps = dv.events_daily(spark, "/root/testdata/sf0.001", flag_only=True)
+    sinks.write_snapshots_bucketed(snaps, "vhist_test_bucketed", ["user_id"], 4, path=_scratch() + "/t",
+                                   mode="overwrite")
+    h = build_history(spark.table("vhist_test_bucketed"), dv.EVENTS_CFG)
+    want = build_history(snaps, dv.EVENTS_CFG, dedupe=False)
+    assert rows(h) == rows(want)
+    plan = h._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning(user_id" not in plan
+    assert "Window" in plan

@@ -61,3 +61,25 @@ def write_key_file(keys: DataFrame, *paths: str) -> None:
     """Write the key file once per destination (bronze and silver)."""
     for p in paths:
         keys.write.mode("overwrite").parquet(p)
+
+
+def write_snapshots_bucketed(
+    snapshots: DataFrame,
+    table: str,
+    key_cols,
+    buckets: int,
+    path: Optional[str] = None,
+    mode: str = "append",
+) -> None:
+    """Store snapshots as a table bucketed (and sorted) by the key columns.
+
+    A history built from ``spark.table(table)`` then needs no shuffle: the
+    bucketed scan already clusters rows by key, which is what the window pass
+    of ``build_history`` (and the (key, date) de-duplication) require.  Pick
+    ``buckets`` so that one bucket across all dates is about 1 GB.  Appending a
+    new date writes one file per bucket and does not touch earlier dates.
+    """
+    w = snapshots.write.mode(mode).bucketBy(buckets, *key_cols).sortBy(*key_cols)
+    if path is not None:
+        w = w.option("path", path)
+    w.saveAsTable(table)
