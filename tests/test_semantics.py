@@ -227,3 +227,33 @@ def test_dedup_versions_keeps_latest_end(spark):
     dup = h.unionByName(h).unionByName(h.filter("v = 'a'").withColumn("ValidTo", F.lit(day(5))))
     out = dedup_versions(dup)
     assert rows(out, "v", "ValidTo") == [("a", day(5)), ("b", OPEN_END)]
+
+
+def test_d4_d5_dates_parsed_once_and_typed(spark):
+    import tempfile
+
+    from vhist.sources.snapshots import read_snapshots
+
+    root = tempfile.mkdtemp(prefix="vhist-d4-") + "/s"
+    spark.createDataFrame([(1, "a", "20250801"), (1, "b", "20250803")], "k long, v string, FK_dimSnapshotID string") \
+        .write.parquet(root)
+    s = read_snapshots(spark, root)
+    assert dict(s.dtypes)["snapshot_date"] == "date"
+    h = build_history(s, HistoryConfig(key_cols=["k"]))
+    types = dict(h.dtypes)
+    assert all(types[c] == "date" for c in ("SnapshotDate", "FirstSnapshot", "ValidFrom", "ValidTo"))
+    assert rows(h, "v", "ValidTo") == [("a", day(1)), ("b", OPEN_END)]
+
+
+def test_d11_forget_ids_match_every_key_column(spark):
+    from vhist.operators.privacy import anonymise_history, exposed_rows
+
+    df = spark.createDataFrame(
+        [(1, "x", "Ann", day(0)), (1, "y", "Bob", day(0)), (2, "x", "Cid", day(0))],
+        "a long, b string, name string, snapshot_date date",
+    )
+    h = build_history(df, HistoryConfig(key_cols=["a", "b"]))
+    ids = spark.createDataFrame([(1, "x")], "a long, b string")
+    assert rows(exposed_rows(h, ids, ["a", "b"]), "name") == [("Ann",)]
+    out = anonymise_history(h, ids, ["a", "b"], ["name"])
+    assert rows(out, "a", "b", "name") == [(1, "x", "ANONYMISED"), (1, "y", "Bob"), (2, "x", "Cid")]

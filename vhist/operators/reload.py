@@ -102,7 +102,9 @@ def reload_history(
 
     Open versions enter the window pass as a snapshot numbered 0 just before
     the tail; keys that come back after deletion take FirstSnapshot from their
-    deleted versions.
+    deleted versions.  With forget settings in ``cfg``, signals in the reloaded
+    snapshots mask versions as processing them one by one would (rows that were
+    masked before stay masked).
     """
     s = _d(restore_from)
     keys = list(cfg.key_cols)
@@ -132,4 +134,9 @@ def reload_history(
         )
     )
     rebuilt = runs_to_history(tail.unionByName(seeds, allowMissingColumns=True), cfg, dcols)
-    return restored.filter(is_closed()).select(*history_columns(dcols)).unionByName(rebuilt)
+    out = restored.filter(is_closed()).select(*history_columns(dcols)).unionByName(rebuilt)
+    if cfg.signal_col and cfg.signal_pattern:
+        from vhist.operators.privacy import anonymise_from_signals
+
+        out = anonymise_from_signals(out, snapshots.filter(F.col(cfg.date_col) >= s), cfg)
+    return out

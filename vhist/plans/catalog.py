@@ -439,6 +439,16 @@ def reload(spark, sf):
     return rl.reload_history(history_full_wide(spark, sf), snaps, _restore_day(snaps), cfg, dedupe=False)
 
 
+def reload_forgetting(spark, sf):
+    """R3 with forget requests: the history built with signals, rolled back to
+    the 41st month and reloaded; masked rows stay masked, equals the build."""
+    from vhist.operators.history import build_history_forgetting
+
+    snaps, cfg = _snaps(spark, sf, "OR")
+    full = build_history_forgetting(snaps, cfg, dedupe=False)
+    return rl.reload_history(full, snaps, _restore_month(snaps), cfg, dedupe=False)
+
+
 def reload_incremental(spark, sf):
     snaps, cfg = _snaps(spark, sf, "OR")
     return rl.reload_history(history_incremental(spark, sf), snaps, _restore_month(snaps), cfg, dedupe=False)
@@ -503,4 +513,5 @@ QUERIES = {
     "rollback_incremental": rollback_incremental,
     "reload": reload,
     "reload_incremental": reload_incremental,
+    "reload_forgetting": reload_forgetting,
 }
