@@ -124,4 +124,4 @@ def test_forgotten_rows_stay_forgotten_through_rollback_and_reload(spark, seed,
         for r in back.collect():
             if (r["k"], r["ValidFrom"]) in masked_before:
                 assert r["GDPR_Compliant"] == "Yes" and r["b"] is None
-        assert rows(reload_history(full, s, cut, c)) == rows(full), cut
+        assert rows(reload_history(full, s, cut, c, forget=True)) == rows(full), cut

@@ -95,6 +95,7 @@ def reload_history(
     restore_from,
     cfg: HistoryConfig,
     dedupe: bool = True,
+    forget: bool = False,
 ) -> DataFrame:
     """Roll back to ``restore_from``, then rebuild from the snapshots on or
     after it in one pass, continuing the open versions of the rolled-back
@@ -102,9 +103,10 @@ def reload_history(
 
     Open versions enter the window pass as a snapshot numbered 0 just before
     the tail; keys that come back after deletion take FirstSnapshot from their
-    deleted versions.  With forget settings in ``cfg``, signals in the reloaded
-    snapshots mask versions as processing them one by one would (rows that were
-    masked before stay masked).
+    deleted versions.  With ``forget`` (and forget settings in ``cfg``), signals
+    in the reloaded snapshots mask versions as processing them one by one
+    would, the counterpart of ``build_history_forgetting``.  Rows that were
+    masked before stay masked either way.
     """
     s = _d(restore_from)
     keys = list(cfg.key_cols)
@@ -135,7 +137,7 @@ def reload_history(
     )
     rebuilt = runs_to_history(tail.unionByName(seeds, allowMissingColumns=True), cfg, dcols)
     out = restored.filter(is_closed()).select(*history_columns(dcols)).unionByName(rebuilt)
-    if cfg.signal_col and cfg.signal_pattern:
+    if forget:
         from vhist.operators.privacy import anonymise_from_signals
 
         out = anonymise_from_signals(out, snapshots.filter(F.col(cfg.date_col) >= s), cfg)

@@ -446,7 +446,7 @@ def reload_forgetting(spark, sf):
 
     snaps, cfg = _snaps(spark, sf, "OR")
     full = build_history_forgetting(snaps, cfg, dedupe=False)
-    return rl.reload_history(full, snaps, _restore_month(snaps), cfg, dedupe=False)
+    return rl.reload_history(full, snaps, _restore_month(snaps), cfg, dedupe=False, forget=True)
 
 
 def reload_incremental(spark, sf):
