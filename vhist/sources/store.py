@@ -2,15 +2,15 @@
 
 Layout under ``root``::
 
-    data/as_of=<yyyy-mm-dd>/segment=open/    open versions after loading that date
-    data/as_of=<yyyy-mm-dd>/segment=closed/  versions that loading that date closed
-    _log/                                    one row per committed version
+    data/as_of=<yyyy-mm-dd>/segment=open/     open versions after loading that date
+    data/as_of=<yyyy-mm-dd>/segment=closed/   versions that loading that date closed
+    data/as_of=<yyyy-mm-dd>/segment=deleted/  ... of which the key disappeared
+    _log/                                     one row per committed version
 
 The state as of date ``d`` is the open segment of version ``d`` plus every
-closed segment up to ``d``.  A merge reads the previous version's open rows and
-the deleted versions (for returning keys; a pushed-down filter on
-``IsDeleted`` with a key-only projection), and writes one new version
-directory - so its cost follows the number of keys and the snapshot, not the
+closed and deleted segment up to ``d``.  A merge reads the previous version's
+open rows and, for keys coming back, the deleted segments only (partition
+pruning, key-only projection), and writes one new version directory - so its cost follows the number of keys and the snapshot, not the
 length of the history.  Earlier versions stay readable: rolling back is
 reading an older version.  Versions are written with ``overwrite`` into their
 own directory and logged afterwards, so a retried or repeated load of the same
@@ -71,7 +71,10 @@ def write_version(rows: DataFrame, root: str, as_of: dt.date) -> str:
     cols = history_columns(data_columns(rows))
     (
         rows.select(*cols)
-        .withColumn("segment", F.when(is_open(), F.lit("open")).otherwise(F.lit("closed")))
+        .withColumn(
+            "segment",
+            F.when(is_open(), F.lit("open")).when(F.col("IsDeleted"), F.lit("deleted")).otherwise(F.lit("closed")),
+        )
         .write.mode("overwrite")
         .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
         .partitionBy("segment")
@@ -90,7 +93,7 @@ def read_state(spark: SparkSession, root: str, as_of: dt.date) -> DataFrame:
     """The whole history as of version ``as_of`` (time travel / rollback)."""
     data = _stored(spark, root)
     cur = data.filter((F.col("as_of") == F.lit(as_of)) & (F.col("segment") == "open"))
-    past = data.filter((F.col("as_of") <= F.lit(as_of)) & (F.col("segment") == "closed"))
+    past = data.filter((F.col("as_of") <= F.lit(as_of)) & F.col("segment").isin("closed", "deleted"))
     return cur.unionByName(past).drop(*_PARTS)
 
 
@@ -116,7 +119,7 @@ def merge_into(
     data = _stored(spark, root)
     open_prev = data.filter((F.col("as_of") == F.lit(prev)) & (F.col("segment") == "open")).drop(*_PARTS)
     deleted = (
-        data.filter((F.col("as_of") <= F.lit(prev)) & (F.col("segment") == "closed") & F.col("IsDeleted"))
+        data.filter((F.col("as_of") <= F.lit(prev)) & (F.col("segment") == "deleted"))
         .select(*cfg.key_cols, "FirstSnapshot", "IsDeleted")
     )
     delta = merge_open_rows(open_prev, snapshot, as_of, cfg, deleted_rows=deleted, compare=compare)
