@@ -28,6 +28,13 @@ def load_range(log: DataFrame) -> DataFrame:
     )
 
 
+def load_ids(log: DataFrame, group: Optional[str] = None) -> DataFrame:
+    """Distinct load-log ids (of one data group if given); stays a frame."""
+    if group is not None:
+        log = log.filter(F.col("DataGroupName") == group)
+    return log.select("PK_DataGroupLoadLogID").distinct()
+
+
 def log_lookup(snapshots: DataFrame, log: DataFrame, group_col: str, layer: str = "Bronze",
                date_col: str = "snapshot_date") -> DataFrame:
     """Attach the load-log id of (group, date, layer) to snapshot rows, as one join

@@ -404,6 +404,10 @@ def load_range(spark, sf):
     return rl.load_range(dv.load_log(spark, sf))
 
 
+def load_ids(spark, sf):
+    return rl.load_ids(dv.load_log(spark, sf))
+
+
 def reload_plan(spark, sf):
     return rl.reload_plan(dv.load_log(spark, sf), dv.reload_requests(spark, sf))
 
@@ -507,6 +511,7 @@ QUERIES = {
     "most_changed_top10": most_changed_top10,
     "versions_of_top_key": versions_of_top_key,
     "load_range": load_range,
+    "load_ids": load_ids,
     "reload_plan": reload_plan,
     "load_log_lookup": load_log_lookup,
     "rollback": rollback,

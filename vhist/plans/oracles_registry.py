@@ -208,6 +208,7 @@ WHERE BusinessKey = (SELECT BusinessKey FROM ({H_EVF}) x GROUP BY BusinessKey HA
                      ORDER BY count(*) DESC, BusinessKey LIMIT 1)
 ORDER BY ValidFrom""",
     "load_range": RANGES,
+    "load_ids": f"SELECT DISTINCT PK_DataGroupLoadLogID FROM ({LOG}) l",
     "reload_plan": f"""
 SELECT r.DataGroupName, r.n_loads, r.first_snapshot, r.last_snapshot,
        coalesce(q.req, false) AS reload_requested,
