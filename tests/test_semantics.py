@@ -257,3 +257,21 @@ def test_d11_forget_ids_match_every_key_column(spark):
     assert rows(exposed_rows(h, ids, ["a", "b"]), "name") == [("Ann",)]
     out = anonymise_history(h, ids, ["a", "b"], ["name"])
     assert rows(out, "a", "b", "name") == [(1, "x", "ANONYMISED"), (1, "y", "Bob"), (2, "x", "Cid")]
+
+
+def test_strict_prehash_text_is_injective(spark):
+    import itertools
+    import random
+
+    from vhist.functions.hashing import prehash_text
+
+    rnd = random.Random(0)
+    atoms = ["", "|", "\\", "N", "\\N", "||", "a"]
+    def val():
+        return None if rnd.random() < 0.2 else "".join(rnd.choice(atoms) for _ in range(rnd.randint(0, 3)))
+    data = sorted({(val(), val(), val()) for _ in range(3000)}, key=str)
+    df = spark.createDataFrame(data, "p string, q string, r string")
+    texts = [r[0] for r in df.select(prehash_text(["p", "q", "r"], mode="strict")).collect()]
+    assert len(set(texts)) == len(data)
+    compat = [r[0] for r in df.select(prehash_text(["p", "q", "r"])).collect()]
+    assert len(set(compat)) < len(data)  # compat mode collides by design (NULL vs '', delimiters)

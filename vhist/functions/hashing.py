@@ -22,12 +22,17 @@ def _part(c: str, mode: str) -> Column:
     return F.coalesce(escaped, F.lit(STRICT_NULL))
 
 
-def row_hash(cols: Sequence[str], mode: str = "compat", salt: Optional[str] = None) -> Column:
-    """md5 over the columns as text, joined with ``||``."""
+def prehash_text(cols: Sequence[str], mode: str = "compat", salt: Optional[str] = None) -> Column:
+    """The text the row hash is taken over: the columns joined with ``||``."""
     parts = [_part(c, mode) for c in cols]
     if salt is not None:
         parts = [F.lit(salt)] + parts
-    return F.md5(F.concat_ws(DELIMITER, *parts))
+    return F.concat_ws(DELIMITER, *parts)
+
+
+def row_hash(cols: Sequence[str], mode: str = "compat", salt: Optional[str] = None) -> Column:
+    """md5 over the columns as text, joined with ``||``."""
+    return F.md5(prehash_text(cols, mode, salt))
 
 
 def business_key(cols: Sequence[str]) -> Column:
