@@ -275,3 +275,31 @@ def test_strict_prehash_text_is_injective(spark):
     assert len(set(texts)) == len(data)
     compat = [r[0] for r in df.select(prehash_text(["p", "q", "r"])).collect()]
     assert len(set(compat)) < len(data)  # compat mode collides by design (NULL vs '', delimiters)
+
+
+def test_null_key_parts_are_reported_not_versioned(spark):
+    from vhist.operators.checks import duplicate_keys, null_key_rows
+
+    df = spark.createDataFrame(
+        [(1, "a", "v", day(0)), (None, "a", "w", day(0)), (1, None, "x", day(0)), (1, "a", "v", day(1)),
+         (1, "a", "v", day(1)), (1, "a", "z", day(1))],
+        "p long, q string, v string, snapshot_date date",
+    )
+    cfg = HistoryConfig(key_cols=["p", "q"])
+    assert rows(null_key_rows(df, cfg), "v") == [("w",), ("x",)]
+    assert rows(duplicate_keys(df, cfg), "p", "q", "snapshot_date", "n_rows", "n_versions") == [
+        (1, "a", day(1), 3, 2)
+    ]
+    h = build_history(df, cfg)
+    assert h.filter("p IS NULL OR q IS NULL").count() == 0
+    m = merge_snapshot(h, df.filter(F.col(D) == day(1)), day(2), cfg)
+    assert m.filter("p IS NULL OR q IS NULL").count() == 0
+
+
+def test_config_from_helper_data():
+    c = HistoryConfig.from_helper_data(
+        {"BusinessKey": "['a', 'b']", "anonymisationPattern": "^x$", "anonymisationSignalColumn": "s"},
+        sensitive_cols=["n"], mode="incremental",
+    )
+    assert c.key_cols == ("a", "b") and c.signal_col == "s" and c.incremental and c.sensitive_cols == ("n",)
+    assert HistoryConfig.from_helper_data({"BusinessKey": "id"}).key_cols == ("id",)

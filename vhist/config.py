@@ -54,3 +54,36 @@ class HistoryConfig:
     @property
     def incremental(self) -> bool:
         return self.mode == "incremental"
+
+    @classmethod
+    def from_helper_data(
+        cls,
+        helper: dict,
+        sensitive_cols: Sequence[str] = (),
+        mode: str = "full",
+        **kw,
+    ) -> "HistoryConfig":
+        """Settings given as a helper-data mapping.
+
+        Keys read: ``BusinessKey`` (a column name, or a list of names written as
+        a Python list literal in text), ``anonymisationPattern``,
+        ``anonymisationSignalColumn``.  Every business-key column is used.
+        """
+        import ast
+
+        raw = helper["BusinessKey"]
+        keys = raw
+        if isinstance(raw, str):
+            try:
+                parsed = ast.literal_eval(raw)
+                keys = list(parsed) if isinstance(parsed, (list, tuple)) else raw
+            except (ValueError, SyntaxError):
+                keys = raw
+        return cls(
+            key_cols=keys,
+            mode=mode,
+            sensitive_cols=sensitive_cols,
+            signal_col=helper.get("anonymisationSignalColumn"),
+            signal_pattern=helper.get("anonymisationPattern"),
+            **kw,
+        )

@@ -61,8 +61,13 @@ def dedupe_snapshots(rows: DataFrame, key_cols: Sequence[str], date_col: str) ->
 
 
 def prepare_snapshots(snapshots: DataFrame, cfg: HistoryConfig, dedupe: bool = True) -> DataFrame:
-    """Hash and key the snapshot rows; add the forget flag column if absent."""
-    rows = snapshots
+    """Hash and key the snapshot rows; add the forget flag column if absent.
+
+    Rows with a NULL key part are left out (``checks.null_key_rows`` lists them).
+    """
+    from vhist.operators.checks import keys_present
+
+    rows = snapshots.filter(keys_present(cfg.key_cols))
     if "RowHashKey" not in rows.columns:  # a pre-hashed frame keeps its hash (taken before masking)
         rows = with_hash_key(rows, cfg.key_cols, cfg.hash_cols, cfg.hash_mode, cfg.salt, cfg.date_col)
     if "GDPR_Compliant" not in rows.columns:
@@ -85,7 +90,7 @@ def build_history(
     """
     data_cols = data_columns(snapshots, cfg.date_col)
     rows = prepare_snapshots(snapshots, cfg, dedupe)
-    cal = bounded_broadcast(snapshot_calendar(rows, cfg.date_col, calendar_dates))
+    cal = bounded_broadcast(snapshot_calendar(snapshots, cfg.date_col, calendar_dates))
     rows = rows.join(cal, rows[cfg.date_col] == cal[_DATE]).drop(cfg.date_col)
     return runs_to_history(rows, cfg, data_cols)
 

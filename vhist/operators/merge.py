@@ -57,7 +57,10 @@ def prepare_snapshot(snapshot: DataFrame, snapshot_date, cfg: HistoryConfig, ded
     """P5: hash, key and system columns of one snapshot, as fresh inserts."""
     from vhist.functions.columns import with_system_columns
 
+    from vhist.operators.checks import keys_present
+
     snap = snapshot.drop(cfg.date_col) if cfg.date_col in snapshot.columns else snapshot
+    snap = snap.filter(keys_present(cfg.key_cols))  # NULL key parts: see checks.null_key_rows
     if "RowHashKey" not in snap.columns:  # a pre-hashed snapshot keeps its hash (taken before masking)
         snap = with_hash_key(snap, cfg.key_cols, cfg.hash_cols, cfg.hash_mode, cfg.salt, cfg.date_col)
     if dedupe:

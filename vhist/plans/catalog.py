@@ -88,6 +88,17 @@ def history_dedupe(spark: SparkSession, sf: str) -> DataFrame:
     return build_history(ev, dv.EVENTS_CFG, dedupe=True)
 
 
+def check_duplicates(spark: SparkSession, sf: str) -> DataFrame:
+    """D16 check frame: users with several events in a day, and how many
+    different rows (by hash) they had."""
+    from vhist.operators.checks import duplicate_keys
+
+    ev = dv.table(spark, sf, "events").select(
+        "user_id", F.to_date("ts").alias(D), "event_type", F.col("value").cast("decimal(10,2)").alias("value")
+    )
+    return duplicate_keys(ev, dv.EVENTS_CFG)
+
+
 def merge_step(spark: SparkSession, sf: str) -> DataFrame:
     """H2 + U2: last snapshot merged into the history of the earlier ones."""
     hist, _, today, last, cfg = _split_last(spark, sf, "EV")
@@ -463,6 +474,7 @@ QUERIES = {
     "history_full_wide": history_full_wide,
     "history_incremental": history_incremental,
     "history_dedupe": history_dedupe,
+    "check_duplicates": check_duplicates,
     "history_chained": history_chained,
     "history_store": history_store,
     "merge_step": merge_step,

@@ -89,6 +89,12 @@ ORACLES_BASE = {
     "history_incremental": H_OR,
     "history_dedupe": o.history_sql(DEDUP_EV, K_EV, ("user_id", "event_type", "value"), "full"),
     "history_chained": H_EVF,
+    "check_duplicates": f"""
+SELECT user_id, snapshot_date, count(*) AS n_rows,
+       count(DISTINCT {o.row_hash_sql(['user_id', 'event_type', 'value'])}) AS n_versions
+FROM (SELECT user_id, CAST(ts AS DATE) AS snapshot_date, event_type, CAST(value AS DECIMAL(10,2)) AS value
+      FROM events) e
+GROUP BY user_id, snapshot_date HAVING count(*) > 1""",
     "history_store": H_EV,
     "merge_step": H_EV,
     "merge_step_incremental": H_OR,
