@@ -88,6 +88,18 @@ def anonymise_history(
     return j.withColumns(cols).select(*history.columns)
 
 
+def mask_versions_up_to(history: DataFrame, upto: DataFrame, cfg) -> DataFrame:
+    """Mask the versions of each key in ``upto`` (key columns + ``_forget_upto``)
+    that started on or before its ``_forget_upto`` date.  Idempotent."""
+    keys = list(cfg.key_cols)
+    j = history.join(upto.select(*keys, "_forget_upto"), keys, "left")
+    hit = F.coalesce(F.col("ValidFrom") <= F.col("_forget_upto"), F.lit(False))
+    sens, _ = split_sensitive(history.columns, cfg.sensitive_cols)
+    cols = {c: F.when(hit, _mask(history, c, cfg.mask)).otherwise(F.col(c)) for c in sens}
+    cols["GDPR_Compliant"] = F.when(hit, F.lit(FORGOTTEN)).otherwise(F.col("GDPR_Compliant"))
+    return j.withColumns(cols).select(*history.columns)
+
+
 def anonymise_from_signals(history: DataFrame, snapshots: DataFrame, cfg) -> DataFrame:
     """Mask what processing the snapshots one by one would have masked.
 
@@ -101,9 +113,4 @@ def anonymise_from_signals(history: DataFrame, snapshots: DataFrame, cfg) -> Dat
     keys = list(cfg.key_cols)
     flagged = F.coalesce(F.col(cfg.signal_col).rlike(cfg.signal_pattern), F.lit(False))
     last_signal = snapshots.filter(flagged).groupBy(*keys).agg(F.max(cfg.date_col).alias("_forget_upto"))
-    j = history.join(last_signal, keys, "left")
-    hit = F.coalesce(F.col("ValidFrom") <= F.col("_forget_upto"), F.lit(False))
-    sens, _ = split_sensitive(history.columns, cfg.sensitive_cols)
-    cols = {c: F.when(hit, _mask(history, c, cfg.mask)).otherwise(F.col(c)) for c in sens}
-    cols["GDPR_Compliant"] = F.when(hit, F.lit(FORGOTTEN)).otherwise(F.col("GDPR_Compliant"))
-    return j.withColumns(cols).select(*history.columns)
+    return mask_versions_up_to(history, last_signal, cfg)

@@ -145,6 +145,25 @@ def history_store(spark: SparkSession, sf: str) -> DataFrame:
     return store.read_state(spark, root, last)
 
 
+def history_store_forgetting(spark: SparkSession, sf: str) -> DataFrame:
+    """The store with forget requests: the earlier months built in one pass and
+    stored, the last month loaded with forget handling, the state read back
+    with pending requests applied; equals ``history_forgetting``."""
+    import uuid
+
+    from vhist.operators.history import build_history_forgetting
+    from vhist.session import ensure_checkpoint_dir
+    from vhist.sources import store
+
+    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/vhist-store-{uuid.uuid4().hex}"
+    snaps, cfg = _snaps(spark, sf, "OR")
+    months = [r[0] for r in snaps.select(D).distinct().orderBy(D).collect()]  # the calendar only
+    last = months[-1]
+    store.write_initial(build_history_forgetting(snaps.filter(F.col(D) < last), cfg, dedupe=False), root, months[-2])
+    store.merge_into(spark, root, snaps.filter(F.col(D) == last).drop(D), last, cfg, forget=True)
+    return store.read_state(spark, root, last, cfg)
+
+
 # ---------------------------------------------------------------- J1 / A3
 
 def classify_full(spark, sf):
@@ -477,6 +496,7 @@ QUERIES = {
     "check_duplicates": check_duplicates,
     "history_chained": history_chained,
     "history_store": history_store,
+    "history_store_forgetting": history_store_forgetting,
     "merge_step": merge_step,
     "merge_step_incremental": merge_step_incremental,
     "merge_by_columns": merge_by_columns,

@@ -239,3 +239,4 @@ LEFT JOIN (SELECT * FROM ({LOG}) x WHERE Layer = 'Bronze') l
 ORACLES.update(ORACLES_BASE)
 ORACLES["process_all"] = ORACLES["history_forgetting"]
 ORACLES["reload_forgetting"] = ORACLES["history_forgetting"]
+ORACLES["history_store_forgetting"] = ORACLES["history_forgetting"]

@@ -6,16 +6,25 @@ Layout under ``root``::
     data/as_of=<yyyy-mm-dd>/segment=closed/   versions that loading that date closed
     data/as_of=<yyyy-mm-dd>/segment=deleted/  ... of which the key disappeared
     _log/                                     one row per committed version
+    _forget/requested_on=<yyyy-mm-dd>/        keys a load asked to forget
+    _generation/                              data generations written by ``purge``
 
 The state as of date ``d`` is the open segment of version ``d`` plus every
 closed and deleted segment up to ``d``.  A merge reads the previous version's
 open rows and, for keys coming back, the deleted segments only (partition
-pruning, key-only projection), and writes one new version directory - so its cost follows the number of keys and the snapshot, not the
-length of the history.  Earlier versions stay readable: rolling back is
-reading an older version.  Versions are written with ``overwrite`` into their
-own directory and logged afterwards, so a retried or repeated load of the same
-date replaces it instead of duplicating rows, and readers that go by the log
-never see a half-written version.
+pruning, key-only projection), and writes one new version directory - so its
+cost follows the number of keys and the snapshot, not the length of the
+history.  Earlier versions stay readable: rolling back is reading an older
+version.  Versions are written with ``overwrite`` into their own directory and
+logged afterwards, so a retried or repeated load of the same date replaces it
+instead of duplicating rows, and readers that go by the log never see a
+half-written version.
+
+Forget requests: a load with ``forget=True`` masks the flagged rows and the
+open versions of the flagged keys, and records the keys.  Closed versions are
+masked when read (a version is masked when it started on or before the key's
+latest request), so no reader sees forgotten values; ``purge`` then rewrites
+the data once, as a new generation, so the raw values leave storage too.
 """
 
 from __future__ import annotations
@@ -29,31 +38,53 @@ from pyspark.sql.utils import AnalysisException
 
 from vhist.config import HistoryConfig
 from vhist.functions.columns import data_columns, history_columns
-from vhist.functions.predicates import is_closed, is_open
+from vhist.functions.predicates import is_open
 from vhist.operators.merge import merge_open_rows
 from vhist.sources.sinks import MAX_RECORDS_PER_FILE
 
 _PARTS = ("as_of", "segment")
 
 
-def _data(root: str) -> str:
-    return f"{root.rstrip('/')}/data"
+def _root(root: str) -> str:
+    return root.rstrip("/")
 
 
 def _log(root: str) -> str:
-    return f"{root.rstrip('/')}/_log"
+    return f"{_root(root)}/_log"
 
 
-def versions(spark: SparkSession, root: str) -> DataFrame:
-    """Committed versions (one DATE column ``as_of``; repeated loads repeat a date)."""
+def _forget(root: str) -> str:
+    return f"{_root(root)}/_forget"
+
+
+def _generations(root: str) -> str:
+    return f"{_root(root)}/_generation"
+
+
+def _read_small(spark: SparkSession, path: str, schema: str) -> DataFrame:
     try:
-        return spark.read.parquet(_log(root)).select("as_of")
+        return spark.read.parquet(path)
     except AnalysisException as e:
         if "PATH_NOT_FOUND" in str(e) or "UNABLE_TO_INFER_SCHEMA" in str(e):
-            return spark.createDataFrame([], "as_of date")
+            return spark.createDataFrame([], schema)
         raise
 
 
+def generation(spark: SparkSession, root: str) -> int:
+    """The current data generation (0 until the first ``purge``)."""
+    g = _read_small(spark, _generations(root), "generation int").agg(F.max("generation")).first()[0]
+    return int(g or 0)
+
+
+def _data(root: str, gen: int = 0) -> str:
+    return f"{_root(root)}/data" if gen == 0 else f"{_root(root)}/data_g{gen}"
+
+
+def versions(spark: SparkSession, root: str) -> DataFrame:
+    """Committed versions (one DATE column ``as_of``; repeated loads repeat a date)."""
+    return _read_small(spark, _log(root), "as_of date").select("as_of")
+
+
 def latest_version(spark: SparkSession, root: str, before: Optional[dt.date] = None) -> Optional[dt.date]:
     """The newest committed version (strictly before ``before`` if given)."""
     v = versions(spark, root)
@@ -62,39 +93,65 @@ def latest_version(spark: SparkSession, root: str, before: Optional[dt.date] = N
     return v.agg(F.max("as_of")).first()[0]
 
 
+def _segment() -> F.Column:
+    return F.when(is_open(), F.lit("open")).when(F.col("IsDeleted"), F.lit("deleted")).otherwise(F.lit("closed"))
+
+
 def write_version(rows: DataFrame, root: str, as_of: dt.date) -> str:
     """Write open and closed rows of one load as version ``as_of``, then log it.
 
     One write job: the segment is a partition column computed from ValidTo.
     """
-    path = f"{_data(root)}/as_of={as_of.isoformat()}"
+    spark = rows.sparkSession
+    path = f"{_data(root, generation(spark, root))}/as_of={as_of.isoformat()}"
     cols = history_columns(data_columns(rows))
     (
         rows.select(*cols)
-        .withColumn(
-            "segment",
-            F.when(is_open(), F.lit("open")).when(F.col("IsDeleted"), F.lit("deleted")).otherwise(F.lit("closed")),
-        )
+        .withColumn("segment", _segment())
         .write.mode("overwrite")
         .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
         .partitionBy("segment")
         .parquet(path)
     )
-    spark = rows.sparkSession
     spark.createDataFrame([(as_of,)], "as_of date").write.mode("append").parquet(_log(root))
     return path
 
 
 def _stored(spark: SparkSession, root: str) -> DataFrame:
-    return spark.read.option("mergeSchema", "true").parquet(_data(root))
+    return spark.read.option("mergeSchema", "true").parquet(_data(root, generation(spark, root)))
+
 
+def forget_requests(spark: SparkSession, root: str, cfg: HistoryConfig, as_of: Optional[dt.date] = None) -> DataFrame:
+    """Per key, the latest forget request (up to ``as_of``): key columns + ``_forget_upto``."""
+    schema = ", ".join(f"`{k}` string" for k in cfg.key_cols) + ", requested_on date"
+    req = _read_small(spark, _forget(root), schema)
+    if as_of is not None:
+        req = req.filter(F.col("requested_on") <= F.lit(as_of))
+    return req.groupBy(*cfg.key_cols).agg(F.max("requested_on").alias("_forget_upto"))
 
-def read_state(spark: SparkSession, root: str, as_of: dt.date) -> DataFrame:
-    """The whole history as of version ``as_of`` (time travel / rollback)."""
+
+def _typed_like(upto: DataFrame, like: DataFrame, keys) -> DataFrame:
+    """Request keys (stored as text) cast back to the history's key types."""
+    types = dict(like.dtypes)
+    return upto.select(*[F.col(k).cast(types[k]).alias(k) for k in keys], "_forget_upto")
+
+
+def read_state(spark: SparkSession, root: str, as_of: dt.date, cfg: Optional[HistoryConfig] = None) -> DataFrame:
+    """The whole history as of version ``as_of`` (time travel / rollback).
+
+    With ``cfg`` (key and sensitive columns), versions covered by forget
+    requests made up to ``as_of`` are masked on the way out.
+    """
     data = _stored(spark, root)
     cur = data.filter((F.col("as_of") == F.lit(as_of)) & (F.col("segment") == "open"))
     past = data.filter((F.col("as_of") <= F.lit(as_of)) & F.col("segment").isin("closed", "deleted"))
-    return cur.unionByName(past).drop(*_PARTS)
+    state = cur.unionByName(past).drop(*_PARTS)
+    if cfg is not None and cfg.sensitive_cols:
+        from vhist.operators.privacy import mask_versions_up_to
+
+        upto = _typed_like(forget_requests(spark, root, cfg, as_of), state, cfg.key_cols)
+        state = mask_versions_up_to(state, upto, cfg)
+    return state
 
 
 def merge_into(
@@ -104,12 +161,29 @@ def merge_into(
     as_of: dt.date,
     cfg: HistoryConfig,
     compare: str = "hash",
+    forget: bool = False,
 ) -> str:
     """Load ``snapshot`` (taken on ``as_of``) on top of the newest version before it.
 
-    With no earlier version the snapshot starts the history.  Returns the path
-    of the new version.
+    With no earlier version the snapshot starts the history.  With ``forget``
+    (and forget settings in ``cfg``) the snapshot is hashed, then searched for
+    forget signals; flagged rows and the open versions of flagged keys are
+    written masked and the keys are recorded.  Returns the new version's path.
     """
+    from vhist.functions.hashing import with_hash_key
+
+    if forget:
+        from vhist.operators.privacy import anonymise_history, detect_and_anonymise
+
+        hashed = with_hash_key(snapshot, cfg.key_cols, cfg.hash_cols, cfg.hash_mode, cfg.salt, cfg.date_col)
+        snapshot, ids = detect_and_anonymise(
+            hashed, cfg.key_cols, cfg.signal_pattern, cfg.signal_col, cfg.sensitive_cols, cfg.mask
+        )
+        (
+            ids.select(*[F.col(k).cast("string").alias(k) for k in cfg.key_cols])
+            .write.mode("overwrite")
+            .parquet(f"{_forget(root)}/requested_on={as_of.isoformat()}")
+        )
     prev = latest_version(spark, root, before=as_of)
     if prev is None:
         from vhist.operators.history import build_history
@@ -118,6 +192,8 @@ def merge_into(
         return write_version(build_history(snap, cfg), root, as_of)
     data = _stored(spark, root)
     open_prev = data.filter((F.col("as_of") == F.lit(prev)) & (F.col("segment") == "open")).drop(*_PARTS)
+    if forget:
+        open_prev = anonymise_history(open_prev, ids, cfg.key_cols, cfg.sensitive_cols, cfg.mask)
     deleted = (
         data.filter((F.col("as_of") <= F.lit(prev)) & (F.col("segment") == "deleted"))
         .select(*cfg.key_cols, "FirstSnapshot", "IsDeleted")
@@ -129,3 +205,27 @@ def merge_into(
 def write_initial(history: DataFrame, root: str, as_of: dt.date) -> str:
     """Store a history built in bulk (``build_history``) as version ``as_of``."""
     return write_version(history, root, as_of)
+
+
+def purge(spark: SparkSession, root: str, cfg: HistoryConfig) -> int:
+    """Rewrite the stored data with every forget request applied, as a new
+    generation, so forgotten values leave storage (old versions included).
+
+    One read and one write of the data, partitioned as before; readers switch
+    when the generation is logged.  Returns the new generation.
+    """
+    from vhist.operators.privacy import mask_versions_up_to
+
+    gen = generation(spark, root)
+    data = _stored(spark, root)
+    cols = [c for c in data.columns if c not in _PARTS]
+    upto = _typed_like(forget_requests(spark, root, cfg), data, cfg.key_cols)
+    masked = mask_versions_up_to(data, upto, cfg).select(*cols, *_PARTS)
+    (
+        masked.write.mode("overwrite")
+        .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
+        .partitionBy(*_PARTS)
+        .parquet(_data(root, gen + 1))
+    )
+    spark.createDataFrame([(gen + 1,)], "generation int").write.mode("append").parquet(_generations(root))
+    return gen + 1

@@ -53,6 +53,7 @@ def process_load_batch(
     cfg: HistoryConfig,
     read_snapshot: Callable[[dt.date], DataFrame],
     layer: str = "Bronze",
+    forget: bool = False,
 ) -> list:
     """Handle one batch of load-log records; returns the dates (re)built."""
     mine = log_rows.filter((F.col("DataGroupName") == data_group) & (F.col("Layer") == layer))
@@ -60,7 +61,7 @@ def process_load_batch(
     committed = [r[0] for r in store.versions(spark, root).distinct().collect()]  # one row per load
     todo = dates_to_process(new_dates, committed)
     for d in todo:
-        store.merge_into(spark, root, read_snapshot(d), d, cfg)
+        store.merge_into(spark, root, read_snapshot(d), d, cfg, forget=forget)
     return todo
 
 
@@ -74,12 +75,13 @@ def load_log_stream(
     checkpoint_location: str,
     available_now: bool = True,
     log_format: str = "parquet",
+    forget: bool = False,
 ) -> StreamingQuery:
     """Start the stream; ``available_now`` handles what has arrived and stops."""
     src = spark.readStream.schema(LOG_SCHEMA).format(log_format).load(log_dir)
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
-        process_load_batch(spark, batch, data_group, root, cfg, read_snapshot)
+        process_load_batch(spark, batch, data_group, root, cfg, read_snapshot, forget=forget)
 
     w = src.writeStream.foreachBatch(on_batch).option("checkpointLocation", checkpoint_location)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
