@@ -187,7 +187,7 @@ def merge_snapshots(
     times (open rows, closed rows, deleted keys); every ``checkpoint_every``
     steps the lineage is cut with a reliable checkpoint in the session's
     ``spark.checkpoint.dir`` and the partitions that the unions accumulated are
-    coalesced.  ``build_history`` gives the same result in one pass.
+    coalesced to the cluster's parallelism.  ``build_history`` gives the same result in one pass.
     """
     from vhist.session import ensure_checkpoint_dir
 
@@ -199,7 +199,9 @@ def merge_snapshots(
     dates = sorted(dates)
     if checkpoint_every:
         ensure_checkpoint_dir(spark)
-    target = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    # After a checkpoint the history keeps at most one partition per core: the
+    # unions of each step only add partitions, and coalesce never adds any.
+    target = spark.sparkContext.defaultParallelism
     cached: list[DataFrame] = []
     for i, day in enumerate(dates, start=1):
         snap = snapshots.filter(F.col(cfg.date_col) == F.lit(day)).drop(cfg.date_col)

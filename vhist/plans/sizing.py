@@ -14,9 +14,14 @@ DEFAULT_BROADCAST_ROWS = 200_000
 def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """``broadcast(df)`` if it has at most ``max_rows`` rows, else ``df`` unchanged.
 
-    The frame is persisted first, so the bounded count and the join that follows
-    share one computation.  The count stops at ``max_rows + 1`` rows.
+    At most ``max_rows + 1`` rows are computed into one cached partition and
+    counted.  If that count shows the frame holds at most ``max_rows`` rows,
+    the cached rows are all of it and are broadcast (computed once, one
+    partition however many shuffle partitions the session uses); otherwise the
+    cache is dropped and the original frame is joined without a hint.
     """
-    df = df.persist(StorageLevel.MEMORY_AND_DISK)
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    capped = df.limit(max_rows + 1).coalesce(1).persist(StorageLevel.MEMORY_AND_DISK)
+    if capped.count() <= max_rows:
+        return F.broadcast(capped)
+    capped.unpersist()
+    return df
