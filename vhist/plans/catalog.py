@@ -34,12 +34,14 @@ from vhist.sources import snapshots as sn
 D = "snapshot_date"
 
 
-def _snaps(spark, sf, which: str) -> tuple[DataFrame, HistoryConfig]:
+def _snaps(spark, sf, which: str, since=None, until=None) -> tuple[DataFrame, HistoryConfig]:
+    """A snapshot set, optionally only the dates in ``[since, until)`` (bounds
+    applied to the raw timestamps, so they reach the scan)."""
     if which == "EV":
-        return dv.events_daily(spark, sf), dv.EVENTS_CFG
+        return dv.events_daily(spark, sf, since=since, until=until), dv.EVENTS_CFG
     if which == "EVF":
-        return dv.events_daily(spark, sf, flag_only=True), dv.EVENTS_CFG
-    return dv.orders_monthly(spark, sf), dv.ORDERS_CFG
+        return dv.events_daily(spark, sf, flag_only=True, since=since, until=until), dv.EVENTS_CFG
+    return dv.orders_monthly(spark, sf, since=since, until=until), dv.ORDERS_CFG
 
 
 def _last_date(snaps: DataFrame):
@@ -57,8 +59,9 @@ def _split_last(spark, sf, which: str):
     """
     snaps, cfg = _snaps(spark, sf, which)
     last = _last_date(snaps)
-    hist = build_history(snaps.filter(F.col(D) < last), cfg, dedupe=False).persist(StorageLevel.MEMORY_AND_DISK)
-    today = snaps.filter(F.col(D) == last)
+    prior, _ = _snaps(spark, sf, which, until=last)
+    today, _ = _snaps(spark, sf, which, since=last)  # the last date is the newest: no upper bound
+    hist = build_history(prior, cfg, dedupe=False).persist(StorageLevel.MEMORY_AND_DISK)
     return hist, prepare_snapshot(today, last, cfg, dedupe=False), today, last, cfg
 
 
@@ -140,8 +143,10 @@ def history_store(spark: SparkSession, sf: str) -> DataFrame:
     snaps, cfg = _snaps(spark, sf, "EV")
     days = [r[0] for r in snaps.select(D).distinct().orderBy(D).collect()]  # the calendar only
     prior, last = days[:-1], days[-1]
-    store.write_initial(build_history(snaps.filter(F.col(D) < last), cfg, dedupe=False), root, prior[-1])
-    store.merge_into(spark, root, snaps.filter(F.col(D) == last).drop(D), last, cfg)
+    before, _ = _snaps(spark, sf, "EV", until=last)
+    today, _ = _snaps(spark, sf, "EV", since=last)
+    store.write_initial(build_history(before, cfg, dedupe=False), root, prior[-1])
+    store.merge_into(spark, root, today.drop(D), last, cfg)
     return store.read_state(spark, root, last)
 
 
@@ -159,8 +164,10 @@ def history_store_forgetting(spark: SparkSession, sf: str) -> DataFrame:
     snaps, cfg = _snaps(spark, sf, "OR")
     months = [r[0] for r in snaps.select(D).distinct().orderBy(D).collect()]  # the calendar only
     last = months[-1]
-    store.write_initial(build_history_forgetting(snaps.filter(F.col(D) < last), cfg, dedupe=False), root, months[-2])
-    store.merge_into(spark, root, snaps.filter(F.col(D) == last).drop(D), last, cfg, forget=True)
+    before, _ = _snaps(spark, sf, "OR", until=last)
+    today, _ = _snaps(spark, sf, "OR", since=last)
+    store.write_initial(build_history_forgetting(before, cfg, dedupe=False), root, months[-2])
+    store.merge_into(spark, root, today.drop(D), last, cfg, forget=True)
     return store.read_state(spark, root, last, cfg)
 
 
@@ -283,8 +290,8 @@ def scan_from(spark, sf):
     """Events from a first date on (the 15th day after the first), as
     daily snapshots; the filter reaches the parquet scan."""
     ev = dv.table(spark, sf, "events")
-    first = ev.select(F.date_add(F.min(F.to_date("ts")), 14)).scalar()
-    ev = ev.filter(F.col("ts") >= first.cast("timestamp_ntz"))
+    first = ev.agg(F.date_add(F.min(F.to_date("ts")), 14)).first()[0]  # the first date, as a value
+    ev = ev.filter(F.col("ts") >= F.lit(first).cast("timestamp_ntz"))  # reaches the scan
     return ev.select("event_id", "user_id", F.to_date("ts").alias(D), "event_type")
 
 
@@ -402,7 +409,7 @@ def schema_evolution(spark, sf):
     flags = snaps.select("user_id", D, "flag")
     last = _last_date(snaps)
     hist = build_history(flags.filter(F.col(D) < last), dv.EVENTS_FLAG_CFG, dedupe=False)
-    today = snaps.filter(F.col(D) == last)
+    today, _ = _snaps(spark, sf, "EV", since=last)
     return merge_snapshot(hist, today, last, dv.EVENTS_FLAG_CFG, dedupe=False)
 
 

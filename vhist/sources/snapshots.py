@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from typing import Optional, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
@@ -40,9 +40,19 @@ def read_snapshots(
 
 
 def snapshot_on(snapshots: DataFrame, day, date_col: str = "snapshot_date", rename_to: str = "SnapshotDate") -> DataFrame:
-    """One snapshot by equality on its date, date column renamed."""
-    d = day if not isinstance(day, str) else F.to_date(F.lit(day), DATE_FORMAT)
-    return snapshots.filter(F.col(date_col) == d).withColumnRenamed(date_col, rename_to)
+    """One snapshot by equality on its date, date column renamed.
+
+    Written as ``day <= date < day + 1`` (the same rows for a DATE column), so
+    that when the date is a cast of a timestamp both bounds reach the scan.
+    """
+    if isinstance(day, str):
+        d = F.to_date(F.lit(day), DATE_FORMAT)
+    elif isinstance(day, Column):
+        d = day
+    else:
+        d = F.lit(day).cast("date")
+    c = F.col(date_col)
+    return snapshots.filter((c >= d) & (c < F.date_add(d, 1))).withColumnRenamed(date_col, rename_to)
 
 
 def snapshot_distinct(df: DataFrame, cols: Sequence[str]) -> DataFrame:
