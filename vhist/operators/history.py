@@ -22,12 +22,12 @@ from __future__ import annotations
 
 from typing import List, Optional, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vhist.config import HistoryConfig
 from vhist.functions.columns import NOT_FORGOTTEN, SYSTEM_COLUMNS, data_columns, history_columns, open_end
-from vhist.functions.hashing import with_hash_key
+from vhist.functions.hashing import prehash_text, with_hash_key
 from vhist.plans.sizing import bounded_broadcast
 
 # Internal column names used between the steps of the build.
@@ -47,16 +47,26 @@ def snapshot_calendar(snapshots: DataFrame, date_col: str = "snapshot_date", dat
     return d.select(_DATE, F.row_number().over(w).alias(_NO), F.lead(_DATE).over(w).alias(_NEXT))
 
 
-def dedupe_snapshots(rows: DataFrame, key_cols: Sequence[str], date_col: str) -> DataFrame:
+def dedupe_order(data_cols: Sequence[str]) -> Column:
+    """Order among rows of one key and date: the row hash, then the strict row
+    text (NULL marked, delimiter escaped), so that rows whose hashes collide
+    (NULL and '' in compat mode) are still told apart and the choice never
+    depends on execution order."""
+    return F.struct(F.col("RowHashKey"), prehash_text(list(data_cols), mode="strict"))
+
+
+def dedupe_snapshots(
+    rows: DataFrame, key_cols: Sequence[str], date_col: str, data_cols: Sequence[str]
+) -> DataFrame:
     """One row per (key, snapshot date): exact copies collapse, and of
-    conflicting rows the one with the smallest RowHashKey is kept.
+    conflicting rows the first by ``dedupe_order`` is kept.
 
     An aggregate rather than a window, so copies are combined map-side before
     the shuffle and a hot group of copies does not land whole in one task.
     """
     group = list(key_cols) + [date_col]
     rest = [c for c in rows.columns if c not in group]
-    agg = rows.groupBy(*group).agg(F.min_by(F.struct(*rest), F.col("RowHashKey")).alias("_r"))
+    agg = rows.groupBy(*group).agg(F.min_by(F.struct(*rest), dedupe_order(data_cols)).alias("_r"))
     return agg.select(*group, *[F.col(f"_r.{c}").alias(c) for c in rest]).select(*rows.columns)
 
 
@@ -73,7 +83,7 @@ def prepare_snapshots(snapshots: DataFrame, cfg: HistoryConfig, dedupe: bool = T
     if "GDPR_Compliant" not in rows.columns:
         rows = rows.withColumn("GDPR_Compliant", F.lit(NOT_FORGOTTEN))
     if dedupe:
-        rows = dedupe_snapshots(rows, cfg.key_cols, cfg.date_col)
+        rows = dedupe_snapshots(rows, cfg.key_cols, cfg.date_col, data_columns(snapshots, cfg.date_col))
     return rows
 
 

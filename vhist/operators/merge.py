@@ -64,10 +64,12 @@ def prepare_snapshot(snapshot: DataFrame, snapshot_date, cfg: HistoryConfig, ded
     if "RowHashKey" not in snap.columns:  # a pre-hashed snapshot keeps its hash (taken before masking)
         snap = with_hash_key(snap, cfg.key_cols, cfg.hash_cols, cfg.hash_mode, cfg.salt, cfg.date_col)
     if dedupe:
+        from vhist.operators.history import dedupe_order
+
         rest = [c for c in snap.columns if c not in cfg.key_cols]
         snap = (
             snap.groupBy(*cfg.key_cols)
-            .agg(F.min_by(F.struct(*rest), F.col("RowHashKey")).alias("_r"))
+            .agg(F.min_by(F.struct(*rest), dedupe_order(data_columns(snap, cfg.date_col))).alias("_r"))
             .select(*cfg.key_cols, *[F.col(f"_r.{c}").alias(c) for c in rest])
         )
     return with_system_columns(snap, _as_date(snapshot_date))

@@ -36,19 +36,20 @@ CLASSIFY_EV = _classify(HP_EV, PL_EV, "deleted")
 OPEN_PREV = f"(SELECT * FROM ({HP_EV}) x WHERE ValidTo = {OPEN})"
 DIFF = " OR ".join(f"h.{c} IS DISTINCT FROM s.{c}" for c in ("event_type", "flag", "value"))
 
+def _strict(c: str) -> str:
+    return f"coalesce(replace(replace(CAST({c} AS VARCHAR), '\\', '\\\\'), '|', '\\|'), '\\N')"
+
+
 DEDUP_EV = f"""
 SELECT user_id, snapshot_date, event_type, value FROM (
   SELECT *, row_number() OVER (PARTITION BY user_id, snapshot_date
-                               ORDER BY {o.row_hash_sql(['user_id', 'event_type', 'value'])}) AS _rn
+                               ORDER BY {o.row_hash_sql(['user_id', 'event_type', 'value'])},
+                                        concat_ws('||', {', '.join(_strict(c) for c in ('user_id', 'event_type', 'value'))})) AS _rn
   FROM (SELECT user_id, CAST(ts AS DATE) AS snapshot_date, event_type,
                CAST(value AS DECIMAL(10,2)) AS value FROM events) e) t
 WHERE _rn = 1"""
 
 
-def _strict(c: str) -> str:
-    return f"coalesce(replace(replace(CAST({c} AS VARCHAR), '\\', '\\\\'), '|', '\\|'), '\\N')"
-
-
 HASHED_OR = o.hashed_sql(o.OR_SNAP, K_OR, o.OR_COLS)
 FLAG = "coalesce(regexp_matches(c_name, '7$'), false)"
 IDS = f"(SELECT DISTINCT o_custkey FROM ({o.OR_SNAP}) s WHERE {FLAG})"
