@@ -62,3 +62,48 @@ def model_history(rows, mode: str = "full"):
     for k, (h, a, b, vf) in open_.items():
         out.append((k, a, b, vf, OPEN_END, False, first[k]))
     return sorted(out, key=lambda t: tuple((v is not None, v) for v in t))
+
+
+def model_history_forgetting(rows, mode: str = "full", signal: str = "x"):
+    """The same, processing forget requests at each date: a key with a row
+    whose ``a`` equals ``signal`` has ``b`` masked in every version it has then,
+    and in the version opened from that date's row.  The row hash is taken
+    before masking.  Returns tuples with GDPR_Compliant appended."""
+    by_date: dict = {}
+    flagged: dict = {}
+    for k, a, b, d in rows:
+        cur = by_date.setdefault(d, {})
+        h = row_hash(k, a, b)
+        order = (h, strict_text(k, a, b))
+        if k not in cur or order < cur[k][3]:
+            cur[k] = (h, a, b, order)
+        if a == signal:
+            flagged.setdefault(d, set()).add(k)
+    versions = []  # [k, a, b, vf, vt, deleted, gdpr, h]
+    open_: dict = {}
+    first: dict = {}
+    for d in sorted(by_date):
+        snap = by_date[d]
+        forget = flagged.get(d, set())
+        for v in versions:
+            if v[0] in forget:
+                v[2], v[6] = None, "Yes"
+        end = d - dt.timedelta(days=1)
+        for k in list(open_):
+            v = open_[k]
+            if k not in snap:
+                if mode == "full":
+                    v[4], v[5] = end, True
+                    del open_[k]
+            elif snap[k][0] != v[7]:
+                v[4] = end
+                del open_[k]
+        for k, (h, a, b, _) in snap.items():
+            first.setdefault(k, d)
+            if k not in open_:
+                masked = k in forget
+                v = [k, a, None if masked else b, d, OPEN_END, False, "Yes" if masked else "No", h]
+                versions.append(v)
+                open_[k] = v
+    out = [(v[0], v[1], v[2], v[3], v[4], v[5], first[v[0]], v[6]) for v in versions]
+    return sorted(out, key=lambda t: tuple((x is not None, x) for x in t))

@@ -42,3 +42,29 @@ def test_chain_of_merges_matches_model(spark, data, mode):
     h = merge_snapshots(empty_history(spark, df.drop("snapshot_date").schema), df, cfg, checkpoint_every=3)
     got = rows(h, "k", "a", "b", "ValidFrom", "ValidTo", "IsDeleted", "FirstSnapshot")
     assert got == model_history(data, mode)
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=list(HealthCheck))
+@given(data=st.lists(row_st, min_size=1, max_size=30), mode=st.sampled_from(["full", "incremental"]))
+def test_forgetting_matches_model(spark, data, mode):
+    from tests.model import model_history_forgetting
+    from vhist.operators.history import build_history_forgetting
+
+    df = spark.createDataFrame(data, SCHEMA)
+    cfg = HistoryConfig(key_cols=["k"], mode=mode, sensitive_cols=["b"], signal_col="a", signal_pattern="^x$")
+    cols = ("k", "a", "b", "ValidFrom", "ValidTo", "IsDeleted", "FirstSnapshot", "GDPR_Compliant")
+    assert rows(build_history_forgetting(df, cfg), *cols) == model_history_forgetting(data, mode)
+
+
+@settings(max_examples=4, deadline=None, suppress_health_check=list(HealthCheck))
+@given(data=st.lists(row_st, min_size=1, max_size=20), mode=st.sampled_from(["full", "incremental"]))
+def test_processing_chain_matches_model(spark, data, mode):
+    from tests.model import model_history_forgetting
+    from vhist.plans.process import process_snapshots
+    from vhist.sources.snapshots import empty_history
+
+    df = spark.createDataFrame(data, SCHEMA)
+    cfg = HistoryConfig(key_cols=["k"], mode=mode, sensitive_cols=["b"], signal_col="a", signal_pattern="^x$")
+    h = process_snapshots(empty_history(spark, df.drop("snapshot_date").schema), df, cfg, checkpoint_every=3)
+    cols = ("k", "a", "b", "ValidFrom", "ValidTo", "IsDeleted", "FirstSnapshot", "GDPR_Compliant")
+    assert rows(h, *cols) == model_history_forgetting(data, mode)

@@ -42,6 +42,8 @@ def process_snapshot(
         hashed, ids = detect_and_anonymise(
             hashed, cfg.key_cols, cfg.signal_pattern, cfg.signal_col, cfg.sensitive_cols, cfg.mask
         )
+        # forgetting is per key: every row of a flagged key, not only the flagged row
+        hashed = anonymise_history(hashed, ids, cfg.key_cols, cfg.sensitive_cols, cfg.mask)
         history = anonymise_history(history, ids, cfg.key_cols, cfg.sensitive_cols, cfg.mask)
     return "Successful", merge_snapshot(history, hashed, snapshot_date, cfg)
 

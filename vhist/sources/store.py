@@ -179,6 +179,8 @@ def merge_into(
         snapshot, ids = detect_and_anonymise(
             hashed, cfg.key_cols, cfg.signal_pattern, cfg.signal_col, cfg.sensitive_cols, cfg.mask
         )
+        # forgetting is per key: every row of a flagged key, not only the flagged row
+        snapshot = anonymise_history(snapshot, ids, cfg.key_cols, cfg.sensitive_cols, cfg.mask)
         (
             ids.select(*[F.col(k).cast("string").alias(k) for k in cfg.key_cols])
             .write.mode("overwrite")
