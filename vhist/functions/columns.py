@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as _dt
-from typing import Iterable, List, Sequence
+from typing import Iterable, List
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -60,7 +60,3 @@ def with_system_columns(df: DataFrame, snapshot_date, first_snapshot=None) -> Da
     if "GDPR_Compliant" not in df.columns:
         cols["GDPR_Compliant"] = F.lit(NOT_FORGOTTEN)
     return df.withColumns(cols)
-
-
-def select_history(df: DataFrame, data_cols: Sequence[str]) -> DataFrame:
-    return df.select(*history_columns(data_cols))
