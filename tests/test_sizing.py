@@ -24,3 +24,14 @@ def test_large_side_is_not_broadcast(spark):
     out = bounded_broadcast(big, max_rows=10)
     assert not _hinted(out)
     assert out.count() == 50  # the original frame, not the capped one
+
+
+def test_sizing_conf_scales_with_input():
+    from vhist.session import sizing_conf
+
+    small = sizing_conf(40 << 20, 8)
+    assert small["spark.sql.shuffle.partitions"] == "8"
+    big = sizing_conf(100 * (1 << 40), 8000)
+    n = int(big["spark.sql.shuffle.partitions"])
+    assert n % 8000 == 0 and n * (256 << 20) >= 100 * (1 << 40)
+    assert big["spark.sql.adaptive.skewJoin.enabled"] == "true"

@@ -53,3 +53,29 @@ def local_session(cores: int = 8, shuffle_partitions: int = 8, app: str = "vhist
     if not checkpoint_dir(spark):
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="vhist-ckpt-"))
     return spark
+
+
+def sizing_conf(input_bytes: int, cores: int, partition_bytes: int = 256 << 20) -> dict:
+    """Runtime SQL settings for a job reading about ``input_bytes`` on ``cores`` cores.
+
+    Scan splits and shuffle partitions aim at ``partition_bytes`` each, so a
+    task's share fits executor memory (and spills, not fails, past it); the
+    shuffle partition count is a whole number of waves of ``cores``, and AQE
+    merges small partitions and splits skewed ones at run time.  At 100 TB and
+    256 MB this is ~400,000 shuffle partitions before AQE coalescing.
+    """
+    parts = max(cores, -(-int(input_bytes) // partition_bytes))
+    parts = -(-parts // cores) * cores
+    return {
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes // 2),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+    }
+
+
+def apply_conf(spark: SparkSession, conf: dict) -> None:
+    for k, v in conf.items():
+        spark.conf.set(k, v)
