@@ -174,13 +174,13 @@ def history_store_forgetting(spark: SparkSession, sf: str) -> DataFrame:
 # ---------------------------------------------------------------- J1 / A3
 
 def classify_full(spark, sf):
-    hist, prepared, *_ = _split_last(spark, sf, "EV")
-    return cl.classify(prepared, hist)
+    hist, prepared, _, _, cfg = _split_last(spark, sf, "EV")
+    return cl.classify(prepared, hist, key_cols=cfg.key_cols)
 
 
 def classify_incremental(spark, sf):
-    hist, prepared, *_ = _split_last(spark, sf, "OR")
-    return cl.classify(prepared, hist, incremental=True)
+    hist, prepared, _, _, cfg = _split_last(spark, sf, "OR")
+    return cl.classify(prepared, hist, incremental=True, key_cols=cfg.key_cols)
 
 
 def classify_sql(spark, sf):
