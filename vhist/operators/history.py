@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vhist.config import HistoryConfig
-from vhist.functions.columns import NOT_FORGOTTEN, SYSTEM_COLUMNS, data_columns, history_columns, open_end
+from vhist.functions.columns import NOT_FORGOTTEN, data_columns, history_columns, open_end
 from vhist.functions.hashing import prehash_text, with_hash_key
 from vhist.plans.sizing import bounded_broadcast
 
