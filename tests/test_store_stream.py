@@ -99,3 +99,22 @@ def test_store_forget_requests_match_single_pass_and_purge(spark):
         masked_keys = {(r["k"], r["ValidFrom"]) for r in want.filter("GDPR_Compliant = 'Yes'").collect()}
         leaked = [r for r in raw.collect() if (r["k"], r["ValidFrom"]) in masked_keys and r["b"] is not None]
         assert not leaked, mode
+
+
+def test_load_log_stream_with_forget_requests(spark):
+    from vhist.operators.history import build_history_forgetting
+
+    s, days = random_snapshots(spark, 23, keys=8, days=5, gaps=False)
+    cfg = _forget_cfg("full")
+    root, logs, ckpt, snaps = _scratch(), _scratch() + "/log", _scratch() + "/ckpt", _scratch() + "/snaps"
+    s.write.partitionBy(D).parquet(snaps)
+
+    def read_snapshot(day):
+        return spark.read.parquet(snaps).filter(F.col(D) == F.lit(day)).drop(D)
+
+    recs = [(f"g_{x}", "g", x, "Bronze") for x in days]
+    spark.createDataFrame(recs, LOG_SCHEMA).write.mode("append").parquet(logs)
+    load_log_stream(spark, logs, "g", root, cfg, read_snapshot, ckpt, forget=True).awaitTermination()
+    want = build_history_forgetting(s, cfg)
+    got = store.read_state(spark, root, days[-1], cfg)
+    assert rows(got.select(*want.columns)) == rows(want)
