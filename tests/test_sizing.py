@@ -35,3 +35,15 @@ def test_sizing_conf_scales_with_input():
     n = int(big["spark.sql.shuffle.partitions"])
     assert n % 8000 == 0 and n * (256 << 20) >= 100 * (1 << 40)
     assert big["spark.sql.adaptive.skewJoin.enabled"] == "true"
+
+
+def test_broadcast_caches_are_released(spark):
+    from vhist.plans import sizing
+
+    small = spark.range(3).selectExpr("id AS k")
+    b = sizing.bounded_broadcast(small, max_rows=5)
+    cached = sizing._CACHED[-1]
+    assert cached.is_cached
+    sizing.release_broadcast_caches()
+    assert not sizing._CACHED and not cached.is_cached
+    assert b.count() == 3  # still usable: recomputed

@@ -27,6 +27,7 @@ from vhist.config import HistoryConfig
 from vhist.functions.columns import data_columns, history_columns
 from vhist.functions.hashing import with_hash_key
 from vhist.functions.predicates import changed_by_columns, is_closed, is_open
+from vhist.plans.sizing import release_broadcast_caches
 
 
 def _as_date(d) -> Column:
@@ -215,4 +216,5 @@ def merge_snapshots(
             for c in cached:
                 c.unpersist()
             cached = []
+            release_broadcast_caches()  # lineage is cut: the checkpoint no longer needs them
     return history

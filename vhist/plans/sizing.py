@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 # date) and forget-request key sets are the only frames broadcast here.
 DEFAULT_BROADCAST_ROWS = 200_000
 
+# Frames cached by bounded_broadcast and not yet released.
+_CACHED: list = []
+
 
 def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """``broadcast(df)`` if it has at most ``max_rows`` rows, else ``df`` unchanged.
@@ -22,6 +25,18 @@ def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) ->
     """
     capped = df.limit(max_rows + 1).coalesce(1).persist(StorageLevel.MEMORY_AND_DISK)
     if capped.count() <= max_rows:
+        _CACHED.append(capped)
         return F.broadcast(capped)
     capped.unpersist()
     return df
+
+
+def release_broadcast_caches() -> None:
+    """Drop the caches ``bounded_broadcast`` made so far.
+
+    For loops that run many jobs in one session (chains of merges, streams):
+    call it once the jobs using them have run, or once lineage was cut; a
+    frame still referring to one recomputes it if it is used again.
+    """
+    while _CACHED:
+        _CACHED.pop().unpersist()

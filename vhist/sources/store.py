@@ -40,6 +40,7 @@ from vhist.config import HistoryConfig
 from vhist.functions.columns import data_columns, history_columns
 from vhist.functions.predicates import is_open
 from vhist.operators.merge import merge_open_rows
+from vhist.plans.sizing import release_broadcast_caches
 from vhist.sources.sinks import MAX_RECORDS_PER_FILE
 
 _PARTS = ("as_of", "segment")
@@ -191,7 +192,9 @@ def merge_into(
         from vhist.operators.history import build_history
 
         snap = snapshot.withColumn(cfg.date_col, F.lit(as_of))
-        return write_version(build_history(snap, cfg), root, as_of)
+        path = write_version(build_history(snap, cfg), root, as_of)
+        release_broadcast_caches()
+        return path
     data = _stored(spark, root)
     open_prev = data.filter((F.col("as_of") == F.lit(prev)) & (F.col("segment") == "open")).drop(*_PARTS)
     if forget:
@@ -201,7 +204,9 @@ def merge_into(
         .select(*cfg.key_cols, "FirstSnapshot", "IsDeleted")
     )
     delta = merge_open_rows(open_prev, snapshot, as_of, cfg, deleted_rows=deleted, compare=compare)
-    return write_version(delta, root, as_of)
+    path = write_version(delta, root, as_of)
+    release_broadcast_caches()  # the version is written; nothing refers to them any more
+    return path
 
 
 def write_initial(history: DataFrame, root: str, as_of: dt.date) -> str:
