@@ -387,8 +387,13 @@ def lag_change_flags(spark, sf):
 
 def union_snapshots(spark, sf):
     """The daily snapshots as seven weekday frames, weekend frames without
-    ``value``, put together by column name."""
+    ``value``, put together by column name.
+
+    The snapshots are derived once and persisted: a filter on the weekday of a
+    grouping column is pushed below the per-day aggregate, so seven unpersisted
+    frames would scan and aggregate ``events`` seven times."""
     snaps, _ = _snaps(spark, sf, "EV")
+    snaps = snaps.persist(StorageLevel.MEMORY_AND_DISK)
     frames = []
     for dow in range(1, 8):
         f = snaps.filter(F.dayofweek(D) == dow)
