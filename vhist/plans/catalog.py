@@ -50,6 +50,13 @@ def _last_date(snaps: DataFrame):
     return snaps.agg(F.max(D)).first()[0]
 
 
+def _kept(history: DataFrame) -> DataFrame:
+    """A history built here from the driver tables and read several ways
+    (rollback then reload reads its deleted, open and closed versions), persisted
+    once; a production job reads these parts from the store, partition-pruned."""
+    return history.persist(StorageLevel.MEMORY_AND_DISK)
+
+
 def _split_last(spark, sf, which: str):
     """(history of all snapshots before the last, last snapshot prepared, last
     snapshot, last date, cfg).
@@ -404,7 +411,9 @@ def union_snapshots(spark, sf):
 def dedup_versions(spark, sf):
     """U4: history with its open versions appended again, de-duplicated."""
     h = history_full_wide(spark, sf)
-    return vw.dedup_versions(h.unionByName(h.filter(is_open())))
+    # the open versions twice, made in the same pass (no second build, no cache)
+    copies = F.explode(F.when(is_open(), F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1))))
+    return vw.dedup_versions(h.select("*", copies.alias("_copy")).drop("_copy"))
 
 
 def schema_evolution(spark, sf):
@@ -414,6 +423,7 @@ def schema_evolution(spark, sf):
     flags = snaps.select("user_id", D, "flag")
     last = _last_date(snaps)
     hist = build_history(flags.filter(F.col(D) < last), dv.EVENTS_FLAG_CFG, dedupe=False)
+    hist = hist.persist(StorageLevel.MEMORY_AND_DISK)  # read three ways by the merge, as in _split_last
     today, _ = _snaps(spark, sf, "EV", since=last)
     return merge_snapshot(hist, today, last, dv.EVENTS_FLAG_CFG, dedupe=False)
 
@@ -437,7 +447,8 @@ def most_changed_top10(spark, sf):
 
 
 def versions_of_top_key(spark, sf):
-    return rp.versions_of_top_key(history_full(spark, sf), ["flag"])
+    # the history is read twice (top-1 key, then its versions)
+    return rp.versions_of_top_key(_kept(history_full(spark, sf)), ["flag"])
 
 
 # ---------------------------------------------------------------- A2, A6, P8, R1-R3
@@ -482,7 +493,7 @@ def rollback_incremental(spark, sf):
 def reload(spark, sf):
     """Roll back to the 16th day and reload the rest; equals the full build."""
     snaps, cfg = _snaps(spark, sf, "EV")
-    return rl.reload_history(history_full_wide(spark, sf), snaps, _restore_day(snaps), cfg, dedupe=False)
+    return rl.reload_history(_kept(history_full_wide(spark, sf)), snaps, _restore_day(snaps), cfg, dedupe=False)
 
 
 def reload_forgetting(spark, sf):
@@ -491,13 +502,13 @@ def reload_forgetting(spark, sf):
     from vhist.operators.history import build_history_forgetting
 
     snaps, cfg = _snaps(spark, sf, "OR")
-    full = build_history_forgetting(snaps, cfg, dedupe=False)
+    full = _kept(build_history_forgetting(snaps, cfg, dedupe=False))
     return rl.reload_history(full, snaps, _restore_month(snaps), cfg, dedupe=False, forget=True)
 
 
 def reload_incremental(spark, sf):
     snaps, cfg = _snaps(spark, sf, "OR")
-    return rl.reload_history(history_incremental(spark, sf), snaps, _restore_month(snaps), cfg, dedupe=False)
+    return rl.reload_history(_kept(history_incremental(spark, sf)), snaps, _restore_month(snaps), cfg, dedupe=False)
 
 
 QUERIES = {
