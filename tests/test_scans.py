@@ -27,6 +27,7 @@ EXPECTED = {
     # earlier days and the last day: disjoint ranges
     "merge_step": {"events[5c]": 2, "events[1c]": 1},
     "schema_evolution": {"events[5c]": 2, "events[1c]": 1},
+    "inserted_rows": {"events[5c]": 2, "events[1c]": 1},
     # the history, and the snapshots from the restore date on
     "reload": {"events[5c]": 2, "events[1c]": 1, "events[2c]": 1},
 }

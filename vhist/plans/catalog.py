@@ -214,6 +214,7 @@ def expired_rows(spark, sf):
 
 def inserted_rows(spark, sf):
     hist, prepared, _, last, _ = _split_last(spark, sf, "EV")
+    prepared = prepared.persist(StorageLevel.MEMORY_AND_DISK)  # one day, read by classify and for the rows
     return parts.inserted_rows(prepared, hist, cl.classify(prepared, hist), last)
 
 
