@@ -30,6 +30,13 @@ EXPECTED = {
     "inserted_rows": {"events[5c]": 2, "events[1c]": 1},
     # the history, and the snapshots from the restore date on
     "reload": {"events[5c]": 2, "events[1c]": 1, "events[2c]": 1},
+    # monthly orders with the customer's name: orders once in full, customer's two columns once
+    "history_incremental": {"orders[5c]": 1, "orders[1c]": 1, "customer[2c]": 1},
+    "rollback_incremental": {"orders[5c]": 1, "orders[1c]": 1, "customer[2c]": 1},
+    # earlier months and the last month: disjoint ranges, each with its customer lookup
+    "merge_step_incremental": {"orders[5c]": 2, "orders[1c]": 1, "customer[2c]": 2},
+    # the forget signals are a second, two-column derivation
+    "history_forgetting": {"orders[5c]": 1, "orders[1c]": 1, "orders[2c]": 1, "customer[2c]": 2},
 }
 
 
