@@ -56,6 +56,20 @@ def test_forgetting_matches_model(spark, data, mode):
     assert rows(build_history_forgetting(df, cfg), *cols) == model_history_forgetting(data, mode)
 
 
+@settings(max_examples=10, deadline=None, derandomize=True, suppress_health_check=list(HealthCheck))
+@given(data=st.lists(row_st, min_size=1, max_size=30), mode=st.sampled_from(["full", "incremental"]))
+def test_forgetting_without_dedupe_matches_model(spark, data, mode):
+    """Rows unique per key and date: the forget dates come from the build's window."""
+    from tests.model import model_history_forgetting
+    from vhist.operators.history import build_history_forgetting
+
+    unique = list({(r[0], r[3]): r for r in data}.values())  # last row per (key, date)
+    df = spark.createDataFrame(unique, SCHEMA)
+    cfg = HistoryConfig(key_cols=["k"], mode=mode, sensitive_cols=["b"], signal_col="a", signal_pattern="^x$")
+    cols = ("k", "a", "b", "ValidFrom", "ValidTo", "IsDeleted", "FirstSnapshot", "GDPR_Compliant")
+    assert rows(build_history_forgetting(df, cfg, dedupe=False), *cols) == model_history_forgetting(unique, mode)
+
+
 @settings(max_examples=4, deadline=None, derandomize=True, suppress_health_check=list(HealthCheck))
 @given(data=st.lists(row_st, min_size=1, max_size=20), mode=st.sampled_from(["full", "incremental"]))
 def test_processing_chain_matches_model(spark, data, mode):

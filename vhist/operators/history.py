@@ -32,6 +32,7 @@ from vhist.plans.sizing import bounded_broadcast
 
 # Internal column names used between the steps of the build.
 _NO, _NEXT, _DATE, _VF, _SD, _FS = "_snap_no", "_next_date", "_snap_date", "_valid_from", "_snapshot_date", "_first_seen"
+_FU = "_forget_upto"
 
 
 def snapshot_calendar(snapshots: DataFrame, date_col: str = "snapshot_date", dates: Optional[DataFrame] = None) -> DataFrame:
@@ -98,20 +99,31 @@ def build_history(
     ``dedupe=False`` skips the (key, date) aggregate when the input is already
     unique per key and date, e.g. when it comes out of such an aggregate.
     """
+    rows, data_cols = _numbered_rows(snapshots, cfg, calendar_dates, dedupe)
+    return runs_to_history(rows, cfg, data_cols)
+
+
+def _numbered_rows(snapshots: DataFrame, cfg: HistoryConfig, calendar_dates: Optional[DataFrame], dedupe: bool):
+    """Prepared snapshot rows with their snapshot number and the next date."""
     data_cols = data_columns(snapshots, cfg.date_col)
     rows = prepare_snapshots(snapshots, cfg, dedupe)
     cal = bounded_broadcast(snapshot_calendar(snapshots, cfg.date_col, calendar_dates))
-    rows = rows.join(cal, rows[cfg.date_col] == cal[_DATE]).drop(cfg.date_col)
-    return runs_to_history(rows, cfg, data_cols)
+    return rows.join(cal, rows[cfg.date_col] == cal[_DATE]).drop(cfg.date_col), data_cols
 
 
-def runs_to_history(rows: DataFrame, cfg: HistoryConfig, data_cols: List[str]) -> DataFrame:
+def runs_to_history(
+    rows: DataFrame, cfg: HistoryConfig, data_cols: List[str], forget_date: Optional[Column] = None
+) -> DataFrame:
     """Validity history from numbered snapshot rows.
 
     ``rows``: key and data columns, BusinessKey, RowHashKey, GDPR_Compliant,
     ``_snap_no``, ``_snap_date``, ``_next_date``; optionally ``_valid_from``,
     ``_snapshot_date`` and ``_first_seen`` to carry a version over from an
     earlier history (used by reload).
+
+    ``forget_date`` (a date per row, NULL where the row signals nothing): its
+    maximum over the key is kept as ``_forget_upto``, taken in the same window
+    as FirstSnapshot.
     """
     keys = list(cfg.key_cols)
     full = not cfg.incremental
@@ -135,6 +147,7 @@ def runs_to_history(rows: DataFrame, cfg: HistoryConfig, data_cols: List[str]) -
         starts.alias("_start"),
         ends.alias("_end"),
         F.min(F.coalesce(F.col(_FS), F.col(_VF), F.col(_DATE))).over(whole).alias("_first"),
+        *([F.max(forget_date).over(whole).alias(_FU)] if forget_date is not None else []),
     ).filter(F.col("_start") | F.col("_end"))
 
     # After the filter each start row is followed by its run's end row (unless
@@ -170,7 +183,7 @@ def runs_to_history(rows: DataFrame, cfg: HistoryConfig, data_cols: List[str]) -
             "IsDeleted": deleted,
         }
     )
-    return out.select(*history_columns(data_cols))
+    return out.select(*history_columns(data_cols), *([_FU] if forget_date is not None else []))
 
 
 def build_history_forgetting(
@@ -183,9 +196,18 @@ def build_history_forgetting(
     order (detect, anonymise history, merge) produces, in one pass.
 
     The row hash is taken before masking, so versions are those of the plain
-    build; masking follows ``anonymise_from_signals``.
+    build; masking follows ``anonymise_from_signals``: a version is masked when
+    it started on or before its key's last signalled snapshot.  Rows unique per
+    key and date (``dedupe=False``) give that date in the build's own window
+    over the key, with no second read of the snapshots and no join.  With
+    de-duplication a signal on a row that is dropped still counts, so the
+    signals come from every snapshot row (an aggregate and a join on the key).
     """
-    from vhist.operators.privacy import anonymise_from_signals
+    from vhist.operators.privacy import anonymise_from_signals, mask_where, masked_up_to, signal_flag
 
-    hist = build_history(snapshots, cfg, calendar_dates, dedupe)
-    return anonymise_from_signals(hist, snapshots, cfg)
+    if dedupe:
+        hist = build_history(snapshots, cfg, calendar_dates, dedupe)
+        return anonymise_from_signals(hist, snapshots, cfg)
+    rows, data_cols = _numbered_rows(snapshots, cfg, calendar_dates, dedupe=False)
+    hist = runs_to_history(rows, cfg, data_cols, forget_date=F.when(signal_flag(cfg), F.col(_DATE)))
+    return mask_where(hist, masked_up_to(_FU), cfg).drop(_FU)

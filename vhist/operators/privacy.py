@@ -88,16 +88,31 @@ def anonymise_history(
     return j.withColumns(cols).select(*history.columns)
 
 
+def signal_flag(cfg) -> Column:
+    """True on a snapshot row whose signal column matches the forget pattern."""
+    return F.coalesce(F.col(cfg.signal_col).rlike(cfg.signal_pattern), F.lit(False))
+
+
+def mask_where(history: DataFrame, hit: Column, cfg) -> DataFrame:
+    """Mask the sensitive columns of the rows where ``hit`` holds and mark them
+    forgotten; other rows are unchanged."""
+    sens, _ = split_sensitive(history.columns, cfg.sensitive_cols)
+    cols = {c: F.when(hit, _mask(history, c, cfg.mask)).otherwise(F.col(c)) for c in sens}
+    cols["GDPR_Compliant"] = F.when(hit, F.lit(FORGOTTEN)).otherwise(F.col("GDPR_Compliant"))
+    return history.withColumns(cols)
+
+
+def masked_up_to(upto: str = "_forget_upto") -> Column:
+    """A version is masked when it started on or before the key's last signal."""
+    return F.coalesce(F.col("ValidFrom") <= F.col(upto), F.lit(False))
+
+
 def mask_versions_up_to(history: DataFrame, upto: DataFrame, cfg) -> DataFrame:
     """Mask the versions of each key in ``upto`` (key columns + ``_forget_upto``)
     that started on or before its ``_forget_upto`` date.  Idempotent."""
     keys = list(cfg.key_cols)
     j = history.join(upto.select(*keys, "_forget_upto"), keys, "left")
-    hit = F.coalesce(F.col("ValidFrom") <= F.col("_forget_upto"), F.lit(False))
-    sens, _ = split_sensitive(history.columns, cfg.sensitive_cols)
-    cols = {c: F.when(hit, _mask(history, c, cfg.mask)).otherwise(F.col(c)) for c in sens}
-    cols["GDPR_Compliant"] = F.when(hit, F.lit(FORGOTTEN)).otherwise(F.col("GDPR_Compliant"))
-    return j.withColumns(cols).select(*history.columns)
+    return mask_where(j, masked_up_to(), cfg).select(*history.columns)
 
 
 def anonymise_from_signals(history: DataFrame, snapshots: DataFrame, cfg) -> DataFrame:
@@ -111,6 +126,6 @@ def anonymise_from_signals(history: DataFrame, snapshots: DataFrame, cfg) -> Dat
     ``build_history`` is already partitioned by the key.
     """
     keys = list(cfg.key_cols)
-    flagged = F.coalesce(F.col(cfg.signal_col).rlike(cfg.signal_pattern), F.lit(False))
+    flagged = signal_flag(cfg)
     last_signal = snapshots.filter(flagged).groupBy(*keys).agg(F.max(cfg.date_col).alias("_forget_upto"))
     return mask_versions_up_to(history, last_signal, cfg)
