@@ -37,6 +37,12 @@ EXPECTED = {
     "merge_step_incremental": {"orders[5c]": 2, "orders[1c]": 1, "customer[2c]": 2},
     # each key's last forget signal comes from the build's own window: no second read
     "history_forgetting": {"orders[5c]": 1, "orders[1c]": 1, "customer[2c]": 1},
+    # the history once; the reloaded months, and their forget signals (two columns)
+    "reload_forgetting": {"orders[5c]": 2, "orders[1c]": 1, "orders[2c]": 2, "customer[2c]": 3},
+    # the earlier months and the processed month
+    "process_snapshot": {"orders[5c]": 2, "orders[1c]": 1, "customer[2c]": 2},
+    # the history, and the forget ids of one snapshot (two columns)
+    "rtbf_history": {"orders[5c]": 1, "orders[1c]": 1, "orders[2c]": 1, "customer[2c]": 2},
 }
 
 
