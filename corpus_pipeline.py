@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vhist.llm import bpe, decontam, pii, quality
+from vhist.llm import bpe, decontam, jaccard, pii, quality
 from vhist.llm.common import scratch_path, table
 from vhist.llm.shipping import ship_package
 
@@ -29,6 +29,16 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return _without(docs, scores.filter("predicted = 0"))
 
 
+def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each near-duplicate class stays: the one with the
+    smallest id.  Equal rows under that id stay once; rows without id all stay."""
+    linked = jaccard.near_duplicates(docs).filter("n_links > 0 and doc_id is not null")
+    kept = _without(docs, linked.filter("doc_id <> class_id"))
+    repeated = linked.filter("doc_id = class_id").groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1")
+    once = kept.join(repeated.select("doc_id"), "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
+    return _without(kept, repeated).unionByName(once.select(*COLUMNS))
+
+
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark window go."""
     found = decontam.contamination(docs, table(spark, sf_dir, "benchmark"))
@@ -47,6 +57,7 @@ def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 STAGES = [
     ("quality", quality_stage),
+    ("near_duplicates", near_duplicate_stage),
     ("decontamination", decontamination_stage),
     ("personal_data", personal_data_stage),
     ("encoding", encoding_stage),

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vhist.llm import bpe, decontam, pii, quality, token_files, topk, url_filter, warc
+from vhist.llm import bpe, decontam, jaccard, pii, quality, suffix_dedup, token_files, topk, url_filter, warc
 from vhist.llm.common import table
 from vhist.llm.shipping import ship_package
 
@@ -35,10 +35,18 @@ def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_round_trip(table(spark, sf_dir, "pages"))
 
 
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeated(table(spark, sf_dir, "documents"))
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.document_token_counts(table(spark, sf_dir, "documents"))
 
 
+def op9_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(table(spark, sf_dir, "pages"))
 
@@ -53,6 +61,6 @@ def _shipped(f: Callable[[SparkSession, str], DataFrame]):
 
 
 QUERIES = {f.__name__: _shipped(f) for f in (
-    op1_quality_classifier, op2_decontamination, op3_bpe, op4_top_inner_products, op5_personal_data, op6_warc, op8_token_counts,
-    op10_url_filter,
+    op1_quality_classifier, op2_decontamination, op3_bpe, op4_top_inner_products, op5_personal_data, op6_warc, op7_suffix_dedup,
+    op8_token_counts, op9_ngram_jaccard_join, op10_url_filter,
 )}
