@@ -45,6 +45,24 @@ SELECT page_id, payload_bytes,
 FROM t
 """
 
+# Texts as hexadecimal digits, two per byte; windows by a 64-bit hash of their digits.
+OP7 = """
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+cut AS (SELECT rid, h, unnest(range(0, len(h) // 2 - 199)) AS s FROM d),
+win AS (SELECT rid, s, hash(substr(h, (2 * s + 1)::INTEGER, 400)) AS x FROM cut),
+many AS (SELECT x FROM win GROUP BY x HAVING count(*) > 1),
+dup AS (SELECT rid, s FROM win SEMI JOIN many USING (x)),
+mark AS (SELECT rid, s, CASE WHEN s <= lag(s) OVER (PARTITION BY rid ORDER BY s) + 200 THEN 0 ELSE 1 END AS fresh FROM dup),
+numbered AS (SELECT rid, s, sum(fresh) OVER (PARTITION BY rid ORDER BY s) AS run FROM mark),
+run AS (SELECT rid, run, min(s) AS a, max(s) + 200 AS b FROM numbered GROUP BY rid, run),
+gap AS (SELECT rid, a, b, coalesce(lag(b) OVER (PARTITION BY rid ORDER BY a), 0) AS from_ FROM run),
+part AS (SELECT g.rid, a, b, substr(h, (2 * from_ + 1)::INTEGER, (2 * (a - from_))::INTEGER) AS keep FROM gap g JOIN d USING (rid)),
+doc AS (SELECT rid, string_agg(keep, '' ORDER BY a) AS keep, max(b) AS last, sum(b - a) AS removed, count(*) AS runs FROM part GROUP BY rid)
+SELECT doc_id, (len(h) // 2)::BIGINT AS n_bytes, coalesce(removed, 0)::BIGINT AS n_removed, coalesce(runs, 0)::BIGINT AS n_spans,
+       sha256(unhex(coalesce(keep, '') || substr(h, (2 * coalesce(last, 0) + 1)::INTEGER))) AS kept_sha256
+FROM d LEFT JOIN doc USING (rid)
+"""
+
 _LIST = "(VALUES ('net', '/', 'block'), ('example.net', '/en/', 'allow'), ('example.com', '/de/', 'block'), ('org', '/fr/', 'allow')) AS r(h, p, v)"
 _PATTERNS = r"(^|[.-])spam-[a-z0-9-]*\.|(^|\.)cheap-pills\.|(^|[./-])(free-)?casino([./-]|$)|(^|[./-])free-download([./-]|$)|(^|[./-])xxx([./-]|$)"
 
@@ -64,5 +82,6 @@ ORACLES = {
     "op2_decontamination": OP2,
     "op4_top_inner_products": OP4,
     "op6_warc": OP6,
+    "op7_suffix_dedup": OP7,
     "op10_url_filter": OP10,
 }
