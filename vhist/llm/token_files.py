@@ -123,4 +123,5 @@ def document_token_counts(documents: DataFrame, tokenizer: str | None = None) ->
     folder = scratch_path(spark, "tokens")
     manifest = write_token_files(documents, folder, tokenizer)
     counts = token_counts(spark, manifest, folder, _dtype(max(c.size, SEPARATOR + 1)).itemsize)
-    return manifest.join(counts, ["file", "place"], "left").select("doc_id", "n_tokens")
+    # one row per document on either side: never a broadcast, however small the blocks' rows before they are unnested
+    return manifest.join(counts.hint("merge"), ["file", "place"], "left").select("doc_id", "n_tokens")
