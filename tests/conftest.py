@@ -8,7 +8,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 @pytest.fixture(scope="session")
 def spark():
-    from vhist.session import local_session
+    from tools.local import local_session
 
     s = local_session(cores=8, shuffle_partitions=8, app="vhist-tests")
     yield s

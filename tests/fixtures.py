@@ -9,44 +9,6 @@ from pyspark.sql import types as T
 
 D0 = dt.date(2025, 8, 1)
 
-CUSTOMER_SCHEMA = T.StructType(
-    [
-        T.StructField("customer_id", T.IntegerType()),
-        T.StructField("name", T.StringType()),
-        T.StructField("email", T.StringType()),
-        T.StructField("phone", T.StringType()),
-        T.StructField("city", T.StringType()),
-        T.StructField("status", T.StringType()),
-        T.StructField("snapshot_date", T.DateType()),
-    ]
-)
-
-
-def customer_schedule(spark, days: int = 10, n: int = 100):
-    """Customer snapshots following the change schedule stated in FIXTURES.md
-    (day index from 0, keys 1..n): keys divisible by 10 get a new email every
-    day from day 3, by 15 a new phone every day from day 5, by 20 turn
-    inactive at day 5, by 50 are missing from day 7.  Only the schedule
-    matters for the golden counts; the values are this fixture's own."""
-
-    def row(cid: int, day: int):
-        email_rev = day if cid % 10 == 0 and day >= 3 else 0
-        phone_rev = day if cid % 15 == 0 and day >= 5 else 0
-        inactive = cid % 20 == 0 and day >= 5
-        return (
-            cid,
-            f"name {cid}",
-            f"mail {cid} rev {email_rev}",
-            f"phone {cid} rev {phone_rev}",
-            f"town {cid % 7}",
-            "inactive" if inactive else "active",
-            D0 + dt.timedelta(days=day),
-        )
-
-    data = [row(cid, day) for day in range(days) for cid in range(1, n + 1) if not (cid % 50 == 0 and day >= 7)]
-    return spark.createDataFrame(data, CUSTOMER_SCHEMA)
-
-
 RANDOM_SCHEMA = T.StructType(
     [
         T.StructField("k", T.LongType()),
@@ -57,6 +19,21 @@ RANDOM_SCHEMA = T.StructType(
 )
 
 
+def subscriptions(spark, days: int = 12, n: int = 90):
+    """Subscription snapshots (k, tier a, credits b): a subscriber's tier goes up
+    every 13 days, credits are paid out in a rhythm that depends on the
+    subscriber, and a third of them take every ninth day off.  Returns the frame
+    and its rows."""
+    rows_ = []
+    for d in range(days):
+        for k in range(1, n + 1):
+            if k % 3 == 1 and (k + d) % 9 == 4:
+                continue
+            tier = "abcd"[((k + d) // 13) % 4]
+            rows_.append((k, tier, k * 100 + d // (2 + k % 5), D0 + dt.timedelta(days=d)))
+    return spark.createDataFrame(rows_, RANDOM_SCHEMA), rows_
+
+
 def random_snapshots(spark, seed: int, keys: int = 12, days: int = 9, p_present: float = 0.75, gaps: bool = True):
     """Seeded random snapshots with absences, returns, NULLs and '' values.
 

@@ -112,3 +112,31 @@ def test_history_over_bucketed_snapshots_needs_no_key_shuffle(spark):
     plan = h._jdf.queryExecution().executedPlan().toString()
     assert "Exchange hashpartitioning(user_id" not in plan
     assert "Window" in plan
+
+
+def test_read_snapshots_between_dates(spark):
+    root = _scratch() + "/snapshots"
+    df = spark.createDataFrame([(i, f"2024010{i}") for i in range(1, 6)], "id int, FK_dimSnapshotID string")
+    df.write.partitionBy("FK_dimSnapshotID").parquet(root)
+    assert rows(sn.read_snapshots(spark, root, "20240102", "20240104"), "id") == [(2,), (3,), (4,)]
+    assert sn.read_snapshots(spark, root, last="20240101").count() == 1
+
+
+def test_read_history_keeps_lost_columns_and_adds_new_ones(spark):
+    root = _scratch()
+    df = spark.createDataFrame([(1, "a", dt.date(2024, 1, 1))], "k long, v string, snapshot_date date")
+    path = sinks.write_history(build_history(df, HistoryConfig(key_cols=["k"])), root, "1")
+    new = T.StructType([T.StructField("k", T.LongType()), T.StructField("w", T.IntegerType())])
+    assert rows(sn.read_history(spark, path, new), "k", "v", "w") == [(1, "a", None)]
+
+
+def test_damaged_history_raises(spark):
+    import pytest
+
+    new = T.StructType([T.StructField("k", T.LongType())])
+    empty = _scratch()
+    with pytest.raises(Exception):
+        sn.read_history(spark, empty, new)
+    spark.createDataFrame([(1,)], "k long").write.parquet(empty + "/other")
+    with pytest.raises(ValueError, match="no history"):
+        sn.read_history(spark, empty + "/other", new)

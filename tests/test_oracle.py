@@ -7,11 +7,12 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from vhist.plans import catalog
 from tools.check_oracle import TABLES, digest
 
 SF = "/root/testdata/sf0.001"
-QUERIES = entry.queries()
-ORACLES = entry.oracle_sql()
+QUERIES = dict(catalog.QUERIES)
+ORACLES = {k: v for k, v in entry.oracle_sql().items() if k in QUERIES}
 
 
 @pytest.fixture(scope="module")

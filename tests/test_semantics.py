@@ -1,14 +1,16 @@
-"""Hand-made frames for the semantic decisions and the
-golden counts of the customer schedule (FIXTURES.md)."""
+"""Hand-made frames for the semantic decisions and a
+schedule of changes against the model."""
 
 import datetime as dt
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tests.conftest import rows
-from tests.fixtures import D0, customer_schedule
+from tests.fixtures import D0, subscriptions
+from tests.model import model_history
 from vhist.config import HistoryConfig
 from vhist.functions.columns import OPEN_END
 from vhist.functions.hashing import row_hash, with_hash_key
@@ -17,8 +19,8 @@ from vhist.operators.history import build_history
 from vhist.operators.merge import merge_snapshot, merge_snapshots, prepare_snapshot
 from vhist.sources.snapshots import empty_history
 
-CUST = HistoryConfig(key_cols=["customer_id"])
-CUST_INC = HistoryConfig(key_cols=["customer_id"], mode="incremental")
+SUB = HistoryConfig(key_cols=["k"])
+SUB_INC = HistoryConfig(key_cols=["k"], mode="incremental")
 D = "snapshot_date"
 
 
@@ -30,45 +32,40 @@ def snaps(spark, data, schema="k long, v string, snapshot_date date"):
     return spark.createDataFrame(data, schema)
 
 
-# ---------------------------------------------------------------- golden counts
-
-def test_golden_full(spark):
-    h = build_history(customer_schedule(spark), CUST)
-    assert h.count() == 179
-    assert h.filter(F.col("ValidTo") == OPEN_END).count() == 98
-    assert h.filter("IsDeleted").count() == 2
-
-
-def test_golden_incremental(spark):
-    h = build_history(customer_schedule(spark), CUST_INC)
-    assert h.count() == 179
-    assert h.filter(F.col("ValidTo") == OPEN_END).count() == 100
-    assert h.filter("IsDeleted").count() == 0
-
-
-@pytest.mark.parametrize(
-    "n,expected",
-    [
-        (1, {"unchanged": 100}),
-        (3, {"updated": 10, "unchanged": 90}),
-        (5, {"updated": 13, "unchanged": 87}),
-        (7, {"updated": 11, "deleted": 2, "unchanged": 87}),
-        (9, {"updated": 11, "unchanged": 87}),
-    ],
-)
-def test_golden_daily_changes(spark, n, expected):
-    s = customer_schedule(spark)
-    hist = build_history(s.filter(F.col(D) < day(n)), CUST)
-    today = prepare_snapshot(s.filter(F.col(D) == day(n)), day(n), CUST)
-    got = {r["HistoryStatus"]: r["n_keys"] for r in change_summary(classify(today, hist)).collect()}
-    assert got == expected
-
-
-def test_golden_chain_equals_single_pass(spark):
-    s = customer_schedule(spark)
-    one = build_history(s, CUST)
-    chain = merge_snapshots(empty_history(spark, s.drop(D).schema), s, CUST, checkpoint_every=3)
+# ---------------------------------------------------------------- a schedule against the model
+
+VERSION = ("k", "a", "b", "ValidFrom", "ValidTo", "IsDeleted", "FirstSnapshot")
+
+
+@pytest.mark.parametrize("cfg", [SUB, SUB_INC], ids=["full", "incremental"])
+def test_schedule_equals_model(spark, cfg):
+    df, data = subscriptions(spark)
+    assert rows(build_history(df, cfg), *VERSION) == model_history(data, cfg.mode)
+
+
+@pytest.mark.parametrize("n", [1, 4, 9])
+def test_daily_changes_equal_model(spark, n):
+    df, data = subscriptions(spark)
+    hist = build_history(df.filter(F.col(D) < day(n)), SUB)
+    today = prepare_snapshot(df.filter(F.col(D) == day(n)), day(n), SUB)
+    got = {r["HistoryStatus"]: r["n_keys"] for r in change_summary(classify(today, hist, ["k"])).collect()}
+    before = {r[0]: r[1:3] for r in model_history([r for r in data if r[3] < day(n)]) if r[4] == OPEN_END}
+    now = {r[0]: r[1:3] for r in data if r[3] == day(n)}
+    want = Counter(
+        "new" if k not in before else "deleted" if k not in now else "unchanged" if before[k] == now[k] else "updated"
+        for k in before.keys() | now.keys()
+    )
+    assert got == dict(want)
+
+
+@pytest.mark.parametrize("every", [1, 2, 5, 10, 15])
+@pytest.mark.parametrize("cfg", [SUB, SUB_INC], ids=["full", "incremental"])
+def test_chain_equals_single_pass(spark, cfg, every):
+    df, _ = subscriptions(spark, days=7 if every == 1 else 12)
+    one = build_history(df, cfg)
+    chain = merge_snapshots(empty_history(spark, df.drop(D).schema), df, cfg, checkpoint_every=every)
     assert rows(one) == rows(chain.select(*one.columns))
+    assert len(chain._jdf.queryExecution().optimizedPlan().toString()) < 20_000  # starts at a scan, however many steps
 
 
 # ---------------------------------------------------------------- D-rules
@@ -225,8 +222,80 @@ def test_dedup_versions_keeps_latest_end(spark):
 
     h = build_history(snaps(spark, [(1, "a", day(0)), (1, "b", day(1))]), HistoryConfig(key_cols=["k"]))
     dup = h.unionByName(h).unionByName(h.filter("v = 'a'").withColumn("ValidTo", F.lit(day(5))))
-    out = dedup_versions(dup)
+    out = dedup_versions(dup, ["k"])
     assert rows(out, "v", "ValidTo") == [("a", day(5)), ("b", OPEN_END)]
+    # a masked copy wins, whichever comes first
+    masked = h.withColumns({"v": F.lit("ANONYMISED"), "GDPR_Compliant": F.lit("Yes")})
+    for both in (h.unionByName(masked), masked.unionByName(h)):
+        assert {r["v"] for r in dedup_versions(both, ["k"]).collect()} == {"ANONYMISED"}
+
+
+def test_keys_of_one_joined_text_stay_apart(spark):
+    from vhist.operators import parts, report
+
+    schema = "p string, q string, v int, snapshot_date date"
+    df = spark.createDataFrame([("a||b", "c", 1, day(0)), ("a", "b||c", 1, day(1)), ("a", "b||c", 2, day(2))], schema)
+    for mode in ("compat", "strict"):
+        cfg = HistoryConfig(key_cols=["p", "q"], hash_mode=mode)
+        hist = build_history(df.filter(F.col(D) < day(2)), cfg)
+        today = prepare_snapshot(df.filter(F.col(D) == day(2)), day(2), cfg)
+        got = classify(today, hist, cfg.key_cols)
+        assert rows(got, "p", "q", "HistoryStatus") == [("a", "b||c", "updated")]
+        assert rows(parts.expired_rows(hist, got, cfg.key_cols, day(2)), "q", "ValidTo") == [("b||c", day(1))]
+        assert rows(parts.first_snapshot(hist, cfg.key_cols), "q", "FirstSnapshot") == [("b||c", day(1)), ("c", day(0))]
+        assert report.multi_version_keys(hist, cfg.key_cols).count() == 0
+        texts = hist.select("BusinessKey").distinct().count()
+        assert texts == (1 if mode == "compat" else 2)
+
+
+def test_classify_sql_leaves_no_view(spark):
+    from vhist.operators.classify import CLASSIFIED, classify_sql
+
+    df, _ = subscriptions(spark)
+    hist = build_history(df.filter(F.col(D) < day(4)), SUB)
+    today = prepare_snapshot(df.filter(F.col(D) == day(4)), day(4), SUB)
+    before = len(spark.catalog.listTables())
+    assert rows(classify_sql(today, hist, ["k"]), *CLASSIFIED) == rows(classify(today, hist, ["k"]), *CLASSIFIED)
+    assert len(spark.catalog.listTables()) == before
+
+
+def test_older_snapshot_raises(spark):
+    hist = build_history(snaps(spark, [(1, "a", day(5))]), HistoryConfig(key_cols=["k"]))
+    for d in (day(2), day(5)):
+        with pytest.raises(Exception, match="not newer than the history"):
+            merge_snapshot(hist, spark.createDataFrame([(1, "b")], "k long, v string"), d, HistoryConfig(key_cols=["k"])).collect()
+
+
+def test_forgotten_row_is_not_a_change_by_columns(spark):
+    cfg = HistoryConfig(key_cols=["k"], sensitive_cols=["name"])
+    base = build_history(spark.createDataFrame([(1, "Ann", 5, day(0))], "k long, name string, n int, snapshot_date date"), cfg)
+    from vhist.operators.privacy import anonymise_history
+
+    hidden = anonymise_history(base, base.select("k"), ["k"], ["name"])
+    same = spark.createDataFrame([(1, "Ann", 5)], "k long, name string, n int")
+    assert rows(merge_snapshot(hidden, same, day(1), cfg, compare="columns"), "name", "ValidTo") == [("ANONYMISED", OPEN_END)]
+    other = spark.createDataFrame([(1, "Ann", 6)], "k long, name string, n int")
+    assert merge_snapshot(hidden, other, day(1), cfg, compare="columns").count() == 2
+
+
+def test_sensitive_key_is_masked_in_the_business_key(spark):
+    from vhist.operators.privacy import anonymise_history
+
+    df = spark.createDataFrame([("ann", 1, "x", day(0))], "mail string, n int, v string, snapshot_date date")
+    cfg = HistoryConfig(key_cols=["mail", "n"])
+    out = anonymise_history(build_history(df, cfg), df.select("mail", "n"), ["mail", "n"], ["mail"]).first()
+    assert (out["mail"], out["BusinessKey"], out["v"]) == ("ANONYMISED", "ANONYMISED||1", "x")
+
+
+def test_reload_over_a_loaded_empty_day(spark):
+    from vhist.operators.reload import reload_history
+
+    cfg = HistoryConfig(key_cols=["k"])
+    df = snaps(spark, [(1, "a", day(0)), (1, "a", day(1)), (1, "a", day(3))])
+    cal = spark.createDataFrame([(day(i),) for i in range(4)], "d date")
+    want = build_history(df, cfg, calendar_dates=cal)
+    assert want.filter("IsDeleted").count() == 1
+    assert rows(reload_history(want, df, day(1), cfg, calendar_dates=cal).select(*want.columns)) == rows(want)
 
 
 def test_d4_d5_dates_parsed_once_and_typed(spark):
@@ -290,10 +359,14 @@ def test_null_key_parts_are_reported_not_versioned(spark):
     assert rows(duplicate_keys(df, cfg), "p", "q", "snapshot_date", "n_rows", "n_versions") == [
         (1, "a", day(1), 3, 2)
     ]
-    h = build_history(df, cfg)
+    with pytest.raises(Exception, match="NULL in key columns p, q"):
+        build_history(df, cfg).collect()
+    drop = HistoryConfig(key_cols=["p", "q"], null_keys="drop")
+    h = build_history(df, drop)
     assert h.filter("p IS NULL OR q IS NULL").count() == 0
-    m = merge_snapshot(h, df.filter(F.col(D) == day(1)), day(2), cfg)
-    assert m.filter("p IS NULL OR q IS NULL").count() == 0
+    with pytest.raises(Exception, match="NULL in key columns"):
+        merge_snapshot(h, df.filter("q IS NULL").drop(D), day(3), cfg).collect()
+    assert merge_snapshot(h, df.filter("q IS NULL").drop(D), day(3), drop).filter("q IS NULL").count() == 0
 
 
 def test_config_from_helper_data():

@@ -1,29 +1,4 @@
-"""The size-checked broadcast: hint below the bound, plain join above it."""
-
-from tests.conftest import rows
-from vhist.plans.sizing import bounded_broadcast
-
-
-def _hinted(df):
-    return "broadcast" in df._jdf.queryExecution().logical().toString().lower()
-
-
-def test_small_side_is_broadcast_whole(spark):
-    small = spark.range(5).selectExpr("id AS k")
-    b = bounded_broadcast(small, max_rows=5)
-    assert _hinted(b)
-    assert rows(b) == rows(small)  # at the bound: every row kept
-    big = spark.range(100).selectExpr("id AS k", "id * 2 AS v")
-    joined = big.join(b, "k")
-    assert "BroadcastHashJoin" in joined._jdf.queryExecution().executedPlan().toString()
-    assert joined.count() == 5
-
-
-def test_large_side_is_not_broadcast(spark):
-    big = spark.range(50).selectExpr("id AS k")
-    out = bounded_broadcast(big, max_rows=10)
-    assert not _hinted(out)
-    assert out.count() == 50  # the original frame, not the capped one
+"""Partition settings follow the input's size."""
 
 
 def test_sizing_conf_scales_with_input():
@@ -35,15 +10,3 @@ def test_sizing_conf_scales_with_input():
     n = int(big["spark.sql.shuffle.partitions"])
     assert n % 8000 == 0 and n * (256 << 20) >= 100 * (1 << 40)
     assert big["spark.sql.adaptive.skewJoin.enabled"] == "true"
-
-
-def test_broadcast_caches_are_released(spark):
-    from vhist.plans import sizing
-
-    small = spark.range(3).selectExpr("id AS k")
-    b = sizing.bounded_broadcast(small, max_rows=5)
-    cached = sizing._CACHED[-1]
-    assert cached.is_cached
-    sizing.release_broadcast_caches()
-    assert not sizing._CACHED and not cached.is_cached
-    assert b.count() == 3  # still usable: recomputed

@@ -3,6 +3,7 @@
 import datetime as dt
 import tempfile
 
+import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import rows
@@ -38,6 +39,57 @@ def test_store_merges_equal_single_pass_and_time_travel(spark):
     assert rows(again.select(*want.columns)) == rows(build_history(s, cfg))
 
 
+def test_unknown_and_older_dates(spark):
+    s, days = random_snapshots(spark, 9, days=4)
+    cfg = HistoryConfig(key_cols=["k"])
+    root = _scratch()
+    read = lambda d: s.filter(F.col(D) == F.lit(d)).drop(D)
+    for d in (days[0], days[1], days[3]):
+        store.merge_into(spark, root, read(d), d, cfg)
+    with pytest.raises(ValueError, match="not a version"):
+        store.read_state(spark, root, days[2])
+    with pytest.raises(ValueError, match="redo_from"):
+        store.merge_into(spark, root, read(days[2]), days[2], cfg)
+    # a late date, then a middle date loaded with other rows and put right again
+    assert store.redo_from(spark, root, [days[2]], read, cfg) == [days[2], days[3]]
+    want = build_history(s, cfg)
+    assert rows(store.read_state(spark, root, days[3]).select(*want.columns)) == rows(want)
+    store.redo_from(spark, root, [days[1]], lambda d: read(d).filter("k > 6") if d == days[1] else read(d), cfg)
+    assert rows(store.read_state(spark, root, days[3]).select(*want.columns)) != rows(want)
+    store.redo_from(spark, root, [days[1]], read, cfg)
+    for i in range(4):
+        want = build_history(s.filter(F.col(D) <= days[i]), cfg)
+        assert rows(store.read_state(spark, root, days[i]).select(*want.columns)) == rows(want)
+
+
+def test_store_follows_new_columns(spark):
+    cfg = HistoryConfig(key_cols=["k"], hash_cols=["k", "v"])
+    root, d = _scratch(), [dt.date(2024, 1, i) for i in (1, 2, 3)]
+    store.merge_into(spark, root, spark.createDataFrame([(1, "a"), (2, "b")], "k long, v string"), d[0], cfg)
+    store.merge_into(spark, root, spark.createDataFrame([(1, "a", 5), (2, "c", 6)], "k long, v string, x int"), d[1], cfg)
+    store.merge_into(spark, root, spark.createDataFrame([(1, "z"), (2, "c")], "k long, v string"), d[2], cfg)
+    got = store.read_state(spark, root, d[2])
+    assert rows(got, "k", "v", "x", "ValidFrom") == [(1, "a", None, d[0]), (1, "z", None, d[2]), (2, "b", None, d[0]), (2, "c", 6, d[1])]
+
+
+def test_run_loads_branches(spark):
+    from vhist.plans.process import run_loads
+
+    s, days = random_snapshots(spark, 5, days=3)
+    cfg = HistoryConfig(key_cols=["k"])
+    read = lambda d: s.filter(F.col(D) == F.lit(d)).drop(D)
+    log = lambda ds: spark.createDataFrame([(f"g{d}", "g", d, "Bronze") for d in ds], LOG_SCHEMA)
+    ask = lambda ds: spark.createDataFrame([("g", d) for d in ds], "DataGroupName string, SnapshotDate date")
+    root = _scratch()
+    assert run_loads(log(days[:1]), ask([]), "g", root, cfg, read) == ("skip", [])
+    assert run_loads(log(days[:1]), ask([]), "other", root, cfg, read) == ("skip", [])
+    assert store.latest_version(spark, root) is None
+    assert run_loads(log(days[:1]), ask(days[:1]), "g", root, cfg, read) == ("restore", days[:1])
+    assert run_loads(log(days), ask([]), "g", root, cfg, read) == ("force_restore", days)
+    want = build_history(s, cfg)
+    assert rows(store.read_state(spark, root, days[2]).select(*want.columns)) == rows(want)
+
+
 def test_dates_to_process():
     d = [dt.date(2024, 1, i) for i in range(1, 6)]
     assert dates_to_process([d[3], d[4]], d[:3]) == [d[3], d[4]]
@@ -88,14 +140,28 @@ def test_store_forget_requests_match_single_pass_and_purge(spark):
         want = build_history_forgetting(s, cfg)
         got = store.read_state(spark, root, days[-1], cfg)
         assert rows(got.select(*want.columns)) == rows(want), mode
-        # time travel applies only the requests made by then
-        mid = store.read_state(spark, root, days[2], cfg)
-        want_mid = build_history_forgetting(s.filter(F.col(D) <= days[2]), cfg)
-        assert rows(mid.select(*want_mid.columns)) == rows(want_mid), mode
+        # requests apply to every read, whatever date it asks for and whoever reads
+        last = {r["k"]: r["d"] for r in s.filter("a = 'x'").groupBy("k").agg(F.max(D).alias("d")).collect()}
+        plain = build_history(s.filter(F.col(D) <= days[2]), cfg)
+        hit = lambda r: r["k"] in last and r["ValidFrom"] <= last[r["k"]]
+        want_mid = sorted(((r["k"], r["ValidFrom"], r["ValidTo"], None if hit(r) else r["b"]) for r in plain.collect()), key=repr)
+
+        def mid_rows():
+            mid = store.read_state(spark, root, days[2])
+            return sorted((tuple(r) for r in mid.select("k", "ValidFrom", "ValidTo", "b").collect()), key=repr)
+
+        assert mid_rows() == want_mid, mode
         # purge: same state, and the stored files hold no value that should be masked
         assert store.purge(spark, root, cfg) == 1
-        assert rows(store.read_state(spark, root, days[-1], cfg).select(*want.columns)) == rows(want), mode
-        raw = spark.read.parquet(f"{root}/data_g1")
+        kept = [c for c in want.columns if c != "RowHashKey"]  # masked closed versions are hashed again
+        after = store.read_state(spark, root, days[-1])
+        assert rows(after, *kept) == rows(want, *kept), mode
+        old = {r["RowHashKey"] for r in want.filter("GDPR_Compliant = 'Yes' AND ValidTo < DATE '2999-12-31' AND b IS NULL").collect()}
+        new = {r["RowHashKey"] for r in after.filter("GDPR_Compliant = 'Yes' AND ValidTo < DATE '2999-12-31'").collect()}
+        assert new and new != old, mode
+        assert mid_rows() == want_mid, mode
+        loads = [r.load for r in store._loads(spark, root).values()]
+        raw = spark.read.parquet(f"{root}/data").filter(F.col("load").isin(loads))
         masked_keys = {(r["k"], r["ValidFrom"]) for r in want.filter("GDPR_Compliant = 'Yes'").collect()}
         leaked = [r for r in raw.collect() if (r["k"], r["ValidFrom"]) in masked_keys and r["b"] is not None]
         assert not leaked, mode

@@ -26,6 +26,9 @@ class HistoryConfig:
                  forget-request handling: rows whose ``signal_col`` matches
                  ``signal_pattern`` (a regular expression) are to be forgotten and
                  their sensitive columns replaced by ``mask`` (strings) or NULL.
+    null_keys    ``"raise"``: a snapshot row with a NULL key part fails the load;
+                 ``"drop"``: such rows are left out, ``checks.null_key_rows`` hands
+                 them over.
     """
 
     key_cols: Sequence[str]
@@ -38,6 +41,7 @@ class HistoryConfig:
     signal_col: Optional[str] = None
     signal_pattern: Optional[str] = None
     mask: str = "ANONYMISED"
+    null_keys: str = "raise"
 
     def __post_init__(self):
         if isinstance(self.key_cols, str):
@@ -51,6 +55,9 @@ class HistoryConfig:
         if self.hash_mode not in ("compat", "strict"):
             raise ValueError(f"hash_mode must be 'compat' or 'strict', not {self.hash_mode!r}")
 
+        if self.null_keys not in ("raise", "drop"):
+            raise ValueError(f"null_keys must be 'raise' or 'drop', not {self.null_keys!r}")
+
     @property
     def incremental(self) -> bool:
         return self.mode == "incremental"

@@ -11,7 +11,7 @@ from vhist.functions.columns import (
 from vhist.functions.hashing import business_key, row_hash, with_hash_key
 from vhist.functions.predicates import (
     changed_by_columns,
-    history_status,
+    key_status,
     is_closed,
     is_deleted,
     is_open,
@@ -28,7 +28,7 @@ __all__ = [
     "row_hash",
     "with_hash_key",
     "changed_by_columns",
-    "history_status",
+    "key_status",
     "is_closed",
     "is_deleted",
     "is_open",

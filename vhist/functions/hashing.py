@@ -35,8 +35,12 @@ def row_hash(cols: Sequence[str], mode: str = "compat", salt: Optional[str] = No
     return F.md5(prehash_text(cols, mode, salt))
 
 
-def business_key(cols: Sequence[str]) -> Column:
-    """Key columns as one string joined with ``||`` (one column: that column as text)."""
+def business_key(cols: Sequence[str], mode: str = "compat") -> Column:
+    """Key columns as one string joined with ``||`` (one column: that column as
+    text).  In strict mode the delimiter is escaped, so different composite
+    keys never give the same text; joins use the key columns in either mode."""
+    if mode == "strict" and len(cols) > 1:
+        return F.concat_ws(DELIMITER, *[_part(c, mode) for c in cols])
     return F.concat_ws(DELIMITER, *[F.col(c).cast("string") for c in cols])
 
 
@@ -56,4 +60,4 @@ def with_hash_key(
     from vhist.functions.columns import data_columns
 
     cols = list(hash_cols) if hash_cols is not None else data_columns(df, date_col)
-    return df.withColumns({"RowHashKey": row_hash(cols, mode, salt), "BusinessKey": business_key(key_cols)})
+    return df.withColumns({"RowHashKey": row_hash(cols, mode, salt), "BusinessKey": business_key(key_cols, mode)})

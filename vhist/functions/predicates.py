@@ -34,14 +34,21 @@ def changed_by_columns(cols: Sequence[str], left: str = "h", right: str = "s") -
     return reduce(lambda a, b: a | b, diffs)
 
 
-def history_status(hist_hash: Column, curr_hash: Column, incremental: bool) -> Column:
-    """new / deleted / unchanged / updated for one key of an outer join.
+def transitions(in_history: Column, in_snapshot: Column, same: Column, incremental: bool) -> tuple[Column, Column, Column]:
+    """What a snapshot does to a key's open version: (keep, close, open).
 
-    A key missing from an incremental snapshot is ``unchanged``.
+    The one rule of merges and of classification.  ``same`` (equal content)
+    only counts where both sides are present; a key that an incremental
+    snapshot lacks is kept.
     """
-    return (
-        F.when(hist_hash.isNull(), F.lit("new"))
-        .when(curr_hash.isNull(), F.lit("unchanged" if incremental else "deleted"))
-        .when(curr_hash == hist_hash, F.lit("unchanged"))
-        .otherwise(F.lit("updated"))
-    )
+    both_same = in_history & in_snapshot & same
+    keep = both_same | (in_history & ~in_snapshot) if incremental else both_same
+    return keep, in_history & ~keep, in_snapshot & ~both_same
+
+
+def key_status(in_history: Column, in_snapshot: Column, same: Column, incremental: bool) -> Column:
+    """The transition by name: nothing opened nor closed is ``unchanged``, only
+    opened ``new``, only closed ``deleted``, both ``updated``."""
+    _, close, opens = transitions(in_history, in_snapshot, same, incremental)
+    name = F.when(close & opens, "updated").when(close, "deleted").when(opens, "new")
+    return name.otherwise("unchanged")

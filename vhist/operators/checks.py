@@ -1,8 +1,7 @@
 """Check frames: input rows the history cannot take as they are.
 
-* ``null_key_rows`` - a NULL key part cannot identify a version (and would make
-  the joined business key ambiguous); such rows are kept out of the history by
-  ``build_history`` / ``merge_snapshot`` and listed here.
+* ``null_key_rows`` - a NULL key part cannot identify a version; such rows fail
+  a load, or are left out and listed here (``HistoryConfig.null_keys``).
 * ``duplicate_keys`` - keys with several rows in one snapshot; exact copies
   collapse and of different rows the smallest hash is kept, this lists them.
 
@@ -25,6 +24,15 @@ def keys_present(key_cols) -> Column:
     return reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in key_cols])
 
 
+def with_keys(rows: DataFrame, cfg: HistoryConfig) -> DataFrame:
+    """Rows whose key is whole; others raise, or are dropped, as ``cfg`` says."""
+    present = keys_present(cfg.key_cols)
+    if cfg.null_keys == "drop":
+        return rows.filter(present)
+    error = F.raise_error(F.lit(f"NULL in key columns {', '.join(cfg.key_cols)}: see checks.null_key_rows"))
+    return rows.filter(F.when(present, F.lit(True)).otherwise(error.cast("boolean")))
+
+
 def null_key_rows(snapshots: DataFrame, cfg: HistoryConfig) -> DataFrame:
     """Snapshot rows with a NULL key part."""
     return snapshots.filter(~keys_present(cfg.key_cols))

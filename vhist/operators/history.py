@@ -11,7 +11,7 @@ in the calendar of processed snapshots):
   a new row and the old one stays deleted.
 
 Plan: hash on the map side, join a broadcast calendar (one row per snapshot
-date, size-checked), then one exchange on the key columns.  Two window passes
+date), then one exchange on the key columns.  Two window passes
 over that partitioning mark each run's first and last row and read the next
 run's start with ``lead``.  No aggregate or join back is needed: the first row
 of a run carries the version's attributes.  Rows per key are bounded by the
@@ -28,7 +28,6 @@ from pyspark.sql import functions as F
 from vhist.config import HistoryConfig
 from vhist.functions.columns import NOT_FORGOTTEN, data_columns, history_columns, open_end
 from vhist.functions.hashing import prehash_text, with_hash_key
-from vhist.plans.sizing import bounded_broadcast
 
 # Internal column names used between the steps of the build.
 _NO, _NEXT, _DATE, _VF, _SD, _FS = "_snap_no", "_next_date", "_snap_date", "_valid_from", "_snapshot_date", "_first_seen"
@@ -74,11 +73,11 @@ def dedupe_snapshots(
 def prepare_snapshots(snapshots: DataFrame, cfg: HistoryConfig, dedupe: bool = True) -> DataFrame:
     """Hash and key the snapshot rows; add the forget flag column if absent.
 
-    Rows with a NULL key part are left out (``checks.null_key_rows`` lists them).
+    Rows with a NULL key part raise, or are dropped (``checks.with_keys``).
     """
-    from vhist.operators.checks import keys_present
+    from vhist.operators.checks import with_keys
 
-    rows = snapshots.filter(keys_present(cfg.key_cols))
+    rows = with_keys(snapshots, cfg)
     if "RowHashKey" not in rows.columns:  # a pre-hashed frame keeps its hash (taken before masking)
         rows = with_hash_key(rows, cfg.key_cols, cfg.hash_cols, cfg.hash_mode, cfg.salt, cfg.date_col)
     if "GDPR_Compliant" not in rows.columns:
@@ -107,7 +106,7 @@ def _numbered_rows(snapshots: DataFrame, cfg: HistoryConfig, calendar_dates: Opt
     """Prepared snapshot rows with their snapshot number and the next date."""
     data_cols = data_columns(snapshots, cfg.date_col)
     rows = prepare_snapshots(snapshots, cfg, dedupe)
-    cal = bounded_broadcast(snapshot_calendar(snapshots, cfg.date_col, calendar_dates))
+    cal = F.broadcast(snapshot_calendar(snapshots, cfg.date_col, calendar_dates))  # one row per snapshot date
     return rows.join(cal, rows[cfg.date_col] == cal[_DATE]).drop(cfg.date_col), data_cols
 
 

@@ -17,23 +17,30 @@ snapshot, so the three inputs meet on one key partitioning.
 
 from __future__ import annotations
 
+import uuid
 from typing import Iterable, List, Optional
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vhist.config import HistoryConfig
 from vhist.functions.columns import data_columns, history_columns
 from vhist.functions.hashing import with_hash_key
-from vhist.functions.predicates import changed_by_columns, is_closed, is_open
-from vhist.plans.sizing import release_broadcast_caches
+from vhist.functions.columns import FORGOTTEN
+from vhist.functions.predicates import changed_by_columns, is_closed, is_open, transitions
 
 
 def _as_date(d) -> Column:
     return d if isinstance(d, Column) else F.lit(d).cast("date")
 
 
+def _before(valid: Column, d: Column) -> Column:
+    """The date, which must lie before ``d``: snapshots are merged in date order,
+    older ones by ``reload_history`` or the store's ``redo_from``."""
+    late = F.raise_error(F.concat(F.lit("snapshot "), d.cast("string"), F.lit(" is not newer than the history: reload instead")))
+    return F.when(valid < d, valid).otherwise(late.cast("date"))
+
+
 def align_columns(history: DataFrame, snapshot: DataFrame, date_col: str) -> tuple[DataFrame, DataFrame, List[str]]:
     """Give history and snapshot the union of their data columns.
 
@@ -58,10 +65,9 @@ def prepare_snapshot(snapshot: DataFrame, snapshot_date, cfg: HistoryConfig, ded
     """P5: hash, key and system columns of one snapshot, as fresh inserts."""
     from vhist.functions.columns import with_system_columns
 
-    from vhist.operators.checks import keys_present
+    from vhist.operators.checks import with_keys
 
-    snap = snapshot.drop(cfg.date_col) if cfg.date_col in snapshot.columns else snapshot
-    snap = snap.filter(keys_present(cfg.key_cols))  # NULL key parts: see checks.null_key_rows
+    snap = with_keys(snapshot.drop(cfg.date_col), cfg)
     if "RowHashKey" not in snap.columns:  # a pre-hashed snapshot keeps its hash (taken before masking)
         snap = with_hash_key(snap, cfg.key_cols, cfg.hash_cols, cfg.hash_mode, cfg.salt, cfg.date_col)
     if dedupe:
@@ -120,14 +126,16 @@ def merge_open_rows(
     if compare == "hash":
         same = F.col("h.RowHashKey") == F.col("s.RowHashKey")
     else:
-        same = ~changed_by_columns([c for c in dcols if c not in keys], "h", "s")
-    same = has_h & has_s & same
-    keep = has_h & (same | (~has_s & F.lit(cfg.incremental)))
-    close = has_h & ~keep
-    opens = has_s & ~same
+        compared = [c for c in dcols if c not in keys]
+        plain = changed_by_columns([c for c in compared if c not in cfg.sensitive_cols], "h", "s")
+        sensitive = changed_by_columns([c for c in compared if c in cfg.sensitive_cols], "h", "s")
+        # masked values differ from the snapshot's by design: they are not a change
+        same = ~(plain | (sensitive & (F.col("h.GDPR_Compliant") != FORGOTTEN)))
+    keep, close, opens = transitions(has_h, has_s, same, cfg.incremental)
 
     def h_row(valid_to: Column, deleted: Column) -> Column:
         vals = {c: F.col(f"h.{c}") for c in cols}
+        vals["ValidFrom"] = _before(vals["ValidFrom"], d)
         vals["ValidTo"], vals["IsDeleted"] = valid_to, deleted
         return F.struct(*[vals[c].alias(c) for c in cols])
 
@@ -160,14 +168,15 @@ def merge_snapshot(
 
     ``compare="hash"`` tests RowHashKey; ``compare="columns"`` (H4) tests every
     non-key data column NULL-safely, which tells NULL from '' and is immune to
-    delimiter collisions.  ``snapshot_date`` must be later than every ValidFrom.
-    Closed versions pass through unchanged.
+    delimiter collisions.  A history that ``snapshot_date`` is not newer than
+    raises when the result is computed.  Closed versions pass through unchanged.
     """
     closed_rows = history.filter(is_closed())
     delta = merge_open_rows(
         history.filter(is_open()), snapshot, snapshot_date, cfg, deleted_rows=closed_rows, compare=compare,
         dedupe=dedupe,
     )
+    closed_rows = closed_rows.withColumn("ValidTo", _before(F.col("ValidTo"), _as_date(snapshot_date)))
     return conform(closed_rows, delta).unionByName(delta)
 
 
@@ -176,45 +185,54 @@ def merge_snapshots(
     snapshots: DataFrame,
     cfg: HistoryConfig,
     dates: Optional[Iterable] = None,
-    checkpoint_every: int = 2,
+    checkpoint_every: int = 10,
     compare: str = "hash",
-    step=None,
 ) -> DataFrame:
     """Chain of merges over the snapshots' dates in order, as a daily job would.
 
-    ``step(history, snapshot, date)`` replaces the plain merge (for example by
-    the whole per-snapshot process, ``vhist.plans.process.process_snapshots``).
-
-    The dates (the calendar, one value per snapshot) are read to the driver; the
-    data is not.  Each step is persisted, because the next one reads it three
-    times (open rows, closed rows, deleted keys); every ``checkpoint_every``
-    steps the lineage is cut with a reliable checkpoint in the session's
-    ``spark.checkpoint.dir`` and the partitions that the unions accumulated are
-    coalesced to the cluster's parallelism.  ``build_history`` gives the same result in one pass.
+    The state is stored between steps, in a new folder under the session's
+    ``spark.checkpoint.dir``: a step reads the open versions that the last one
+    wrote (and of deleted versions the keys), so its plan starts at a scan and
+    does not grow, and writes what it closed and what is open; closed versions
+    are written once and not read again.  A step covers ``checkpoint_every``
+    dates, in one window pass that continues the open versions
+    (``extend_history``); with 1, and with ``compare="columns"``, a step is one
+    merge.  ``dates`` (one value per snapshot) are read to the driver if not given.
     """
+    from vhist.operators.reload import extend_history
     from vhist.session import ensure_checkpoint_dir
 
     spark = snapshots.sparkSession
-    # Every merge filters one date out of the same input: derive it once.
-    snapshots = snapshots.persist(StorageLevel.MEMORY_AND_DISK)
+    day = F.col(cfg.date_col)
     if dates is None:
-        dates = [r[0] for r in snapshots.select(cfg.date_col).distinct().orderBy(cfg.date_col).collect()]
+        dates = [r[0] for r in snapshots.select(cfg.date_col).distinct().collect()]
     dates = sorted(dates)
-    if checkpoint_every:
-        ensure_checkpoint_dir(spark)
-    # After a checkpoint the history keeps at most one partition per core: the
-    # unions of each step only add partitions, and coalesce never adds any.
-    target = spark.sparkContext.defaultParallelism
-    cached: list[DataFrame] = []
-    for i, day in enumerate(dates, start=1):
-        snap = snapshots.filter(F.col(cfg.date_col) == F.lit(day)).drop(cfg.date_col)
-        merged = step(history, snap, day) if step else merge_snapshot(history, snap, day, cfg, compare=compare)
-        history = merged.persist(StorageLevel.MEMORY_AND_DISK)
-        cached.append(history)
-        if checkpoint_every and i % checkpoint_every == 0 and i < len(dates):
-            history = history.coalesce(target).checkpoint(eager=True)
-            for c in cached:
-                c.unpersist()
-            cached = []
-            release_broadcast_caches()  # lineage is cut: the checkpoint no longer needs them
-    return history
+    history, _, order = align_columns(history, snapshots, cfg.date_col)
+    history = history.select(*history_columns(order))
+    if not dates:
+        return history
+    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/vhist-chain-{uuid.uuid4().hex}"
+    schema, written = history.schema, []
+    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+
+    def store(rows: DataFrame) -> None:
+        written.append(f"{root}/step={len(written)}")
+        rows.select(*schema.names).withColumn("open", is_open()).write.partitionBy("open").parquet(written[-1])
+
+    def stored(paths, is_current: bool) -> DataFrame:
+        rows = spark.read.schema(f"{ddl}, open boolean").option("basePath", root).parquet(*paths)
+        return rows.filter(F.col("open") == is_current).select(*schema.names)
+
+    store(history)
+    every = checkpoint_every if compare == "hash" and checkpoint_every else 1
+    for i in range(0, len(dates), every):
+        step = dates[i : i + every]
+        current, ended = stored(written[-1:], True), stored(written, False)
+        if every == 1:
+            snap = snapshots.filter(day == F.lit(step[0])).drop(cfg.date_col)
+            store(merge_open_rows(current, snap, step[0], cfg, deleted_rows=ended, compare=compare))
+        else:
+            some = snapshots.filter((day >= F.lit(step[0])) & (day <= F.lit(step[-1])))
+            calendar = spark.createDataFrame([(d,) for d in step], f"`{cfg.date_col}` date")
+            store(extend_history(current, ended, some, cfg, step[0], calendar_dates=calendar))
+    return stored(written, False).unionByName(stored(written[-1:], True))

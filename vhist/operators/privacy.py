@@ -1,9 +1,9 @@
 """Forget requests (right to be forgotten): G1 detect, G2 find, G3 anonymise.
 
 The row hash is computed before anonymising, so a forgotten but otherwise
-unchanged row opens no new version.  Forget-request key sets are joined as a
-broadcast only after a bounded row count (``bounded_broadcast``); past the
-bound the join shuffles instead.
+unchanged row opens no new version.  Key sets are joined on the key columns
+without a hint: they grow with the data, and Spark measures them at run time.
+Where a key column is sensitive, the business key made from it is masked too.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vhist.functions.columns import FORGOTTEN, NOT_FORGOTTEN
-from vhist.plans.sizing import bounded_broadcast
+from vhist.functions.hashing import DELIMITER
 
 
 def split_sensitive(columns: Iterable[str], sensitive: Iterable[str]) -> Tuple[List[str], List[str]]:
@@ -30,6 +30,18 @@ def _mask(df: DataFrame, c: str, mask: str) -> Column:
     return F.lit(mask) if t == "string" else F.lit(None).cast(t)
 
 
+def _masked(df: DataFrame, hit: Column, key_cols: Sequence[str], sensitive_cols: Sequence[str], mask: str, otherwise: Column) -> DataFrame:
+    """``df`` with sensitive columns (and a business key made from one) masked
+    and marked where ``hit`` holds; ``otherwise`` is the mark of the other rows."""
+    sens, _ = split_sensitive(df.columns, sensitive_cols)
+    cols = {c: F.when(hit, _mask(df, c, mask)).otherwise(F.col(c)) for c in sens}
+    cols["GDPR_Compliant"] = F.when(hit, F.lit(FORGOTTEN)).otherwise(otherwise)
+    if "BusinessKey" in df.columns and set(key_cols) & set(sens):
+        parts = [(_mask(df, k, mask) if k in sens else F.col(k)).cast("string") for k in key_cols]
+        cols["BusinessKey"] = F.when(hit, F.concat_ws(DELIMITER, *parts)).otherwise(F.col("BusinessKey"))
+    return df.withColumns(cols)
+
+
 def detect_and_anonymise(
     df: DataFrame,
     key_cols: Sequence[str],
@@ -46,11 +58,8 @@ def detect_and_anonymise(
     a sensitive column.
     """
     flagged = F.coalesce(F.col(signal_col).rlike(pattern), F.lit(False))
-    sens, _ = split_sensitive(df.columns, sensitive_cols)
-    cols = {c: F.when(flagged, _mask(df, c, mask)).otherwise(F.col(c)) for c in sens}
-    cols["GDPR_Compliant"] = F.when(flagged, F.lit(FORGOTTEN)).otherwise(F.lit(NOT_FORGOTTEN))
     ids = df.filter(flagged).select(*key_cols).distinct()
-    return df.withColumns(cols), ids
+    return _masked(df, flagged, key_cols, sensitive_cols, mask, F.lit(NOT_FORGOTTEN)), ids
 
 
 def forget_ids(ids: DataFrame, key_cols: Sequence[str]) -> DataFrame:
@@ -61,7 +70,7 @@ def forget_ids(ids: DataFrame, key_cols: Sequence[str]) -> DataFrame:
 def exposed_rows(history: DataFrame, ids: DataFrame, key_cols: Sequence[str]) -> DataFrame:
     """History rows of keys to be forgotten that are not anonymised yet."""
     keys = list(key_cols)
-    return history.join(bounded_broadcast(forget_ids(ids, keys)), keys, "left_semi").filter(
+    return history.join(forget_ids(ids, keys), keys, "left_semi").filter(
         F.col("GDPR_Compliant") == NOT_FORGOTTEN
     )
 
@@ -75,17 +84,14 @@ def anonymise_history(
 ) -> DataFrame:
     """Mask the sensitive columns of every version of the given keys.
 
-    One left join with the (size-checked) key set and a ``when`` per column;
-    idempotent, and no branch on whether anything matched.
+    One left join with the key set and a ``when`` per column; idempotent, and
+    no branch on whether anything matched.
     """
     keys = list(key_cols)
-    marks = bounded_broadcast(forget_ids(ids, keys).withColumn("_forget", F.lit(True)))
-    j = history.join(marks, keys, "left")
+    marks = forget_ids(ids, keys).withColumn("_forget", F.lit(True))
     hit = F.coalesce(F.col("_forget"), F.lit(False))
-    sens, _ = split_sensitive(history.columns, sensitive_cols)
-    cols = {c: F.when(hit, _mask(history, c, mask)).otherwise(F.col(c)) for c in sens}
-    cols["GDPR_Compliant"] = F.when(hit, F.lit(FORGOTTEN)).otherwise(F.col("GDPR_Compliant"))
-    return j.withColumns(cols).select(*history.columns)
+    joined = history.join(marks, keys, "left")
+    return _masked(joined, hit, keys, sensitive_cols, mask, F.col("GDPR_Compliant")).select(*history.columns)
 
 
 def signal_flag(cfg) -> Column:
@@ -96,10 +102,7 @@ def signal_flag(cfg) -> Column:
 def mask_where(history: DataFrame, hit: Column, cfg) -> DataFrame:
     """Mask the sensitive columns of the rows where ``hit`` holds and mark them
     forgotten; other rows are unchanged."""
-    sens, _ = split_sensitive(history.columns, cfg.sensitive_cols)
-    cols = {c: F.when(hit, _mask(history, c, cfg.mask)).otherwise(F.col(c)) for c in sens}
-    cols["GDPR_Compliant"] = F.when(hit, F.lit(FORGOTTEN)).otherwise(F.col("GDPR_Compliant"))
-    return history.withColumns(cols)
+    return _masked(history, hit, cfg.key_cols, cfg.sensitive_cols, cfg.mask, F.col("GDPR_Compliant"))
 
 
 def masked_up_to(upto: str = "_forget_upto") -> Column:

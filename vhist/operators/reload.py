@@ -11,7 +11,6 @@ from vhist.config import HistoryConfig
 from vhist.functions.columns import data_columns, history_columns, open_end
 from vhist.functions.predicates import is_closed, is_open
 from vhist.operators.history import _DATE, _FS, _NEXT, _NO, _SD, _VF, prepare_snapshots, runs_to_history, snapshot_calendar
-from vhist.plans.sizing import bounded_broadcast
 
 
 def _d(d) -> Column:
@@ -38,11 +37,12 @@ def load_ids(log: DataFrame, group: Optional[str] = None) -> DataFrame:
 def log_lookup(snapshots: DataFrame, log: DataFrame, group_col: str, layer: str = "Bronze",
                date_col: str = "snapshot_date") -> DataFrame:
     """Attach the load-log id of (group, date, layer) to snapshot rows, as one join
-    rather than one lookup per date."""
+    rather than one lookup per date.  The log has one row per load (a group, a day
+    and a layer), like the calendar, so it is broadcast and the rows stay where they are."""
     lg = log.filter(F.col("Layer") == layer).select(
         F.col("DataGroupName").alias(group_col), F.col("SnapshotDate").alias(date_col), "PK_DataGroupLoadLogID"
     )
-    return snapshots.join(lg, [group_col, date_col], "left")
+    return snapshots.join(F.broadcast(lg), [group_col, date_col], "left")
 
 
 def reload_plan(log: DataFrame, requests: DataFrame) -> DataFrame:
@@ -96,6 +96,50 @@ def rollback(history: DataFrame, restore_from) -> DataFrame:
     )
 
 
+def extend_history(
+    open_rows: DataFrame,
+    ended_rows: DataFrame,
+    snapshots: DataFrame,
+    cfg: HistoryConfig,
+    first_date,
+    dedupe: bool = True,
+    calendar_dates: Optional[DataFrame] = None,
+) -> DataFrame:
+    """The versions that replace ``open_rows`` after loading ``snapshots``, in
+    one window pass that continues them.
+
+    Open versions enter as a snapshot numbered 0 on the day before
+    ``first_date``; keys that come back after deletion take FirstSnapshot from
+    ``ended_rows`` (versions ended by deletion, or a superset).
+    ``calendar_dates`` (one DATE column): the loaded dates, so that a loaded but
+    empty snapshot deletes its keys; by default the dates found in the rows.
+    """
+    from vhist.operators.merge import _before
+
+    s = _d(first_date)
+    keys = list(cfg.key_cols)
+    rows = prepare_snapshots(snapshots, cfg, dedupe)
+    dcols = data_columns(snapshots, cfg.date_col)
+    cal = F.broadcast(snapshot_calendar(rows, cfg.date_col, calendar_dates))  # one row per snapshot date
+    rows = rows.join(cal, rows[cfg.date_col] == cal[_DATE]).drop(cfg.date_col)
+    if not cfg.incremental:
+        prior = ended_rows.filter(F.col("IsDeleted")).groupBy(*keys).agg(F.min("FirstSnapshot").alias(_FS))
+        rows = rows.join(prior, keys, "left")
+    seeds = open_rows.select(
+        *dcols,
+        "BusinessKey",
+        "RowHashKey",
+        "GDPR_Compliant",
+        F.lit(0).alias(_NO),
+        F.date_sub(s, 1).alias(_DATE),
+        cal.select(F.min(_DATE)).scalar().alias(_NEXT),
+        _before(F.col("ValidFrom"), s).alias(_VF),
+        F.col("SnapshotDate").alias(_SD),
+        F.col("FirstSnapshot").alias(_FS),
+    )
+    return runs_to_history(rows.unionByName(seeds, allowMissingColumns=True), cfg, dcols)
+
+
 def reload_history(
     history: DataFrame,
     snapshots: DataFrame,
@@ -103,49 +147,28 @@ def reload_history(
     cfg: HistoryConfig,
     dedupe: bool = True,
     forget: bool = False,
+    calendar_dates: Optional[DataFrame] = None,
 ) -> DataFrame:
     """Roll back to ``restore_from``, then rebuild from the snapshots on or
     after it in one pass, continuing the open versions of the rolled-back
     history (their start, first snapshot and anonymisation are kept).
 
-    Open versions enter the window pass as a snapshot numbered 0 just before
-    the tail; keys that come back after deletion take FirstSnapshot from their
-    deleted versions.  With ``forget`` (and forget settings in ``cfg``), signals
-    in the reloaded snapshots mask versions as processing them one by one
-    would, the counterpart of ``build_history_forgetting``.  Rows that were
-    masked before stay masked either way.
+    ``calendar_dates`` (one DATE column): the loaded dates, as for
+    ``build_history``; those before ``restore_from`` are ignored.  With
+    ``forget`` (and forget settings in ``cfg``), signals in the reloaded
+    snapshots mask versions as processing them one by one would, the
+    counterpart of ``build_history_forgetting``.  Rows that were masked before
+    stay masked either way.
     """
     s = _d(restore_from)
-    keys = list(cfg.key_cols)
     restored = rollback(history, s)
-    tail = prepare_snapshots(snapshots.filter(F.col(cfg.date_col) >= s), cfg, dedupe)
-    dcols = data_columns(snapshots, cfg.date_col)
-
-    cal = bounded_broadcast(snapshot_calendar(tail, cfg.date_col))
-    tail = tail.join(cal, tail[cfg.date_col] == cal[_DATE]).drop(cfg.date_col)
-    if not cfg.incremental:
-        prior = restored.filter(F.col("IsDeleted")).groupBy(*keys).agg(F.min("FirstSnapshot").alias(_FS))
-        tail = tail.join(prior, keys, "left")
-    first_tail = cal.select(F.min(_DATE)).scalar()
-    seeds = (
-        restored.filter(is_open())
-        .select(
-            *dcols,
-            "BusinessKey",
-            "RowHashKey",
-            "GDPR_Compliant",
-            F.lit(0).alias(_NO),
-            F.date_sub(s, 1).alias(_DATE),
-            first_tail.alias(_NEXT),
-            F.col("ValidFrom").alias(_VF),
-            F.col("SnapshotDate").alias(_SD),
-            F.col("FirstSnapshot").alias(_FS),
-        )
-    )
-    rebuilt = runs_to_history(tail.unionByName(seeds, allowMissingColumns=True), cfg, dcols)
-    out = restored.filter(is_closed()).select(*history_columns(dcols)).unionByName(rebuilt)
+    tail = snapshots.filter(F.col(cfg.date_col) >= s)
+    if calendar_dates is not None:
+        calendar_dates = calendar_dates.filter(F.col(calendar_dates.columns[0]) >= s)
+    rebuilt = extend_history(restored.filter(is_open()), restored, tail, cfg, s, dedupe, calendar_dates)
+    out = restored.filter(is_closed()).select(*history_columns(data_columns(snapshots, cfg.date_col))).unionByName(rebuilt)
     if forget:
         from vhist.operators.privacy import anonymise_from_signals
 
-        out = anonymise_from_signals(out, snapshots.filter(F.col(cfg.date_col) >= s), cfg)
+        out = anonymise_from_signals(out, tail, cfg)
     return out

@@ -21,13 +21,10 @@ def history_totals(history: DataFrame) -> DataFrame:
     )
 
 
-def multi_version_keys(history: DataFrame) -> DataFrame:
-    """A5: keys with more than one version, and how many."""
-    return (
-        history.groupBy("BusinessKey")
-        .agg(F.count(F.lit(1)).cast("bigint").alias("version_count"))
-        .filter(F.col("version_count") > 1)
-    )
+def multi_version_keys(history: DataFrame, key_cols: Sequence[str]) -> DataFrame:
+    """A5: keys (key columns, BusinessKey) with more than one version, and how many."""
+    counts = history.groupBy(*key_cols, "BusinessKey").agg(F.count(F.lit(1)).cast("bigint").alias("version_count"))
+    return counts.filter(F.col("version_count") > 1)
 
 
 def active_top(history: DataFrame, cols: Sequence[str], n: int = 10) -> DataFrame:
@@ -40,20 +37,21 @@ def active_top(history: DataFrame, cols: Sequence[str], n: int = 10) -> DataFram
     )
 
 
-def most_changed(history: DataFrame, n: int = 10) -> DataFrame:
-    """O2: keys with most versions, ties by key."""
-    return multi_version_keys(history).orderBy(F.desc("version_count"), F.asc("BusinessKey")).limit(n)
+def most_changed(history: DataFrame, key_cols: Sequence[str], n: int = 10) -> DataFrame:
+    """O2: keys with most versions, ties by business key, then by key columns."""
+    keys = multi_version_keys(history, key_cols)
+    return keys.orderBy(F.desc("version_count"), "BusinessKey", *key_cols).limit(n)
 
 
-def versions_of_top_key(history: DataFrame, cols: Sequence[str]) -> DataFrame:
+def versions_of_top_key(history: DataFrame, key_cols: Sequence[str], cols: Sequence[str]) -> DataFrame:
     """O3: every version of the most-changed key, by ValidFrom.
 
     The key is picked by a semi join with a one-row top-1, not by reading it
     to the driver.
     """
-    top = most_changed(history, 1).select("BusinessKey")
+    top = most_changed(history, key_cols, 1).select(*key_cols)
     return (
-        history.join(top, "BusinessKey", "left_semi")
+        history.join(top, list(key_cols), "left_semi")
         .select("BusinessKey", *cols, "ValidFrom", "ValidTo", "IsDeleted")
         .orderBy("ValidFrom")
     )

@@ -9,7 +9,8 @@ from typing import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from vhist.functions.columns import SYSTEM_COLUMNS
+from vhist.functions.columns import FORGOTTEN, SYSTEM_COLUMNS, open_end
+from vhist.functions.hashing import prehash_text
 from vhist.functions.predicates import is_open
 
 
@@ -51,13 +52,20 @@ def union_snapshots(frames: Sequence[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
-def dedup_versions(history: DataFrame, key: str = "BusinessKey", start: str = "ValidFrom") -> DataFrame:
-    """U4: one version per (key, start).
+def dedup_versions(history: DataFrame, key_cols: Sequence[str], start: str = "ValidFrom") -> DataFrame:
+    """U4: one version per key and start, by one aggregate (combined map-side).
 
-    Exact copies are dropped first by an aggregate (combined map-side); of
-    remaining rows with the same key and start, the one with the latest
-    ValidTo, then the smallest RowHashKey, is kept.
+    Of several rows a masked one wins over a raw one, then the latest ValidTo,
+    then the smallest row in strict text (hash first), so the choice never
+    depends on the order of the input.
     """
-    distinct = history.distinct()
-    w = Window.partitionBy(key, start).orderBy(F.desc("ValidTo"), F.asc("RowHashKey"))
-    return distinct.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
+    group = [*key_cols, start]
+    rest = [c for c in history.columns if c not in group]
+    order = F.struct(
+        F.when(F.col("GDPR_Compliant") == FORGOTTEN, 0).otherwise(1),
+        F.datediff(open_end(), "ValidTo"),
+        "RowHashKey",
+        prehash_text(history.columns, mode="strict"),
+    )
+    kept = history.groupBy(*group).agg(F.min_by(F.struct(*rest), order).alias("_r"))
+    return kept.select(*[F.col(c) if c in group else F.col(f"_r.{c}").alias(c) for c in history.columns])

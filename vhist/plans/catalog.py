@@ -133,94 +133,153 @@ def history_chained(spark: SparkSession, sf: str) -> DataFrame:
 
     snaps = dv.events_daily(spark, sf, flag_only=True)
     empty = empty_history(spark, snaps.drop(D).schema)
-    return merge_snapshots(empty, snaps, dv.EVENTS_CFG, checkpoint_every=2)
+    return merge_snapshots(empty, snaps, dv.EVENTS_CFG, checkpoint_every=10)
 
 
-def history_store(spark: SparkSession, sf: str) -> DataFrame:
-    """H2 on the versioned store: bulk-build the earlier days, store them, merge
-    the last day as a new version (rewriting only open rows and the rows it
-    closes), and read the state back.  Written under the session's
-    ``spark.checkpoint.dir`` (a shared folder on a cluster)."""
+def _folder(spark, name: str) -> str:
+    """A new folder under the session's ``spark.checkpoint.dir`` (shared on a cluster)."""
     import uuid
 
     from vhist.session import ensure_checkpoint_dir
+
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/vhist-{name}-{uuid.uuid4().hex}"
+
+
+def _dates(snaps: DataFrame) -> list:
+    """The calendar: one value per snapshot."""
+    return [r[0] for r in snaps.select(D).distinct().orderBy(D).collect()]
+
+
+def history_store(spark: SparkSession, sf: str) -> DataFrame:
+    """H2 on the versioned store: bulk-build the earlier days, store them, merge
+    the last day as a new version (rewriting only open rows and the rows it
+    closes), and read the state back."""
     from vhist.sources import store
 
-    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/vhist-store-{uuid.uuid4().hex}"
+    root = _folder(spark, "store")
     snaps, cfg = _snaps(spark, sf, "EV")
-    days = [r[0] for r in snaps.select(D).distinct().orderBy(D).collect()]  # the calendar only
+    days = _dates(snaps)
     prior, last = days[:-1], days[-1]
     before, _ = _snaps(spark, sf, "EV", until=last)
     today, _ = _snaps(spark, sf, "EV", since=last)
-    store.write_initial(build_history(before, cfg, dedupe=False), root, prior[-1])
+    store.write_initial(build_history(before, cfg, dedupe=False), root, prior[-1], cfg)
     store.merge_into(spark, root, today.drop(D), last, cfg)
     return store.read_state(spark, root, last)
 
 
-def history_store_forgetting(spark: SparkSession, sf: str) -> DataFrame:
-    """The store with forget requests: the earlier months built in one pass and
-    stored, the last month loaded with forget handling, the state read back
-    with pending requests applied; equals ``history_forgetting``."""
-    import uuid
-
+def _forgetting_store(spark: SparkSession, sf: str):
+    """The earlier months built in one pass and stored, the last month loaded
+    with forget handling: (root, months)."""
     from vhist.operators.history import build_history_forgetting
-    from vhist.session import ensure_checkpoint_dir
     from vhist.sources import store
 
-    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/vhist-store-{uuid.uuid4().hex}"
+    root = _folder(spark, "store")
     snaps, cfg = _snaps(spark, sf, "OR")
-    months = [r[0] for r in snaps.select(D).distinct().orderBy(D).collect()]  # the calendar only
-    last = months[-1]
-    before, _ = _snaps(spark, sf, "OR", until=last)
-    today, _ = _snaps(spark, sf, "OR", since=last)
-    store.write_initial(build_history_forgetting(before, cfg, dedupe=False), root, months[-2])
-    store.merge_into(spark, root, today.drop(D), last, cfg, forget=True)
-    return store.read_state(spark, root, last, cfg)
+    months = _dates(snaps)
+    before, _ = _snaps(spark, sf, "OR", until=months[-1])
+    today, _ = _snaps(spark, sf, "OR", since=months[-1])
+    store.write_initial(build_history_forgetting(before, cfg, dedupe=False), root, months[-2], cfg)
+    store.merge_into(spark, root, today.drop(D), months[-1], cfg, forget=True)
+    return root, months
+
+
+def history_store_forgetting(spark: SparkSession, sf: str) -> DataFrame:
+    """The store with forget requests, read back with the requests applied;
+    equals ``history_forgetting``."""
+    from vhist.sources import store
+
+    root, months = _forgetting_store(spark, sf)
+    return store.read_state(spark, root, months[-1])
+
+
+def history_store_time_travel(spark: SparkSession, sf: str) -> DataFrame:
+    """The state before the last month, read after that month's forget requests
+    were recorded: they apply to the earlier version too."""
+    from vhist.sources import store
+
+    root, months = _forgetting_store(spark, sf)
+    return store.read_state(spark, root, months[-2])
+
+
+def history_store_redo(spark: SparkSession, sf: str) -> DataFrame:
+    """A date before the newest one loaded again: the last day but one is first
+    loaded without its errors, then the last day, then the day but one as it
+    should be; equals ``history_full_wide``."""
+    from vhist.sources import store
+
+    root = _folder(spark, "store")
+    snaps, cfg = _snaps(spark, sf, "EV")
+    days = _dates(snaps)
+    read = lambda d: snaps.filter(F.col(D) == F.lit(d)).drop(D)
+    before, _ = _snaps(spark, sf, "EV", until=days[-2])
+    store.write_initial(build_history(before, cfg, dedupe=False), root, days[-3], cfg)
+    store.merge_into(spark, root, read(days[-2]).filter("flag = 'ok'"), days[-2], cfg)
+    store.merge_into(spark, root, read(days[-1]), days[-1], cfg)
+    store.redo_from(spark, root, [days[-2]], read, cfg)
+    return store.read_state(spark, root, days[-1])
+
+
+def run_loads(spark: SparkSession, sf: str) -> DataFrame:
+    """Log to plan to restore to process: a log of three loads a month forces a
+    restore from the earliest, and every load is processed into the store."""
+    from vhist.sources import store
+
+    root = _folder(spark, "store")
+    snaps = dv.events_periods(spark, sf)
+    log = snaps.select(D).distinct().select(
+        F.date_format(D, "yyyyMMdd").alias("PK_DataGroupLoadLogID"), F.lit("events").alias("DataGroupName"),
+        F.col(D).alias("SnapshotDate"), F.lit("Bronze").alias("Layer"),
+    )
+    _, dates = pr.run_loads(
+        log, dv.reload_requests(spark, sf), "events", root, dv.EVENTS_CFG,
+        lambda d: snaps.filter(F.col(D) == F.lit(d)).drop(D),
+    )
+    return store.read_state(spark, root, dates[-1])
 
 
 # ---------------------------------------------------------------- J1 / A3
 
 def classify_full(spark, sf):
     hist, prepared, _, _, cfg = _split_last(spark, sf, "EV")
-    return cl.classify(prepared, hist, key_cols=cfg.key_cols)
+    return cl.classify(prepared, hist, cfg.key_cols).select(*cl.CLASSIFIED)
 
 
 def classify_incremental(spark, sf):
     hist, prepared, _, _, cfg = _split_last(spark, sf, "OR")
-    return cl.classify(prepared, hist, incremental=True, key_cols=cfg.key_cols)
+    return cl.classify(prepared, hist, cfg.key_cols, incremental=True).select(*cl.CLASSIFIED)
 
 
 def classify_sql(spark, sf):
-    hist, prepared, *_ = _split_last(spark, sf, "EV")
-    return cl.classify_sql(prepared, hist)
+    hist, prepared, _, _, cfg = _split_last(spark, sf, "EV")
+    return cl.classify_sql(prepared, hist, cfg.key_cols).select(*cl.CLASSIFIED)
 
 
 def change_summary(spark, sf):
-    hist, prepared, *_ = _split_last(spark, sf, "EV")
-    return cl.change_summary(cl.classify(prepared, hist))
+    hist, prepared, _, _, cfg = _split_last(spark, sf, "EV")
+    return cl.change_summary(cl.classify(prepared, hist, cfg.key_cols))
 
 
 # ---------------------------------------------------------------- J2-J8, U3, A1, P10
 
 def deleted_rows(spark, sf):
-    hist, prepared, _, last, _ = _split_last(spark, sf, "EV")
-    return parts.deleted_rows(hist, cl.classify(prepared, hist), last)
+    hist, prepared, _, last, cfg = _split_last(spark, sf, "EV")
+    return parts.deleted_rows(hist, cl.classify(prepared, hist, cfg.key_cols), cfg.key_cols, last)
 
 
 def expired_rows(spark, sf):
-    hist, prepared, _, last, _ = _split_last(spark, sf, "EV")
-    return parts.expired_rows(hist, cl.classify(prepared, hist), last)
+    hist, prepared, _, last, cfg = _split_last(spark, sf, "EV")
+    return parts.expired_rows(hist, cl.classify(prepared, hist, cfg.key_cols), cfg.key_cols, last)
 
 
 def inserted_rows(spark, sf):
-    hist, prepared, _, last, _ = _split_last(spark, sf, "EV")
+    hist, prepared, _, last, cfg = _split_last(spark, sf, "EV")
     prepared = prepared.persist(StorageLevel.MEMORY_AND_DISK)  # one day, read by classify and for the rows
-    return parts.inserted_rows(prepared, hist, cl.classify(prepared, hist), last)
+    return parts.inserted_rows(prepared, hist, cl.classify(prepared, hist, cfg.key_cols), cfg.key_cols, last)
 
 
 def new_and_updated(spark, sf):
-    hist, prepared, *_ = _split_last(spark, sf, "EV")
-    return parts.keys_with_status(cl.classify(prepared, hist), "new", "updated")
+    hist, prepared, _, _, cfg = _split_last(spark, sf, "EV")
+    return parts.keys_with_status(cl.classify(prepared, hist, cfg.key_cols), cfg.key_cols, "new", "updated").select("BusinessKey")
 
 
 def insert_only(spark, sf):
@@ -234,8 +293,8 @@ def disappeared(spark, sf):
 
 
 def carried_rows(spark, sf):
-    hist, prepared, *_ = _split_last(spark, sf, "EV")
-    return parts.carried_rows(hist, cl.classify(prepared, hist))
+    hist, prepared, _, _, cfg = _split_last(spark, sf, "EV")
+    return parts.carried_rows(hist, cl.classify(prepared, hist, cfg.key_cols), cfg.key_cols)
 
 
 def changed_by_columns(spark, sf):
@@ -249,7 +308,45 @@ def unchanged_except_all(spark, sf):
 
 
 def first_snapshot(spark, sf):
-    return parts.first_snapshot(history_full_wide(spark, sf))
+    return parts.first_snapshot(history_full_wide(spark, sf), dv.EVENTS_KEY).select("BusinessKey", "FirstSnapshot")
+
+
+# ------------------------------------- composite text keys with the delimiter inside
+
+def _text_keys_last(spark, sf):
+    """(history of the earlier months, last month prepared, last month)."""
+    snaps, cfg = dv.orders_text_keys(spark, sf), dv.TEXT_KEYS_CFG
+    last = _last_date(snaps)
+    hist = build_history(snaps.filter(F.col(D) < F.lit(last)), cfg, dedupe=False)
+    return hist, prepare_snapshot(snaps.filter(F.col(D) == F.lit(last)), last, cfg, dedupe=False), last
+
+
+def text_keys_classify(spark, sf):
+    """Two keys of one joined text are classified apart."""
+    hist, prepared, _ = _text_keys_last(spark, sf)
+    return cl.classify(prepared, hist, ("p", "q"))
+
+
+def text_keys_inserted(spark, sf):
+    """J4 on text keys: FirstSnapshot is the key's own."""
+    hist, prepared, last = _text_keys_last(spark, sf)
+    return parts.inserted_rows(prepared, hist, cl.classify(prepared, hist, ("p", "q")), ("p", "q"), last)
+
+
+def text_keys_multi_version(spark, sf):
+    """A5 on text keys."""
+    hist = build_history(dv.orders_text_keys(spark, sf), dv.TEXT_KEYS_CFG, dedupe=False)
+    return rp.multi_version_keys(hist, ("p", "q"))
+
+
+def text_keys_dedup(spark, sf):
+    """U4 with conflicting copies: of every open version a masked copy, of every
+    closed one a copy that ends a day earlier."""
+    hist = build_history(dv.orders_text_keys(spark, sf), dv.TEXT_KEYS_CFG, dedupe=False)
+    row = lambda **new: F.struct(*[new.get(c, F.col(c)).alias(c) for c in hist.columns])
+    masked = row(GDPR_Compliant=F.lit("Yes"), o_orderpriority=F.lit("ANONYMISED"))
+    copies = F.array(row(), F.when(is_open(), masked).otherwise(row(ValidTo=F.date_sub("ValidTo", 1))))
+    return vw.dedup_versions(hist.select(F.inline(copies)), ("p", "q"))
 
 
 # ---------------------------------------------------------------- P, S
@@ -295,12 +392,44 @@ def snapshot_on(spark, sf):
 
 
 def scan_from(spark, sf):
-    """Events from a first date on (the 15th day after the first), as
-    daily snapshots; the filter reaches the parquet scan."""
-    ev = dv.table(spark, sf, "events")
-    first = ev.agg(F.date_add(F.min(F.to_date("ts")), 14)).first()[0]  # the first date, as a value
-    ev = ev.filter(F.col("ts") >= F.lit(first).cast("timestamp_ntz"))  # reaches the scan
-    return ev.select("event_id", "user_id", F.to_date("ts").alias(D), "event_type")
+    """Events stored as dated snapshots, read from the 15th day after the
+    first one to the last; the bounds prune the dates' folders."""
+    path = _folder(spark, "snapshots")
+    ev = dv.table(spark, sf, "events").select(
+        "event_id", "user_id", "event_type", F.date_format("ts", "yyyyMMdd").alias("FK_dimSnapshotID")
+    )
+    ev.repartition("FK_dimSnapshotID").write.partitionBy("FK_dimSnapshotID").parquet(path)
+    ids = spark.read.parquet(path).select(F.to_date(F.col("FK_dimSnapshotID").cast("string"), sn.DATE_FORMAT).alias("d"))
+    first, last = ids.agg(F.date_format(F.date_add(F.min("d"), 14), "yyyyMMdd"), F.date_format(F.max("d"), "yyyyMMdd")).first()
+    return sn.read_snapshots(spark, path, first, last).select("event_id", "user_id", D, "event_type")
+
+
+def dated_paths(spark, sf):
+    """S3: monthly orders stored in a folder per date, dates taken from the paths."""
+    path = _folder(spark, "dated")
+    snaps, _ = _snaps(spark, sf, "OR")
+    rows = snaps.select("o_custkey", "o_orderstatus", F.date_format(D, "yyyyMMdd").alias("day"))
+    rows.repartition("day").write.partitionBy("day").parquet(path)
+    return sn.read_dated_paths(spark, path, pattern="/day=([0-9]{8})/").select("o_custkey", "o_orderstatus", D)
+
+
+def read_history_evolved(spark, sf):
+    """A stored flag history read for snapshots that lost ``flag`` and gained
+    ``event_type``: both columns are there."""
+    root = _folder(spark, "history")
+    sinks.write_history(history_full(spark, sf), root, "1")
+    new = dv.events_daily(spark, sf).select("user_id", "event_type")
+    return sn.read_history(spark, f"{root}/version=1", new.schema)
+
+
+def check_null_keys(spark, sf):
+    """D7 check frame: events whose user is unknown (errors, here)."""
+    from vhist.operators.checks import null_key_rows
+
+    ev = dv.table(spark, sf, "events").select(
+        F.when(F.col("event_type") != "error", F.col("user_id")).alias("user_id"), F.to_date("ts").alias(D), "event_id", "event_type"
+    )
+    return null_key_rows(ev, dv.EVENTS_CFG)
 
 
 def snapshot_distinct(spark, sf):
@@ -373,7 +502,7 @@ def process_all(spark, sf):
     from vhist.sources.snapshots import empty_history
 
     snaps, cfg = _snaps(spark, sf, "OR")
-    return process_snapshots(empty_history(spark, snaps.drop(D).schema), snaps, cfg, checkpoint_every=2)
+    return process_snapshots(empty_history(spark, snaps.drop(D).schema), snaps, cfg, checkpoint_every=15)
 
 
 def process_snapshot(spark, sf):
@@ -414,7 +543,7 @@ def dedup_versions(spark, sf):
     h = history_full_wide(spark, sf)
     # the open versions twice, made in the same pass (no second build, no cache)
     copies = F.explode(F.when(is_open(), F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1))))
-    return vw.dedup_versions(h.select("*", copies.alias("_copy")).drop("_copy"))
+    return vw.dedup_versions(h.select("*", copies.alias("_copy")).drop("_copy"), dv.EVENTS_KEY)
 
 
 def schema_evolution(spark, sf):
@@ -436,7 +565,7 @@ def history_totals(spark, sf):
 
 
 def multi_version_keys(spark, sf):
-    return rp.multi_version_keys(history_full(spark, sf))
+    return rp.multi_version_keys(history_full(spark, sf), dv.EVENTS_KEY).select("BusinessKey", "version_count")
 
 
 def active_top10(spark, sf):
@@ -444,12 +573,12 @@ def active_top10(spark, sf):
 
 
 def most_changed_top10(spark, sf):
-    return rp.most_changed(history_full(spark, sf), 10)
+    return rp.most_changed(history_full(spark, sf), dv.EVENTS_KEY, 10).select("BusinessKey", "version_count")
 
 
 def versions_of_top_key(spark, sf):
     # the history is read twice (top-1 key, then its versions)
-    return rp.versions_of_top_key(_kept(history_full(spark, sf)), ["flag"])
+    return rp.versions_of_top_key(_kept(history_full(spark, sf)), dv.EVENTS_KEY, ["flag"])
 
 
 # ---------------------------------------------------------------- A2, A6, P8, R1-R3
@@ -507,6 +636,33 @@ def reload_forgetting(spark, sf):
     return rl.reload_history(full, snaps, _restore_month(snaps), cfg, dedupe=False, forget=True)
 
 
+def _empty_day(spark, sf):
+    """Daily flags without the rows of the 11th day, and the calendar of all days."""
+    snaps, cfg = _snaps(spark, sf, "EVF")
+    first = snaps.agg(F.min(D)).first()[0]
+    return snaps.filter(F.col(D) != F.date_add(F.lit(first), 10)), snaps.select(D).distinct(), first, cfg
+
+
+def history_empty_day(spark, sf):
+    """H1 with a loaded but empty day: it deletes every key."""
+    snaps, calendar, _, cfg = _empty_day(spark, sf)
+    return build_history(snaps, cfg, calendar_dates=calendar, dedupe=False)
+
+
+def reload_empty_day(spark, sf):
+    """R3 from the 6th day over a loaded but empty day; equals ``history_empty_day``."""
+    snaps, calendar, first, cfg = _empty_day(spark, sf)
+    full = _kept(build_history(snaps, cfg, calendar_dates=calendar, dedupe=False))
+    return rl.reload_history(full, snaps, F.date_add(F.lit(first), 5), cfg, dedupe=False, calendar_dates=calendar)
+
+
+def reload_plan_customers(spark, sf):
+    """R1 over a log where groups with one load and with several occur, asked
+    for and not: skip, restore and force_restore."""
+    log = dv.last_load_of_some(dv.customer_load_log(spark, sf))
+    return rl.reload_plan(log, dv.customer_requests(spark, sf))
+
+
 def reload_incremental(spark, sf):
     snaps, cfg = _snaps(spark, sf, "OR")
     return rl.reload_history(_kept(history_incremental(spark, sf)), snaps, _restore_month(snaps), cfg, dedupe=False)
@@ -575,4 +731,17 @@ QUERIES = {
     "reload": reload,
     "reload_incremental": reload_incremental,
     "reload_forgetting": reload_forgetting,
+    "history_store_time_travel": history_store_time_travel,
+    "history_store_redo": history_store_redo,
+    "run_loads": run_loads,
+    "dated_paths": dated_paths,
+    "read_history_evolved": read_history_evolved,
+    "check_null_keys": check_null_keys,
+    "text_keys_classify": text_keys_classify,
+    "text_keys_inserted": text_keys_inserted,
+    "text_keys_multi_version": text_keys_multi_version,
+    "text_keys_dedup": text_keys_dedup,
+    "history_empty_day": history_empty_day,
+    "reload_empty_day": reload_empty_day,
+    "reload_plan_customers": reload_plan_customers,
 }

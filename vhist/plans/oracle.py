@@ -34,6 +34,18 @@ OR_SNAP = """
   LEFT JOIN customer c ON c.c_custkey = o.o_custkey
   WHERE o._rn = 1"""
 
+PERIOD_SNAP = """
+  SELECT user_id, snapshot_date, CASE WHEN event_type = 'error' THEN 'error' ELSE 'ok' END AS flag
+  FROM (SELECT *, row_number() OVER (PARTITION BY user_id, snapshot_date ORDER BY ts DESC, event_id DESC) AS _rn
+        FROM (SELECT *, CAST(date_trunc('month', ts) AS DATE) + CAST(10 * least((day(ts) - 1) // 10, 2) AS INTEGER) AS snapshot_date
+              FROM events) e) t
+  WHERE _rn = 1"""
+
+TEXT_SNAP = f"""
+  SELECT CASE WHEN o_orderstatus = 'F' THEN 'c' || o_custkey || '||x' ELSE 'c' || o_custkey END AS p,
+         CASE WHEN o_orderstatus = 'F' THEN 'y' ELSE 'x||y' END AS q, snapshot_date, o_orderpriority
+  FROM ({OR_SNAP}) o"""
+
 EV_COLS = ("user_id", "event_type", "flag", "value")
 EVF_COLS = ("user_id", "flag")
 OR_COLS = ("o_custkey", "o_orderstatus", "o_orderpriority", "c_name")
@@ -68,7 +80,7 @@ def prepared_sql(snap_sql: str, keys, cols, hash_cols=None) -> str:
 
 
 def history_sql(snap_sql: str, keys: Sequence[str], cols: Sequence[str], mode: str, hash_cols=None,
-                gdpr: str = "'No'") -> str:
+                gdpr: str = "'No'", calendar: str = "") -> str:
     """Whole history of the snapshots in ``snap_sql`` (columns: cols + snapshot_date)."""
     k = ", ".join(keys)
     on_k = " AND ".join(f"r.{c} = g.{c}" for c in keys)
@@ -87,7 +99,7 @@ def history_sql(snap_sql: str, keys: Sequence[str], cols: Sequence[str], mode: s
     return f"""
 WITH hashed AS ({hashed_sql(snap_sql, keys, cols, hash_cols)}),
 cal AS (SELECT snapshot_date AS _d, row_number() OVER (ORDER BY snapshot_date) AS _no
-        FROM (SELECT DISTINCT snapshot_date FROM hashed) d),
+        FROM (SELECT DISTINCT snapshot_date FROM {f"({calendar}) c" if calendar else "hashed"}) d),
 numbered AS (SELECT h.*, cal._no FROM hashed h JOIN cal ON h.snapshot_date = cal._d),
 flagged AS (SELECT *, CASE WHEN lag(_no) OVER w IS NULL OR lag(RowHashKey) OVER w <> RowHashKey {gap}
                       THEN 1 ELSE 0 END AS _new

@@ -81,7 +81,6 @@ SELECT DataGroupName, SnapshotDate FROM (
   FROM events) r WHERE _rn = 1"""
 RESTORE_DAY = f"(SELECT min(snapshot_date) + 15 FROM ({o.EV_SNAP}) m)"
 RESTORE_MONTH = f"(SELECT CAST(min(snapshot_date) + INTERVAL 40 MONTH AS DATE) FROM ({o.OR_SNAP}) m)"
-H_EVF_TXT = H_EVF
 
 ORACLES = {}
 ORACLES_BASE = {
@@ -241,3 +240,65 @@ ORACLES.update(ORACLES_BASE)
 ORACLES["process_all"] = ORACLES["history_forgetting"]
 ORACLES["reload_forgetting"] = ORACLES["history_forgetting"]
 ORACLES["history_store_forgetting"] = ORACLES["history_forgetting"]
+
+K_TXT, TXT_COLS = ["p", "q"], ("p", "q", "o_orderpriority")
+H_TXT = o.history_sql(o.TEXT_SNAP, K_TXT, TXT_COLS, "full")
+HP_TXT = o.history_sql(o.before_last(o.TEXT_SNAP), K_TXT, TXT_COLS, "full")
+PL_TXT = o.prepared_sql(o.on_last(o.TEXT_SNAP), K_TXT, TXT_COLS)
+EMPTY_DAY = o.history_sql(
+    f"SELECT * FROM ({o.EVF_SNAP}) e WHERE snapshot_date <> (SELECT min(snapshot_date) + 10 FROM ({o.EVF_SNAP}) m)",
+    K_EV, o.EVF_COLS, "full", calendar=o.EVF_SNAP,
+)
+CUST_LOG = """
+SELECT DataGroupName, SnapshotDate FROM (
+  SELECT *, max(SnapshotDate) OVER (PARTITION BY DataGroupName) AS _last
+  FROM (SELECT DISTINCT 'customer_' || o_custkey AS DataGroupName, CAST(o_orderdate AS DATE) AS SnapshotDate FROM orders) d) l
+WHERE SnapshotDate = _last OR NOT regexp_matches(DataGroupName, '[02468]$')"""
+
+ORACLES.update({
+    "history_store_time_travel": f"""
+SELECT BusinessKey, RowHashKey, SnapshotDate, FirstSnapshot, ValidFrom, ValidTo, IsDeleted,
+       CASE WHEN ValidFrom <= f.upto THEN 'Yes' ELSE GDPR_Compliant END AS GDPR_Compliant,
+       h.o_custkey, o_orderstatus, o_orderpriority,
+       CASE WHEN ValidFrom <= f.upto THEN 'ANONYMISED' ELSE c_name END AS c_name
+FROM ({HP_OR}) h
+LEFT JOIN (SELECT o_custkey, max(snapshot_date) AS upto FROM ({o.OR_SNAP}) s WHERE {FLAG} GROUP BY o_custkey) f
+  ON f.o_custkey = h.o_custkey""",
+    "history_store_redo": H_EV,
+    "run_loads": o.history_sql(o.PERIOD_SNAP, K_EV, o.EVF_COLS, "full"),
+    "dated_paths": f"SELECT o_custkey, o_orderstatus, snapshot_date FROM ({o.OR_SNAP}) s",
+    "read_history_evolved": f"SELECT {SYS}, user_id, CAST(NULL AS VARCHAR) AS event_type, flag FROM ({H_EVF}) h",
+    "check_null_keys": """
+SELECT CAST(NULL AS BIGINT) AS user_id, CAST(ts AS DATE) AS snapshot_date, event_id, event_type
+FROM events WHERE event_type = 'error' OR user_id IS NULL OR event_type IS NULL""",
+    "text_keys_classify": f"""
+SELECT coalesce(h.p, c.p) AS p, coalesce(h.q, c.q) AS q, coalesce(h.BusinessKey, c.BusinessKey) AS BusinessKey,
+       h.RowHashKey AS hist_RowHashKey, c.RowHashKey AS curr_RowHashKey,
+       CASE WHEN h.p IS NULL THEN 'new' WHEN c.p IS NULL THEN 'deleted'
+            WHEN h.RowHashKey = c.RowHashKey THEN 'unchanged' ELSE 'updated' END AS HistoryStatus
+FROM (SELECT * FROM ({HP_TXT}) x WHERE ValidTo = {OPEN}) h
+FULL OUTER JOIN ({PL_TXT}) c ON h.p = c.p AND h.q = c.q""",
+    "text_keys_inserted": f"""
+SELECT c.* REPLACE (coalesce(f.first, c.FirstSnapshot) AS FirstSnapshot)
+FROM ({PL_TXT}) c
+LEFT JOIN (SELECT p, q, min(FirstSnapshot) AS first FROM ({HP_TXT}) a GROUP BY p, q) f ON f.p = c.p AND f.q = c.q
+WHERE NOT EXISTS (SELECT 1 FROM ({HP_TXT}) h
+                  WHERE h.ValidTo = {OPEN} AND h.p = c.p AND h.q = c.q AND h.RowHashKey = c.RowHashKey)""",
+    "text_keys_multi_version": f"""
+SELECT p, q, BusinessKey, count(*) AS version_count FROM ({H_TXT}) h GROUP BY p, q, BusinessKey HAVING count(*) > 1""",
+    "text_keys_dedup": f"""
+SELECT * REPLACE (CASE WHEN ValidTo = {OPEN} THEN 'Yes' ELSE GDPR_Compliant END AS GDPR_Compliant,
+                  CASE WHEN ValidTo = {OPEN} THEN 'ANONYMISED' ELSE o_orderpriority END AS o_orderpriority)
+FROM ({H_TXT}) h""",
+    "history_empty_day": EMPTY_DAY,
+    "reload_empty_day": EMPTY_DAY,
+    "reload_plan_customers": f"""
+SELECT r.DataGroupName, n_loads, first_snapshot, last_snapshot, req.DataGroupName IS NOT NULL AS reload_requested,
+       CASE WHEN n_loads > 1 THEN 'force_restore' WHEN req.DataGroupName IS NOT NULL THEN 'restore' ELSE 'skip' END AS action,
+       CASE WHEN n_loads > 1 OR req.DataGroupName IS NOT NULL THEN first_snapshot END AS restore_from
+FROM (SELECT DataGroupName, count(DISTINCT SnapshotDate) AS n_loads, min(SnapshotDate) AS first_snapshot,
+             max(SnapshotDate) AS last_snapshot FROM ({CUST_LOG}) l GROUP BY DataGroupName) r
+LEFT JOIN (SELECT DISTINCT 'customer_' || o_custkey AS DataGroupName, CAST(o_orderdate AS DATE) AS SnapshotDate
+           FROM orders WHERE starts_with(o_orderpriority, '1')) req
+  ON req.DataGroupName = r.DataGroupName AND req.SnapshotDate = r.first_snapshot""",
+})

@@ -6,14 +6,18 @@ history of the flagged keys -> system columns -> merge.
 
 from __future__ import annotations
 
-from typing import Optional, Sequence, Tuple
+import datetime as dt
+from typing import Callable, Optional, Sequence, Tuple
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from vhist.config import HistoryConfig
 from vhist.functions.hashing import with_hash_key
 from vhist.operators.merge import merge_snapshot, merge_snapshots
 from vhist.operators.privacy import anonymise_history, detect_and_anonymise
+from vhist.operators.reload import reload_plan
+from vhist.sources import store
 from vhist.sources.sinks import key_file, write_key_file
 
 
@@ -53,13 +57,47 @@ def process_snapshots(
     snapshots: DataFrame,
     cfg: HistoryConfig,
     dates=None,
-    checkpoint_every: int = 2,
+    checkpoint_every: int = 10,
 ) -> DataFrame:
-    """``process_snapshot`` for every date of ``snapshots`` in order, with lineage
-    cut by reliable checkpoints; ``build_history_forgetting`` gives the same
-    history in one pass."""
+    """``process_snapshot`` for every date of ``snapshots`` in order, on stored
+    state (``merge_snapshots``).
+
+    The row hash is taken before masking, so forgetting never changes which
+    versions there are; what each date would have masked is masked once, at the
+    end, from the signals of all processed snapshots.
+    """
+    from vhist.operators.privacy import anonymise_from_signals
+
+    if dates is not None:
+        dates = sorted(dates)
+        snapshots = snapshots.filter(F.col(cfg.date_col).isin(dates))
+    merged = merge_snapshots(history, snapshots, cfg, dates=dates, checkpoint_every=checkpoint_every)
+    if not (cfg.signal_col and cfg.signal_pattern):
+        return merged
+    return anonymise_from_signals(merged, snapshots, cfg)
 
-    def step(h: DataFrame, snap: DataFrame, day) -> DataFrame:
-        return process_snapshot(snap, h, day, cfg)[1]
 
-    return merge_snapshots(history, snapshots, cfg, dates=dates, checkpoint_every=checkpoint_every, step=step)
+def run_loads(
+    log: DataFrame,
+    requests: DataFrame,
+    data_group: str,
+    root: str,
+    cfg: HistoryConfig,
+    read_snapshot: Callable[[dt.date], DataFrame],
+    layer: str = "Bronze",
+    forget: bool = False,
+) -> Tuple[str, list]:
+    """A data group's loads from log to stored history: (action, dates loaded).
+
+    The reload plan of the group's log rows decides: ``skip`` loads nothing;
+    ``restore`` and ``force_restore`` go back to before the planned date and
+    process every logged snapshot from there on, in order, together with the
+    committed versions that come after it.
+    """
+    mine = log.filter((F.col("DataGroupName") == data_group) & (F.col("Layer") == layer))
+    plan = reload_plan(mine, requests).first()  # one group: at most one row
+    if plan is None or plan.action == "skip":
+        return "skip", []
+    dates = mine.filter(F.col("SnapshotDate") >= F.lit(plan.restore_from)).select("SnapshotDate").distinct()
+    days = [r[0] for r in dates.collect()]  # one value per load
+    return plan.action, store.redo_from(log.sparkSession, root, days, read_snapshot, cfg, forget=forget)

@@ -1,8 +1,7 @@
-"""Session helpers: the checkpoint directory, and a local session for tests/bench."""
+"""Session helpers: the checkpoint directory and settings sized by input."""
 
 from __future__ import annotations
 
-import tempfile
 from typing import Optional
 
 from pyspark.sql import SparkSession
@@ -34,27 +33,6 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return conf
 
 
-def local_session(cores: int = 8, shuffle_partitions: int = 8, app: str = "vhist") -> SparkSession:
-    """A local session for tests and the benchmark.
-
-    Sets a checkpoint directory only where the configuration leaves it unset.
-    """
-    spark = (
-        SparkSession.builder.master(f"local[{cores}]")
-        .appName(app)
-        .config("spark.ui.enabled", "false")
-        .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-        .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.session.timeZone", "UTC")
-        .getOrCreate()
-    )
-    spark.sparkContext.setLogLevel("ERROR")
-    if not checkpoint_dir(spark):
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="vhist-ckpt-"))
-    return spark
-
-
 def sizing_conf(input_bytes: int, cores: int, partition_bytes: int = 256 << 20) -> dict:
     """Runtime SQL settings for a job reading about ``input_bytes`` on ``cores`` cores.
 

@@ -26,6 +26,7 @@ SENSITIVE_COLS = ("c_name",)
 
 EVENTS_CFG = HistoryConfig(key_cols=EVENTS_KEY, mode="full")
 EVENTS_FLAG_CFG = HistoryConfig(key_cols=EVENTS_KEY, hash_cols=("user_id", "flag"), mode="full")
+TEXT_KEYS_CFG = HistoryConfig(key_cols=("p", "q"), mode="full")
 ORDERS_CFG = HistoryConfig(
     key_cols=ORDERS_KEY,
     mode="incremental",
@@ -124,3 +125,66 @@ def reload_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.max_by(F.to_date("ts"), F.struct("value", F.col("event_id") * -1)).alias("SnapshotDate")
     )
     return best
+
+
+def events_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per (user_id, third of a month): the user's last event in it.
+
+    Columns: user_id, snapshot_date DATE (first day of the third), flag.
+    """
+    day = F.to_date("ts")
+    third = F.date_add(F.trunc(day, "month"), (10 * F.least(F.floor((F.dayofmonth(day) - 1) / 10), F.lit(2))).cast("int"))
+    last = table(spark, sf_dir, "events").groupBy("user_id", third.alias("snapshot_date")).agg(
+        F.max_by("event_type", F.struct("ts", "event_id")).alias("event_type")
+    )
+    flag = F.when(F.col("event_type") == "error", F.lit("error")).otherwise(F.lit("ok"))
+    return last.select("user_id", "snapshot_date", flag.alias("flag"))
+
+
+def orders_text_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Monthly orders under a composite text key (p, q) with the key delimiter
+    inside: a customer has the key ('c<n>||x', 'y') in months whose last order
+    is finished and ('c<n>', 'x||y') in others, two keys of one joined text.
+
+    Columns: p, q, snapshot_date DATE, o_orderpriority.
+    """
+    name = F.concat(F.lit("c"), F.col("o_custkey").cast("string"))
+    finished = F.col("o_orderstatus") == "F"
+    return orders_monthly(spark, sf_dir).select(
+        F.when(finished, F.concat(name, F.lit("||x"))).otherwise(name).alias("p"),
+        F.when(finished, F.lit("y")).otherwise(F.lit("x||y")).alias("q"),
+        "snapshot_date",
+        "o_orderpriority",
+    )
+
+
+def customer_load_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Load log: one row per (data group = customer, day with orders); some
+    customers have one load, most several."""
+    days = table(spark, sf_dir, "orders").select(
+        F.concat(F.lit("customer_"), F.col("o_custkey").cast("string")).alias("DataGroupName"),
+        F.to_date("o_orderdate").alias("SnapshotDate"),
+    ).distinct()
+    return days.select(
+        F.concat_ws("_", "DataGroupName", F.date_format("SnapshotDate", "yyyyMMdd")).alias("PK_DataGroupLoadLogID"),
+        "DataGroupName",
+        "SnapshotDate",
+        F.lit("Bronze").alias("Layer"),
+    )
+
+
+def last_load_of_some(log: DataFrame) -> DataFrame:
+    """The log with the loads of every group whose name ends in an even digit
+    reduced to its last one, so that groups with one load occur at any scale."""
+    last = log.groupBy("DataGroupName").agg(F.max("SnapshotDate").alias("_last"))
+    even = F.col("DataGroupName").rlike("[02468]$")
+    return log.join(last, "DataGroupName").filter(~even | (F.col("SnapshotDate") == F.col("_last"))).drop("_last")
+
+
+def customer_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reload requests: the days of a customer's urgent orders."""
+    o = table(spark, sf_dir, "orders").filter(F.col("o_orderpriority").startswith("1"))
+    return o.select(
+        F.concat(F.lit("customer_"), F.col("o_custkey").cast("string")).alias("DataGroupName"),
+        F.to_date("o_orderdate").alias("SnapshotDate"),
+    ).distinct()

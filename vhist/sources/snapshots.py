@@ -23,19 +23,24 @@ def read_snapshots(
     spark: SparkSession,
     path: str,
     first: Optional[str] = None,
+    last: Optional[str] = None,
     id_col: str = "FK_dimSnapshotID",
     date_col: str = "snapshot_date",
     fmt: str = DATE_FORMAT,
 ) -> DataFrame:
-    """All snapshots of a multi-snapshot dataset, from ``first`` (``yyyyMMdd``) on.
+    """The snapshots of a multi-snapshot dataset from ``first`` to ``last``
+    (``yyyyMMdd``, both included; None: no bound).
 
     The filter is on the raw id column in its own type, so it prunes
     ``id_col=...`` directories (inferred as INT) or pushes down into the files
     (STRING); the id is then parsed into a DATE ``date_col``.
     """
     df = spark.read.parquet(path)
+    kind = df.schema[id_col].dataType
     if first is not None:
-        df = df.filter(F.col(id_col) >= F.lit(first).cast(df.schema[id_col].dataType))
+        df = df.filter(F.col(id_col) >= F.lit(first).cast(kind))
+    if last is not None:
+        df = df.filter(F.col(id_col) <= F.lit(last).cast(kind))
     return df.withColumn(date_col, parse_snapshot_date(id_col, fmt)).drop(id_col)
 
 
@@ -113,12 +118,23 @@ def empty_history(spark: SparkSession, data_schema: T.StructType) -> DataFrame:
 
 
 def read_history(spark: SparkSession, path: str, data_schema: T.StructType) -> DataFrame:
-    """Stored history at ``path``, or a typed empty history if there is none yet."""
+    """Stored history at ``path`` with the union of its columns and the
+    snapshot's: a column that the snapshot lost stays, a new one is NULL.
+
+    A path that does not exist is a history not begun, typed and empty; a folder
+    without readable history files raises, so that a damaged store does not
+    start over from nothing.
+    """
     schema = history_schema(data_schema)
     try:
-        df = spark.read.parquet(path)
+        df = spark.read.option("mergeSchema", "true").parquet(path)
     except AnalysisException as e:
-        if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e) or "UNABLE_TO_INFER_SCHEMA" in str(e):
+        if "PATH_NOT_FOUND" in str(e):
             return spark.createDataFrame([], schema)
         raise
-    return df.select(*schema.fieldNames())
+    missing = [c for c in SYSTEM_COLUMNS if c not in df.columns]
+    if missing:
+        raise ValueError(f"{path} holds no history: columns {missing} are missing")
+    df = df.withColumns({f.name: F.lit(None).cast(f.dataType) for f in schema if f.name not in df.columns})
+    kept = [c for c in df.columns if c not in schema.fieldNames() and c != "is_open"]
+    return df.select(*schema.fieldNames(), *kept)

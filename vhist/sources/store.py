@@ -2,100 +2,136 @@
 
 Layout under ``root``::
 
-    data/as_of=<yyyy-mm-dd>/segment=open/     open versions after loading that date
-    data/as_of=<yyyy-mm-dd>/segment=closed/   versions that loading that date closed
-    data/as_of=<yyyy-mm-dd>/segment=deleted/  ... of which the key disappeared
-    _log/                                     one row per committed version
-    _forget/requested_on=<yyyy-mm-dd>/        keys a load asked to forget
-    _generation/                              data generations written by ``purge``
-
-The state as of date ``d`` is the open segment of version ``d`` plus every
-closed and deleted segment up to ``d``.  A merge reads the previous version's
-open rows and, for keys coming back, the deleted segments only (partition
-pruning, key-only projection), and writes one new version directory - so its
-cost follows the number of keys and the snapshot, not the length of the
-history.  Earlier versions stay readable: rolling back is reading an older
-version.  Versions are written with ``overwrite`` into their own directory and
-logged afterwards, so a retried or repeated load of the same date replaces it
-instead of duplicating rows, and readers that go by the log never see a
-half-written version.
-
-Forget requests: a load with ``forget=True`` masks the flagged rows and the
-open versions of the flagged keys, and records the keys.  Closed versions are
-masked when read (a version is masked when it started on or before the key's
-latest request), so no reader sees forgotten values; ``purge`` then rewrites
-the data once, as a new generation, so the raw values leave storage too.
+    data/as_of=<yyyy-mm-dd>/load=<id>/segment=open|closed|deleted/
+    _log/            one row per load: order, date, load id, generation, schema
+    _forget/         keys that loads asked to forget, with the date
+    _settings/       key columns, sensitive columns and mask
+
+A load writes the open versions after that date and the versions it closed
+(``deleted`` where the key disappeared).  The state as of date ``d`` is the open
+segment of version ``d`` plus the closed and deleted segments up to ``d``.  A
+merge reads the previous version's open rows and, for keys coming back, the
+keys of the deleted segments, so its cost does not follow the closed history.
+
+The log says what counts: for each date the last load of the newest generation.
+A load gets a folder of its own and is logged when all of it is written, so a
+reader, a retry or a second load of a date never meets half-written rows.
+Paths and schema of a read come from the log (one row per load), not from file
+footers or listings of the whole store.
+
+Order of dates: a version is built on the ones before it, so loading a date
+that is not newer than the newest version raises; ``redo_from`` loads such a
+date and every later one again.
+
+Forgetting: a load with ``forget=True`` masks the flagged rows and the open
+versions of the flagged keys and records the keys.  Every read applies every
+request, whatever date it asks for, with the settings kept in the store: a
+version is masked if it started on or before its key's last request.  ``purge``
+rewrites the data as a new generation, so raw values leave storage as well.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-from typing import Optional
+import json
+import uuid
+from typing import Callable, Iterable, Optional
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
 from vhist.config import HistoryConfig
-from vhist.functions.columns import data_columns, history_columns
+from vhist.functions.columns import FORGOTTEN, data_columns, history_columns
+from vhist.functions.hashing import row_hash
 from vhist.functions.predicates import is_open
-from vhist.operators.merge import merge_open_rows
-from vhist.plans.sizing import release_broadcast_caches
+from vhist.operators.merge import conform, merge_open_rows
 from vhist.sources.sinks import MAX_RECORDS_PER_FILE
 
-_PARTS = ("as_of", "segment")
+_PARTS = ("as_of", "load", "segment")
+_SETTINGS = "key_cols array<string>, sensitive_cols array<string>, mask string"
+_LOG = "seq long, as_of date, load string, generation int, schema string"
 
 
-def _root(root: str) -> str:
-    return root.rstrip("/")
+def _at(root: str, name: str) -> str:
+    return f"{root.rstrip('/')}/{name}"
 
 
-def _log(root: str) -> str:
-    return f"{_root(root)}/_log"
+def _read_small(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" in str(e):
+            return spark.createDataFrame([], schema)
+        raise
 
 
-def _forget(root: str) -> str:
-    return f"{_root(root)}/_forget"
+def _loads(spark: SparkSession, root: str) -> dict:
+    """The load that counts for each date (log rows; one per load)."""
+    rows = sorted(_read_small(spark, _at(root, "_log"), _LOG).collect(), key=lambda r: r.seq)
+    newest = max((r.generation for r in rows), default=0)
+    return {r.as_of: r for r in rows if r.generation == newest}
 
 
-def _generations(root: str) -> str:
-    return f"{_root(root)}/_generation"
+def _commit(spark: SparkSession, root: str, entries: list) -> None:
+    """Log loads (date, load id, generation, schema) in one small file."""
+    last = _read_small(spark, _at(root, "_log"), _LOG).agg(F.max("seq")).first()[0] or 0
+    rows = [(last + 1 + i, *e) for i, e in enumerate(entries)]
+    spark.createDataFrame(rows, _LOG).coalesce(1).write.mode("append").parquet(_at(root, "_log"))
 
 
-def _read_small(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException as e:
-        if "PATH_NOT_FOUND" in str(e) or "UNABLE_TO_INFER_SCHEMA" in str(e):
-            return spark.createDataFrame([], schema)
-        raise
+def _keep_settings(spark: SparkSession, root: str, cfg: Optional[HistoryConfig]) -> None:
+    if cfg is None or stored_settings(spark, root) == cfg_settings(cfg):
+        return
+    row = (list(cfg.key_cols), list(cfg.sensitive_cols), cfg.mask)
+    spark.createDataFrame([row], _SETTINGS).coalesce(1).write.mode("overwrite").parquet(_at(root, "_settings"))
 
 
-def generation(spark: SparkSession, root: str) -> int:
-    """The current data generation (0 until the first ``purge``)."""
-    g = _read_small(spark, _generations(root), "generation int").agg(F.max("generation")).first()[0]
-    return int(g or 0)
+def cfg_settings(cfg: HistoryConfig) -> tuple:
+    return tuple(cfg.key_cols), tuple(cfg.sensitive_cols), cfg.mask
+
+
+def stored_settings(spark: SparkSession, root: str) -> Optional[tuple]:
+    """(key columns, sensitive columns, mask) kept with the store, if any."""
+    r = _read_small(spark, _at(root, "_settings"), _SETTINGS).first()
+    return None if r is None else (tuple(r.key_cols), tuple(r.sensitive_cols), r["mask"])
 
 
-def _data(root: str, gen: int = 0) -> str:
-    return f"{_root(root)}/data" if gen == 0 else f"{_root(root)}/data_g{gen}"
+def generation(spark: SparkSession, root: str) -> int:
+    """The current data generation (0 until the first ``purge``)."""
+    return max((r.generation for r in _loads(spark, root).values()), default=0)
 
 
 def versions(spark: SparkSession, root: str) -> DataFrame:
-    """Committed versions (one DATE column ``as_of``; repeated loads repeat a date)."""
-    return _read_small(spark, _log(root), "as_of date").select("as_of")
+    """Committed versions (one DATE column ``as_of``)."""
+    return spark.createDataFrame([(d,) for d in sorted(_loads(spark, root))], "as_of date")
 
 
 def latest_version(spark: SparkSession, root: str, before: Optional[dt.date] = None) -> Optional[dt.date]:
     """The newest committed version (strictly before ``before`` if given)."""
-    v = versions(spark, root)
-    if before is not None:
-        v = v.filter(F.col("as_of") < F.lit(before))
-    return v.agg(F.max("as_of")).first()[0]
+    return max((d for d in _loads(spark, root) if before is None or d < before), default=None)
+
 
+def _schema(loads: Iterable) -> T.StructType:
+    """All columns of the given loads, in order of appearance."""
+    fields: dict = {}
+    for r in sorted(loads, key=lambda r: r.seq):
+        for f in T.StructType.fromJson(json.loads(r.schema)).fields:
+            fields.setdefault(f.name, f)
+    return T.StructType(list(fields.values()))
 
-def _segment() -> F.Column:
-    return F.when(is_open(), F.lit("open")).when(F.col("IsDeleted"), F.lit("deleted")).otherwise(F.lit("closed"))
+
+def _rows(spark: SparkSession, root: str, loads: list, *segments: str) -> DataFrame:
+    """Rows of the given loads' segments, with the partition columns."""
+    schema = _schema(loads).add("as_of", "date").add("load", "string").add("segment", "string")
+    paths = [_path(root, r.as_of, r.load) for r in loads]
+    rows = spark.read.schema(schema).option("basePath", _at(root, "data")).parquet(*paths)
+    return rows.filter(F.col("segment").isin(*segments))
+
+
+def _path(root: str, as_of: dt.date, load: str) -> str:
+    return f"{_at(root, 'data')}/as_of={as_of.isoformat()}/load={load}"
 
 
 def write_version(rows: DataFrame, root: str, as_of: dt.date) -> str:
@@ -104,55 +140,45 @@ def write_version(rows: DataFrame, root: str, as_of: dt.date) -> str:
     One write job: the segment is a partition column computed from ValidTo.
     """
     spark = rows.sparkSession
-    path = f"{_data(root, generation(spark, root))}/as_of={as_of.isoformat()}"
-    cols = history_columns(data_columns(rows))
-    (
-        rows.select(*cols)
-        .withColumn("segment", _segment())
-        .write.mode("overwrite")
-        .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
-        .partitionBy("segment")
-        .parquet(path)
-    )
-    spark.createDataFrame([(as_of,)], "as_of date").write.mode("append").parquet(_log(root))
-    return path
+    load = uuid.uuid4().hex
+    rows = rows.select(*history_columns(data_columns(rows)))
+    segment = F.when(is_open(), F.lit("open")).when(F.col("IsDeleted"), F.lit("deleted")).otherwise(F.lit("closed"))
+    writer = rows.withColumn("segment", segment).write.option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
+    writer.partitionBy("segment").parquet(_path(root, as_of, load))
+    _commit(spark, root, [(as_of, load, generation(spark, root), rows.schema.json())])
+    return _path(root, as_of, load)
 
 
-def _stored(spark: SparkSession, root: str) -> DataFrame:
-    return spark.read.option("mergeSchema", "true").parquet(_data(root, generation(spark, root)))
+def forget_requests(spark: SparkSession, root: str, key_cols) -> DataFrame:
+    """Per key (as text), the latest forget request: key columns + ``_forget_upto``."""
+    schema = ", ".join(f"`{k}` string" for k in key_cols) + ", requested_on date"
+    return _read_small(spark, _at(root, "_forget"), schema).groupBy(*key_cols).agg(F.max("requested_on").alias("_forget_upto"))
 
 
-def forget_requests(spark: SparkSession, root: str, cfg: HistoryConfig, as_of: Optional[dt.date] = None) -> DataFrame:
-    """Per key, the latest forget request (up to ``as_of``): key columns + ``_forget_upto``."""
-    schema = ", ".join(f"`{k}` string" for k in cfg.key_cols) + ", requested_on date"
-    req = _read_small(spark, _forget(root), schema)
-    if as_of is not None:
-        req = req.filter(F.col("requested_on") <= F.lit(as_of))
-    return req.groupBy(*cfg.key_cols).agg(F.max("requested_on").alias("_forget_upto"))
-
+def _with_requests(spark: SparkSession, root: str, rows: DataFrame, cfg: Optional[HistoryConfig]) -> DataFrame:
+    """``rows`` with every version that a request covers masked."""
+    from vhist.operators.privacy import mask_versions_up_to
 
-def _typed_like(upto: DataFrame, like: DataFrame, keys) -> DataFrame:
-    """Request keys (stored as text) cast back to the history's key types."""
-    types = dict(like.dtypes)
-    return upto.select(*[F.col(k).cast(types[k]).alias(k) for k in keys], "_forget_upto")
+    settings = cfg_settings(cfg) if cfg is not None and cfg.sensitive_cols else stored_settings(spark, root)
+    if settings is None or not settings[1]:
+        return rows
+    keys, sensitive, mask = settings
+    types = dict(rows.dtypes)
+    requests = forget_requests(spark, root, keys).select(*[F.col(k).cast(types[k]).alias(k) for k in keys], "_forget_upto")
+    return mask_versions_up_to(rows, requests, HistoryConfig(key_cols=keys, sensitive_cols=sensitive, mask=mask))
 
 
 def read_state(spark: SparkSession, root: str, as_of: dt.date, cfg: Optional[HistoryConfig] = None) -> DataFrame:
-    """The whole history as of version ``as_of`` (time travel / rollback).
-
-    With ``cfg`` (key and sensitive columns), versions covered by forget
-    requests made up to ``as_of`` are masked on the way out.
-    """
-    data = _stored(spark, root)
-    cur = data.filter((F.col("as_of") == F.lit(as_of)) & (F.col("segment") == "open"))
-    past = data.filter((F.col("as_of") <= F.lit(as_of)) & F.col("segment").isin("closed", "deleted"))
-    state = cur.unionByName(past).drop(*_PARTS)
-    if cfg is not None and cfg.sensitive_cols:
-        from vhist.operators.privacy import mask_versions_up_to
-
-        upto = _typed_like(forget_requests(spark, root, cfg, as_of), state, cfg.key_cols)
-        state = mask_versions_up_to(state, upto, cfg)
-    return state
+    """The whole history as of version ``as_of`` (time travel / rollback), with
+    every forget request applied, later ones too.  ``cfg`` overrides the
+    settings kept in the store.  A date that was never loaded raises."""
+    loads = _loads(spark, root)
+    if as_of not in loads:
+        raise ValueError(f"{as_of} is not a version of the history at {root}")
+    current = _rows(spark, root, [loads[as_of]], "open").drop(*_PARTS)
+    past = _rows(spark, root, [r for d, r in loads.items() if d <= as_of], "closed", "deleted").drop(*_PARTS)
+    state = conform(current, past).unionByName(past)
+    return _with_requests(spark, root, state, cfg)
 
 
 def merge_into(
@@ -164,75 +190,102 @@ def merge_into(
     compare: str = "hash",
     forget: bool = False,
 ) -> str:
-    """Load ``snapshot`` (taken on ``as_of``) on top of the newest version before it.
-
-    With no earlier version the snapshot starts the history.  With ``forget``
-    (and forget settings in ``cfg``) the snapshot is hashed, then searched for
-    forget signals; flagged rows and the open versions of flagged keys are
-    written masked and the keys are recorded.  Returns the new version's path.
+    """Load ``snapshot`` (taken on ``as_of``) on top of the newest version.
+
+    With no version yet the snapshot starts the history.  With ``forget`` (and
+    forget settings in ``cfg``) the snapshot is hashed, then searched for forget
+    signals; flagged rows and the open versions of flagged keys are written
+    masked and the keys are recorded.  Loading a date that later versions were
+    built after raises (``redo_from``); loading the newest date again replaces
+    it.  Returns the new version's path.
     """
+    newest = latest_version(spark, root)
+    if newest is not None and as_of < newest:
+        raise ValueError(f"{as_of} is older than the newest version {newest}: use redo_from")
+    return _load(spark, root, snapshot, as_of, cfg, compare, forget)
+
+
+def _load(spark, root, snapshot, as_of, cfg, compare="hash", forget=False) -> str:
+    """Load a snapshot on top of the newest version before ``as_of``."""
     from vhist.functions.hashing import with_hash_key
+    from vhist.operators.privacy import anonymise_history, detect_and_anonymise
 
+    _keep_settings(spark, root, cfg)
     if forget:
-        from vhist.operators.privacy import anonymise_history, detect_and_anonymise
-
         hashed = with_hash_key(snapshot, cfg.key_cols, cfg.hash_cols, cfg.hash_mode, cfg.salt, cfg.date_col)
         snapshot, ids = detect_and_anonymise(
             hashed, cfg.key_cols, cfg.signal_pattern, cfg.signal_col, cfg.sensitive_cols, cfg.mask
         )
+        requests = ids.select(*[F.col(k).cast("string").alias(k) for k in cfg.key_cols])
+        requests.write.mode("overwrite").parquet(f"{_at(root, '_forget')}/requested_on={as_of.isoformat()}")
         # forgetting is per key: every row of a flagged key, not only the flagged row
         snapshot = anonymise_history(snapshot, ids, cfg.key_cols, cfg.sensitive_cols, cfg.mask)
-        (
-            ids.select(*[F.col(k).cast("string").alias(k) for k in cfg.key_cols])
-            .write.mode("overwrite")
-            .parquet(f"{_forget(root)}/requested_on={as_of.isoformat()}")
-        )
-    prev = latest_version(spark, root, before=as_of)
-    if prev is None:
+    loads = _loads(spark, root)
+    before = [r for d, r in loads.items() if d < as_of]
+    if not before:
         from vhist.operators.history import build_history
 
-        snap = snapshot.withColumn(cfg.date_col, F.lit(as_of))
-        path = write_version(build_history(snap, cfg), root, as_of)
-        release_broadcast_caches()
-        return path
-    data = _stored(spark, root)
-    open_prev = data.filter((F.col("as_of") == F.lit(prev)) & (F.col("segment") == "open")).drop(*_PARTS)
+        return write_version(build_history(snapshot.withColumn(cfg.date_col, F.lit(as_of)), cfg), root, as_of)
+    previous = max(before, key=lambda r: r.as_of)
+    current = conform(_rows(spark, root, [previous], "open").drop(*_PARTS), spark.createDataFrame([], _schema(before)))
     if forget:
-        open_prev = anonymise_history(open_prev, ids, cfg.key_cols, cfg.sensitive_cols, cfg.mask)
-    deleted = (
-        data.filter((F.col("as_of") <= F.lit(prev)) & (F.col("segment") == "deleted"))
-        .select(*cfg.key_cols, "FirstSnapshot", "IsDeleted")
-    )
-    delta = merge_open_rows(open_prev, snapshot, as_of, cfg, deleted_rows=deleted, compare=compare)
-    path = write_version(delta, root, as_of)
-    release_broadcast_caches()  # the version is written; nothing refers to them any more
-    return path
-
-
-def write_initial(history: DataFrame, root: str, as_of: dt.date) -> str:
+        current = anonymise_history(current, ids, cfg.key_cols, cfg.sensitive_cols, cfg.mask)
+    deleted = _rows(spark, root, before, "deleted").select(*cfg.key_cols, "FirstSnapshot", "IsDeleted")
+    return write_version(merge_open_rows(current, snapshot, as_of, cfg, deleted_rows=deleted, compare=compare), root, as_of)
+
+
+def redo_from(
+    spark: SparkSession,
+    root: str,
+    dates: Iterable[dt.date],
+    read_snapshot: Callable[[dt.date], DataFrame],
+    cfg: HistoryConfig,
+    compare: str = "hash",
+    forget: bool = False,
+) -> list:
+    """Load ``dates`` and every committed version after the earliest of them, in
+    order, each on top of the one before; returns the dates loaded.
+
+    This is the reload of a stored history: versions before the earliest date
+    stay as they are.  A run that ends early is repeated as a whole.
+    """
+    dates = sorted(set(dates))
+    if not dates:
+        return []
+    todo = sorted(set(dates) | {d for d in _loads(spark, root) if d > dates[0]})
+    for d in todo:
+        _load(spark, root, read_snapshot(d), d, cfg, compare, forget)
+    return todo
+
+
+def write_initial(history: DataFrame, root: str, as_of: dt.date, cfg: Optional[HistoryConfig] = None) -> str:
     """Store a history built in bulk (``build_history``) as version ``as_of``."""
+    _keep_settings(history.sparkSession, root, cfg)
     return write_version(history, root, as_of)
 
 
 def purge(spark: SparkSession, root: str, cfg: HistoryConfig) -> int:
-    """Rewrite the stored data with every forget request applied, as a new
+    """Rewrite the data that counts with every forget request applied, as a new
     generation, so forgotten values leave storage (old versions included).
 
-    One read and one write of the data, partitioned as before; readers switch
-    when the generation is logged.  Returns the new generation.
+    Closed versions that are masked get the hash of their masked values: an
+    unsalted hash over personal data could be guessed, and a closed version's
+    hash is never compared again.  Rows are rebalanced by version and segment,
+    so a task does not write a file into every folder.  Returns the generation.
     """
-    from vhist.operators.privacy import mask_versions_up_to
-
-    gen = generation(spark, root)
-    data = _stored(spark, root)
-    cols = [c for c in data.columns if c not in _PARTS]
-    upto = _typed_like(forget_requests(spark, root, cfg), data, cfg.key_cols)
-    masked = mask_versions_up_to(data, upto, cfg).select(*cols, *_PARTS)
-    (
-        masked.write.mode("overwrite")
-        .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
-        .partitionBy(*_PARTS)
-        .parquet(_data(root, gen + 1))
-    )
-    spark.createDataFrame([(gen + 1,)], "generation int").write.mode("append").parquet(_generations(root))
-    return gen + 1
+    loads = _loads(spark, root)
+    if not loads:
+        return 0
+    gen = generation(spark, root) + 1
+    rows = _with_requests(spark, root, _rows(spark, root, list(loads.values()), "open", "closed", "deleted"), cfg)
+    data = [c for c in data_columns(rows) if c not in _PARTS]
+    hidden = (F.col("GDPR_Compliant") == FORGOTTEN) & ~is_open()
+    rehashed = row_hash(list(cfg.hash_cols or data), cfg.hash_mode, cfg.salt)
+    rows = rows.withColumn("RowHashKey", F.when(hidden, rehashed).otherwise(F.col("RowHashKey")))
+    load = uuid.uuid4().hex
+    rows = rows.select(*history_columns(data), "as_of", F.lit(load).alias("load"), "segment")
+    writer = rows.hint("rebalance", "as_of", "segment").write.mode("append").option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
+    writer.partitionBy(*_PARTS).parquet(_at(root, "data"))
+    schema = T.StructType([f for f in rows.schema if f.name not in _PARTS]).json()
+    _commit(spark, root, [(d, load, gen, schema) for d in sorted(loads)])
+    return gen

@@ -60,9 +60,7 @@ def process_load_batch(
     new_dates = [r[0] for r in mine.select("SnapshotDate").distinct().collect()]  # a few dates per batch
     committed = [r[0] for r in store.versions(spark, root).distinct().collect()]  # one row per load
     todo = dates_to_process(new_dates, committed)
-    for d in todo:
-        store.merge_into(spark, root, read_snapshot(d), d, cfg, forget=forget)
-    return todo
+    return store.redo_from(spark, root, todo, read_snapshot, cfg, forget=forget)
 
 
 def load_log_stream(
