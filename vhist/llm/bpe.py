@@ -31,7 +31,7 @@ from vhist.llm.common import batches, text_rows
 
 MIN_CHUNK = 256
 CHUNK_MASK = 0x3FF  # one cut per 1,024 bytes on average
-CACHE_BYTES = 96 << 20
+CACHE_BYTES = 32 << 20
 
 # Fixed value: the byte-level pre-tokenizer's pattern.
 SPLIT_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -71,6 +71,7 @@ class Codec:
         self.inner = tiktoken.Encoding("own", pat_str=SPLIT_PATTERN, mergeable_ranks=ranks, special_tokens=special)
         names = {i: t for t, i in ranks.items()} | {i: t.encode() for t, i in special.items()}
         self.size = max(names) + 1
+        self.dtype = np.uint16 if self.size <= 1 << 16 else np.uint32
         self.token_bytes = [names.get(i, b"") for i in range(self.size)]
         self.lengths = np.array([len(t) for t in self.token_bytes])
         self.decimal = [str(i) for i in range(self.size)]
@@ -103,12 +104,12 @@ class Codec:
                         last = (at, k + 1)
         if first is None or last is None:
             first = last = None
-        hit = (ids, first, last)
+        hit = (np.array(ids, self.dtype), first, last)  # a list would hold an object per id
         self.cache[raw] = hit
-        self.cached += len(raw) + 8 * len(ids) + 200
+        self.cached += _held(raw, hit[0])
         while self.cached > CACHE_BYTES:
             old, (old_ids, _, _) = self.cache.popitem(last=False)
-            self.cached -= len(old) + 8 * len(old_ids) + 200
+            self.cached -= _held(old, old_ids)
         return hit
 
     def encode_chunked(self, raw: bytes) -> list[int]:
@@ -125,10 +126,10 @@ class Codec:
                 pending += piece  # no safe place: the stretch grows
                 continue
             if s == 0:
-                out += ids[: last[1]]
+                out += ids[: last[1]].tolist()
             else:
                 out += self.encode(pending + piece[: first[0]])
-                out += ids[first[1] : last[1]]
+                out += ids[first[1] : last[1]].tolist()
             pending = piece[last[0] :]
         out += self.encode(pending)
         return out
@@ -141,6 +142,11 @@ class Codec:
         return ",".join([self.decimal[i] for i in ids])
 
 
+def _held(raw: bytes, ids: np.ndarray) -> int:
+    """Bytes that a cached chunk takes, its objects' heads included."""
+    return len(raw) + ids.nbytes + 600
+
+
 _SAFE_BEFORE = frozenset(b"abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ")
 
 

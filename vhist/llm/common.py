@@ -58,10 +58,14 @@ def text_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n
     return docs.select(docs[id_col].cast("long").alias("doc_id"), raw.alias("raw"))
 
 
-def batches(rows, *columns):
-    """Per Arrow batch, the given columns as Python lists."""
+def batches(rows, *columns, at_once: int | None = 1024):
+    """The given columns as Python lists, of at most ``at_once`` rows (None: of
+    an Arrow batch), so that Python objects are made for few rows at a time."""
     for batch in rows:
-        yield tuple(batch.column(batch.schema.get_field_index(c)).to_pylist() for c in columns)
+        step = at_once or max(1, batch.num_rows)
+        for s in range(0, max(1, batch.num_rows), step):
+            part = batch.slice(s, step)
+            yield tuple(part.column(part.schema.get_field_index(c)).to_pylist() for c in columns)
 
 
 def sha256_hex(col: Column) -> Column:

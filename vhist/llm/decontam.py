@@ -62,7 +62,7 @@ def _corpus_counts(docs: DataFrame, vocabulary: set) -> dict[bytes, int]:
         total = Counter()
         for (raws,) in batches(rows, "raw"):
             for raw in raws:
-                total.update(filter(known.value.__contains__, words_of(raw)))
+                total.update(filter(known.value.__contains__, words_of(raw)))  # at most the block's words
         yield pa.RecordBatch.from_arrays(
             [pa.array(list(total), pa.binary()), pa.array(list(total.values()), pa.int64())], names=["word", "n"]
         )

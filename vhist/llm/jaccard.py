@@ -43,7 +43,8 @@ TARGET_RECALL = 0.99
 DEPTH = 3
 LIMIT = 256  # members of a bucket that is compared at once
 BLOCK = 1024  # members of a block of a bucket that no pick splits
-CELLS = 8 << 20  # cells of an incidence matrix held at once
+CELLS = 2 << 20  # cells of an incidence matrix held at once
+ROWS = 256  # rows of a pair matrix worked on at once
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _random = np.random.default_rng(23)
@@ -121,27 +122,28 @@ def _first_paths(tokens: np.ndarray, runs: int, factor: float) -> np.ndarray:
 
 
 def _members(documents: DataFrame, runs: int, factor: float, words: int, id_col: str) -> DataFrame:
-    """node, doc_id, key (of the set; null without words), size, paths."""
+    """node, doc_id, text_key, set key (null without words), paths."""
 
     def run(rows):
-        for nodes, ids, raws in batches(rows, "node", "doc_id", "raw"):
+        for nodes, ids, texts, raws in batches(rows, "node", "doc_id", "text_key", "raw"):
             sets = [shingle_set(r, words) for r in raws]
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(nodes, pa.int64()), pa.array(ids, pa.int64()),
+                    pa.array(nodes, pa.int64()), pa.array(ids, pa.int64()), pa.array(texts, pa.int64()),
                     pa.array([xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets], pa.binary()),
-                    pa.array([len(s) for s in sets], pa.int32()),
                     pa.array([_first_paths(s, runs, factor) for s in sets], pa.list_(pa.int64())),
                 ],
-                names=["node", "doc_id", "key", "size", "paths"],
+                names=["node", "doc_id", "text_key", "key", "paths"],
             )
 
-    docs = text_rows(documents, id_col).withColumn("node", F.monotonically_increasing_id())
-    return docs.mapInArrow(run, "node long, doc_id long, key binary, size int, paths array<long>")
+    docs = text_rows(documents, id_col).withColumn("text_key", F.xxhash64("raw")).withColumn("node", F.monotonically_increasing_id())
+    return docs.mapInArrow(run, "node long, doc_id long, text_key long, key binary, paths array<long>")
 
 
 def _candidate_sets(documents: DataFrame, wanted: DataFrame, words: int, id_col: str) -> DataFrame:
-    """node, copies, tokens (bytes) of the wanted (doc_id, key, node, copies)."""
+    """node, copies, tokens (bytes) of the wanted (node, doc_id, text_key, key, copies).
+
+    Rows meet on id and text hash, so rows without id are spread as well."""
 
     def run(rows):
         for nodes, copies, keys, raws in batches(rows, "node", "copies", "key", "raw"):
@@ -155,9 +157,10 @@ def _candidate_sets(documents: DataFrame, wanted: DataFrame, words: int, id_col:
                 [pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.binary()))], names=["node", "copies", "tokens"]
             )
 
-    docs = text_rows(documents, id_col)
-    w = wanted.withColumnRenamed("doc_id", "wanted_id")
-    return docs.join(w, docs["doc_id"].eqNullSafe(w["wanted_id"])).mapInArrow(run, "node long, copies long, tokens binary")
+    docs = text_rows(documents, id_col).withColumn("text_key", F.xxhash64("raw"))
+    w = wanted.select("node", "copies", "key", F.col("doc_id").alias("wanted_id"), F.col("text_key").alias("wanted_text"))
+    met = docs.join(w, (docs["text_key"] == w["wanted_text"]) & docs["doc_id"].eqNullSafe(w["wanted_id"]))
+    return met.select("node", "copies", "key", "raw").mapInArrow(run, "node long, copies long, tokens binary")
 
 
 def _children(big: DataFrame, sets: DataFrame, factor: float) -> DataFrame:
@@ -219,10 +222,12 @@ def _products(sets: list[np.ndarray], split: int | None) -> np.ndarray:
 
 def _roots(linked: np.ndarray) -> np.ndarray:
     """The smallest index that each index is connected with."""
-    label = np.arange(len(linked))
+    label = np.arange(len(linked), dtype=np.int32)
     while True:
-        least = np.where(linked, label[None, :], len(label)).min(1)
-        new = np.minimum(label, least)
+        new = label.copy()
+        for s in range(0, len(label), ROWS):
+            least = np.where(linked[s : s + ROWS], label[None, :], np.int32(len(label))).min(1)
+            new[s : s + ROWS] = np.minimum(label[s : s + ROWS], least)
         new = new[new]
         if (new == label).all():
             return label
@@ -237,29 +242,31 @@ def compare(bucket: int, sides: list[int], nodes: list[int], copies: list[int],
     sides, nodes, copies, sets, met = ([x[i] for i in order] for x in (sides, nodes, copies, sets, met))
     n = len(nodes)
     split = sides.index(1) if cross else None
-    inter = _products(sets, split).astype(np.float64)
     sizes = np.array([len(s) for s in sets], np.float64)
-    a, b = (sizes, sizes) if split is None else (sizes[:split], sizes[split:])
-    linked = inter >= similarity * (a[:, None] + b[None, :] - inter) - 1e-9
-    full = np.zeros((n, n), bool)
+    rows, columns = (slice(0, n), slice(0, n)) if split is None else (slice(0, split), slice(split, n))
+    linked = np.zeros((n, n), bool)
+    _fill(linked[rows, columns], _products(sets, split), lambda x, s: x >= similarity * (sizes[rows][s, None] + sizes[columns][None, :] - x) - 1e-9)
     if split is None:
-        full = linked
-        np.fill_diagonal(full, False)
+        np.fill_diagonal(linked, False)
     else:
-        full[:split, split:] = linked
-        full[split:, :split] = linked.T
-    roots = _roots(full)
-    if full.any():  # pairs that met in an earlier bucket were counted there
-        earlier = [np.array([p for p in m if p < bucket], np.int64).view(np.uint64) for m in met]
-        if any(len(e) for e in earlier):
-            if split is None:
-                full &= _products(earlier, None) == 0
-            else:
-                again = _products(earlier, split) != 0
-                full[:split, split:] &= ~again
-                full[split:, :split] &= ~again.T
-    links = full @ np.array(copies, np.float64)
-    return [(nodes[i], nodes[r], int(k)) for i, (r, k) in enumerate(zip(roots, links)) if k or r != i]
+        linked[columns, rows] = linked[rows, columns].T
+    roots = _roots(linked)
+    earlier = [np.array([p for p in m if p < bucket], np.int64).view(np.uint64) for m in met]
+    if linked.any() and any(len(e) for e in earlier):  # pairs that met in an earlier bucket were counted there
+        first = linked[rows, columns]
+        _fill(first, _products(earlier, split), lambda x, s: first[s] & (x == 0))
+        if split is not None:
+            linked[columns, rows] = first.T
+    weights = np.array(copies, np.float64)
+    links = np.concatenate([linked[s : s + ROWS] @ weights for s in range(0, n, ROWS)])
+    return [(nodes[i], nodes[r], int(k)) for i, (r, k) in enumerate(zip(roots.tolist(), links.tolist())) if k or r != i]
+
+
+def _fill(out: np.ndarray, values: np.ndarray, test) -> None:
+    """``out`` from a test of ``values``, some rows at a time."""
+    for s in range(0, len(values), ROWS):
+        part = slice(s, s + ROWS)
+        out[part] = test(values[part].astype(np.float64), part)
 
 
 def _verified(cells: DataFrame, similarity: float) -> DataFrame:
@@ -307,12 +314,12 @@ def near_duplicates(
     members = written(_members(documents, runs, factor, words, id_col), "members")
     reps = written(
         members.filter("key is not null").groupBy("key").agg(
-            F.min("node").alias("node"), F.min("doc_id").alias("doc_id"), F.count("*").alias("copies"), F.first("paths").alias("paths")
-        ),
+            F.min(F.struct("node", "doc_id", "text_key")).alias("rep"), F.min("doc_id").alias("smallest"), F.count("*").alias("copies"), F.first("paths").alias("paths")
+        ).select("key", "rep.*", "smallest", "copies", "paths"),
         "reps",
     )
     met = _met(reps.select(F.explode("paths").alias("path"), "node").distinct())
-    wanted = reps.select("doc_id", "key", "node", "copies").join(met.select("node").distinct(), "node", "left_semi")
+    wanted = reps.select("node", "doc_id", "text_key", "key", "copies").join(met.select("node").distinct(), "node", "left_semi")
     sets = written(_candidate_sets(documents, wanted, words, id_col), "sets")
     small, big = met.filter(F.col("n") <= limit), met.filter(F.col("n") > limit)
     for _ in range(depth - 1):
@@ -335,8 +342,8 @@ def near_duplicates(
     found = written(_verified(cells, similarity), "found")
     roots = components(found.select(F.col("node").alias("a"), F.col("root").alias("b")))
     links = found.groupBy("node").agg(F.sum("links").alias("links"))
-    classes = reps.select("key", "node", "doc_id", "copies").join(roots, "node", "left").join(links, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    smallest = classes.groupBy("root").agg(F.min("doc_id").alias("class_id"))
+    classes = reps.select("key", "node", "smallest", "copies").join(roots, "node", "left").join(links, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    smallest = classes.groupBy("root").agg(F.min("smallest").alias("class_id"))
     info = written(
         classes.join(smallest, "root").select("key", "class_id", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("links")).filter("links > 0"), "classes"
     )

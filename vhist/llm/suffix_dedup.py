@@ -163,7 +163,7 @@ def _singles(keys: np.ndarray):
 
 def _gram_rows(length: int, gram: int):
     def run(rows):
-        for ids, raws in batches(rows, "id0", "raw"):
+        for ids, raws in batches(rows, "id0", "raw", at_once=None):
             g, owner = [], []
             for a, b in _chunks(raws):
                 _, _, text, _, _, _, h = anchors(raws[a:b], length, gram)
@@ -341,7 +341,7 @@ class LoserTree:
 
 def _run_rows(length: int, gram: int, parts: int):
     def run(rows):
-        for ids, ths, raws, lists in batches(rows, "id0", "th", "raw", "found"):
+        for ids, ths, raws, lists in batches(rows, "id0", "th", "raw", "found", at_once=None):
             spans, windows, contexts = [], [], {}
             for a, b in _chunks(raws):
                 listed = [(x["g"], x["large"]) for found in lists[a:b] for x in found]
