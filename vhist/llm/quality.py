@@ -77,6 +77,10 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("long").cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
+def _sigmoid(f: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(f, -30, 30)))
+
+
 def nn_pu(pos: np.ndarray, unl: np.ndarray, prior: float, steps: int = STEPS):
     """Weights and intercept of the minimiser, by full-batch Adam steps."""
     x = np.vstack([pos, unl]).astype(np.float64)
@@ -88,9 +92,10 @@ def nn_pu(pos: np.ndarray, unl: np.ndarray, prior: float, steps: int = STEPS):
     for t in range(1, steps + 1):
         fp, fu = p @ w, u @ w
         # logistic loss: l(f) = log(1 + exp(-f))
-        g_pos = -prior * (p * (1 / (1 + np.exp(np.clip(fp, -30, 30))))[:, None]).mean(0)
+        sp, su = _sigmoid(fp), _sigmoid(fu)
+        g_pos = prior * (p.T @ (sp - 1)) / len(p)
         rest = np.logaddexp(0, fu).mean() - prior * np.logaddexp(0, fp).mean()
-        g_rest = (u * (1 / (1 + np.exp(-np.clip(fu, -30, 30))))[:, None]).mean(0) - prior * (p * (1 / (1 + np.exp(-np.clip(fp, -30, 30))))[:, None]).mean(0)
+        g_rest = (u.T @ su) / len(u) - prior * (p.T @ sp) / len(p)
         # where the negative risk falls below zero it is overfitted: step back instead
         grad = g_pos + g_rest if rest >= 0 else -g_rest
         grad = grad + DECAY * np.r_[w[:-1], 0.0]
