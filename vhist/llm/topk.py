@@ -15,8 +15,8 @@ partition returns at most k rows per query.
 Defined cases: null vectors, and vectors holding null or non-finite
 components, take no part; neither do rows without id.  Rows repeated under one
 id count once, the smallest vector in component order.  Shorter vectors count
-as padded with zeros.  Ties go to the smaller vec_id.  Scores that a long
-cannot hold are cut to its range.
+as padded with zeros.  Ties go to the smaller vec_id.  Components and scores
+that a long cannot hold are cut to plus or minus 2^63 - 1.
 """
 
 from __future__ import annotations
@@ -62,7 +62,7 @@ def rotation(rows: DataFrame, width: int) -> np.ndarray:
         total = np.zeros((width, width))
         for (vs,) in batches(batches_, "v"):
             m = _matrix(vs, width)
-            m /= max(1.0, np.abs(m).max(initial=0.0))
+            m /= np.maximum(1.0, np.abs(m).max(axis=1, initial=0.0))[:, None]  # only directions matter
             total += m.T @ m
         yield pa.RecordBatch.from_arrays([pa.array(range(width), pa.int32()), pa.array(list(total), pa.list_(pa.float64()))], names=["i", "row"])
 
@@ -78,7 +78,7 @@ def _exact(q: np.ndarray, c: np.ndarray) -> np.ndarray:
     """Inner products of matching rows as integers."""
     if (np.abs(q).max(initial=0) * np.abs(c).max(initial=0)) * q.shape[1] < _EXACT:
         return np.einsum("ij,ij->i", q, c).astype(np.int64)
-    top, low = (1 << 63) - 1, -(1 << 63)
+    top, low = (1 << 63) - 1, 1 - (1 << 63)  # negating either stays in range
     return np.array([min(top, max(low, sum(int(x) * int(y) for x, y in zip(a, b)))) for a, b in zip(q, c)], np.int64)
 
 
