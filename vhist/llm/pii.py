@@ -2,9 +2,9 @@
 
 Everything here is DataFrame functions.  Strict generators, one per kind, give
 the base spans: leftmost non-overlapping matches, failing ones dropped, the
-others always kept.  Loose generators propose more spans (national phone
-numbers, addresses written with "at" and "dot", cards with other separators,
-IPv6).  Format and context of every candidate become small binned features;
+others always kept.  Loose generators propose more spans (numbers that the
+strict pattern joined with digits beside them, national phone numbers,
+addresses written with "at" and "dot", cards with other separators, IPv6).  Format and context of every candidate become small binned features;
 the trees learn from the corpus which candidates pass their kind's validation,
 from all documents' candidates aggregated into feature cells, and a threshold
 calibrated on a fifth of the documents decides on the loose ones.  A loose span
@@ -38,48 +38,52 @@ BASE_PATTERNS = {
     "card": r"[0-9](?:[\x20-]?[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
-LOOSE_PATTERNS = {
-    "email": rf"(?<![{_LOCAL}])[{_LOCAL}]{{1,64}}+ ?(?:\[at\]|\(at\)|\{{at\}}) ?[A-Za-z0-9-]++(?: ?(?:\[dot\]|\(dot\)|\{{dot\}}|\.) ?[A-Za-z0-9-]++){{1,8}}+",
-    "ip": r"(?<![0-9A-Fa-f:])(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}(?![0-9A-Fa-f:])",
-    "card": r"(?<![0-9])[0-9](?:[\x20._/-]{0,2}[0-9]){11,18}+(?![0-9])",
-    "phone": r"(?<![0-9+])\(?[0-9]{2,4}\)?(?:[\x20./-][0-9]{2,4}){2,4}+(?![0-9])",
-}
-# A cheap test that any match of the kind passes.
+# Kind, pattern, and a cheap test that any match passes.
+LOOSE_PATTERNS = [
+    ("email", rf"(?<![{_LOCAL}])[{_LOCAL}]{{1,64}}+ ?(?:\[at\]|\(at\)|\{{at\}}) ?[A-Za-z0-9-]++(?: ?(?:\[dot\]|\(dot\)|\{{dot\}}|\.) ?[A-Za-z0-9-]++){{1,8}}+", r"[\[({]at[\])}]"),
+    ("ip", r"(?<![0-9A-Fa-f:])(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}(?![0-9A-Fa-f:])", "[0-9]"),
+    # a number that the strict pattern joined with digits beside it
+    ("card", r"(?<![0-9])[0-9]{12,19}+(?![0-9])", "[0-9]{12}"),
+    ("card", r"(?<![0-9])[0-9](?:[\x20._/-]{0,2}[0-9]){11,18}+(?![0-9])", "[0-9]"),
+    ("phone", r"\+[0-9]{1,3}[\x20.-]?(?:\([0-9]{2,4}\)|[0-9]{2,4})[\x20.-]?[0-9]{3,4}[\x20.-][0-9]{3,4}(?![0-9])", r"\+[0-9]"),
+    ("phone", r"(?<![0-9+])\(?[0-9]{2,4}\)?(?:[\x20./-][0-9]{2,4}){2,4}+(?![0-9])", "[0-9]"),
+]
+# What any match of a strict pattern holds.
 _MAY = {"email": "@", "ip": ".", "phone": "+"}
 _WORDS = r"(?i)(mail|contact|kontakt|correo|courriel|phone|tel|call|fax|mobil|card|visa|carte|karte|tarjeta|host|server|address|ip)\W{0,4}$"
 
 FEATURES = ["kind_no", "loose", "digits", "breaks", "size", "luhn", "before", "after", "cue"]
 
 
-def _found(text: Column, kind: str, loose: bool) -> Column:
-    """Array of (kind_no, loose, i, gap, span, left, right) in order of place."""
-    pattern = F.lit((LOOSE_PATTERNS if loose else BASE_PATTERNS)[kind])
-    spans, gaps = F.regexp_extract_all(text, pattern, F.lit(0)), F.split(text, pattern)
-    number = KINDS.index(kind)
+def _found(text: Column, kind: str, generator: int, pattern: str, may: Column) -> Column:
+    """Array of (kind_no, loose, i, gap, span, left, right) in order of place;
+    ``loose`` is the generator's number, 0 for the strict one."""
+    spans, gaps = F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.split(text, F.lit(pattern))
     rows = F.transform(
         F.arrays_zip(spans.alias("span"), F.slice(gaps, 1, F.size(spans)).alias("left"), F.slice(gaps, 2, F.size(spans)).alias("right")),
         lambda x, i: F.struct(
-            F.lit(number).alias("kind_no"), F.lit(int(loose)).alias("loose"), i.alias("i"), F.length(x["left"]).alias("gap"), x["span"].alias("span"),
+            F.lit(KINDS.index(kind)).alias("kind_no"), F.lit(generator).alias("loose"), i.alias("i"), F.length(x["left"]).alias("gap"), x["span"].alias("span"),
             F.right(x["left"], F.lit(CONTEXT)).alias("left"), F.left(x["right"], F.lit(CONTEXT)).alias("right"),
         ),
     )
-    if loose:
-        may = F.contains(F.lower(text), F.lit("at")) & text.rlike(r"[\[({]at[\])}]") if kind == "email" else text.rlike("[0-9]")
-    else:
-        may = F.contains(text, F.lit(_MAY[kind])) if kind in _MAY else F.lit(True)
-        if kind != "email":
-            may = may & text.rlike("[0-9]")
     none = F.array().cast("array<struct<kind_no:int,loose:int,i:int,gap:int,span:string,left:string,right:string>>")
     return F.when(may, rows).otherwise(none)
 
 
+def _generated(text: Column) -> Column:
+    """The spans of all generators."""
+    digit = text.rlike("[0-9]")
+    strict = [(k, 0, p, F.contains(text, F.lit(_MAY[k])) & (digit if k != "email" else F.lit(True)) if k in _MAY else digit) for k, p in BASE_PATTERNS.items()]
+    loose = [(k, n + 1, p, text.rlike(test)) for n, (k, p, test) in enumerate(LOOSE_PATTERNS)]
+    return F.concat(*[_found(text, *g) for g in strict + loose])
+
+
 def candidates(documents: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """A row per candidate span (and one, without span, per document that has
     none): row_id, doc_id, text_key, kind_no, loose, start, end, valid, features."""
     text = F.coalesce(documents["text"].cast("string"), F.lit(""))
     docs = documents.select(documents[id_col].cast("long").alias("doc_id"), text.alias("text")).withColumn("row_id", F.monotonically_increasing_id())
-    found = [_found(F.col("text"), k, loose) for loose in (False, True) for k in KINDS]
-    rows = docs.select("row_id", "doc_id", F.xxhash64("text").alias("text_key"), F.explode_outer(F.concat(*found)).alias("x")).select("row_id", "doc_id", "text_key", "x.*")
+    rows = docs.select("row_id", "doc_id", F.xxhash64("text").alias("text_key"), F.explode_outer(_generated(F.col("text"))).alias("x")).select("row_id", "doc_id", "text_key", "x.*")
     # offsets: what stands before a span of its generator, by a running sum in the document
     before = Window.partitionBy("row_id", "kind_no", "loose").orderBy("i").rowsBetween(Window.unboundedPreceding, 0)
     size = F.length("span")
@@ -137,13 +141,13 @@ def chosen_spans(rows: DataFrame, precision: float = PRECISION) -> DataFrame:
     ahead = F.min(F.when(F.col("base"), F.col("start"))).over(row.rowsBetween(1, Window.unboundedFollowing))
     marked = marked.withColumn("reach", reach).withColumn("ahead", ahead)
     clear = (F.coalesce("reach", F.lit(-1)) <= F.col("start")) & (F.coalesce("ahead", F.col("end")) >= F.col("end"))
-    added = (F.col("loose") == 1) & F.col("valid") & clear & (score >= least) if least != float("inf") else F.lit(False)
+    added = (F.col("loose") > 0) & F.col("valid") & clear & (score >= least) if least != float("inf") else F.lit(False)
     return marked.withColumn("added", F.coalesce(added, F.lit(False)))
 
 
 def _joined(condition: Column) -> Column:
     """The spans under a condition as kind:start:end by start, then kind."""
-    spans = F.array_sort(F.collect_list(F.when(condition, F.struct("start", "kind_no", "end"))))
+    spans = F.array_sort(F.array_distinct(F.collect_list(F.when(condition, F.struct("start", "kind_no", "end")))))
     kinds = F.array(*[F.lit(k) for k in KINDS])
     text = F.transform(spans, lambda s: F.concat_ws(":", F.get(kinds, s["kind_no"]), s["start"].cast("string"), s["end"].cast("string")))
     return F.array_join(text, ",")
@@ -172,14 +176,13 @@ def redact(documents: DataFrame, precision: float = PRECISION) -> DataFrame:
     # repeated rows hold the same spans, so one of each (doc_id, text) suffices
     per = runs.groupBy("row_id").agg(F.first("d").alias("d"), F.first("t").alias("t"), F.array_sort(F.collect_list(F.struct("s", "e", "k.kind_no"))).alias("runs"))
     per = per.dropDuplicates(["d", "t"]).drop("row_id")
-    text = F.coalesce(F.col("text"), F.lit(""))
-    docs = documents.withColumn("text_key__", F.xxhash64(text)).withColumn("id_key__", F.col("doc_id").cast("long"))
-    joined = docs.join(per, docs["id_key__"].eqNullSafe(per["d"]) & (docs["text_key__"] == per["t"]), "left")
+    # the documents' own columns travel in a struct, whatever their names are
+    text = F.coalesce(documents["text"].cast("string"), F.lit(""))
+    docs = documents.select(F.struct(*[documents[c] for c in documents.columns]).alias("doc"), text.alias("whole"), documents["doc_id"].cast("long").alias("id"))
+    joined = docs.join(per, F.col("id").eqNullSafe(F.col("d")) & (F.xxhash64("whole") == F.col("t")), "left")
     marks = F.array(*[F.lit(f"[{k.upper()}]") for k in KINDS])
-    pieces = F.transform("runs", lambda r, i: F.concat(
-        text.substr(F.when(i == 0, F.lit(1)).otherwise(F.get("runs", i - 1)["e"].cast("int") + 1), (r["s"] - F.when(i == 0, F.lit(0)).otherwise(F.get("runs", i - 1)["e"])).cast("int")),
-        F.get(marks, r["kind_no"]),
-    ))
-    tail = F.expr("substring(text, cast(element_at(runs, -1).e as int) + 1)")
-    redacted = F.when(F.col("runs").isNull(), F.col("text")).otherwise(F.concat(F.array_join(pieces, ""), tail))
-    return joined.withColumn("text", redacted).select(*documents.columns)
+    before = lambda i: F.when(i == 0, F.lit(0)).otherwise(F.get("runs", i - 1)["e"]).cast("int")
+    pieces = F.transform("runs", lambda r, i: F.concat(F.col("whole").substr(before(i) + 1, r["s"].cast("int") - before(i)), F.get(marks, r["kind_no"])))
+    tail = F.expr("substring(whole, cast(element_at(runs, -1).e as int) + 1)")
+    redacted = F.when(F.col("runs").isNull(), F.col("doc.text")).otherwise(F.concat(F.array_join(pieces, ""), tail))
+    return joined.select(*[redacted.alias(c) if c == "text" else F.col("doc").getField(c).alias(c) for c in documents.columns])
