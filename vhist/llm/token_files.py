@@ -102,11 +102,11 @@ def token_counts(
     after = Window.partitionBy("file").orderBy(F.col("at").desc())
     stitched = (
         found.withColumn("n_before", F.coalesce(F.sum(F.size("ends")).over(before), F.lit(0)))
-        .withColumn("last_before", F.coalesce(F.last(F.expr("element_at(ends, -1)"), ignorenulls=True).over(before), F.lit(-1)))
+        .withColumn("last_before", F.coalesce(F.last(F.expr("try_element_at(ends, -1)"), ignorenulls=True).over(before), F.lit(-1)))
         .withColumn("is_last", F.row_number().over(after) == 1)
     )
     # a file's unfinished end counts as a document that ends at the file's end
-    last_end = F.when(F.size("ends") > 0, F.expr("element_at(ends, -1)")).otherwise(F.col("last_before"))
+    last_end = F.when(F.size("ends") > 0, F.expr("try_element_at(ends, -1)")).otherwise(F.col("last_before"))
     stitched = stitched.withColumn("ends", F.when(F.col("is_last") & (last_end < F.col("n") - 1), F.array_append("ends", F.col("n"))).otherwise(F.col("ends")))
     # a document starts after the separator before it: the block's own, or the carried one
     each = stitched.withColumn("starts", F.expr("concat(array(last_before + 1), transform(ends, e -> e + 1))")).select(
