@@ -29,7 +29,8 @@ EXPECTED = {
     "schema_evolution": {"events[5c]": 2, "events[1c]": 1},
     "inserted_rows": {"events[5c]": 2, "events[1c]": 1},
     # the history, and the snapshots from the restore date on
-    "reload": {"events[5c]": 2, "events[1c]": 1, "events[2c]": 1},
+    # (two columns: the reloaded dates, for the calendar and for the first of them)
+    "reload": {"events[5c]": 2, "events[1c]": 1, "events[2c]": 2},
     # monthly orders with the customer's name: orders once in full, customer's two columns once
     "history_incremental": {"orders[5c]": 1, "orders[1c]": 1, "customer[2c]": 1},
     "rollback_incremental": {"orders[5c]": 1, "orders[1c]": 1, "customer[2c]": 1},
@@ -39,8 +40,9 @@ EXPECTED = {
     "history_forgetting": {"orders[5c]": 1, "orders[1c]": 1, "customer[2c]": 1},
     # the history once; the reloaded months, and their forget signals (two columns)
     "reload_forgetting": {"orders[5c]": 2, "orders[1c]": 1, "orders[2c]": 2, "customer[2c]": 3},
-    # the earlier months and the processed month
-    "process_snapshot": {"orders[5c]": 2, "orders[1c]": 1, "customer[2c]": 2},
+    # the earlier months and the processed month; its forget ids (two columns) are
+    # joined, without a cache, with the snapshot and with open and closed versions
+    "process_snapshot": {"orders[5c]": 2, "orders[1c]": 1, "orders[2c]": 3, "customer[2c]": 5},
     # the history, and the forget ids of one snapshot (two columns)
     "rtbf_history": {"orders[5c]": 1, "orders[1c]": 1, "orders[2c]": 1, "customer[2c]": 2},
 }
