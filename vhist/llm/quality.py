@@ -19,6 +19,8 @@ are scored each.
 
 from __future__ import annotations
 
+import operator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -45,12 +47,14 @@ def _class_table() -> np.ndarray:
 
 
 _CLASS = _class_table()
-N_FEATURES = _CLASSES + _CLASSES * _CLASSES + 5
+N_FIGURES = 6  # of words and lines
+N_FEATURES = _CLASSES + _CLASSES * _CLASSES + N_FIGURES
 
 
 def features(raw: bytes) -> np.ndarray:
     """Square roots of the shares of character classes and of their pairs, and
-    five figures of words and lines."""
+    figures of words and lines: length, distinct words, word length, words that
+    repeat the one before, distinct lines, line length."""
     out = np.zeros(N_FEATURES, np.float32)
     if not raw:
         return out
@@ -58,15 +62,16 @@ def features(raw: bytes) -> np.ndarray:
     out[:_CLASSES] = np.bincount(c, minlength=_CLASSES) / len(c)
     if len(c) > 1:
         pairs = np.bincount(c[:-1].astype(np.int64) * _CLASSES + c[1:], minlength=_CLASSES * _CLASSES)
-        out[_CLASSES : -5] = pairs / (len(c) - 1)
+        out[_CLASSES:-N_FIGURES] = pairs / (len(c) - 1)
     out = np.sqrt(out)
     words = words_of(raw)
     lines = [x for x in raw.split(b"\n") if x]
     n = max(1, len(words))
-    out[-5:] = (
+    out[-N_FIGURES:] = (
         np.log1p(len(raw)) / 10,
         len(set(words)) / n,
         np.sqrt(len(raw) / n) / 10,
+        np.sqrt(sum(map(operator.eq, words, words[1:])) / n),
         len(set(lines)) / max(1, len(lines)),
         np.log1p(len(raw) / max(1, len(lines))) / 10,
     )
