@@ -177,9 +177,10 @@ def redact(documents: DataFrame, precision: float = PRECISION) -> DataFrame:
     per = runs.groupBy("row_id").agg(F.first("d").alias("d"), F.first("t").alias("t"), F.array_sort(F.collect_list(F.struct("s", "e", "k.kind_no"))).alias("runs"))
     per = per.dropDuplicates(["d", "t"]).drop("row_id")
     # the documents' own columns travel in a struct, whatever their names are
-    text = F.coalesce(documents["text"].cast("string"), F.lit(""))
-    docs = documents.select(F.struct(*[documents[c] for c in documents.columns]).alias("doc"), text.alias("whole"), documents["doc_id"].cast("long").alias("id"))
-    joined = docs.join(per, F.col("id").eqNullSafe(F.col("d")) & (F.xxhash64("whole") == F.col("t")), "left")
+    whole = lambda c: F.coalesce(c.cast("string"), F.lit(""))
+    key = F.xxhash64(whole(documents["text"])).alias("key")
+    docs = documents.select(F.struct(*[documents[c] for c in documents.columns]).alias("doc"), documents["doc_id"].cast("long").alias("id"), key)
+    joined = docs.join(per, F.col("id").eqNullSafe(F.col("d")) & (F.col("key") == F.col("t")), "left").withColumn("whole", whole(F.col("doc.text")))
     marks = F.array(*[F.lit(f"[{k.upper()}]") for k in KINDS])
     before = lambda i: F.when(i == 0, F.lit(0)).otherwise(F.get("runs", i - 1)["e"]).cast("int")
     pieces = F.transform("runs", lambda r, i: F.concat(F.col("whole").substr(before(i) + 1, r["s"].cast("int") - before(i)), F.get(marks, r["kind_no"])))
