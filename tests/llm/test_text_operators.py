@@ -51,7 +51,7 @@ def test_chunked_encoding_equals_the_library(library, pieces, cut):
 
 def test_every_single_token_equals_the_library(library):
     c = bpe.codec(PATH)
-    for raw in c.token_bytes[::7]:
+    for raw in c.token_bytes:
         try:
             text = raw.decode()
         except UnicodeDecodeError:

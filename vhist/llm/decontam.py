@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vhist.llm.common import batches, text_rows, words_of
+from vhist.llm.common import batches, text_rows, words_of, written
 
 WINDOW = 10
 BLOCK_WINDOWS = 100_000
@@ -133,6 +133,8 @@ def contamination(
     docs = text_rows(documents, id_col).withColumn("row_id", F.monotonically_increasing_id())
     cuts = item_windows(items, window)
     blocks = max(1, -(-cuts.count() // block_windows))
+    if blocks > 1:
+        docs = written(docs, "texts")  # each pass must see the same row ids
     scans = []
     for b in range(blocks):
         # hash blocks: about block_windows windows of at most `window` words each
