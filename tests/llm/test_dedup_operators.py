@@ -169,6 +169,35 @@ def test_recall_at_the_threshold():
     assert found / n >= 0.99
 
 
+def test_defaults_find_all_links_of_a_large_group(spark):
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choices("abcdefghij", k=5))
+    base, texts = [word() for _ in range(240)], []
+    for _ in range(600):  # unequal cuts of one text, some words replaced
+        t = base[rng.randint(0, 8) : rng.randint(215, 240)]
+        for _ in range(rng.randint(0, 4)):
+            t[rng.randrange(len(t))] = word()
+        texts.append(" ".join(t))
+    assert len(set(texts)) > 2 * jaccard.LIMIT
+    ids = list(range(len(texts)))
+    got = {r.doc_id: r.n_links for r in jaccard.near_duplicates(frame(spark, texts).repartition(4)).collect()}
+    assert got == {i: n for i, _, n in plain_classes(texts, ids)}
+
+
+def test_target_recall_holds_through_all_levels():
+    rng = np.random.default_rng(5)
+    factor = jaccard.SIMILARITY * 0.97
+    runs, found, n = jaccard.runs_for(jaccard.TARGET_RECALL, jaccard.DEPTH, factor / jaccard.SIMILARITY), 0, 2000
+    for _ in range(n):
+        x = np.unique(rng.integers(0, 1 << 63, 200, dtype=np.uint64))
+        y = x[np.sort(rng.permutation(len(x))[:160])]  # a subset at the threshold: the worst case
+        paths = np.intersect1d(jaccard._first_paths(x, runs, factor), jaccard._first_paths(y, runs, factor))
+        for _ in range(jaccard.DEPTH - 1):
+            paths = np.concatenate([np.zeros(0, np.int64), *[np.intersect1d(jaccard._picks(x, p, factor), jaccard._picks(y, p, factor)) for p in paths.tolist()]])
+        found += bool(len(paths))
+    assert found / n >= 0.999
+
+
 def test_components_of_paths_stars_and_loops(spark):
     edges = [(i, i + 1) for i in range(50)] + [(100, 100 + i) for i in range(200)] + [(7, 7), (500, 500), (300, 301), (301, 300)]
     got = {r.node: r.root for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}

@@ -6,9 +6,12 @@ run picks from each set the shared tokens whose hash is below 1 / (c |x|), so
 similar sets expect about one common pick; a pick puts the set into that
 token's bucket.  Buckets of more than ``limit`` members are split again by a
 pick under a hash of the path so far, down to ``depth`` picks; what still is
-large (a large group of near copies) is cut into blocks.  Small buckets and
+large (a large group of near copies) is cut into blocks.  Of small buckets,
+members whose size allows no link there and buckets that lie within another
+one are left out, which loses no pair.  Small buckets and
 pairs of blocks are compared by brute force with exact intersections.  Runs
-are repeated until a pair at the threshold is found with the target recall.
+are repeated until a pair at the threshold is found with the target recall,
+even where all its buckets are split down to the last level.
 
 Pairs are never written.  A bucket returns, per member, the smallest member it
 is connected with there and its number of links; a pair that meets in several
@@ -39,7 +42,7 @@ from vhist.llm.components import components
 
 WORDS = 5
 SIMILARITY = 0.8
-TARGET_RECALL = 0.99
+TARGET_RECALL = 0.9999  # of a pair at the threshold that every level must keep
 DEPTH = 3
 LIMIT = 256  # members of a bucket that is compared at once
 BLOCK = 1024  # members of a block of a bucket that no pick splits
@@ -118,11 +121,11 @@ def _picks(tokens: np.ndarray, path: int, factor: float) -> np.ndarray:
 def _first_paths(tokens: np.ndarray, runs: int, factor: float) -> np.ndarray:
     if len(tokens) < 4:  # smaller sets reach no similarity of 0.8 but with equal sets
         return np.zeros(0, np.int64)
-    return np.concatenate([_picks(tokens, -1 - r, factor) for r in range(runs)])
+    return np.unique(np.concatenate([_picks(tokens, -1 - r, factor) for r in range(runs)]))
 
 
 def _members(documents: DataFrame, runs: int, factor: float, words: int, id_col: str) -> DataFrame:
-    """node, doc_id, text_key, set key (null without words), paths."""
+    """node, doc_id, text_key, set key (null without words), set size, paths."""
 
     def run(rows):
         for nodes, ids, texts, raws in batches(rows, "node", "doc_id", "text_key", "raw"):
@@ -131,13 +134,13 @@ def _members(documents: DataFrame, runs: int, factor: float, words: int, id_col:
                 [
                     pa.array(nodes, pa.int64()), pa.array(ids, pa.int64()), pa.array(texts, pa.int64()),
                     pa.array([xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets], pa.binary()),
-                    pa.array([_first_paths(s, runs, factor) for s in sets], pa.list_(pa.int64())),
+                    pa.array([len(s) for s in sets], pa.int32()), pa.array([_first_paths(s, runs, factor) for s in sets], pa.list_(pa.int64())),
                 ],
-                names=["node", "doc_id", "text_key", "key", "paths"],
+                names=["node", "doc_id", "text_key", "key", "size", "paths"],
             )
 
     docs = text_rows(documents, id_col).withColumn("text_key", F.xxhash64("raw")).withColumn("node", F.monotonically_increasing_id())
-    return docs.mapInArrow(run, "node long, doc_id long, text_key long, key binary, paths array<long>")
+    return docs.mapInArrow(run, "node long, doc_id long, text_key long, key binary, size int, paths array<long>")
 
 
 def _candidate_sets(documents: DataFrame, wanted: DataFrame, words: int, id_col: str) -> DataFrame:
@@ -164,31 +167,52 @@ def _candidate_sets(documents: DataFrame, wanted: DataFrame, words: int, id_col:
 
 
 def _children(big: DataFrame, sets: DataFrame, factor: float) -> DataFrame:
-    """(path, node) one pick further down from (path, node)."""
+    """(path, node, size) one pick further down from (path, node)."""
 
     def run(rows):
         for nodes, tokens, paths in batches(rows, "node", "tokens", "paths"):
-            out_nodes, out_paths = [], []
+            out_nodes, out_paths, out_sizes = [], [], []
             for node, t, ps in zip(nodes, tokens, paths):
                 t = np.frombuffer(t, np.uint64)
                 got = np.concatenate([_picks(t, p, factor) for p in ps])
                 out_nodes.append(np.full(len(got), node))
                 out_paths.append(got)
+                out_sizes.append(np.full(len(got), len(t)))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(x) if x else [], pa.int64()) for x in (out_paths, out_nodes)], names=["path", "node"]
+                [pa.array(np.concatenate(x) if x else [], pa.int64()) for x in (out_paths, out_nodes, out_sizes)], names=["path", "node", "size"]
             )
 
     per = big.groupBy("node").agg(F.collect_list("path").alias("paths"))
-    return sets.select("node", "tokens").join(per, "node").mapInArrow(run, "path long, node long").distinct()
+    return sets.select("node", "tokens").join(per, "node").mapInArrow(run, "path long, node long, size long").distinct()
 
 
 def _met(rows: DataFrame) -> DataFrame:
-    """(path, node, n) of the buckets with at least two members."""
+    """(path, node, size, n) of the buckets with at least two members."""
     rows = written(rows, "picks")
     counts = written(rows.groupBy("path").agg(F.count("*").alias("n")).filter("n > 1"), "counts")
     return written(rows.join(counts, "path"), "met")
 
 
+def _buckets(small: DataFrame, similarity: float) -> DataFrame:
+    """(nodes, bucket) of small buckets: members that no other's size lets be
+    similar enough leave, and buckets with the same members are one."""
+    by_size = small.groupBy("path").agg(F.array_sort(F.collect_list(F.struct("size", "node"))).alias("m"))
+    close = lambda a, b: F.coalesce(a["size"] >= similarity * b["size"] - 1e-6, F.lit(False))
+    near = F.filter("m", lambda x, i: (close(F.get("m", i - 1), x) & (i > 0)) | close(x, F.get("m", i + 1)))
+    lists = by_size.select("path", F.array_sort(F.transform(near, lambda x: x["node"])).alias("nodes")).filter(F.size("nodes") > 1)
+    return lists.groupBy("nodes").agg(F.min("path").alias("bucket"))
+
+
+def _largest(buckets: DataFrame) -> DataFrame:
+    """(bucket, node) without the buckets whose members all have one other as
+    their largest bucket, which compares their pairs too."""
+    own = buckets.groupBy("nodes").agg(F.min("bucket").alias("bucket")).select("bucket", F.size("nodes").alias("n"), F.explode("nodes").alias("node"))
+    own = written(own, "members")
+    top = own.groupBy("node").agg(F.max(F.struct("n", "bucket")).alias("top")).select("node", F.col("top.bucket").alias("top"))
+    covered = own.join(top, "node").groupBy("bucket").agg(F.min("top").alias("a"), F.max("top").alias("b")).filter("a = b and a <> bucket")
+    return own.join(covered.select("bucket"), "bucket", "left_anti").select("bucket", "node")
+
+
 # ------------------------------------------------------------- brute force
 
 
@@ -314,22 +338,21 @@ def near_duplicates(
     members = written(_members(documents, runs, factor, words, id_col), "members")
     reps = written(
         members.filter("key is not null").groupBy("key").agg(
-            F.min(F.struct("node", "doc_id", "text_key")).alias("rep"), F.min("doc_id").alias("smallest"), F.count("*").alias("copies"), F.first("paths").alias("paths")
-        ).select("key", "rep.*", "smallest", "copies", "paths"),
+            F.min(F.struct("node", "doc_id", "text_key")).alias("rep"), F.min("doc_id").alias("smallest"), F.count("*").alias("copies"), F.first("size").alias("size"), F.first("paths").alias("paths")
+        ).select("key", "rep.*", "smallest", "copies", "size", "paths"),
         "reps",
     )
-    met = _met(reps.select(F.explode("paths").alias("path"), "node").distinct())
-    wanted = reps.select("node", "doc_id", "text_key", "key", "copies").join(met.select("node").distinct(), "node", "left_semi")
+    met = _met(reps.select(F.explode("paths").alias("path"), "node", F.col("size").cast("long").alias("size")))
+    buckets, big = written(_buckets(met.filter(F.col("n") <= limit), similarity), "buckets"), met.filter(F.col("n") > limit)
+    asked = buckets.select(F.explode("nodes").alias("node")).unionByName(big.select("node")).distinct()
+    wanted = reps.select("node", "doc_id", "text_key", "key", "copies").join(asked, "node", "left_semi")
     sets = written(_candidate_sets(documents, wanted, words, id_col), "sets")
-    small, big = met.filter(F.col("n") <= limit), met.filter(F.col("n") > limit)
     for _ in range(depth - 1):
         if big.isEmpty():
             break
         met = _met(_children(big, sets, factor))
-        small, big = small.unionByName(met.filter(F.col("n") <= limit)), met.filter(F.col("n") > limit)
-    # buckets with the same members are one bucket
-    lists = small.groupBy("path").agg(F.array_sort(F.collect_list("node")).alias("nodes"))
-    one = lists.groupBy("nodes").agg(F.min("path").alias("bucket")).select("bucket", F.lit(1).cast("long").alias("blocks"), F.explode("nodes").alias("node"))
+        buckets, big = buckets.unionByName(_buckets(met.filter(F.col("n") <= limit), similarity)), met.filter(F.col("n") > limit)
+    one = _largest(buckets).select("bucket", F.lit(1).cast("long").alias("blocks"), "node")
     large = big.select(F.col("path").alias("bucket"), F.ceil(F.col("n") / block).cast("long").alias("blocks"), "node")
     assigned = written(one.unionByName(large), "assigned")
     own = F.pmod(F.xxhash64("node"), F.col("blocks"))
