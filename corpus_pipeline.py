@@ -11,38 +11,52 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vhist.llm import bpe, decontam, jaccard, pii, quality
-from vhist.llm.common import scratch_path, table
+from vhist.llm.common import scratch_path, table, written
 from vhist.llm.shipping import ship_package
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
-def _without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
-    """The documents whose id is not among the rejected (rows without id stay)."""
-    ids = rejected.select("doc_id").distinct()
-    return docs.select(*COLUMNS).join(ids, "doc_id", "left_anti").select(*COLUMNS)
+def _keyed(docs: DataFrame) -> DataFrame:
+    """The documents with ``row_key``, a hash of id and text, so that rows
+    without id and different texts under one id are told apart."""
+    text = docs["text"].cast("string")
+    return docs.select(*COLUMNS, F.xxhash64(docs["doc_id"].cast("long"), docs["doc_id"].isNull(), text, text.isNull()).alias("row_key"))
+
+
+def _without(keyed: DataFrame, rejected: DataFrame) -> DataFrame:
+    """The documents whose key is not among the rejected."""
+    return keyed.join(rejected.select("row_key").distinct(), "row_key", "left_anti")
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier rejects go."""
-    scores = quality.quality_scores(docs, table(spark, sf_dir, "labels"))
-    return _without(docs, scores.filter("predicted = 0"))
+    keyed = _keyed(docs)
+    weights, intercept, _ = quality.fit(docs, table(spark, sf_dir, "labels"))
+    scores = quality.score(keyed.select(F.col("row_key").alias("doc_id"), "text"), weights, intercept)
+    return _without(keyed, scores.filter("predicted = 0").withColumnRenamed("doc_id", "row_key")).select(*COLUMNS)
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate class stays: the one with the
-    smallest id.  Equal rows under that id stay once; rows without id all stay."""
-    linked = jaccard.near_duplicates(docs).filter("n_links > 0 and doc_id is not null")
-    kept = _without(docs, linked.filter("doc_id <> class_id"))
-    repeated = linked.filter("doc_id = class_id").groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1")
-    once = kept.join(repeated.select("doc_id"), "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
-    return _without(kept, repeated).unionByName(once.select(*COLUMNS))
+    """One row of each near-duplicate class stays: of the smallest id (rows
+    without id last), and of the smallest key among its texts."""
+    keyed = _keyed(docs)
+    linked = written(jaccard.near_duplicates(keyed, id_col="row_key").filter("n_links > 0").withColumnRenamed("doc_id", "row_key"), "linked")
+    counts = linked.groupBy("row_key").agg(F.first("class_id").alias("class_id"), F.count("*").alias("n"))
+    ids = keyed.select("row_key", "doc_id").distinct()
+    order = F.struct(F.col("doc_id").isNull().alias("without"), "doc_id", "row_key")
+    stays = counts.join(ids, "row_key").groupBy("class_id").agg(F.min(order).alias("s")).select("s.row_key")
+    kept = _without(keyed, counts.join(stays, "row_key", "left_anti"))
+    repeated = counts.filter("n > 1").select("row_key")
+    once = kept.join(repeated, "row_key", "left_semi").dropDuplicates(["row_key"])
+    return _without(kept, repeated).unionByName(once).select(*COLUMNS)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark window go."""
-    found = decontam.contamination(docs, table(spark, sf_dir, "benchmark"))
-    return _without(docs, found.filter("contaminated"))
+    keyed = _keyed(docs)
+    found = decontam.contamination(keyed, table(spark, sf_dir, "benchmark"), id_col="row_key")
+    return _without(keyed, found.filter("contaminated").withColumnRenamed("doc_id", "row_key")).select(*COLUMNS)
 
 
 def personal_data_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -321,3 +321,27 @@ def test_stages_take_odd_rows(spark):
             got = stage(spark, docs, SF)
             assert name == "encoding" or got.columns == cp.COLUMNS
             got.count()
+
+
+def test_stages_decide_by_row(spark, monkeypatch):
+    import corpus_pipeline as cp
+
+    def stay(stage, rows):
+        docs = spark.createDataFrame([(i, t, "en", "s", None) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+        return sorted(((r.doc_id, r.text) for r in stage(spark, docs, SF).collect()), key=repr)
+
+    base = [f"w{i}" for i in range(80)]
+    near = [" ".join([*base[:-1], x]) for x in ("one", "two", "three")]
+    alone = "some other words that nobody repeats here"
+    # rows without id go where a row with an id stays; copies with different texts under the smallest id, too
+    got = stay(cp.near_duplicate_stage, [(None, near[0]), (None, near[1]), (4, near[2]), (None, alone), (None, None)])
+    assert got == sorted([(4, near[2]), (None, alone), (None, None)], key=repr)
+    assert len(stay(cp.near_duplicate_stage, [(None, near[0]), (None, near[0]), (None, near[1])])) == 1
+    got = stay(cp.near_duplicate_stage, [(1, near[0]), (1, near[1]), (1, alone), (2, near[2])])
+    assert len(got) == 2 and (1, alone) in got and all(i == 1 for i, _ in got)
+    item = max((r.text for r in table(spark, SF, "benchmark").collect()), key=len)
+    got = stay(cp.decontamination_stage, [(None, item), (None, alone), (5, item), (5, alone), (None, None)])
+    assert got == sorted([(None, alone), (5, alone), (None, None)], key=repr)
+    monkeypatch.setattr(quality, "fit", lambda *a: (-quality.features(b"#" * 50).astype(float), 2.5, 0.5))  # rejects what is all "#"
+    got = stay(cp.quality_stage, [(None, "#" * 50), (None, alone), (6, "#" * 50), (6, alone)])
+    assert got == sorted([(None, alone), (6, alone)], key=repr)
