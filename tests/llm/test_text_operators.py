@@ -219,3 +219,10 @@ def test_rules_are_bounded_and_indexed_by_their_rarest_token(spark, monkeypatch)
     monkeypatch.setattr(url_filter, "MAX_RULES", 1)
     with pytest.raises(ValueError):
         url_filter.judge_urls(df)
+
+
+@pytest.mark.parametrize("space", [" ", "\n"])
+def test_long_whitespace_runs_equal_the_library(library, space):
+    n = 1_100_000
+    for text in (space * n, "one two" + space * n + "b c", "a" + space * n + "<|endoftext|>", "a" + space * n + "\n !x" + space * 100_001):
+        assert bpe.codec(PATH).encode_chunked(text.encode()) == library.encode(text, add_special_tokens=False).ids

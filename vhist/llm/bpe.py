@@ -13,7 +13,8 @@ Chunks are reused within a worker, not across the cluster: sending chunk texts
 and ids through a shuffle would write more than the input (see README).
 
 Defined cases: a null text is the empty text; the end-of-text string in a text
-becomes its id, as in the library; any length of text is encoded whole.
+becomes its id, as in the library; any length of text is encoded whole, and so
+are long runs of white space.
 """
 
 from __future__ import annotations
@@ -21,6 +22,7 @@ from __future__ import annotations
 import functools
 import hashlib
 import json
+import re
 from collections import OrderedDict
 
 import numpy as np
@@ -36,6 +38,11 @@ CACHE_BYTES = 32 << 20
 # Fixed value: the byte-level pre-tokenizer's pattern.
 SPLIT_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
+# The pattern's backtracking stack overflows on about a million white spaces
+# (White_Space of Unicode), so longer runs than this are split by hand.
+LONG_RUN = 100_000
+_LONG_RUN = re.compile(r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{%d,}" % LONG_RUN)
+
 
 def default_tokenizer() -> str:
     import public_tokenizers
@@ -80,6 +87,18 @@ class Codec:
 
     def encode(self, raw: bytes) -> list[int]:
         text = raw.decode("utf-8")
+        out, at = [], 0
+        for run in _LONG_RUN.finditer(text) if len(text) >= LONG_RUN else ():
+            end = run.end()
+            # a run is one piece without its last character, or whole at the end of a text
+            if end < len(text) and not any(text.startswith(x, end) for x in self.allowed):
+                end -= 1
+            out += self._encode(text[at : run.start()])
+            out += self.inner._encode_single_piece(text[run.start() : end].encode())
+            at = end
+        return out + self._encode(text[at:]) if at else self._encode(text)
+
+    def _encode(self, text: str) -> list[int]:
         if self.allowed:
             return self.inner.encode(text, allowed_special=self.allowed, disallowed_special=())
         return self.inner.encode_ordinary(text)
