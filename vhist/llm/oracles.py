@@ -78,10 +78,42 @@ SELECT page_id, host, path, best.rule AS rule,
 FROM s LEFT JOIN f USING (rid)
 """
 
+
+
+def _op12(k: int = 40, rounds: int = 5) -> str:
+    """One assignment and one replacement per round, each computed once."""
+    parts = ["""
+v AS MATERIALIZED (
+  SELECT row_number() OVER () AS rid, vec_id, embedding, list_transform(embedding::DOUBLE[], lambda x: floor(256 * x)::BIGINT) AS q
+  FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding::DOUBLE[], lambda x: x IS NULL OR NOT isfinite(x))) = 0)""", f"""
+c0 AS MATERIALIZED (
+  SELECT (row_number() OVER (ORDER BY sha256('2:' || vec_id) NULLS LAST, embedding) - 1)::INTEGER AS c, q FROM v
+  QUALIFY row_number() OVER (ORDER BY sha256('2:' || vec_id) NULLS LAST, embedding) <= {k})"""]
+    for r in range(rounds + 1):
+        parts.append(f"""
+a{r} AS MATERIALIZED (
+  SELECT rid, min({{'d': d, 'c': c}}) AS best
+  FROM (SELECT rid, c, list_sum(list_transform(list_zip(v.q, c{r}.q), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT AS d FROM v, c{r})
+  GROUP BY rid)""")
+        if r < rounds:
+            parts.append(f"""
+s{r} AS (SELECT best.c AS c, i, sum(x)::HUGEINT AS s, count(*)::HUGEINT AS n
+  FROM (SELECT best, unnest(q) AS x, unnest(range(1, 65)) AS i FROM a{r} JOIN v USING (rid)) GROUP BY ALL),
+m{r} AS (SELECT c, list(((s - (s % n + n) % n) // n)::BIGINT ORDER BY i) AS q FROM s{r} GROUP BY c),
+c{r + 1} AS MATERIALIZED (SELECT c{r}.c, coalesce(m{r}.q, c{r}.q) AS q FROM c{r} LEFT JOIN m{r} USING (c))""")
+    return "WITH" + ",".join(parts) + f"""
+SELECT vec_id, best.c AS cluster, best.d AS distance, (sum(best.d) OVER (PARTITION BY best.c))::BIGINT AS cluster_inertia,
+       (sum(best.d) OVER ())::BIGINT AS inertia, sha256(array_to_string(c{rounds}.q, ',')) AS centroid_sha256
+FROM a{rounds} JOIN v USING (rid) JOIN c{rounds} ON c{rounds}.c = best.c
+"""
+
+
 ORACLES = {
     "op2_decontamination": OP2,
     "op4_top_inner_products": OP4,
     "op6_warc": OP6,
     "op7_suffix_dedup": OP7,
     "op10_url_filter": OP10,
+    "op12_centroid_clusters": _op12(),
 }
