@@ -18,6 +18,7 @@ COLUMNS = {
     "op8_token_counts": ["doc_id", "n_tokens"],
     "op9_ngram_jaccard_join": ["doc_id", "class_id", "n_links"],
     "op10_url_filter": ["page_id", "host", "path", "rule", "verdict"],
+    "op11_token_alignment": ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"],
     "op12_centroid_clusters": ["vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256"],
 }
 

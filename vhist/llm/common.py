@@ -70,3 +70,22 @@ def batches(rows, *columns, at_once: int | None = 1024):
 
 def sha256_hex(col: Column) -> Column:
     return F.sha2(col, 256)
+
+
+def bucketed(df: DataFrame, name: str, key: str) -> tuple[DataFrame, str]:
+    """``df`` written to the shared folder in buckets of ``key`` and read again,
+    with its path: joins and cogroups on the key exchange only the other side."""
+    spark = df.sparkSession
+    path, called = scratch_path(spark, name), f"{name.replace('-', '_')}_{uuid.uuid4().hex}"
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df.write.format("parquet").bucketBy(buckets, key).option("path", path).saveAsTable(called)
+    out = spark.table(called)
+    spark.sql(f"DROP TABLE {called}")  # only the catalog's entry: the files are external
+    return out, path
+
+
+def discard(spark: SparkSession, *paths: str) -> None:
+    """Remove scratch folders whose rows are no longer read."""
+    for path in paths:
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vhist.llm import bpe, centroids, decontam, jaccard, pii, quality, suffix_dedup, token_files, topk, url_filter, warc
+from vhist.llm import align, bpe, centroids, decontam, jaccard, pii, quality, suffix_dedup, token_files, topk, url_filter, warc
 from vhist.llm.common import table
 from vhist.llm.shipping import ship_package
 
@@ -51,6 +51,10 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(table(spark, sf_dir, "pages"))
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align.aligned_tokens(table(spark, sf_dir, "documents"))
+
+
 def op12_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return centroids.cluster_vectors(table(spark, sf_dir, "embeddings"))
 
@@ -66,5 +70,5 @@ def _shipped(f: Callable[[SparkSession, str], DataFrame]):
 
 QUERIES = {f.__name__: _shipped(f) for f in (
     op1_quality_classifier, op2_decontamination, op3_bpe, op4_top_inner_products, op5_personal_data, op6_warc, op7_suffix_dedup,
-    op8_token_counts, op9_ngram_jaccard_join, op10_url_filter, op12_centroid_clusters,
+    op8_token_counts, op9_ngram_jaccard_join, op10_url_filter, op11_token_alignment, op12_centroid_clusters,
 )}
