@@ -20,6 +20,7 @@ COLUMNS = {
     "op10_url_filter": ["page_id", "host", "path", "rule", "verdict"],
     "op11_token_alignment": ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"],
     "op12_centroid_clusters": ["vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256"],
+    "op13_substring_dedup": ["doc_id", "n_words", "n_removed", "kept_sha256"],
 }
 
 

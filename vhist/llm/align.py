@@ -45,9 +45,9 @@ from pyspark.sql import functions as F
 from vhist.llm import bpe
 from vhist.llm.common import batches, bucketed, discard, written
 
-PART_BYTES = 6 << 20
+PART_BYTES = 3 << 20
 WORK = 1 << 16  # token ends merged by a piece
-STORE_BYTES = 48 << 20
+STORE_BYTES = 32 << 20
 
 _UNIT = re.compile(r"(?<=\S) (?=\S)")
 _MARK = "▁"

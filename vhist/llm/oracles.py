@@ -79,6 +79,20 @@ FROM s LEFT JOIN f USING (rid)
 """
 
 
+# Windows by a 64-bit hash of their words; the words go on from one row's last to the next row's first.
+OP13 = """
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+'), []) AS w FROM documents),
+cut AS (SELECT rid, doc_id, w, unnest(range(1, len(w) - 48)) AS s FROM d WHERE len(w) >= 50),
+win AS (SELECT rid, doc_id, s, hash(array_to_string(list_slice(w, s, s + 49), ' ')) AS x FROM cut),
+least AS (SELECT x, min(doc_id) AS low FROM win GROUP BY x HAVING count(*) > 1),
+dup AS (SELECT rid, s FROM win JOIN least USING (x) WHERE low < coalesce(doc_id, 9223372036854775807)),
+gone AS (SELECT DISTINCT rid, unnest(range(s, s + 50)) AS p FROM dup),
+word AS (SELECT rid, doc_id, unnest(w) AS x, unnest(range(1, len(w) + 1)) AS p FROM d),
+kept AS (SELECT rid, count(*) AS n, string_agg(x, ' ' ORDER BY p) AS k FROM word ANTI JOIN gone USING (rid, p) GROUP BY rid)
+SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(k, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (rid)
+"""
+
 
 def _op12(k: int = 40, rounds: int = 5) -> str:
     """One assignment and one replacement per round, each computed once."""
@@ -116,4 +130,5 @@ ORACLES = {
     "op7_suffix_dedup": OP7,
     "op10_url_filter": OP10,
     "op12_centroid_clusters": _op12(),
+    "op13_substring_dedup": OP13,
 }

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vhist.llm import align, bpe, centroids, decontam, jaccard, pii, quality, suffix_dedup, token_files, topk, url_filter, warc
+from vhist.llm import align, bpe, centroids, debruijn, decontam, jaccard, pii, quality, suffix_dedup, token_files, topk, url_filter, warc
 from vhist.llm.common import table
 from vhist.llm.shipping import ship_package
 
@@ -59,6 +59,10 @@ def op12_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return centroids.cluster_vectors(table(spark, sf_dir, "embeddings"))
 
 
+def op13_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return debruijn.remove_repeated_words(table(spark, sf_dir, "documents"))
+
+
 def _shipped(f: Callable[[SparkSession, str], DataFrame]):
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         ship_package(spark)
@@ -71,4 +75,5 @@ def _shipped(f: Callable[[SparkSession, str], DataFrame]):
 QUERIES = {f.__name__: _shipped(f) for f in (
     op1_quality_classifier, op2_decontamination, op3_bpe, op4_top_inner_products, op5_personal_data, op6_warc, op7_suffix_dedup,
     op8_token_counts, op9_ngram_jaccard_join, op10_url_filter, op11_token_alignment, op12_centroid_clusters,
+    op13_substring_dedup,
 )}
