@@ -20,11 +20,11 @@ from __future__ import annotations
 import uuid
 from typing import Iterable, List, Optional
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vhist.config import HistoryConfig
-from vhist.functions.columns import data_columns, history_columns
+from vhist.functions.columns import data_columns, history_columns, open_end
 from vhist.functions.hashing import with_hash_key
 from vhist.functions.columns import FORGOTTEN
 from vhist.functions.predicates import changed_by_columns, is_closed, is_open, transitions
@@ -90,6 +90,7 @@ def merge_open_rows(
     deleted_rows: Optional[DataFrame] = None,
     compare: str = "hash",
     dedupe: bool = True,
+    through: bool = False,
 ) -> DataFrame:
     """The rows that replace the open versions after loading ``snapshot``.
 
@@ -98,6 +99,8 @@ def merge_open_rows(
     store can write just these rows (see ``vhist.sources.store``).
     ``deleted_rows``: versions ended by deletion (or any superset of them, such
     as all closed rows); returning keys take their FirstSnapshot from them.
+    ``through``: ``open_rows`` may hold closed versions as well; they meet no
+    snapshot row and pass through the same join (chains of merges in one plan).
     """
     if compare not in ("hash", "columns"):
         raise ValueError("compare must be 'hash' or 'columns'")
@@ -119,9 +122,12 @@ def merge_open_rows(
 
     h, s = open_rows.select(*cols).alias("h"), snap.alias("s")
     cond = [F.col(f"h.{k}") == F.col(f"s.{k}") for k in keys]
-    j = h.join(s, cond, "full_outer")
+    current = F.col("h.ValidTo") == open_end()
+    j = h.join(s, [*cond, current] if through else cond, "full_outer")
 
     has_h = F.col("h.RowHashKey").isNotNull()
+    passed = has_h & ~current if through else F.lit(False)
+    has_h = has_h & ~passed
     has_s = F.col("s.RowHashKey").isNotNull()
     if compare == "hash":
         same = F.col("h.RowHashKey") == F.col("s.RowHashKey")
@@ -143,7 +149,8 @@ def merge_open_rows(
     s_vals["FirstSnapshot"] = F.coalesce(F.col("h.FirstSnapshot"), F.col("s._prior_first"), d)
     s_row = F.struct(*[s_vals[c].alias(c) for c in cols])
 
-    old_version = F.when(keep, h_row(F.col("h.ValidTo"), F.col("h.IsDeleted"))).when(
+    as_is = F.struct(*[F.col(f"h.{c}").alias(c) for c in cols])
+    old_version = F.when(passed, as_is).when(keep, h_row(F.col("h.ValidTo"), F.col("h.IsDeleted"))).when(
         close, h_row(F.date_sub(d, 1), ~has_s)
     )
     new_version = F.when(opens, s_row)
@@ -185,33 +192,98 @@ def merge_snapshots(
     snapshots: DataFrame,
     cfg: HistoryConfig,
     dates: Optional[Iterable] = None,
-    checkpoint_every: int = 10,
+    checkpoint_every: int = 1,
     compare: str = "hash",
+    buckets: Optional[int] = None,
+    dedupe: bool = True,
 ) -> DataFrame:
-    """Chain of merges over the snapshots' dates in order, as a daily job would.
-
-    The state is stored between steps, in a new folder under the session's
-    ``spark.checkpoint.dir``: a step reads the open versions that the last one
-    wrote (and of deleted versions the keys), so its plan starts at a scan and
-    does not grow, and writes what it closed and what is open; closed versions
-    are written once and not read again.  A step covers ``checkpoint_every``
-    dates, in one window pass that continues the open versions
-    (``extend_history``); with 1, and with ``compare="columns"``, a step is one
-    merge.  ``dates`` (one value per snapshot) are read to the driver if not given.
+    """Chain of merges over the snapshots' dates in order, as a daily job would:
+    one merge per date.
+
+    The state is stored after every ``checkpoint_every`` dates, in a new folder
+    under the session's ``spark.checkpoint.dir``.  With 1 that is a bucketed
+    stored history (``vhist.sources.store``): a merge reads the open versions
+    that the one before wrote and exchanges the snapshot only.  With more, so
+    many merges form one plan between two states, which saves jobs where states
+    are small.  ``dates`` (one value per snapshot) are read to the driver if not
+    given.
     """
-    from vhist.operators.reload import extend_history
+    from vhist.sources.store import StoredHistory, read_state
+
+    spark, root, dates = _chain(history, snapshots, cfg, dates)
+    on = lambda d: snapshots.filter(F.col(cfg.date_col) == F.lit(d))
+    if checkpoint_every > 1:
+        merge = lambda rows, d: merge_open_rows(rows, on(d).drop(cfg.date_col), d, cfg, compare=compare, dedupe=dedupe, through=True)
+        return _in_steps(history, snapshots, cfg, root, dates, checkpoint_every, _linked(merge, cfg))
+    with StoredHistory(spark, root, cfg, buckets) as stored:
+        stored.create(align_columns(history, snapshots, cfg.date_col)[0])
+        for d in dates:
+            stored.load(on(d), d, compare, dedupe=dedupe)
+    return read_state(spark, root)
+
+
+def _linked(merge, cfg: HistoryConfig):
+    """A step of several merges: each on the rows of the one before, closed
+    versions passing through.  A key's FirstSnapshot is the least of its
+    versions', earlier deleted ones included; it is set once, at the end."""
+
+    def step(current: DataFrame, ended: DataFrame, dates: list) -> DataFrame:
+        rows = current
+        for d in dates:
+            rows = merge(rows, d)
+        if cfg.incremental:
+            return rows
+        keys = list(cfg.key_cols)
+        prior = ended.filter(F.col("IsDeleted")).groupBy(*keys).agg(F.min("FirstSnapshot").alias("_prior_first"))
+        first = F.min(F.least("FirstSnapshot", "_prior_first")).over(Window.partitionBy(*keys))
+        return rows.join(prior, keys, "left").withColumn("FirstSnapshot", first).select(*rows.columns)
+
+    return step
+
+
+def _chain(history: DataFrame, snapshots: DataFrame, cfg: HistoryConfig, dates: Optional[Iterable]):
+    """(session, new folder, dates in order) of a chain."""
     from vhist.session import ensure_checkpoint_dir
 
     spark = snapshots.sparkSession
-    day = F.col(cfg.date_col)
     if dates is None:
         dates = [r[0] for r in snapshots.select(cfg.date_col).distinct().collect()]
-    dates = sorted(dates)
+    return spark, f"{ensure_checkpoint_dir(spark).rstrip('/')}/vhist-chain-{uuid.uuid4().hex}", sorted(dates)
+
+
+def merge_in_batches(
+    history: DataFrame,
+    snapshots: DataFrame,
+    cfg: HistoryConfig,
+    dates: Optional[Iterable] = None,
+    batch: int = 10,
+) -> DataFrame:
+    """The same result with fewer steps: each covers ``batch`` dates, in one
+    window pass that continues the open versions (``extend_history``).
+
+    The state is stored between steps: a step reads the open versions that the
+    last one wrote (and of deleted versions the keys) and writes what it closed
+    and what is open.
+    """
+    from vhist.operators.reload import extend_history
+
+    spark, root, dates = _chain(history, snapshots, cfg, dates)
+    day = F.col(cfg.date_col)
+
+    def step(current: DataFrame, ended: DataFrame, some_dates: list) -> DataFrame:
+        some = snapshots.filter((day >= F.lit(some_dates[0])) & (day <= F.lit(some_dates[-1])))
+        calendar = spark.createDataFrame([(d,) for d in some_dates], f"`{cfg.date_col}` date")
+        return extend_history(current, ended, some, cfg, some_dates[0], calendar_dates=calendar)
+
+    return _in_steps(history, snapshots, cfg, root, dates, batch, step)
+
+
+def _in_steps(history: DataFrame, snapshots: DataFrame, cfg: HistoryConfig, root: str, dates: list, every: int, step) -> DataFrame:
+    """``step(open rows, closed rows, dates)`` for every so many dates, the state
+    stored in between: closed versions are written once."""
+    spark = snapshots.sparkSession
     history, _, order = align_columns(history, snapshots, cfg.date_col)
     history = history.select(*history_columns(order))
-    if not dates:
-        return history
-    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/vhist-chain-{uuid.uuid4().hex}"
     schema, written = history.schema, []
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
 
@@ -224,15 +296,6 @@ def merge_snapshots(
         return rows.filter(F.col("open") == is_current).select(*schema.names)
 
     store(history)
-    every = checkpoint_every if compare == "hash" and checkpoint_every else 1
     for i in range(0, len(dates), every):
-        step = dates[i : i + every]
-        current, ended = stored(written[-1:], True), stored(written, False)
-        if every == 1:
-            snap = snapshots.filter(day == F.lit(step[0])).drop(cfg.date_col)
-            store(merge_open_rows(current, snap, step[0], cfg, deleted_rows=ended, compare=compare))
-        else:
-            some = snapshots.filter((day >= F.lit(step[0])) & (day <= F.lit(step[-1])))
-            calendar = spark.createDataFrame([(d,) for d in step], f"`{cfg.date_col}` date")
-            store(extend_history(current, ended, some, cfg, step[0], calendar_dates=calendar))
+        store(step(stored(written[-1:], True), stored(written, False), dates[i : i + every]))
     return stored(written, False).unionByName(stored(written[-1:], True))

@@ -26,12 +26,14 @@ from vhist.operators import report as rp
 from vhist.operators import views as vw
 from vhist.plans import process as pr
 from vhist.operators.history import build_history
-from vhist.operators.merge import merge_snapshot, merge_snapshots, prepare_snapshot
+from vhist.operators.merge import merge_in_batches, merge_snapshot, merge_snapshots, prepare_snapshot
 from vhist.sources import derived as dv
 from vhist.sources import sinks
 from vhist.sources import snapshots as sn
 
 D = "snapshot_date"
+# Buckets of the stored histories here: about one per GB of open rows, and these tables hold far less.
+BUCKETS = 2
 
 
 def _snaps(spark, sf, which: str, since=None, until=None) -> tuple[DataFrame, HistoryConfig]:
@@ -128,12 +130,19 @@ def merge_by_columns(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def history_chained(spark: SparkSession, sf: str) -> DataFrame:
-    """H2 chained over all 30 days with checkpoints; equals ``history_full``."""
+    """H2 chained over all 30 days, one merge a day, the state stored every ten; equals ``history_full``."""
     from vhist.sources.snapshots import empty_history
 
     snaps = dv.events_daily(spark, sf, flag_only=True)
-    empty = empty_history(spark, snaps.drop(D).schema)
-    return merge_snapshots(empty, snaps, dv.EVENTS_CFG, checkpoint_every=10)
+    return merge_snapshots(empty_history(spark, snaps.drop(D).schema), snaps, dv.EVENTS_CFG, checkpoint_every=10, dedupe=False)
+
+
+def history_batched(spark: SparkSession, sf: str) -> DataFrame:
+    """The same history in steps of ten days, a window pass each."""
+    from vhist.sources.snapshots import empty_history
+
+    snaps = dv.events_daily(spark, sf, flag_only=True)
+    return merge_in_batches(empty_history(spark, snaps.drop(D).schema), snaps, dv.EVENTS_CFG, batch=10)
 
 
 def _folder(spark, name: str) -> str:
@@ -151,20 +160,33 @@ def _dates(snaps: DataFrame) -> list:
 
 
 def history_store(spark: SparkSession, sf: str) -> DataFrame:
-    """H2 on the versioned store: bulk-build the earlier days, store them, merge
-    the last day as a new version (rewriting only open rows and the rows it
-    closes), and read the state back."""
+    """H2 on stored folders: bulk-build the earlier days, store them, merge the
+    last day (rewriting the open part and the month it ends), and read it back."""
+    from vhist.sources import store
+
+    root, last = _stored_days(spark, sf)[:2]
+    return store.read_state(spark, root)
+
+
+def _stored_days(spark: SparkSession, sf: str):
+    """(folder, last day, what its load counted): every day but the last built in
+    one pass and stored, the last one merged."""
     from vhist.sources import store
 
     root = _folder(spark, "store")
     snaps, cfg = _snaps(spark, sf, "EV")
-    days = _dates(snaps)
-    prior, last = days[:-1], days[-1]
+    last = _last_date(snaps)
     before, _ = _snaps(spark, sf, "EV", until=last)
     today, _ = _snaps(spark, sf, "EV", since=last)
-    store.write_initial(build_history(before, cfg, dedupe=False), root, prior[-1], cfg)
-    store.merge_into(spark, root, today.drop(D), last, cfg)
-    return store.read_state(spark, root, last)
+    store.write_initial(build_history(before, cfg, dedupe=False), root, cfg, BUCKETS)
+    return root, last, store.merge_into(spark, root, today.drop(D), last, cfg)
+
+
+def load_summary(spark: SparkSession, sf: str) -> DataFrame:
+    """A3 without a pass of its own: what the last day's load changed, counted by
+    its write job; equals ``change_summary``."""
+    counted = _stored_days(spark, sf)[2]
+    return spark.createDataFrame([(s, n) for s, n in counted.items() if n], "HistoryStatus string, n_keys long")
 
 
 def _forgetting_store(spark: SparkSession, sf: str):
@@ -178,33 +200,43 @@ def _forgetting_store(spark: SparkSession, sf: str):
     months = _dates(snaps)
     before, _ = _snaps(spark, sf, "OR", until=months[-1])
     today, _ = _snaps(spark, sf, "OR", since=months[-1])
-    store.write_initial(build_history_forgetting(before, cfg, dedupe=False), root, months[-2], cfg)
+    store.write_initial(build_history_forgetting(before, cfg, dedupe=False), root, cfg, BUCKETS)
     store.merge_into(spark, root, today.drop(D), months[-1], cfg, forget=True)
     return root, months
 
 
 def history_store_forgetting(spark: SparkSession, sf: str) -> DataFrame:
-    """The store with forget requests, read back with the requests applied;
-    equals ``history_forgetting``."""
+    """The store with forget requests, read back; equals ``history_forgetting``."""
     from vhist.sources import store
 
-    root, months = _forgetting_store(spark, sf)
-    return store.read_state(spark, root, months[-1])
+    return store.read_state(spark, _forgetting_store(spark, sf)[0])
 
 
 def history_store_time_travel(spark: SparkSession, sf: str) -> DataFrame:
     """The state before the last month, read after that month's forget requests
-    were recorded: they apply to the earlier version too."""
+    were loaded: they mask the earlier versions too."""
     from vhist.sources import store
 
     root, months = _forgetting_store(spark, sf)
     return store.read_state(spark, root, months[-2])
 
 
+def history_store_files(spark: SparkSession, sf: str) -> DataFrame:
+    """G3 in storage: all months stored raw, then the keys that any month flags
+    are erased; every file below the folder, read as plain Parquet."""
+    from vhist.sources import store
+
+    root = _folder(spark, "store")
+    store.write_initial(history_incremental(spark, sf), root, dv.ORDERS_CFG, BUCKETS)
+    store.erase(spark, root, _forget(spark, sf)[1], dv.ORDERS_CFG)
+    files = spark.read.option("recursiveFileLookup", "true").parquet(root)
+    return files.select("o_custkey", "ValidFrom", "RowHashKey", "o_orderstatus", "o_orderpriority", "c_name", "GDPR_Compliant")
+
+
 def history_store_redo(spark: SparkSession, sf: str) -> DataFrame:
-    """A date before the newest one loaded again: the last day but one is first
-    loaded without its errors, then the last day, then the day but one as it
-    should be; equals ``history_full_wide``."""
+    """Dates loaded again: the last day but one is first loaded without its
+    errors, then the last day, then both as they should be; equals
+    ``history_full_wide``."""
     from vhist.sources import store
 
     root = _folder(spark, "store")
@@ -212,11 +244,11 @@ def history_store_redo(spark: SparkSession, sf: str) -> DataFrame:
     days = _dates(snaps)
     read = lambda d: snaps.filter(F.col(D) == F.lit(d)).drop(D)
     before, _ = _snaps(spark, sf, "EV", until=days[-2])
-    store.write_initial(build_history(before, cfg, dedupe=False), root, days[-3], cfg)
+    store.write_initial(build_history(before, cfg, dedupe=False), root, cfg, BUCKETS)
     store.merge_into(spark, root, read(days[-2]).filter("flag = 'ok'"), days[-2], cfg)
     store.merge_into(spark, root, read(days[-1]), days[-1], cfg)
-    store.redo_from(spark, root, [days[-2]], read, cfg)
-    return store.read_state(spark, root, days[-1])
+    store.reload_from(spark, root, days[-2:], read, cfg)
+    return store.read_state(spark, root)
 
 
 def run_loads(spark: SparkSession, sf: str) -> DataFrame:
@@ -230,11 +262,11 @@ def run_loads(spark: SparkSession, sf: str) -> DataFrame:
         F.date_format(D, "yyyyMMdd").alias("PK_DataGroupLoadLogID"), F.lit("events").alias("DataGroupName"),
         F.col(D).alias("SnapshotDate"), F.lit("Bronze").alias("Layer"),
     )
-    _, dates = pr.run_loads(
+    pr.run_loads(
         log, dv.reload_requests(spark, sf), "events", root, dv.EVENTS_CFG,
         lambda d: snaps.filter(F.col(D) == F.lit(d)).drop(D),
     )
-    return store.read_state(spark, root, dates[-1])
+    return store.read_state(spark, root)
 
 
 # ---------------------------------------------------------------- J1 / A3
@@ -496,13 +528,20 @@ def history_forgetting(spark, sf):
 
 
 def process_all(spark, sf):
-    """H5 for every month in order (a chain with checkpoints); equals
-    ``history_forgetting``."""
-    from vhist.plans.process import process_snapshots
+    """H5 for every month in order, one ``process_snapshot`` a month, the state
+    stored every eight; equals ``history_forgetting``."""
+    from vhist.sources.snapshots import empty_history
+
+    snaps, cfg = _snaps(spark, sf, "OR")
+    return pr.process_snapshots(empty_history(spark, snaps.drop(D).schema), snaps, cfg, checkpoint_every=8, dedupe=False)
+
+
+def process_batched(spark, sf):
+    """The same in steps of fifteen months, masked at the end."""
     from vhist.sources.snapshots import empty_history
 
     snaps, cfg = _snaps(spark, sf, "OR")
-    return process_snapshots(empty_history(spark, snaps.drop(D).schema), snaps, cfg, checkpoint_every=15)
+    return pr.process_in_batches(empty_history(spark, snaps.drop(D).schema), snaps, cfg, batch=15)
 
 
 def process_snapshot(spark, sf):
@@ -675,7 +714,10 @@ QUERIES = {
     "history_dedupe": history_dedupe,
     "check_duplicates": check_duplicates,
     "history_chained": history_chained,
+    "history_batched": history_batched,
     "history_store": history_store,
+    "load_summary": load_summary,
+    "history_store_files": history_store_files,
     "history_store_forgetting": history_store_forgetting,
     "merge_step": merge_step,
     "merge_step_incremental": merge_step_incremental,
@@ -712,6 +754,7 @@ QUERIES = {
     "process_snapshot": process_snapshot,
     "history_forgetting": history_forgetting,
     "process_all": process_all,
+    "process_batched": process_batched,
     "history_half_open": history_half_open,
     "lag_change_flags": lag_change_flags,
     "union_snapshots": union_snapshots,

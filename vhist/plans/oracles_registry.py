@@ -238,6 +238,9 @@ LEFT JOIN (SELECT * FROM ({LOG}) x WHERE Layer = 'Bronze') l
 
 ORACLES.update(ORACLES_BASE)
 ORACLES["process_all"] = ORACLES["history_forgetting"]
+ORACLES["history_batched"] = ORACLES["history_chained"]
+ORACLES["load_summary"] = ORACLES["change_summary"]
+ORACLES["process_batched"] = ORACLES["history_forgetting"]
 ORACLES["reload_forgetting"] = ORACLES["history_forgetting"]
 ORACLES["history_store_forgetting"] = ORACLES["history_forgetting"]
 
@@ -265,6 +268,11 @@ FROM ({HP_OR}) h
 LEFT JOIN (SELECT o_custkey, max(snapshot_date) AS upto FROM ({o.OR_SNAP}) s WHERE {FLAG} GROUP BY o_custkey) f
   ON f.o_custkey = h.o_custkey""",
     "history_store_redo": H_EV,
+    "history_store_files": f"""
+SELECT h.o_custkey, ValidFrom, RowHashKey, o_orderstatus, o_orderpriority,
+       CASE WHEN f.o_custkey IS NOT NULL THEN 'ANONYMISED' ELSE c_name END AS c_name,
+       CASE WHEN f.o_custkey IS NOT NULL THEN 'Yes' ELSE GDPR_Compliant END AS GDPR_Compliant
+FROM ({H_OR}) h LEFT JOIN (SELECT DISTINCT o_custkey FROM ({o.OR_SNAP}) s WHERE {FLAG}) f ON f.o_custkey = h.o_custkey""",
     "run_loads": o.history_sql(o.PERIOD_SNAP, K_EV, o.EVF_COLS, "full"),
     "dated_paths": f"SELECT o_custkey, o_orderstatus, snapshot_date FROM ({o.OR_SNAP}) s",
     "read_history_evolved": f"SELECT {SYS}, user_id, CAST(NULL AS VARCHAR) AS event_type, flag FROM ({H_EVF}) h",

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from vhist.config import HistoryConfig
 from vhist.functions.hashing import with_hash_key
-from vhist.operators.merge import merge_snapshot, merge_snapshots
+from vhist.operators.merge import _chain, _in_steps, _linked, align_columns, merge_in_batches, merge_open_rows, merge_snapshot
 from vhist.operators.privacy import anonymise_history, detect_and_anonymise
 from vhist.operators.reload import reload_plan
 from vhist.sources import store
@@ -27,6 +27,9 @@ def process_snapshot(
     snapshot_date,
     cfg: HistoryConfig,
     key_file_paths: Sequence[str] = (),
+    deleted_rows: Optional[DataFrame] = None,
+    dedupe: bool = True,
+    through: bool = False,
 ) -> Tuple[str, DataFrame]:
     """Returns (status, new history).
 
@@ -35,6 +38,9 @@ def process_snapshot(
     row that is only being forgotten opens no new version; the history of the
     flagged keys is anonymised first, so the versions it keeps are masked too.
     Key files are written when paths are given (one write per destination).
+    With ``deleted_rows`` (versions ended by deletion) ``history`` is the open
+    versions alone, and so the result the rows that replace them; with
+    ``through`` closed versions pass through one join (``merge_open_rows``).
     """
     if snapshot is None:
         return "Skip", history
@@ -49,7 +55,11 @@ def process_snapshot(
         # forgetting is per key: every row of a flagged key, not only the flagged row
         hashed = anonymise_history(hashed, ids, cfg.key_cols, cfg.sensitive_cols, cfg.mask)
         history = anonymise_history(history, ids, cfg.key_cols, cfg.sensitive_cols, cfg.mask)
-    return "Successful", merge_snapshot(history, hashed, snapshot_date, cfg)
+    if through:
+        return "Successful", merge_open_rows(history, hashed, snapshot_date, cfg, dedupe=dedupe, through=True)
+    if deleted_rows is not None:
+        return "Successful", merge_open_rows(history, hashed, snapshot_date, cfg, deleted_rows=deleted_rows, dedupe=dedupe)
+    return "Successful", merge_snapshot(history, hashed, snapshot_date, cfg, dedupe=dedupe)
 
 
 def process_snapshots(
@@ -57,21 +67,49 @@ def process_snapshots(
     snapshots: DataFrame,
     cfg: HistoryConfig,
     dates=None,
-    checkpoint_every: int = 10,
+    checkpoint_every: int = 1,
+    buckets: Optional[int] = None,
+    dedupe: bool = True,
 ) -> DataFrame:
-    """``process_snapshot`` for every date of ``snapshots`` in order, on stored
-    state (``merge_snapshots``).
+    """``process_snapshot`` for every date of ``snapshots`` in order, each on the
+    state that the one before left, stored after every ``checkpoint_every`` dates
+    in a new folder under the session's ``spark.checkpoint.dir``
+    (``merge_snapshots``).
 
-    The row hash is taken before masking, so forgetting never changes which
-    versions there are; what each date would have masked is masked once, at the
-    end, from the signals of all processed snapshots.
+    Signals of a date mask the state when that date is processed.  On a stored
+    history (``checkpoint_every=1``) closed versions are masked in the files that
+    hold them; in longer steps, those of earlier steps when the result is read.
     """
     from vhist.operators.privacy import anonymise_from_signals
 
+    spark, root, dates = _chain(history, snapshots, cfg, dates)
+    on = lambda d: snapshots.filter(F.col(cfg.date_col) == F.lit(d))
+    if checkpoint_every > 1:
+        merge = lambda rows, d: process_snapshot(on(d), rows, d, cfg, dedupe=dedupe, through=True)[1]
+        out = _in_steps(history, snapshots, cfg, root, dates, checkpoint_every, _linked(merge, cfg))
+        processed = snapshots.filter(F.col(cfg.date_col).isin(dates))
+        return anonymise_from_signals(out, processed, cfg) if cfg.signal_col and cfg.signal_pattern else out
+    with store.StoredHistory(spark, root, cfg, buckets) as stored:
+        stored.create(align_columns(history, snapshots, cfg.date_col)[0])
+        for d in dates:
+            stored.load(on(d), d, forget=True, dedupe=dedupe, step=_step(d, cfg, dedupe))
+    return store.read_state(spark, root)
+
+
+def _step(day, cfg: HistoryConfig, dedupe: bool):
+    return lambda snapshot, open_rows, deleted: process_snapshot(snapshot, open_rows, day, cfg, deleted_rows=deleted, dedupe=dedupe)[1]
+
+
+def process_in_batches(history: DataFrame, snapshots: DataFrame, cfg: HistoryConfig, dates=None, batch: int = 10) -> DataFrame:
+    """The same result with fewer steps (``merge_in_batches``): the row hash is
+    taken before masking, so forgetting never changes which versions there are,
+    and what each date would have masked is masked once, at the end."""
+    from vhist.operators.privacy import anonymise_from_signals
+
     if dates is not None:
         dates = sorted(dates)
         snapshots = snapshots.filter(F.col(cfg.date_col).isin(dates))
-    merged = merge_snapshots(history, snapshots, cfg, dates=dates, checkpoint_every=checkpoint_every)
+    merged = merge_in_batches(history, snapshots, cfg, dates=dates, batch=batch)
     if not (cfg.signal_col and cfg.signal_pattern):
         return merged
     return anonymise_from_signals(merged, snapshots, cfg)
@@ -86,18 +124,20 @@ def run_loads(
     read_snapshot: Callable[[dt.date], DataFrame],
     layer: str = "Bronze",
     forget: bool = False,
+    all_loads: Optional[DataFrame] = None,
 ) -> Tuple[str, list]:
     """A data group's loads from log to stored history: (action, dates loaded).
 
     The reload plan of the group's log rows decides: ``skip`` loads nothing;
     ``restore`` and ``force_restore`` go back to before the planned date and
-    process every logged snapshot from there on, in order, together with the
-    committed versions that come after it.
+    process every load from there on, in order.  ``all_loads`` is the log that
+    names them, where ``log`` holds only the newest rows (a stream's batch).
     """
     mine = log.filter((F.col("DataGroupName") == data_group) & (F.col("Layer") == layer))
     plan = reload_plan(mine, requests).first()  # one group: at most one row
     if plan is None or plan.action == "skip":
         return "skip", []
-    dates = mine.filter(F.col("SnapshotDate") >= F.lit(plan.restore_from)).select("SnapshotDate").distinct()
+    every = mine if all_loads is None else all_loads.filter((F.col("DataGroupName") == data_group) & (F.col("Layer") == layer))
+    dates = every.filter(F.col("SnapshotDate") >= F.lit(plan.restore_from)).select("SnapshotDate").distinct()
     days = [r[0] for r in dates.collect()]  # one value per load
-    return plan.action, store.redo_from(log.sparkSession, root, days, read_snapshot, cfg, forget=forget)
+    return plan.action, store.reload_from(log.sparkSession, root, days, read_snapshot, cfg, forget=forget)

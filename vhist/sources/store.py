@@ -1,291 +1,354 @@
-"""A history stored by load date, so a daily merge does not rewrite it.
+"""A history stored as plain Parquet folders, merged into day by day.
 
 Layout under ``root``::
 
-    data/as_of=<yyyy-mm-dd>/load=<id>/segment=open|closed|deleted/
-    _log/            one row per load: order, date, load id, generation, schema
-    _forget/         keys that loads asked to forget, with the date
-    _settings/       key columns, sensitive columns and mask
-
-A load writes the open versions after that date and the versions it closed
-(``deleted`` where the key disappeared).  The state as of date ``d`` is the open
-segment of version ``d`` plus the closed and deleted segments up to ``d``.  A
-merge reads the previous version's open rows and, for keys coming back, the
-keys of the deleted segments, so its cost does not follow the closed history.
-
-The log says what counts: for each date the last load of the newest generation.
-A load gets a folder of its own and is logged when all of it is written, so a
-reader, a retry or a second load of a date never meets half-written rows.
-Paths and schema of a read come from the log (one row per load), not from file
-footers or listings of the whole store.
-
-Order of dates: a version is built on the ones before it, so loading a date
-that is not newer than the newest version raises; ``redo_from`` loads such a
-date and every later one again.
-
-Forgetting: a load with ``forget=True`` masks the flagged rows and the open
-versions of the flagged keys and records the keys.  Every read applies every
-request, whatever date it asks for, with the settings kept in the store: a
-version is masked if it started on or before its key's last request.  ``purge``
-rewrites the data as a new generation, so raw values leave storage as well.
+    buckets=<n>/part=open/IsDeleted=false/       open versions
+    buckets=<n>/part=<yyyy-mm>/IsDeleted=<b>/    versions that ended in that month
+
+Every folder holds the history's own columns and nothing else; there is no log
+and no settings file.  Files are bucketed and sorted by the key (one file per
+bucket of the open part), so a load's full outer join reads the stored side
+without an exchange or a sort, and carry Bloom filters of the key columns.
+
+A load writes once, by dynamic partition overwrite: the open part, and the part
+of the month that ends the day before it.  Spark puts the new files in place
+when all of them are written, so a load that fails leaves the old state.  A
+load reads the open part, that month, and of deleted versions their keys: its
+cost does not follow the closed history.  What it changed is counted while it
+is written (``Observation``), not by another pass.
+
+The state as of an earlier date is a rollback of the stored rows: versions are
+identified by key and start, so nothing else is kept per date.  Loading a date
+again, or one before the newest, is ``reload_from``: the rows are rolled back to
+before it and the given dates loaded in order.  Which dates were loaded is the
+load log's to know, an ordinary frame (``plans.process.run_loads``).
+
+Forgetting changes the files: a load with ``forget`` masks the flagged rows, the
+open versions of their keys, and by ``erase`` rewrites those parts of the closed
+history that hold unmasked versions of them.  Other parts are not touched.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-import json
 import uuid
 from typing import Callable, Iterable, Optional
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.utils import AnalysisException
 
 from vhist.config import HistoryConfig
-from vhist.functions.columns import FORGOTTEN, data_columns, history_columns
-from vhist.functions.hashing import row_hash
+from vhist.functions.columns import FORGOTTEN, NOT_FORGOTTEN, OPEN_END, data_columns, history_columns
+from vhist.functions.hashing import row_hash, with_hash_key
 from vhist.functions.predicates import is_open
-from vhist.operators.merge import conform, merge_open_rows
-from vhist.sources.sinks import MAX_RECORDS_PER_FILE
+from vhist.operators.merge import align_columns, conform, merge_open_rows
+from vhist.operators.privacy import anonymise_history, detect_and_anonymise, forget_ids
 
-_PARTS = ("as_of", "load", "segment")
-_SETTINGS = "key_cols array<string>, sensitive_cols array<string>, mask string"
-_LOG = "seq long, as_of date, load string, generation int, schema string"
+OPEN = "open"
+FEW_KEYS = 1000  # forget requests up to this many are pushed down as values
+_SORTED = "spark.sql.legacy.bucketedTableScan.outputOrdering"
 
 
-def _at(root: str, name: str) -> str:
-    return f"{root.rstrip('/')}/{name}"
+def _files(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
 
 
-def _read_small(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException as e:
-        if "PATH_NOT_FOUND" in str(e):
-            return spark.createDataFrame([], schema)
-        raise
-
-
-def _loads(spark: SparkSession, root: str) -> dict:
-    """The load that counts for each date (log rows; one per load)."""
-    rows = sorted(_read_small(spark, _at(root, "_log"), _LOG).collect(), key=lambda r: r.seq)
-    newest = max((r.generation for r in rows), default=0)
-    return {r.as_of: r for r in rows if r.generation == newest}
-
-
-def _commit(spark: SparkSession, root: str, entries: list) -> None:
-    """Log loads (date, load id, generation, schema) in one small file."""
-    last = _read_small(spark, _at(root, "_log"), _LOG).agg(F.max("seq")).first()[0] or 0
-    rows = [(last + 1 + i, *e) for i, e in enumerate(entries)]
-    spark.createDataFrame(rows, _LOG).coalesce(1).write.mode("append").parquet(_at(root, "_log"))
-
-
-def _keep_settings(spark: SparkSession, root: str, cfg: Optional[HistoryConfig]) -> None:
-    if cfg is None or stored_settings(spark, root) == cfg_settings(cfg):
-        return
-    row = (list(cfg.key_cols), list(cfg.sensitive_cols), cfg.mask)
-    spark.createDataFrame([row], _SETTINGS).coalesce(1).write.mode("overwrite").parquet(_at(root, "_settings"))
-
-
-def cfg_settings(cfg: HistoryConfig) -> tuple:
-    return tuple(cfg.key_cols), tuple(cfg.sensitive_cols), cfg.mask
-
-
-def stored_settings(spark: SparkSession, root: str) -> Optional[tuple]:
-    """(key columns, sensitive columns, mask) kept with the store, if any."""
-    r = _read_small(spark, _at(root, "_settings"), _SETTINGS).first()
-    return None if r is None else (tuple(r.key_cols), tuple(r.sensitive_cols), r["mask"])
-
-
-def generation(spark: SparkSession, root: str) -> int:
-    """The current data generation (0 until the first ``purge``)."""
-    return max((r.generation for r in _loads(spark, root).values()), default=0)
+def _folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders in a folder (none if it does not exist)."""
+    fs, place = _files(spark, path)
+    if not fs.exists(place):
+        return []
+    return sorted(s.getPath().getName() for s in fs.listStatus(place) if s.isDirectory() and "=" in s.getPath().getName())
 
 
-def versions(spark: SparkSession, root: str) -> DataFrame:
-    """Committed versions (one DATE column ``as_of``)."""
-    return spark.createDataFrame([(d,) for d in sorted(_loads(spark, root))], "as_of date")
+def _home(spark: SparkSession, root: str) -> Optional[str]:
+    found = [n for n in _folders(spark, root) if n.startswith("buckets=")]
+    return f"{root.rstrip('/')}/{found[0]}" if found else None
 
 
-def latest_version(spark: SparkSession, root: str, before: Optional[dt.date] = None) -> Optional[dt.date]:
-    """The newest committed version (strictly before ``before`` if given)."""
-    return max((d for d in _loads(spark, root) if before is None or d < before), default=None)
+def _month(d: dt.date) -> str:
+    return d.strftime("%Y-%m")
 
 
-def _schema(loads: Iterable) -> T.StructType:
-    """All columns of the given loads, in order of appearance."""
-    fields: dict = {}
-    for r in sorted(loads, key=lambda r: r.seq):
-        for f in T.StructType.fromJson(json.loads(r.schema)).fields:
-            fields.setdefault(f.name, f)
-    return T.StructType(list(fields.values()))
+def _part():
+    return F.when(is_open(), F.lit(OPEN)).otherwise(F.date_format("ValidTo", "yyyy-MM"))
 
 
-def _rows(spark: SparkSession, root: str, loads: list, *segments: str) -> DataFrame:
-    """Rows of the given loads' segments, with the partition columns."""
-    schema = _schema(loads).add("as_of", "date").add("load", "string").add("segment", "string")
-    paths = [_path(root, r.as_of, r.load) for r in loads]
-    rows = spark.read.schema(schema).option("basePath", _at(root, "data")).parquet(*paths)
-    return rows.filter(F.col("segment").isin(*segments))
+def stored_schema(spark: SparkSession, root: str) -> Optional[T.StructType]:
+    """The history's columns, from the open part (of the newest one if nothing
+    is open): every write carries all columns, so one file's footer tells them."""
+    home = _home(spark, root)
+    parts = _folders(spark, home) if home else []
+    if not parts:
+        return None
+    newest = f"part={OPEN}" if f"part={OPEN}" in parts else parts[-1]
+    found = spark.read.parquet(f"{home}/{newest}").schema
+    fields = {f.name: f for f in found if f.name != "part"}
+    fields["IsDeleted"] = T.StructField("IsDeleted", T.BooleanType())
+    return T.StructType([fields[c] for c in history_columns([f.name for f in found if f.name in fields])])
 
 
-def _path(root: str, as_of: dt.date, load: str) -> str:
-    return f"{_at(root, 'data')}/as_of={as_of.isoformat()}/load={load}"
+def read_state(spark: SparkSession, root: str, as_of: Optional[dt.date] = None) -> DataFrame:
+    """The stored history, or with ``as_of`` as it was after that date's load
+    (time travel).  Masked rows are masked in the files, whatever date is asked."""
+    from vhist.operators.reload import rollback
 
+    schema = stored_schema(spark, root)
+    if schema is None:
+        raise ValueError(f"{root} holds no history")
+    stored = T.StructType([*schema, T.StructField("part", T.StringType())])
+    rows = spark.read.schema(stored).parquet(_home(spark, root)).select(*schema.names)
+    return rows if as_of is None else rollback(rows, as_of + dt.timedelta(days=1))
 
-def write_version(rows: DataFrame, root: str, as_of: dt.date) -> str:
-    """Write open and closed rows of one load as version ``as_of``, then log it.
 
-    One write job: the segment is a partition column computed from ValidTo.
-    """
-    spark = rows.sparkSession
-    load = uuid.uuid4().hex
-    rows = rows.select(*history_columns(data_columns(rows)))
-    segment = F.when(is_open(), F.lit("open")).when(F.col("IsDeleted"), F.lit("deleted")).otherwise(F.lit("closed"))
-    writer = rows.withColumn("segment", segment).write.option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
-    writer.partitionBy("segment").parquet(_path(root, as_of, load))
-    _commit(spark, root, [(as_of, load, generation(spark, root), rows.schema.json())])
-    return _path(root, as_of, load)
+def newest_date(spark: SparkSession, root: str) -> Optional[dt.date]:
+    """The newest load that left a trace: a version started or ended by it."""
+    if _home(spark, root) is None:
+        return None
+    ended = F.when(F.col("ValidTo") < F.lit(OPEN_END), F.date_add("ValidTo", 1))
+    return read_state(spark, root).agg(F.max(F.greatest(F.col("ValidFrom"), F.coalesce(ended, F.col("ValidFrom"))))).first()[0]
 
 
-def forget_requests(spark: SparkSession, root: str, key_cols) -> DataFrame:
-    """Per key (as text), the latest forget request: key columns + ``_forget_upto``."""
-    schema = ", ".join(f"`{k}` string" for k in key_cols) + ", requested_on date"
-    return _read_small(spark, _at(root, "_forget"), schema).groupBy(*key_cols).agg(F.max("requested_on").alias("_forget_upto"))
+class StoredHistory:
+    """A stored history opened for loads: its folders as a table of the session.
 
+    Use as a context manager; leaving it drops the table, not the files."""
 
-def _with_requests(spark: SparkSession, root: str, rows: DataFrame, cfg: Optional[HistoryConfig]) -> DataFrame:
-    """``rows`` with every version that a request covers masked."""
-    from vhist.operators.privacy import mask_versions_up_to
+    def __init__(self, spark: SparkSession, root: str, cfg: HistoryConfig, buckets: Optional[int] = None):
+        self.spark, self.root, self.cfg = spark, root.rstrip("/"), cfg
+        home = _home(spark, root)
+        self.buckets = int(home.rsplit("=", 1)[1]) if home else int(buckets or spark.conf.get("spark.sql.shuffle.partitions"))
+        self.home = home or f"{self.root}/buckets={self.buckets}"
+        self.name = f"vhist_{uuid.uuid4().hex}"
+        self.schema: Optional[T.StructType] = None
+        found = stored_schema(spark, root)
+        if found is not None:
+            self._register(found)
+            spark.sql(f"ALTER TABLE {self.name} RECOVER PARTITIONS")
 
-    settings = cfg_settings(cfg) if cfg is not None and cfg.sensitive_cols else stored_settings(spark, root)
-    if settings is None or not settings[1]:
-        return rows
-    keys, sensitive, mask = settings
-    types = dict(rows.dtypes)
-    requests = forget_requests(spark, root, keys).select(*[F.col(k).cast(types[k]).alias(k) for k in keys], "_forget_upto")
-    return mask_versions_up_to(rows, requests, HistoryConfig(key_cols=keys, sensitive_cols=sensitive, mask=mask))
+    def __enter__(self) -> "StoredHistory":
+        return self
 
+    def __exit__(self, *_) -> None:
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")
 
-def read_state(spark: SparkSession, root: str, as_of: dt.date, cfg: Optional[HistoryConfig] = None) -> DataFrame:
-    """The whole history as of version ``as_of`` (time travel / rollback), with
-    every forget request applied, later ones too.  ``cfg`` overrides the
-    settings kept in the store.  A date that was never loaded raises."""
-    loads = _loads(spark, root)
-    if as_of not in loads:
-        raise ValueError(f"{as_of} is not a version of the history at {root}")
-    current = _rows(spark, root, [loads[as_of]], "open").drop(*_PARTS)
-    past = _rows(spark, root, [r for d, r in loads.items() if d <= as_of], "closed", "deleted").drop(*_PARTS)
-    state = conform(current, past).unionByName(past)
-    return _with_requests(spark, root, state, cfg)
+    def _register(self, schema: T.StructType) -> None:
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema if f.name != "IsDeleted")
+        keys = ", ".join(f"`{k}`" for k in self.cfg.key_cols)
+        # filters as large as each file's keys need, not one megabyte each
+        blooms = ", `parquet.bloom.filter.adaptive.enabled` 'true'" + "".join(f", `parquet.bloom.filter.enabled#{k}` 'true'" for k in self.cfg.key_cols)
+        self.spark.sql(
+            f"CREATE TABLE {self.name} ({columns}, part STRING, IsDeleted BOOLEAN) USING parquet "
+            f"OPTIONS (partitionOverwriteMode 'dynamic'{blooms}) PARTITIONED BY (part, IsDeleted) "
+            f"CLUSTERED BY ({keys}) SORTED BY ({keys}) INTO {self.buckets} BUCKETS LOCATION '{self.home}'"
+        )
+        self.schema = schema
+
+    def _widen(self, schema: T.StructType) -> None:
+        """Take over columns that the stored rows lack (NULL there)."""
+        new = [f for f in schema if f.name not in self.schema.names]
+        if new:
+            self.spark.sql(f"ALTER TABLE {self.name} ADD COLUMNS ({', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in new)})")
+            self.schema = T.StructType([*self.schema, *new])
+
+    def rows(self) -> DataFrame:
+        """The stored rows, with ``part``."""
+        return self.spark.table(self.name).select(*self.schema.names, "part")
+
+    def open_rows(self) -> DataFrame:
+        return self.rows().filter(F.col("part") == OPEN).filter(~F.col("IsDeleted")).drop("part")
+
+    def _parts(self) -> list[tuple]:
+        """(part, IsDeleted) of the stored folders."""
+        found = [dict(x.split("=", 1) for x in r[0].split("/")) for r in self.spark.sql(f"SHOW PARTITIONS {self.name}").collect()]
+        return [(p["part"], p["IsDeleted"] == "true") for p in found]
+
+    def _write(self, rows: DataFrame) -> None:
+        names = [n for n in self.schema.names if n != "IsDeleted"]
+        rows.select(*names, _part().alias("part"), "IsDeleted").write.insertInto(self.name, overwrite=True)
+
+    def _remove(self, parts: Iterable[tuple]) -> None:
+        """Remove parts, (part, IsDeleted) each, that hold no rows any more."""
+        for part, deleted in parts:
+            self.spark.sql(f"ALTER TABLE {self.name} DROP IF EXISTS PARTITION (part = '{part}', IsDeleted = {str(deleted).lower()})")
+            for path in (f"{self.home}/part={part}/IsDeleted={str(deleted).lower()}", f"{self.home}/part={part}"):
+                fs, place = _files(self.spark, path)
+                if fs.exists(place) and (path.count("IsDeleted=") or not fs.listStatus(place)):
+                    fs.delete(place, True)
+
+    def create(self, history: DataFrame) -> None:
+        """Store a history built in bulk: one exchange on the key."""
+        if self.schema is not None:
+            raise ValueError(f"{self.root} holds a history already")
+        history = history.select(*history_columns(data_columns(history)))
+        self._register(history.schema)
+        self._write(history.repartition(self.buckets, *self.cfg.key_cols))
+
+    def load(
+        self, snapshot: DataFrame, day: dt.date, compare: str = "hash", forget: bool = False, again: bool = False, dedupe: bool = True,
+        step: Optional[Callable[[DataFrame, DataFrame, DataFrame], DataFrame]] = None,
+    ) -> dict:
+        """Merge the snapshot of ``day`` into the stored history; returns how
+        many keys were new, updated, deleted and unchanged.
+
+        ``again``: the history may reach beyond ``day``; it is rolled back to
+        before it first.  ``dedupe=False``: the snapshot has one row per key
+        already.  ``step(snapshot, open rows, deleted rows)`` replaces
+        the plain merge (``plans.process.process_snapshots``).
+        """
+        cfg, keys = self.cfg, list(self.cfg.key_cols)
+        snapshot = snapshot.drop(cfg.date_col)
+        ids = None
+        if forget and cfg.signal_col and cfg.signal_pattern:
+            hashed = snapshot
+            if "RowHashKey" not in snapshot.columns:
+                hashed = with_hash_key(snapshot, keys, cfg.hash_cols, cfg.hash_mode, cfg.salt, cfg.date_col)
+            flagged, ids = detect_and_anonymise(hashed, keys, cfg.signal_pattern, cfg.signal_col, cfg.sensitive_cols, cfg.mask)
+            ids = _Keys(ids, keys)
+            if step is None or self.schema is None:
+                snapshot = anonymise_history(flagged, ids.frame, keys, cfg.sensitive_cols, cfg.mask)
+        if self.schema is None:
+            from vhist.operators.history import build_history
+
+            first = build_history(snapshot.withColumn(cfg.date_col, F.lit(day)), cfg, dedupe=dedupe)
+            self._register(first.schema)
+            return self._store(first.repartition(self.buckets, *keys), day, [], ids)
+        eve = day - dt.timedelta(days=1)
+        if again:
+            gone = F.col("part") >= _month(eve)  # the open part too
+            later = self.rows().filter(gone).drop("part")
+            past = later.filter(F.col("ValidTo") < F.lit(eve))
+            prior = later.filter((F.col("ValidTo") >= F.lit(eve)) & (F.col("ValidFrom") < F.lit(day)))
+            prior = prior.dropDuplicates([*keys, "ValidFrom"]).withColumns({"ValidTo": F.lit(OPEN_END), "IsDeleted": F.lit(False)})
+            stale = {p for p in self._parts() if p[0] >= _month(eve)}
+        else:
+            month = self.rows().filter(F.col("part") == _month(eve)).drop("part")
+            late = F.raise_error(F.lit(f"snapshot {day} is not newer than the history: reload instead"))
+            past = month.withColumn("ValidTo", F.when(F.col("ValidTo") < F.lit(eve), F.col("ValidTo")).otherwise(late.cast("date")))
+            prior, stale = self.open_rows(), {(OPEN, False)}
+        deleted = self.rows().filter(F.col("IsDeleted")).filter(F.col("ValidTo") < F.lit(eve))
+        deleted = deleted.select(*keys, "FirstSnapshot", "IsDeleted")
+        prior, snapshot, order = align_columns(prior, snapshot, cfg.date_col)
+        self._widen(T.StructType([f for f in snapshot.schema if f.name in order]))
+        if ids is not None and step is None:
+            prior = anonymise_history(prior, ids.frame, keys, cfg.sensitive_cols, cfg.mask)
+        merged = step(snapshot, prior, deleted) if step else merge_open_rows(prior, snapshot, day, cfg, deleted_rows=deleted, compare=compare, dedupe=dedupe)
+        merged = merged.select(*self.schema.names)
+        return self._store(merged.unionByName(conform(past, merged)), day, stale, ids)
+
+    def _store(self, rows: DataFrame, day: dt.date, stale: Iterable[tuple], ids) -> dict:
+        eve = F.lit(day - dt.timedelta(days=1))
+        opened, closed = is_open() & (F.col("ValidFrom") == F.lit(day)), F.col("ValidTo") == eve
+        counted = {
+            "opened": opened, "updated": closed & ~F.col("IsDeleted"), "deleted": closed & F.col("IsDeleted"), "open": is_open(),
+            "ended": ~is_open() & ~F.col("IsDeleted"), "gone": ~is_open() & F.col("IsDeleted"),
+        }
+        seen = Observation()
+        before = self.spark.conf.get(_SORTED, "false")
+        self.spark.conf.set(_SORTED, "true")  # one file per bucket: the join needs no sort
+        try:
+            self._write(rows.observe(seen, *(F.count_if(c).alias(n) for n, c in counted.items())))
+        finally:
+            self.spark.conf.set(_SORTED, before)
+        n = seen.get
+        month = _month(day - dt.timedelta(days=1))
+        written = {k for k, c in {(OPEN, False): n["open"], (month, False): n["ended"], (month, True): n["gone"]}.items() if c}
+        self._remove(set(stale) - written)  # an overwrite leaves parts without new rows as they were
+        if ids is not None:
+            self.erase(ids.frame)
+            ids.release()
+        return {"new": n["opened"] - n["updated"], "updated": n["updated"], "deleted": n["deleted"], "unchanged": n["open"] - n["opened"]}
+
+    def exposed(self, ids: DataFrame) -> DataFrame:
+        """Stored rows of the keys to be forgotten that are not masked yet.  Few
+        keys are pushed down as values, which the files' Bloom filters answer."""
+        keys = list(self.cfg.key_cols)
+        rows = self.rows().filter(F.col("GDPR_Compliant") == NOT_FORGOTTEN)
+        few = ids.limit(FEW_KEYS + 1).collect()
+        if len(few) <= FEW_KEYS:
+            rows = rows.filter(F.col(keys[0]).isin(sorted({r[keys[0]] for r in few})))
+            if len(keys) == 1:
+                return rows
+        return rows.join(forget_ids(ids, keys), keys, "left_semi")
+
+    def erase(self, ids: DataFrame, rehash: bool = False) -> list:
+        """Mask every stored version of the keys, in the files: the parts that
+        hold an unmasked one are rewritten, by one dynamic overwrite; returns them.
+
+        ``rehash``: masked closed versions get the hash of their masked values,
+        since an unsalted hash of personal data could be guessed and a closed
+        version's hash is never compared again.
+        """
+        cfg = self.cfg
+        parts = sorted(tuple(r) for r in self.exposed(ids).select("part", "IsDeleted").distinct().collect())
+        if rehash:
+            masked = self.rows().filter((F.col("GDPR_Compliant") == FORGOTTEN) & (F.col("part") != OPEN)).join(forget_ids(ids, cfg.key_cols), list(cfg.key_cols), "left_semi")
+            parts = sorted({*parts, *(tuple(r) for r in masked.select("part", "IsDeleted").distinct().collect())})
+        if not parts:
+            return []
+        some = [F.col("part").isin([p for p, d in parts if d == flag]) & (F.col("IsDeleted") == flag) for flag in sorted({d for _, d in parts})]
+        hit = some[0] if len(some) == 1 else some[0] | some[1]
+        rows = anonymise_history(self.rows().filter(hit).drop("part"), ids, cfg.key_cols, cfg.sensitive_cols, cfg.mask)
+        if rehash:
+            hidden = (F.col("GDPR_Compliant") == FORGOTTEN) & ~is_open()
+            new = row_hash(list(cfg.hash_cols or data_columns(rows)), cfg.hash_mode, cfg.salt)
+            rows = rows.withColumn("RowHashKey", F.when(hidden, new).otherwise(F.col("RowHashKey")))
+        self._write(rows.repartition(self.buckets, *cfg.key_cols))
+        return parts
+
+
+class _Keys:
+    """Keys of one load's forget requests, read several times: persisted, then released."""
+
+    def __init__(self, ids: DataFrame, keys: list):
+        self.frame = forget_ids(ids, keys).persist()
+
+    def release(self) -> None:
+        self.frame.unpersist()
+
+
+# ------------------------------------------------------------- one call each
+
+
+def write_initial(history: DataFrame, root: str, cfg: HistoryConfig, buckets: Optional[int] = None) -> None:
+    """Store a history built in bulk (``build_history``)."""
+    with StoredHistory(history.sparkSession, root, cfg, buckets) as stored:
+        stored.create(history)
 
 
 def merge_into(
-    spark: SparkSession,
-    root: str,
-    snapshot: DataFrame,
-    as_of: dt.date,
-    cfg: HistoryConfig,
-    compare: str = "hash",
-    forget: bool = False,
-) -> str:
-    """Load ``snapshot`` (taken on ``as_of``) on top of the newest version.
-
-    With no version yet the snapshot starts the history.  With ``forget`` (and
-    forget settings in ``cfg``) the snapshot is hashed, then searched for forget
-    signals; flagged rows and the open versions of flagged keys are written
-    masked and the keys are recorded.  Loading a date that later versions were
-    built after raises (``redo_from``); loading the newest date again replaces
-    it.  Returns the new version's path.
-    """
-    newest = latest_version(spark, root)
-    if newest is not None and as_of < newest:
-        raise ValueError(f"{as_of} is older than the newest version {newest}: use redo_from")
-    return _load(spark, root, snapshot, as_of, cfg, compare, forget)
-
-
-def _load(spark, root, snapshot, as_of, cfg, compare="hash", forget=False) -> str:
-    """Load a snapshot on top of the newest version before ``as_of``."""
-    from vhist.functions.hashing import with_hash_key
-    from vhist.operators.privacy import anonymise_history, detect_and_anonymise
-
-    _keep_settings(spark, root, cfg)
-    if forget:
-        hashed = with_hash_key(snapshot, cfg.key_cols, cfg.hash_cols, cfg.hash_mode, cfg.salt, cfg.date_col)
-        snapshot, ids = detect_and_anonymise(
-            hashed, cfg.key_cols, cfg.signal_pattern, cfg.signal_col, cfg.sensitive_cols, cfg.mask
-        )
-        requests = ids.select(*[F.col(k).cast("string").alias(k) for k in cfg.key_cols])
-        requests.write.mode("overwrite").parquet(f"{_at(root, '_forget')}/requested_on={as_of.isoformat()}")
-        # forgetting is per key: every row of a flagged key, not only the flagged row
-        snapshot = anonymise_history(snapshot, ids, cfg.key_cols, cfg.sensitive_cols, cfg.mask)
-    loads = _loads(spark, root)
-    before = [r for d, r in loads.items() if d < as_of]
-    if not before:
-        from vhist.operators.history import build_history
-
-        return write_version(build_history(snapshot.withColumn(cfg.date_col, F.lit(as_of)), cfg), root, as_of)
-    previous = max(before, key=lambda r: r.as_of)
-    current = conform(_rows(spark, root, [previous], "open").drop(*_PARTS), spark.createDataFrame([], _schema(before)))
-    if forget:
-        current = anonymise_history(current, ids, cfg.key_cols, cfg.sensitive_cols, cfg.mask)
-    deleted = _rows(spark, root, before, "deleted").select(*cfg.key_cols, "FirstSnapshot", "IsDeleted")
-    return write_version(merge_open_rows(current, snapshot, as_of, cfg, deleted_rows=deleted, compare=compare), root, as_of)
-
-
-def redo_from(
-    spark: SparkSession,
-    root: str,
-    dates: Iterable[dt.date],
-    read_snapshot: Callable[[dt.date], DataFrame],
-    cfg: HistoryConfig,
-    compare: str = "hash",
-    forget: bool = False,
-) -> list:
-    """Load ``dates`` and every committed version after the earliest of them, in
-    order, each on top of the one before; returns the dates loaded.
-
-    This is the reload of a stored history: versions before the earliest date
-    stay as they are.  A run that ends early is repeated as a whole.
-    """
+    spark: SparkSession, root: str, snapshot: DataFrame, day: dt.date, cfg: HistoryConfig, compare: str = "hash", forget: bool = False,
+    buckets: Optional[int] = None,
+) -> dict:
+    """Load ``snapshot`` (taken on ``day``) on top of the stored history, or
+    begin it; returns the counts by status.  A date that is not newer than the
+    history raises: ``reload_from`` loads it."""
+    with StoredHistory(spark, root, cfg, buckets) as stored:
+        return stored.load(snapshot, day, compare, forget)
+
+
+def reload_from(
+    spark: SparkSession, root: str, dates: Iterable[dt.date], read_snapshot: Callable[[dt.date], DataFrame], cfg: HistoryConfig,
+    compare: str = "hash", forget: bool = False, buckets: Optional[int] = None,
+) -> list:
+    """Roll the stored history back to before the earliest of ``dates`` and load
+    them in order; returns them.  The dates are all that the load log has from
+    the earliest on: later ones that are left out are lost.  A run that ends
+    early is repeated as a whole."""
     dates = sorted(set(dates))
-    if not dates:
-        return []
-    todo = sorted(set(dates) | {d for d in _loads(spark, root) if d > dates[0]})
-    for d in todo:
-        _load(spark, root, read_snapshot(d), d, cfg, compare, forget)
-    return todo
-
-
-def write_initial(history: DataFrame, root: str, as_of: dt.date, cfg: Optional[HistoryConfig] = None) -> str:
-    """Store a history built in bulk (``build_history``) as version ``as_of``."""
-    _keep_settings(history.sparkSession, root, cfg)
-    return write_version(history, root, as_of)
-
-
-def purge(spark: SparkSession, root: str, cfg: HistoryConfig) -> int:
-    """Rewrite the data that counts with every forget request applied, as a new
-    generation, so forgotten values leave storage (old versions included).
-
-    Closed versions that are masked get the hash of their masked values: an
-    unsalted hash over personal data could be guessed, and a closed version's
-    hash is never compared again.  Rows are rebalanced by version and segment,
-    so a task does not write a file into every folder.  Returns the generation.
-    """
-    loads = _loads(spark, root)
-    if not loads:
-        return 0
-    gen = generation(spark, root) + 1
-    rows = _with_requests(spark, root, _rows(spark, root, list(loads.values()), "open", "closed", "deleted"), cfg)
-    data = [c for c in data_columns(rows) if c not in _PARTS]
-    hidden = (F.col("GDPR_Compliant") == FORGOTTEN) & ~is_open()
-    rehashed = row_hash(list(cfg.hash_cols or data), cfg.hash_mode, cfg.salt)
-    rows = rows.withColumn("RowHashKey", F.when(hidden, rehashed).otherwise(F.col("RowHashKey")))
-    load = uuid.uuid4().hex
-    rows = rows.select(*history_columns(data), "as_of", F.lit(load).alias("load"), "segment")
-    writer = rows.hint("rebalance", "as_of", "segment").write.mode("append").option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
-    writer.partitionBy(*_PARTS).parquet(_at(root, "data"))
-    schema = T.StructType([f for f in rows.schema if f.name not in _PARTS]).json()
-    _commit(spark, root, [(d, load, gen, schema) for d in sorted(loads)])
-    return gen
+    with StoredHistory(spark, root, cfg, buckets) as stored:
+        for i, d in enumerate(dates):
+            stored.load(read_snapshot(d), d, compare, forget, again=i == 0)
+    return dates
+
+
+def erase(spark: SparkSession, root: str, ids: DataFrame, cfg: HistoryConfig, rehash: bool = False) -> list:
+    """Mask every stored version of the keys in the files (``StoredHistory.erase``)."""
+    with StoredHistory(spark, root, cfg) as stored:
+        ids = _Keys(ids, list(cfg.key_cols))
+        try:
+            return stored.erase(ids.frame, rehash)
+        finally:
+            ids.release()

@@ -1,66 +1,49 @@
 """Process snapshots as their load-log records arrive.
 
 A Structured Streaming query reads load-log records (``DataGroupName``,
-``SnapshotDate``, ...) from a folder; each micro-batch is handled in
-``foreachBatch``:
+``SnapshotDate``, ...) from a folder; each micro-batch goes, in
+``foreachBatch``, through the reload plan (``plans.process.run_loads``):
 
 * records of other data groups are ignored;
-* the batch's snapshot dates are merged into the store in date order, each on
-  top of the newest version before it (``vhist.sources.store``);
-* a date at or before the newest committed version is a reload: every
-  committed version from the earliest such date on is rebuilt in order, which
-  is the reload plan of several loads (restore from the earliest).
+* one load is processed if it was asked for, else skipped; with several loads
+  the history is restored to before the earliest of them;
+* from the restored date on, every load that the log folder names is processed
+  in order, so later dates are built again as well.
 
 The stream's checkpoint records which log files were handled; after a failure
-the batch is replayed and each version is rewritten in place, so the result
-is the same.  A snapshot is read only once its load-log record exists, so it
-is complete by then.
+the batch is replayed from the same restored state, so the result is the same.
+A snapshot is read only once its load-log record exists, so it is complete by
+then.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-from typing import Callable
+from typing import Callable, Optional
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from vhist.config import HistoryConfig
-from vhist.sources import store
+from vhist.plans.process import run_loads
 
 LOG_SCHEMA = "PK_DataGroupLoadLogID string, DataGroupName string, SnapshotDate date, Layer string"
 
 
-def dates_to_process(batch_dates, committed) -> list:
-    """Dates to (re)build, in order: the new ones, plus every committed one from
-    the earliest date that is not newer than the newest committed version."""
-    batch_dates = sorted(set(batch_dates))
-    if not batch_dates:
-        return []
-    committed = sorted(set(committed))
-    if committed and batch_dates[0] <= committed[-1]:
-        redo = [d for d in committed if d >= batch_dates[0]]
-        return sorted(set(batch_dates) | set(redo))
-    return batch_dates
-
-
 def process_load_batch(
     spark: SparkSession,
     log_rows: DataFrame,
+    all_loads: DataFrame,
+    requests: DataFrame,
     data_group: str,
     root: str,
     cfg: HistoryConfig,
     read_snapshot: Callable[[dt.date], DataFrame],
     layer: str = "Bronze",
     forget: bool = False,
-) -> list:
-    """Handle one batch of load-log records; returns the dates (re)built."""
-    mine = log_rows.filter((F.col("DataGroupName") == data_group) & (F.col("Layer") == layer))
-    new_dates = [r[0] for r in mine.select("SnapshotDate").distinct().collect()]  # a few dates per batch
-    committed = [r[0] for r in store.versions(spark, root).distinct().collect()]  # one row per load
-    todo = dates_to_process(new_dates, committed)
-    return store.redo_from(spark, root, todo, read_snapshot, cfg, forget=forget)
+) -> tuple:
+    """Handle one batch of load-log records by the reload plan: (action, dates loaded)."""
+    return run_loads(log_rows, requests, data_group, root, cfg, read_snapshot, layer, forget, all_loads)
 
 
 def load_log_stream(
@@ -74,12 +57,18 @@ def load_log_stream(
     available_now: bool = True,
     log_format: str = "parquet",
     forget: bool = False,
+    read_requests: Optional[Callable[[], DataFrame]] = None,
 ) -> StreamingQuery:
-    """Start the stream; ``available_now`` handles what has arrived and stops."""
+    """Start the stream; ``available_now`` handles what has arrived and stops.
+
+    ``read_requests`` gives the reload requests (DataGroupName, SnapshotDate) of
+    the moment, once per batch; without it none are on file."""
     src = spark.readStream.schema(LOG_SCHEMA).format(log_format).load(log_dir)
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
-        process_load_batch(spark, batch, data_group, root, cfg, read_snapshot, forget=forget)
+        log = spark.read.schema(LOG_SCHEMA).format(log_format).load(log_dir)
+        requests = read_requests() if read_requests else spark.createDataFrame([], "DataGroupName string, SnapshotDate date")
+        process_load_batch(spark, batch, log, requests, data_group, root, cfg, read_snapshot, forget=forget)
 
     w = src.writeStream.foreachBatch(on_batch).option("checkpointLocation", checkpoint_location)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
