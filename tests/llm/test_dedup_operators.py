@@ -205,3 +205,28 @@ def test_components_of_paths_stars_and_loops(spark):
     want |= {300: 100, 301: 100} if 300 in range(100, 300) else {}
     assert got == want
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+# ------------------------------------------------------------- sketches
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_sketches_lose_no_pair(seed):
+    rng = np.random.default_rng(seed)
+    base = rng.integers(0, 1 << 63, 4000).astype(np.uint64)
+    sets = []
+    for _ in range(60):
+        n = int(rng.choice([4, 9, 20, 60, 200, 1500]))
+        start = int(rng.integers(0, 3)) * n
+        own = rng.integers(0, 1 << 63, int(rng.integers(0, 1 + n // 3))).astype(np.uint64)
+        sets.append(np.unique(np.concatenate([base[start : start + n], own])))
+    sizes = np.array([len(s) for s in sets], np.float64)
+    may = jaccard.possible([jaccard.sketch(s) for s in sets], sizes, 0.8)
+    linked = set()
+    for i, j in itertools.combinations(range(len(sets)), 2):
+        both = len(np.intersect1d(sets[i], sets[j]))
+        if both >= 0.8 * (len(sets[i]) + len(sets[j]) - both):
+            linked |= {i, j}
+    assert linked and all(may[i] for i in linked)
+    alone = [np.unique(rng.integers(0, 1 << 63, 300).astype(np.uint64)) for _ in range(20)]
+    assert not jaccard.possible([jaccard.sketch(s) for s in alone], np.full(20, 300.0), 0.8).any()

@@ -8,7 +8,10 @@ token's bucket.  Buckets of more than ``limit`` members are split again by a
 pick under a hash of the path so far, down to ``depth`` picks; what still is
 large (a large group of near copies) is cut into blocks.  Of small buckets,
 members whose size allows no link there and buckets that lie within another
-one are left out, which loses no pair.  Small buckets and
+one are left out, which loses no pair.  Members of a
+small bucket first send a sketch of their set, some four bits a token, which
+bounds each intersection from above; only those that may have a partner there
+send the set itself.  Small buckets and
 pairs of blocks are compared by brute force with exact intersections.  Runs
 are repeated until a pair at the threshold is found with the target recall,
 even where all its buckets are split down to the last level.
@@ -48,6 +51,8 @@ LIMIT = 256  # members of a bucket that is compared at once
 BLOCK = 1024  # members of a block of a bucket that no pick splits
 CELLS = 2 << 20  # cells of an incidence matrix held at once
 ROWS = 256  # rows of a pair matrix worked on at once
+BITS = 4  # bits of a sketch per token, about
+MOST_BITS = 1 << 14  # of a sketch; larger sets fill theirs more
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _random = np.random.default_rng(23)
@@ -124,8 +129,67 @@ def _first_paths(tokens: np.ndarray, runs: int, factor: float) -> np.ndarray:
     return np.unique(np.concatenate([_picks(tokens, -1 - r, factor) for r in range(runs)]))
 
 
+def sketch(tokens: np.ndarray) -> bytes:
+    """A set's tokens as the bits of a small map, whose length is a power of two
+    of eight at least.  Folding a map in half gives the map of half the length."""
+    bits = 64
+    while bits < min(BITS * len(tokens), MOST_BITS):
+        bits *= 2
+    out = np.zeros(bits, bool)
+    out[(_mixed(tokens) & np.uint64(bits - 1)).astype(np.int64)] = True
+    return np.packbits(out).tobytes()
+
+
+def possible(sketches: list[bytes], sizes: np.ndarray, similarity: float) -> np.ndarray:
+    """Members that may be similar enough to another one.  A bit that x has and y
+    lacks is a token of x outside y, so their sizes bound the intersection."""
+    width = min(map(len, sketches))
+    folded = []
+    for s in sketches:
+        x = np.frombuffer(s, np.uint8)
+        folded.append(np.bitwise_or.reduce(x.reshape(-1, width), axis=0))
+    x = np.unpackbits(np.stack(folded), axis=1).astype(np.float32)
+    both, own = x @ x.T, x.sum(1)
+    most = np.minimum(sizes[:, None] - (own[:, None] - both), sizes[None, :] - (own[None, :] - both))
+    may = most >= similarity * (sizes[:, None] + sizes[None, :] - most) - 1e-6
+    np.fill_diagonal(may, False)
+    return may.any(1)
+
+
+def _hopeful(assigned: DataFrame, reps: DataFrame, similarity: float) -> DataFrame:
+    """(bucket, node) of small buckets without the members that no other one of
+    the bucket can be similar enough to: they need not send their sets."""
+
+    def run(rows):
+        bucket, held = None, []
+
+        def done():
+            if len(held) < 2:
+                return []
+            nodes, sizes, sketches = zip(*held)
+            may = possible(list(sketches), np.array(sizes, np.float64), similarity)
+            return [(bucket, n) for n, m in zip(nodes, may.tolist()) if m]
+
+        def found(out):
+            cols = list(zip(*out)) or [()] * 2
+            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=["bucket", "node"])
+
+        for cols in batches(rows, "bucket", "node", "size", "sketch"):
+            out = []
+            for b, node, size, bits in zip(*cols):
+                if b != bucket:
+                    out += done()
+                    bucket, held = b, []
+                held.append((node, size, bits))
+            yield found(out)
+        yield found(done())
+
+    rows = assigned.join(reps.select("node", "size", "sketch"), "node").select("bucket", "node", "size", "sketch")
+    return rows.repartition("bucket").sortWithinPartitions("bucket", "node").mapInArrow(run, "bucket long, node long")
+
+
 def _members(documents: DataFrame, runs: int, factor: float, words: int, id_col: str) -> DataFrame:
-    """node, doc_id, text_key, set key (null without words), set size, paths."""
+    """node, doc_id, text_key, set key (null without words), set size, paths, sketch."""
 
     def run(rows):
         for nodes, ids, texts, raws in batches(rows, "node", "doc_id", "text_key", "raw"):
@@ -135,12 +199,13 @@ def _members(documents: DataFrame, runs: int, factor: float, words: int, id_col:
                     pa.array(nodes, pa.int64()), pa.array(ids, pa.int64()), pa.array(texts, pa.int64()),
                     pa.array([xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets], pa.binary()),
                     pa.array([len(s) for s in sets], pa.int32()), pa.array([_first_paths(s, runs, factor) for s in sets], pa.list_(pa.int64())),
+                    pa.array([sketch(s) for s in sets], pa.binary()),
                 ],
-                names=["node", "doc_id", "text_key", "key", "size", "paths"],
+                names=["node", "doc_id", "text_key", "key", "size", "paths", "sketch"],
             )
 
     docs = text_rows(documents, id_col).withColumn("text_key", F.xxhash64("raw")).withColumn("node", F.monotonically_increasing_id())
-    return docs.mapInArrow(run, "node long, doc_id long, text_key long, key binary, size int, paths array<long>")
+    return docs.mapInArrow(run, "node long, doc_id long, text_key long, key binary, size int, paths array<long>, sketch binary")
 
 
 def _candidate_sets(documents: DataFrame, wanted: DataFrame, words: int, id_col: str) -> DataFrame:
@@ -338,21 +403,22 @@ def near_duplicates(
     members = written(_members(documents, runs, factor, words, id_col), "members")
     reps = written(
         members.filter("key is not null").groupBy("key").agg(
-            F.min(F.struct("node", "doc_id", "text_key")).alias("rep"), F.min("doc_id").alias("smallest"), F.count("*").alias("copies"), F.first("size").alias("size"), F.first("paths").alias("paths")
-        ).select("key", "rep.*", "smallest", "copies", "size", "paths"),
+            F.min(F.struct("node", "doc_id", "text_key")).alias("rep"), F.min("doc_id").alias("smallest"), F.count("*").alias("copies"), F.first("size").alias("size"), F.first("paths").alias("paths"), F.first("sketch").alias("sketch")
+        ).select("key", "rep.*", "smallest", "copies", "size", "paths", "sketch"),
         "reps",
     )
     met = _met(reps.select(F.explode("paths").alias("path"), "node", F.col("size").cast("long").alias("size")))
-    buckets, big = written(_buckets(met.filter(F.col("n") <= limit), similarity), "buckets"), met.filter(F.col("n") > limit)
-    asked = buckets.select(F.explode("nodes").alias("node")).unionByName(big.select("node")).distinct()
+    small = lambda met: written(_hopeful(_largest(_buckets(met.filter(F.col("n") <= limit), similarity)), reps, similarity), "small")
+    one, big = small(met), met.filter(F.col("n") > limit)
+    asked = one.select("node").unionByName(big.select("node")).distinct()
     wanted = reps.select("node", "doc_id", "text_key", "key", "copies").join(asked, "node", "left_semi")
     sets = written(_candidate_sets(documents, wanted, words, id_col), "sets")
     for _ in range(depth - 1):
         if big.isEmpty():
             break
         met = _met(_children(big, sets, factor))
-        buckets, big = buckets.unionByName(_buckets(met.filter(F.col("n") <= limit), similarity)), met.filter(F.col("n") > limit)
-    one = _largest(buckets).select("bucket", F.lit(1).cast("long").alias("blocks"), "node")
+        one, big = one.unionByName(small(met)), met.filter(F.col("n") > limit)
+    one = one.select("bucket", F.lit(1).cast("long").alias("blocks"), "node")
     large = big.select(F.col("path").alias("bucket"), F.ceil(F.col("n") / block).cast("long").alias("blocks"), "node")
     assigned = written(one.unionByName(large), "assigned")
     own = F.pmod(F.xxhash64("node"), F.col("blocks"))
