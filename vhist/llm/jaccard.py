@@ -4,9 +4,10 @@ A document is the set of its shingles of five consecutive words (all its words
 if it has fewer).  Documents with equal sets are one member of the join.  A
 run picks from each set the shared tokens whose hash is below 1 / (c |x|), so
 similar sets expect about one common pick; a pick puts the set into that
-token's bucket.  Buckets of more than ``limit`` members are split again by a
-pick under a hash of the path so far, down to ``depth`` picks; what still is
-large (a large group of near copies) is cut into blocks.  Of small buckets,
+token's bucket.  Buckets of more than ``limit`` members are split again by
+picks under a hash of the path so far, down to ``depth`` levels; what still is
+large, and what no pick breaks up (a large group of near copies), is cut into
+blocks.  Of small buckets,
 members whose size allows no link there and buckets that lie within another
 one are left out, which loses no pair.  Members of a
 small bucket first send a sketch of their set, some four bits a token, which
@@ -47,6 +48,7 @@ WORDS = 5
 SIMILARITY = 0.8
 TARGET_RECALL = 0.9999  # of a pair at the threshold that every level must keep
 DEPTH = 3
+DEEPER = 3  # times as many picks at the levels below the first
 LIMIT = 256  # members of a bucket that is compared at once
 BLOCK = 1024  # members of a block of a bucket that no pick splits
 CELLS = 2 << 20  # cells of an incidence matrix held at once
@@ -102,12 +104,13 @@ def shingle_set(raw: bytes, words: int = WORDS) -> np.ndarray:
     return np.unique(_mixed((sums[e] - sums[s]) * down[s]))
 
 
-def runs_for(recall: float, depth: int, factor: float) -> int:
+def runs_for(recall: float, depth: int, factor: float, deeper: float = 1.0) -> int:
     """Runs after which a pair at the threshold, of which about 1/factor picks
-    are shared per level, is found with probability ``recall`` at any depth."""
+    are shared at the first level and ``deeper`` times as many at each further
+    one, is found with probability ``recall`` at any depth."""
     alive = 1.0
-    for _ in range(depth):  # survival of a branching process with Poisson offspring
-        alive = 1 - math.exp(-alive / factor)
+    for level in range(depth, 0, -1):  # survival of a branching process with Poisson offspring
+        alive = 1 - math.exp(-alive * (deeper if level > 1 else 1.0) / factor)
     return math.ceil(math.log(1 - recall) / math.log(1 - alive))
 
 
@@ -232,23 +235,36 @@ def _candidate_sets(documents: DataFrame, wanted: DataFrame, words: int, id_col:
 
 
 def _children(big: DataFrame, sets: DataFrame, factor: float) -> DataFrame:
-    """(path, node, size) one pick further down from (path, node)."""
+    """(path, node, size, parent) one pick further down from (path, node)."""
 
     def run(rows):
         for nodes, tokens, paths in batches(rows, "node", "tokens", "paths"):
-            out_nodes, out_paths, out_sizes = [], [], []
+            out_nodes, out_paths, out_sizes, out_parents = [], [], [], []
             for node, t, ps in zip(nodes, tokens, paths):
                 t = np.frombuffer(t, np.uint64)
-                got = np.concatenate([_picks(t, p, factor) for p in ps])
+                each = [_picks(t, p, factor) for p in ps]
+                got = np.concatenate(each)
                 out_nodes.append(np.full(len(got), node))
                 out_paths.append(got)
+                out_parents.append(np.repeat(np.array(ps, np.int64), [len(x) for x in each]))
                 out_sizes.append(np.full(len(got), len(t)))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(x) if x else [], pa.int64()) for x in (out_paths, out_nodes, out_sizes)], names=["path", "node", "size"]
+                [pa.array(np.concatenate(x) if x else [], pa.int64()) for x in (out_paths, out_nodes, out_sizes, out_parents)], names=["path", "node", "size", "parent"]
             )
 
     per = big.groupBy("node").agg(F.collect_list("path").alias("paths"))
-    return sets.select("node", "tokens").join(per, "node").mapInArrow(run, "path long, node long, size long").distinct()
+    return sets.select("node", "tokens").join(per, "node").mapInArrow(run, "path long, node long, size long, parent long").distinct()
+
+
+def _split(big: DataFrame, children: DataFrame):
+    """(buckets that no pick breaks up, the children of the others): a bucket of
+    which one child still has half the members is compared as it is, in blocks,
+    which loses no pair, instead of once per child."""
+    children = written(children, "children")
+    sizes = children.groupBy("parent", "path").agg(F.count("*").alias("k")).groupBy("parent").agg(F.max("k").alias("k"))
+    own = big.groupBy("path").agg(F.first("n").alias("m"))
+    whole = written(sizes.join(own, sizes["parent"] == own["path"]).filter("2 * k >= m").select("parent"), "whole")
+    return big.join(whole, big["path"] == whole["parent"], "left_semi"), children.join(whole, "parent", "left_anti").drop("parent")
 
 
 def _met(rows: DataFrame) -> DataFrame:
@@ -399,7 +415,7 @@ def near_duplicates(
         raise ValueError("sets of fewer than four shingles are joined by equality, which needs a similarity of at least 0.8")
     factor = similarity * 0.97  # a little more than one expected common pick at the threshold
     # equal sizes at the threshold share 2 s / (1 + s) of a set; the worst case, a subset, shares s
-    runs = runs_for(recall, depth, factor / similarity)
+    runs = runs_for(recall, depth, factor / similarity, DEEPER)
     members = written(_members(documents, runs, factor, words, id_col), "members")
     reps = written(
         members.filter("key is not null").groupBy("key").agg(
@@ -413,12 +429,17 @@ def near_duplicates(
     asked = one.select("node").unionByName(big.select("node")).distinct()
     wanted = reps.select("node", "doc_id", "text_key", "key", "copies").join(asked, "node", "left_semi")
     sets = written(_candidate_sets(documents, wanted, words, id_col), "sets")
+    whole = []
     for _ in range(depth - 1):
         if big.isEmpty():
             break
-        met = _met(_children(big, sets, factor))
+        stays, children = _split(big, _children(big, sets, factor / DEEPER))
+        whole.append(stays.select("path", "n", "node"))
+        met = _met(children)
         one, big = one.unionByName(small(met)), met.filter(F.col("n") > limit)
     one = one.select("bucket", F.lit(1).cast("long").alias("blocks"), "node")
+    for stays in whole:
+        big = big.select("path", "n", "node").unionByName(stays)
     large = big.select(F.col("path").alias("bucket"), F.ceil(F.col("n") / block).cast("long").alias("blocks"), "node")
     assigned = written(one.unionByName(large), "assigned")
     own = F.pmod(F.xxhash64("node"), F.col("blocks"))
