@@ -226,3 +226,13 @@ def test_long_whitespace_runs_equal_the_library(library, space):
     n = 1_100_000
     for text in (space * n, "one two" + space * n + "b c", "a" + space * n + "<|endoftext|>", "a" + space * n + "\n !x" + space * 100_001):
         assert bpe.codec(PATH).encode_chunked(text.encode()) == library.encode(text, add_special_tokens=False).ids
+
+
+def test_rules_without_a_literal_token_are_tried(spark):
+    from vhist.llm import url_filter
+
+    pages = spark.createDataFrame([(1, "http://a.example/x"), (2, "http://b.test/[y"), (3, None), (4, "http://b.test/")], "page_id long, url string")
+    got = {r.page_id: (r.rule, r.verdict) for r in url_filter.judge_urls(pages, [("b.test", "/", "allow")], [(r"[\[\]]|x$", [])]).collect()}
+    assert got == {1: (None, "block"), 2: ("b.test/", "allow"), 3: (None, "allow"), 4: ("b.test/", "allow")}
+    plain = {r.page_id: r.verdict for r in url_filter.judge_urls(pages, [], [(r"\[", [])]).collect()}
+    assert plain == {1: "allow", 2: "block", 3: "allow", 4: "allow"}

@@ -13,7 +13,8 @@ a null url or one without ``://``.
 
 Defined cases: a null or empty url has no token, so no rule and verdict allow;
 repeated rows are judged each; a rule whose tokens no page has is never tried;
-an empty table gives no row.
+rules without a literal token are tried on every page; an empty table gives no
+row.
 """
 
 from __future__ import annotations
@@ -69,13 +70,25 @@ def _rules(spark, list_rules, pattern_rules) -> DataFrame:
     return rules.withColumn("literals", F.coalesce("given", _tokens(F.col("rule_host"), closed))).drop("given")
 
 
+_ANY = ""  # stands for a token that every page has
+
+
 def rule_index(pages: DataFrame, rules: DataFrame) -> DataFrame:
-    """Each rule with the literal token that the fewest pages have."""
+    """Each rule with the literal token that the fewest pages have; one without
+    literals with the token of all pages."""
     literals = rules.select("id", F.explode("literals").alias("token"))
     seen = pages.select(F.explode("tokens").alias("token")).join(F.broadcast(literals.select("token").distinct()), "token", "left_semi")
     counts = seen.groupBy("token").agg(F.count("*").alias("n"))
     best = literals.join(counts, "token").groupBy("id").agg(F.min(F.struct("n", "token")).alias("best"))
-    return rules.drop("literals").join(best, "id").withColumn("token", F.col("best.token")).drop("best")
+    found = rules.drop("literals").join(best, "id").withColumn("token", F.col("best.token")).drop("best")
+    if not _loose(rules):
+        return found
+    return found.unionByName(rules.filter(F.size("literals") == 0).drop("literals").withColumn("token", F.lit(_ANY)))
+
+
+def _loose(rules: DataFrame) -> bool:
+    """Whether any rule has no literal token."""
+    return rules.filter(F.size("literals") == 0).limit(1).count() > 0
 
 
 def judge_urls(pages: DataFrame, list_rules=None, pattern_rules=None, id_col: str = "page_id", url_col: str = "url") -> DataFrame:
@@ -90,7 +103,8 @@ def judge_urls(pages: DataFrame, list_rules=None, pattern_rules=None, id_col: st
         .withColumn("row_id", F.monotonically_increasing_id())
     )
     index = rule_index(judged, rules)
-    candidates = judged.withColumn("token", F.explode_outer("tokens")).drop("tokens").join(F.broadcast(index), "token", "left")
+    tokens = F.array_append("tokens", F.lit(_ANY)) if _loose(rules) else F.col("tokens")
+    candidates = judged.withColumn("token", F.explode_outer(tokens)).drop("tokens").join(F.broadcast(index), "token", "left")
     same_host = (F.col("host") == F.col("rule_host")) | F.col("host").endswith(F.concat(F.lit("."), F.col("rule_host")))
     fits = same_host & F.col("path").startswith(F.col("rule_path"))
     matches = F.regexp(F.concat("host", "path"), F.col("pattern"))
