@@ -345,3 +345,13 @@ def test_stages_decide_by_row(spark, monkeypatch):
     monkeypatch.setattr(quality, "fit", lambda *a: (-quality.features(b"#" * 50).astype(float), 2.5, 0.5))  # rejects what is all "#"
     got = stay(cp.quality_stage, [(None, "#" * 50), (None, alone), (6, "#" * 50), (6, alone)])
     assert got == sorted([(None, alone), (6, alone)], key=repr)
+
+
+def test_one_text_per_sampled_id(spark):
+    from vhist.llm import quality
+
+    rows = [(i, f"good words of document {i} " * 20) for i in range(0, 60)] + [(9, "junk " * 5)] * 3000
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    marks = spark.createDataFrame([(i, i % 2) for i in range(0, 60)], "doc_id long, quality int")
+    weights, _, _ = quality.fit(docs, marks, sample=40)  # the repeated id does not push the others out
+    assert weights is not None

@@ -131,13 +131,15 @@ def fit(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE):
     prior = (counts.good + 1) / (counts.n + 2)
     by_hash = lambda seed: F.xxhash64(F.lit(seed), F.col("doc_id"))
     docs = text_rows(documents)
-    ids = docs.select("doc_id").filter(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
+    ids = docs.select("doc_id").filter(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))).distinct()
     good = ids.join(trusted.filter("low = 1 and high = 1"), "doc_id", "left_semi")
     picked = (
         good.orderBy(by_hash(1), "doc_id").limit(sample).select("doc_id", F.lit(1).alias("kind"))
         .unionByName(ids.orderBy(by_hash(2), "doc_id").limit(sample).select("doc_id", F.lit(0).alias("kind")))
     ).distinct()
-    rows = _featured(docs.join(F.broadcast(picked), "doc_id")).limit(4 * sample).collect()  # at most 2 x sample ids
+    # one text per id (rows may repeat it): the one of the smallest hash; at most 2 x sample ids
+    texts = docs.join(F.broadcast(picked), "doc_id").groupBy("doc_id", "kind").agg(F.min_by("raw", F.struct(F.xxhash64("raw"), "raw")).alias("raw"))
+    rows = _featured(texts).collect()
     x = {k: np.array([np.frombuffer(bytes(r.x), np.float32) for r in rows if r.kind == k]) for k in (0, 1)}
     if not len(x[1]) or not len(x[0]):
         return None, 0.0, prior
