@@ -5,6 +5,7 @@ import json
 import os
 import tempfile
 
+import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -39,6 +40,24 @@ def test_read_dated_paths_one_read(spark):
     ]
 
 
+def test_read_dated_paths_lists_only_the_folders_in_range(spark):
+    root = _scratch()
+    for d in ("20240101", "20240201", "20240301", "20240401"):
+        spark.createDataFrame([(d,)], "id string").write.parquet(f"{root}/{d}")
+    with open(f"{root}/20240201/broken.parquet", "w") as f:
+        f.write("not parquet")  # a folder out of range is not opened
+    read = lambda **k: rows(sn.read_dated_paths(spark, root, schema="id string", **k), "id", "snapshot_date")
+    assert read(first="20240301") == [("20240301", dt.date(2024, 3, 1)), ("20240401", dt.date(2024, 4, 1))]
+    assert read(first="20240301", last="20240301") == [("20240301", dt.date(2024, 3, 1))]
+    assert read(last="20240115") == [("20240101", dt.date(2024, 1, 1))]
+    files = sn.read_dated_paths(spark, root, first="20240215", last="20240315").inputFiles()
+    assert files and all("/20240301/" in f for f in files)
+    none = sn.read_dated_paths(spark, root, first="20250101")
+    assert none.columns == ["id", "snapshot_date"] and none.count() == 0
+    with pytest.raises(ValueError):
+        sn.read_dated_paths(spark, _scratch(), first="20250101")
+
+
 def test_read_snapshots_from_first_date(spark):
     root = _scratch() + "/snapshots"
     df = spark.createDataFrame(

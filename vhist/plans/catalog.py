@@ -22,6 +22,7 @@ from vhist.operators import classify as cl
 from vhist.operators import parts
 from vhist.operators import privacy as pv
 from vhist.operators import reload as rl
+from vhist.operators import repair
 from vhist.operators import report as rp
 from vhist.operators import views as vw
 from vhist.plans import process as pr
@@ -675,6 +676,35 @@ def reload_forgetting(spark, sf):
     return rl.reload_history(full, snaps, _restore_month(snaps), cfg, dedupe=False, forget=True)
 
 
+def reload_changed_keys(spark, sf):
+    """R3 by difference: the first reading had lost the clicks of the 16th day;
+    the keys whose rows differ in the second are rebuilt, equals the full build."""
+    snaps, cfg = _snaps(spark, sf, "EV")
+    lost = (F.col(D) == F.lit(_restore_day(snaps))) & (F.col("event_type") == "click")
+    first = snaps.filter(~lost)
+    days = snaps.select(D).distinct()
+    hist = build_history(first, cfg, calendar_dates=days, dedupe=False)
+    changed = repair.differing_keys(hist, first, snaps, cfg, days, days)
+    path = _folder(spark, "changed-keys")
+    changed.write.parquet(path)
+    changed = spark.read.schema(changed.schema).parquet(path)
+    return repair.reload_changed_keys(hist, first, snaps, cfg, changed, dedupe=False, old_calendar=days, new_calendar=days)
+
+
+def history_splice(spark, sf):
+    """The history of all days but the 16th, which is then put in its
+    place without reading the days after it; equals the full build."""
+    snaps, cfg = _snaps(spark, sf, "EV")
+    day = _restore_day(snaps)
+    others = snaps.filter(F.col(D) != F.lit(day))
+    hist = build_history(others, cfg, dedupe=False)
+    path = _folder(spark, "splice")
+    hist.write.parquet(path)
+    hist = spark.read.schema(hist.schema).parquet(path)
+    snap = snaps.filter(F.col(D) == F.lit(day)).drop(D)
+    return repair.splice_snapshot(hist, snap, day, others.select(D).distinct(), cfg, dedupe=False)
+
+
 def _empty_day(spark, sf):
     """Daily flags without the rows of the 11th day, and the calendar of all days."""
     snaps, cfg = _snaps(spark, sf, "EVF")
@@ -787,4 +817,6 @@ QUERIES = {
     "history_empty_day": history_empty_day,
     "reload_empty_day": reload_empty_day,
     "reload_plan_customers": reload_plan_customers,
+    "reload_changed_keys": reload_changed_keys,
+    "history_splice": history_splice,
 }

@@ -233,6 +233,8 @@ LEFT JOIN (SELECT * FROM ({LOG}) x WHERE Layer = 'Bronze') l
     "rollback_incremental": o.history_sql(f"SELECT * FROM ({o.OR_SNAP}) s WHERE snapshot_date < {RESTORE_MONTH}",
                                           K_OR, o.OR_COLS, "incremental"),
     "reload": H_EV,
+    "reload_changed_keys": H_EV,
+    "history_splice": H_EV,
     "reload_incremental": H_OR,
 }
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from typing import Optional, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -65,6 +66,18 @@ def snapshot_distinct(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return df.select(*cols).distinct()
 
 
+def _dated_folders(spark: SparkSession, root: str, pattern: str) -> list:
+    """(date text, path) of the folders right below ``root``, in order of date."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(root)
+    entries = place.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(place)
+    found = []
+    for e in entries:
+        name = re.search(pattern, f"/{e.getPath().getName()}/")
+        if e.isDirectory() and name:
+            found.append((name.group(1), e.getPath().toString()))
+    return sorted(found)
+
+
 def read_dated_paths(
     spark: SparkSession,
     root: str,
@@ -72,14 +85,32 @@ def read_dated_paths(
     pattern: str = r"/([0-9]{8})/",
     fmt: str = DATE_FORMAT,
     schema: Optional[T.StructType] = None,
+    first: Optional[str] = None,
+    last: Optional[str] = None,
 ) -> DataFrame:
     """Snapshots stored in folders named by date (``root/yyyyMMdd/*.parquet``).
 
     One read over all folders; the date comes from each row's file path, not
     from a driver-side loop over files.
+
+    ``first``, ``last`` (dates as text in ``fmt``, both included; None: no
+    bound): only folders right below ``root`` whose whole name is a date within
+    them are listed and read.  ``root`` itself is listed once, a name per
+    folder.  With no folder in the range the result is empty.
     """
     reader = spark.read if schema is None else spark.read.schema(schema)
-    df = reader.option("recursiveFileLookup", "true").parquet(root)
+    reader = reader.option("recursiveFileLookup", "true")
+    if first is None and last is None:
+        df = reader.parquet(root)
+    else:
+        folders = _dated_folders(spark, root, pattern)
+        within = [p for name, p in folders if (first is None or name >= first) and (last is None or name <= last)]
+        if not within:
+            if schema is None and not folders:
+                raise ValueError(f"no dated folder below {root}, and no schema given")
+            empty = spark.createDataFrame([], schema) if schema is not None else reader.parquet(folders[-1][1]).limit(0)
+            return empty.withColumn(date_col, F.lit(None).cast("date"))
+        df = reader.parquet(*within)
     raw = F.regexp_extract(F.col("_metadata.file_path"), pattern, 1)
     return df.withColumn(date_col, F.to_date(raw, fmt))
 
