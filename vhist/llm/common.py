@@ -42,12 +42,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written to the shared folder and read again: computed once, and
-    no executor's loss can take it away."""
+def kept(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """``df`` written to the shared folder and read again, with its path:
+    computed once, and no executor's loss can take it away."""
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """As ``kept``, where the path is not needed."""
+    return kept(df, name)[0]
 
 
 def text_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", null_as_empty: bool = True) -> DataFrame:

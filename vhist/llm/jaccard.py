@@ -12,7 +12,9 @@ members whose size allows no link there and buckets that lie within another
 one are left out, which loses no pair.  Members of a
 small bucket first send a sketch of their set, some four bits a token, which
 bounds each intersection from above; only those that may have a partner there
-send the set itself.  Small buckets and
+send the set itself.  Their texts are found again by a Bloom filter of their
+hashes, so other texts are not exchanged, and their sets are written in buckets,
+which every later join reads in place.  Small buckets and
 pairs of blocks are compared by brute force with exact intersections.  Runs
 are repeated until a pair at the threshold is found with the target recall,
 even where all its buckets are split down to the last level.
@@ -41,8 +43,9 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vhist.llm.common import batches, text_rows, words_of, written
+from vhist.llm.common import batches, bucketed, discard, kept, text_rows, words_of, written
 from vhist.llm.components import components
+from vhist.llm.sieve import Sieve
 
 WORDS = 5
 SIMILARITY = 0.8
@@ -159,7 +162,7 @@ def possible(sketches: list[bytes], sizes: np.ndarray, similarity: float) -> np.
     return may.any(1)
 
 
-def _hopeful(assigned: DataFrame, reps: DataFrame, similarity: float) -> DataFrame:
+def _hopeful(assigned: DataFrame, sketches: DataFrame, similarity: float) -> DataFrame:
     """(bucket, node) of small buckets without the members that no other one of
     the bucket can be similar enough to: they need not send their sets."""
 
@@ -187,7 +190,7 @@ def _hopeful(assigned: DataFrame, reps: DataFrame, similarity: float) -> DataFra
             yield found(out)
         yield found(done())
 
-    rows = assigned.join(reps.select("node", "size", "sketch"), "node").select("bucket", "node", "size", "sketch")
+    rows = assigned.join(sketches.select("node", "size", "sketch"), "node").select("bucket", "node", "size", "sketch")
     return rows.repartition("bucket").sortWithinPartitions("bucket", "node").mapInArrow(run, "bucket long, node long")
 
 
@@ -212,26 +215,28 @@ def _members(documents: DataFrame, runs: int, factor: float, words: int, id_col:
 
 
 def _candidate_sets(documents: DataFrame, wanted: DataFrame, words: int, id_col: str) -> DataFrame:
-    """node, copies, tokens (bytes) of the wanted (node, doc_id, text_key, key, copies).
+    """node, copies, size, tokens (bytes) and sketch of the wanted (node, doc_id,
+    text_key, key, copies).
 
-    Rows meet on id and text hash, so rows without id are spread as well."""
+    Rows meet on id and text hash, so rows without id are spread as well; texts
+    whose hash is certainly not wanted stay where they are."""
 
     def run(rows):
         for nodes, copies, keys, raws in batches(rows, "node", "copies", "key", "raw"):
             out = []
             for node, n, key, raw in zip(nodes, copies, keys, raws):
-                tokens = shingle_set(raw, words).tobytes()
-                if xxhash.xxh3_128_digest(tokens) == key:  # rows repeated under one id may differ
-                    out.append((node, n, tokens))
-            cols = list(zip(*out)) or [()] * 3
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.binary()))], names=["node", "copies", "tokens"]
-            )
+                tokens = shingle_set(raw, words)
+                if xxhash.xxh3_128_digest(tokens.tobytes()) == key:  # rows repeated under one id may differ
+                    out.append((node, n, len(tokens), tokens.tobytes(), sketch(tokens)))
+            cols = list(zip(*out)) or [()] * 5
+            types = (pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], names=["node", "copies", "size", "tokens", "sketch"])
 
     docs = text_rows(documents, id_col).withColumn("text_key", F.xxhash64("raw"))
+    docs = Sieve(wanted, "text_key").passing(docs, "text_key")
     w = wanted.select("node", "copies", "key", F.col("doc_id").alias("wanted_id"), F.col("text_key").alias("wanted_text"))
     met = docs.join(w, (docs["text_key"] == w["wanted_text"]) & docs["doc_id"].eqNullSafe(w["wanted_id"]))
-    return met.select("node", "copies", "key", "raw").mapInArrow(run, "node long, copies long, tokens binary")
+    return met.select("node", "copies", "key", "raw").mapInArrow(run, "node long, copies long, size int, tokens binary, sketch binary")
 
 
 def _children(big: DataFrame, sets: DataFrame, factor: float) -> DataFrame:
@@ -269,9 +274,11 @@ def _split(big: DataFrame, children: DataFrame):
 
 def _met(rows: DataFrame) -> DataFrame:
     """(path, node, size, n) of the buckets with at least two members."""
-    rows = written(rows, "picks")
-    counts = written(rows.groupBy("path").agg(F.count("*").alias("n")).filter("n > 1"), "counts")
-    return written(rows.join(counts, "path"), "met")
+    rows, picks = kept(rows, "picks")
+    counts, own = kept(rows.groupBy("path").agg(F.count("*").alias("n")).filter("n > 1"), "counts")
+    met = written(rows.join(counts, "path"), "met")
+    discard(rows.sparkSession, picks, own)
+    return met
 
 
 def _buckets(small: DataFrame, similarity: float) -> DataFrame:
@@ -416,19 +423,24 @@ def near_duplicates(
     factor = similarity * 0.97  # a little more than one expected common pick at the threshold
     # equal sizes at the threshold share 2 s / (1 + s) of a set; the worst case, a subset, shares s
     runs = runs_for(recall, depth, factor / similarity, DEEPER)
-    members = written(_members(documents, runs, factor, words, id_col), "members")
-    reps = written(
+    spark = documents.sparkSession
+    members, members_path = kept(_members(documents, runs, factor, words, id_col), "members")
+    reps, reps_path = kept(
         members.filter("key is not null").groupBy("key").agg(
             F.min(F.struct("node", "doc_id", "text_key")).alias("rep"), F.min("doc_id").alias("smallest"), F.count("*").alias("copies"), F.first("size").alias("size"), F.first("paths").alias("paths"), F.first("sketch").alias("sketch")
         ).select("key", "rep.*", "smallest", "copies", "size", "paths", "sketch"),
         "reps",
     )
+    rows = written(members.select("doc_id", "key"), "rows")
+    discard(spark, members_path)
     met = _met(reps.select(F.explode("paths").alias("path"), "node", F.col("size").cast("long").alias("size")))
-    small = lambda met: written(_hopeful(_largest(_buckets(met.filter(F.col("n") <= limit), similarity)), reps, similarity), "small")
-    one, big = small(met), met.filter(F.col("n") > limit)
+    small = lambda met, own: written(_hopeful(_largest(_buckets(met.filter(F.col("n") <= limit), similarity)), own, similarity), "small")
+    one, big = small(met, reps), met.filter(F.col("n") > limit)
     asked = one.select("node").unionByName(big.select("node")).distinct()
-    wanted = reps.select("node", "doc_id", "text_key", "key", "copies").join(asked, "node", "left_semi")
-    sets = written(_candidate_sets(documents, wanted, words, id_col), "sets")
+    wanted = written(reps.select("node", "doc_id", "text_key", "key", "copies").join(asked, "node", "left_semi"), "wanted")
+    nodes = written(reps.select("key", "node", "smallest", "copies"), "nodes")
+    discard(spark, reps_path)
+    sets, sets_path = bucketed(_candidate_sets(documents, wanted, words, id_col), "sets", "node")
     whole = []
     for _ in range(depth - 1):
         if big.isEmpty():
@@ -436,7 +448,7 @@ def near_duplicates(
         stays, children = _split(big, _children(big, sets, factor / DEEPER))
         whole.append(stays.select("path", "n", "node"))
         met = _met(children)
-        one, big = one.unionByName(small(met)), met.filter(F.col("n") > limit)
+        one, big = one.unionByName(small(met, sets)), met.filter(F.col("n") > limit)
     one = one.select("bucket", F.lit(1).cast("long").alias("blocks"), "node")
     for stays in whole:
         big = big.select("path", "n", "node").unionByName(stays)
@@ -448,15 +460,16 @@ def near_duplicates(
         assigned.withColumn("own", own).withColumn("other", F.explode(F.expr("sequence(0L, blocks - 1)")))
         .select("bucket", F.least("own", "other").alias("bi"), F.greatest("own", "other").alias("bj"), (F.col("own") > F.col("other")).cast("int").alias("side"), "node")
     )
-    cells = cells.join(sets.join(each, "node"), "node").repartition("bucket", "bi", "bj").sortWithinPartitions("bucket", "bi", "bj", "side", "node")
+    cells = cells.join(sets.select("node", "copies", "tokens").join(each, "node"), "node").repartition("bucket", "bi", "bj").sortWithinPartitions("bucket", "bi", "bj", "side", "node")
     found = written(_verified(cells, similarity), "found")
+    discard(spark, sets_path)
     roots = components(found.select(F.col("node").alias("a"), F.col("root").alias("b")))
     links = found.groupBy("node").agg(F.sum("links").alias("links"))
-    classes = reps.select("key", "node", "smallest", "copies").join(roots, "node", "left").join(links, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    classes = nodes.join(roots, "node", "left").join(links, "node", "left").withColumn("root", F.coalesce("root", "node"))
     smallest = classes.groupBy("root").agg(F.min("smallest").alias("class_id"))
     info = written(
         classes.join(smallest, "root").select("key", "class_id", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("links")).filter("links > 0"), "classes"
     )
-    return members.select("doc_id", "key").join(info, "key", "left").select(
+    return rows.join(info, "key", "left").select(
         "doc_id", F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("links", F.lit(0)).cast("long").alias("n_links")
     )
