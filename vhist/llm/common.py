@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -73,6 +74,24 @@ def batches(rows, *columns, at_once: int | None = 1024):
             yield tuple(part.column(part.schema.get_field_index(c)).to_pylist() for c in columns)
 
 
+def filtered(docs: DataFrame, columns: list[str], keep, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that ``keep(raws)``, a list of booleans for a list of
+    texts (UTF-8 bytes, null as empty), lets stay: in place, without an exchange.
+
+    The named columns travel in a struct, whatever their names are."""
+    raw = F.coalesce(docs[text_col].cast("string").cast("binary"), F.lit(b""))
+    rows = docs.select(F.struct(*[docs[c] for c in columns]).alias("own"), raw.alias("raw"))
+
+    def run(batches_):
+        for batch in batches_:
+            for s in range(0, batch.num_rows, 1024):
+                part = batch.slice(s, 1024)
+                yield part.filter(pa.array(keep(part.column(1).to_pylist()), pa.bool_())).select(["own"])
+
+    own = rows.select("own")
+    return rows.mapInArrow(run, own.schema).select(*[F.col("own").getField(c).alias(c) for c in columns])
+
+
 def sha256_hex(col: Column) -> Column:
     return F.sha2(col, 256)
 

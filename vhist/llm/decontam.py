@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vhist.llm.common import batches, text_rows, words_of, written
+from vhist.llm.common import batches, filtered, text_rows, words_of, written
 
 WINDOW = 10
 BLOCK_WINDOWS = 100_000
@@ -126,22 +126,43 @@ def _scan(docs: DataFrame, windows: dict, prefix: dict) -> DataFrame:
     return docs.mapInArrow(find, _SCAN)
 
 
+def _blocks(docs: DataFrame, cuts: DataFrame, block_windows: int):
+    """(windows, index of prefix tokens) of each block of windows, counted over all documents."""
+    blocks = max(1, -(-cuts.count() // block_windows))
+    for b in range(blocks):
+        # hash blocks: about block_windows windows of at most `window` words each
+        rows = cuts.filter(F.pmod(F.xxhash64("words"), F.lit(blocks)) == b).collect()
+        windows = {tuple(bytes(r["words"]).split()): list(r["items"]) for r in rows}
+        counts = _corpus_counts(docs, {w for x in windows for w in x})
+        yield windows, _index(windows, counts)
+
+
+def clean_documents(documents: DataFrame, items: DataFrame, columns: list[str], window: int = WINDOW, block_windows: int = BLOCK_WINDOWS) -> DataFrame:
+    """The named columns of the documents that hold no window of any item, left
+    where they are: block after block of windows filters what is left."""
+    docs, out = text_rows(documents), documents
+    for windows, prefix in _blocks(docs, item_windows(items, window), block_windows):
+        index = documents.sparkSession.sparkContext.broadcast((prefix, windows))
+
+        def clean(raws, index=index):
+            prefix, windows = index.value
+            return [next(_occurrences(words_of(r), prefix, windows), None) is None for r in raws]
+
+        out = filtered(out, columns, clean)
+    return out
+
+
 def contamination(
     documents: DataFrame, items: DataFrame, window: int = WINDOW, block_windows: int = BLOCK_WINDOWS, id_col: str = "doc_id"
 ) -> DataFrame:
     """One row per document: words, words inside a window occurrence, items found."""
     docs = text_rows(documents, id_col).withColumn("row_id", F.monotonically_increasing_id())
     cuts = item_windows(items, window)
-    blocks = max(1, -(-cuts.count() // block_windows))
+    indexes = list(_blocks(docs, cuts, block_windows))
+    blocks = len(indexes)
     if blocks > 1:
         docs = written(docs, "texts")  # each pass must see the same row ids
-    scans = []
-    for b in range(blocks):
-        # hash blocks: about block_windows windows of at most `window` words each
-        rows = cuts.filter(F.pmod(F.xxhash64("words"), F.lit(blocks)) == b).collect()
-        windows = {tuple(bytes(r["words"]).split()): list(r["items"]) for r in rows}
-        counts = _corpus_counts(docs, {w for x in windows for w in x})
-        scans.append(_scan(docs, windows, _index(windows, counts)))
+    scans = [_scan(docs, windows, prefix) for windows, prefix in indexes]
     found = scans[0]
     for s in scans[1:]:
         found = found.unionByName(s)

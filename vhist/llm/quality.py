@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vhist.llm.common import batches, text_rows, words_of
+from vhist.llm.common import batches, filtered, text_rows, words_of
 
 SAMPLE = 5000
 STEPS = 600
@@ -147,16 +147,24 @@ def fit(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE):
     return weights, intercept, prior
 
 
+def _scores(raws: list[bytes], weights, intercept: float) -> np.ndarray:
+    if weights is None:
+        return np.full(len(raws), 0.5)
+    f = np.array([float(features(r).astype(np.float64) @ weights) for r in raws]) + intercept
+    return 1 / (1 + np.exp(-np.clip(f, -500, 500)))
+
+
+def good_documents(documents: DataFrame, columns: list[str], weights, intercept: float) -> DataFrame:
+    """The named columns of the documents with a score of at least 0.5, left where they are."""
+    return filtered(documents, columns, lambda raws: (_scores(raws, weights, intercept) >= 0.5).tolist())
+
+
 def score(documents: DataFrame, weights, intercept: float) -> DataFrame:
     """doc_id, held_out, score, predicted of every document."""
 
     def run(parts):
         for ids, raws in batches(parts, "doc_id", "raw"):
-            if weights is None:
-                f = np.zeros(len(raws))
-            else:
-                f = np.array([float(features(r).astype(np.float64) @ weights) for r in raws]) + intercept
-            s = 1 / (1 + np.exp(-np.clip(f, -500, 500)))
+            s = _scores(raws, weights, intercept)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(ids, pa.int64()), pa.array(s, pa.float64()), pa.array((s >= 0.5).astype(np.int32), pa.int32())],
                 names=["doc_id", "score", "predicted"],
