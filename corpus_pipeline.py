@@ -1,8 +1,14 @@
 """A training corpus from raw documents: each stage works on all that the one
 before it kept, written as Parquet and read again between stages.
 
-Null texts are kept as null until encoding, where they are empty; columns
-beyond those of ``documents`` are left behind.
+Quality and decontamination filter in place.  The near-duplicate stage
+exchanges only the texts that some link may concern.
+
+Defined cases: null texts are kept as null until encoding, where they are
+empty; very long texts are read whole; rows without id and different texts
+under one id are judged each; of rows repeated under one id, and of ties, one
+stays; an empty table gives no row; columns beyond those of ``documents`` are
+left behind, so that clashing names do no harm.
 """
 
 from __future__ import annotations
@@ -13,6 +19,7 @@ from pyspark.sql import functions as F
 from vhist.llm import bpe, decontam, jaccard, pii, quality
 from vhist.llm.common import scratch_path, table, written
 from vhist.llm.shipping import ship_package
+from vhist.llm.sieve import Sieve
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -31,10 +38,8 @@ def _without(keyed: DataFrame, rejected: DataFrame) -> DataFrame:
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier rejects go."""
-    keyed = _keyed(docs)
     weights, intercept, _ = quality.fit(docs, table(spark, sf_dir, "labels"))
-    scores = quality.score(keyed.select(F.col("row_key").alias("doc_id"), "text"), weights, intercept)
-    return _without(keyed, scores.filter("predicted = 0").withColumnRenamed("doc_id", "row_key")).select(*COLUMNS)
+    return quality.good_documents(docs, COLUMNS, weights, intercept)
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,21 +47,21 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     without id last), and of the smallest key among its texts."""
     keyed = _keyed(docs)
     linked = written(jaccard.near_duplicates(keyed, id_col="row_key").filter("n_links > 0").withColumnRenamed("doc_id", "row_key"), "linked")
-    counts = linked.groupBy("row_key").agg(F.first("class_id").alias("class_id"), F.count("*").alias("n"))
-    ids = keyed.select("row_key", "doc_id").distinct()
+    counts = written(linked.groupBy("row_key").agg(F.first("class_id").alias("class_id"), F.count("*").alias("n")), "counts")
+    sieve = Sieve(counts, "row_key")
+    ids = sieve.passing(keyed.select("row_key", "doc_id"), "row_key").distinct()
     order = F.struct(F.col("doc_id").isNull().alias("without"), "doc_id", "row_key")
     stays = counts.join(ids, "row_key").groupBy("class_id").agg(F.min(order).alias("s")).select("s.row_key")
-    kept = _without(keyed, counts.join(stays, "row_key", "left_anti"))
-    repeated = counts.filter("n > 1").select("row_key")
-    once = kept.join(repeated, "row_key", "left_semi").dropDuplicates(["row_key"])
-    return _without(kept, repeated).unionByName(once).select(*COLUMNS)
+    one = written(counts.join(stays, "row_key", "left_semi"), "stays")
+    near = sieve.passing(keyed, "row_key")  # all linked rows, and few others
+    others = _without(near, counts)
+    once = near.join(one.select("row_key"), "row_key", "left_semi").dropDuplicates(["row_key"])
+    return sieve.rest(keyed, "row_key").unionByName(others).unionByName(once).select(*COLUMNS)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark window go."""
-    keyed = _keyed(docs)
-    found = decontam.contamination(keyed, table(spark, sf_dir, "benchmark"), id_col="row_key")
-    return _without(keyed, found.filter("contaminated").withColumnRenamed("doc_id", "row_key")).select(*COLUMNS)
+    return decontam.clean_documents(docs, table(spark, sf_dir, "benchmark"), COLUMNS)
 
 
 def personal_data_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
