@@ -20,14 +20,13 @@ FROM d LEFT JOIN word USING (rid) LEFT JOIN item USING (rid)
 
 OP4 = """
 WITH v AS (
-  SELECT vec_id, min(list_transform(embedding::DOUBLE[], lambda x: floor(1024 * x))) AS v
+  SELECT vec_id, row_number() OVER () AS own, list_transform(embedding::DOUBLE[], lambda x: floor(1024 * x)) AS v
   FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
-    AND len(list_filter(embedding::DOUBLE[], lambda x: x IS NULL OR NOT isfinite(x))) = 0
-  GROUP BY vec_id),
-s AS (SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.v, c.v)::BIGINT AS score
-      FROM v q JOIN v c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id),
-r AS (SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score FROM s)
+    AND len(list_filter(embedding::DOUBLE[], lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, q.own, c.vec_id, list_dot_product(q.v, c.v)::BIGINT AS score
+      FROM v q JOIN v c ON q.vec_id % 100 = 0 AND q.own <> c.own),
+r AS (SELECT query_id, row_number() OVER (PARTITION BY own ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score FROM s)
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
 """
 
