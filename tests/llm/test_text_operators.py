@@ -10,6 +10,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from vhist.llm import bpe, decontam, token_files, url_filter
+from vhist.llm.literals import forced_tokens
 from vhist.llm.common import scratch_path
 
 public_tokenizers = pytest.importorskip("public_tokenizers")
@@ -210,15 +211,41 @@ def test_urls_equal_plain(spark):
     assert url_filter.judge_urls(df.limit(0)).count() == 0
 
 
-def test_rules_are_bounded_and_indexed_by_their_rarest_token(spark, monkeypatch):
+def test_rules_are_indexed_by_their_rarest_token(spark):
     df = spark.createDataFrame([(1, "http://a.example.net/en/"), (2, "http://b.net/"), (3, "http://c.net/en/")], "page_id long, url string")
     host, path = url_filter.host_and_path(F.col("url"))
     pages = df.select(url_filter._tokens(host, path).alias("tokens"))
     rules = url_filter._rules(spark, [("example.net", "/en/", "allow")], [])
     assert [r.token for r in url_filter.rule_index(pages, rules).collect()] == ["example"]
+
+
+def test_more_rules_than_are_broadcast(spark, monkeypatch):
     monkeypatch.setattr(url_filter, "MAX_RULES", 1)
+    rows = list(enumerate(URLS * 3))
+    df = spark.createDataFrame(rows, "page_id long, url string")
+    got = sorted((tuple(r) for r in url_filter.judge_urls(df).collect()), key=repr)
+    assert got == sorted(((i, *plain_verdict(u)) for i, u in rows), key=repr)
+    loose = url_filter.judge_urls(df, [], [(r"[\[\]]|x$", None)]).filter("verdict = 'block'").collect()
+    assert sorted(r.page_id for r in loose) == [i for i, u in rows if re.search(r"[\[\]]|x$", "".join(plain_verdict(u)[:2]))]
+
+
+def test_literals_of_patterns():
+    for pattern, tokens in url_filter.PATTERN_RULES:
+        assert forced_tokens(pattern) == tokens
+    forced = {
+        r"/ad/(Banner|x)/": ["ad"], r"ads": [], r"/ads": [], r"/ads\b": [], r"(?i)/ADS/+top$": ["ads", "top"], r"/a?ds/": [], r"/(?:ads)/": ["ads"], r"/ads[^a]": [],
+        r"/ads(x|/)": [], r"^(www\.)?ads\.": ["ads"], r"^(www)?ads\.": [], r"/ads/|/x/": [], r"/ads(?=/)": [], r"/[.[a]]ads/": [], r"/\p{L}/ads/": [], r"(?iu)/ads/": [], r"/é/ads/": ["ads"], "": [],
+    }
+    for pattern, tokens in forced.items():
+        assert forced_tokens(pattern) == tokens, pattern
     with pytest.raises(ValueError):
-        url_filter.judge_urls(df)
+        url_filter._rules(None, [], [(r"casino", ["casino"])])
+
+
+def test_line_ends_before_the_end_of_a_url(spark):
+    rows = [(1, "http://a.com/casino\u2028"), (2, "http://a.com/casino\u0085"), (3, "http://a.com/casino\u2028x"), (4, "http://a.com/casino\n")]
+    got = url_filter.judge_urls(spark.createDataFrame(rows, "page_id long, url string")).collect()
+    assert {r.page_id: r.verdict for r in got} == {1: "block", 2: "block", 3: "allow", 4: "block"}
 
 
 @pytest.mark.parametrize("space", [" ", "\n"])

@@ -2,10 +2,13 @@
 
 Two kinds of rule: list rules, a host with a path prefix and a verdict, of
 which the longest that fits decides; and pattern rules, regular expressions
-with the literal tokens any match must contain, which decide where no list
-rule fits (a pattern that matches blocks, else the page is allowed).  Every
+that decide where no list rule fits (one that matches blocks, else the page is
+allowed).  The literal tokens that any match of a pattern must contain are
+derived from it; tokens given with it must be among them.  Every
 rule is indexed under the one of its literal tokens that the fewest pages have;
 a page's tokens fetch candidate rules by a join, and only candidates are tried.
+Up to ``MAX_RULES`` rules are broadcast; more are joined by token and salt, so
+that a token which most pages have is dealt over many tasks.
 
 Host: after the first ``://`` up to ``/``, ``?``, ``#`` or the end, A-Z
 lower-cased; path: from there up to ``?``, ``#`` or the end; both are empty for
@@ -22,7 +25,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from vhist.llm.literals import forced_tokens
+
 MAX_RULES = 100_000  # bound of the broadcast rule index
+SALTS = 32  # parts of a token's pages where rules are not broadcast
 
 # Host, path prefix, verdict.
 LIST_RULES = [
@@ -32,7 +38,7 @@ LIST_RULES = [
     ("org", "/fr/", "allow"),
 ]
 
-# Regular expression over host and path, literal tokens that every match has.
+# Regular expression over host and path, literal tokens that every match has (None: as derived).
 PATTERN_RULES = [
     (r"(^|[.-])spam-[a-z0-9-]*\.", ["spam"]),
     (r"(^|\.)cheap-pills\.", ["cheap", "pills"]),
@@ -54,16 +60,19 @@ def host_and_path(url: Column) -> tuple[Column, Column]:
 
 
 def _tokens(*texts: Column) -> Column:
-    """Distinct runs of letters and digits, A-Z lower-cased (non-ASCII characters count as letters)."""
-    parts = F.split(F.lower(F.concat_ws("/", *texts)), r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+    """Distinct runs of letters and digits, A-Z lower-cased (non-ASCII characters
+    count as letters, but for line ends, before which a pattern's ``$`` matches)."""
+    parts = F.split(F.lower(F.concat_ws("/", *texts)), r"[\x00-\x2F\x3A-\x60\x7B-\x7F\x{85}\x{2028}\x{2029}]+")
     return F.array_distinct(F.filter(parts, lambda t: t != ""))
 
 
 def _rules(spark, list_rules, pattern_rules) -> DataFrame:
     rows = [(n, f"{h}{p}", h, p, v, None, None) for n, (h, p, v) in enumerate(list_rules)]
-    rows += [(len(rows) + n, None, None, None, "block", pattern, tokens) for n, (pattern, tokens) in enumerate(pattern_rules)]
-    if len(rows) > MAX_RULES:
-        raise ValueError(f"{len(rows)} rules; at most {MAX_RULES}: judge by several calls")
+    for pattern, tokens in pattern_rules:
+        forced = forced_tokens(pattern)
+        if not set(tokens or ()) <= set(forced):
+            raise ValueError(f"a match of {pattern!r} need not hold all of {tokens}; it must hold {forced}")
+        rows.append((len(rows), None, None, None, "block", pattern, forced))
     rules = spark.createDataFrame(rows, "id int, name string, rule_host string, rule_path string, rule_verdict string, pattern string, given array<string>")
     # the last path segment may go on in the url ("/en" fits "/english"), so only segments closed by "/" are tokens
     closed = F.regexp_replace("rule_path", r"[^/]*$", "")
@@ -73,11 +82,13 @@ def _rules(spark, list_rules, pattern_rules) -> DataFrame:
 _ANY = ""  # stands for a token that every page has
 
 
-def rule_index(pages: DataFrame, rules: DataFrame) -> DataFrame:
+def rule_index(pages: DataFrame, rules: DataFrame, few: bool = True) -> DataFrame:
     """Each rule with the literal token that the fewest pages have; one without
-    literals with the token of all pages."""
+    literals with the token of all pages.  ``few``: the rules may be broadcast."""
     literals = rules.select("id", F.explode("literals").alias("token"))
-    seen = pages.select(F.explode("tokens").alias("token")).join(F.broadcast(literals.select("token").distinct()), "token", "left_semi")
+    seen = pages.select(F.explode("tokens").alias("token"))
+    if few:
+        seen = seen.join(F.broadcast(literals.select("token").distinct()), "token", "left_semi")
     counts = seen.groupBy("token").agg(F.count("*").alias("n"))
     best = literals.join(counts, "token").groupBy("id").agg(F.min(F.struct("n", "token")).alias("best"))
     found = rules.drop("literals").join(best, "id").withColumn("token", F.col("best.token")).drop("best")
@@ -94,7 +105,9 @@ def _loose(rules: DataFrame) -> bool:
 def judge_urls(pages: DataFrame, list_rules=None, pattern_rules=None, id_col: str = "page_id", url_col: str = "url") -> DataFrame:
     """page_id, host, path, rule (the deciding list rule), verdict."""
     spark = pages.sparkSession
-    rules = _rules(spark, LIST_RULES if list_rules is None else list_rules, PATTERN_RULES if pattern_rules is None else pattern_rules)
+    list_rules = LIST_RULES if list_rules is None else list_rules
+    pattern_rules = PATTERN_RULES if pattern_rules is None else pattern_rules
+    rules, few = _rules(spark, list_rules, pattern_rules), len(list_rules) + len(pattern_rules) <= MAX_RULES
     host, path = host_and_path(F.col("url"))
     judged = (
         pages.select(pages[id_col].alias("page_id"), pages[url_col].cast("string").alias("url"))
@@ -102,9 +115,15 @@ def judge_urls(pages: DataFrame, list_rules=None, pattern_rules=None, id_col: st
         .withColumn("tokens", _tokens(F.col("host"), F.col("path")))
         .withColumn("row_id", F.monotonically_increasing_id())
     )
-    index = rule_index(judged, rules)
+    index = rule_index(judged, rules, few)
     tokens = F.array_append("tokens", F.lit(_ANY)) if _loose(rules) else F.col("tokens")
-    candidates = judged.withColumn("token", F.explode_outer(tokens)).drop("tokens").join(F.broadcast(index), "token", "left")
+    asked = judged.withColumn("token", F.explode_outer(tokens)).drop("tokens")
+    if few:
+        candidates = asked.join(F.broadcast(index), "token", "left")
+    else:
+        asked = asked.withColumn("salt", F.pmod(F.xxhash64("row_id"), F.lit(SALTS)).cast("int"))
+        salted = index.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        candidates = asked.join(salted, ["token", "salt"], "left")
     same_host = (F.col("host") == F.col("rule_host")) | F.col("host").endswith(F.concat(F.lit("."), F.col("rule_host")))
     fits = same_host & F.col("path").startswith(F.col("rule_path"))
     matches = F.regexp(F.concat("host", "path"), F.col("pattern"))
