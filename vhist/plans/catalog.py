@@ -33,8 +33,6 @@ from vhist.sources import sinks
 from vhist.sources import snapshots as sn
 
 D = "snapshot_date"
-# Buckets of the stored histories here: about one per GB of open rows, and these tables hold far less.
-BUCKETS = 2
 
 
 def _snaps(spark, sf, which: str, since=None, until=None) -> tuple[DataFrame, HistoryConfig]:
@@ -155,9 +153,13 @@ def _folder(spark, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/vhist-{name}-{uuid.uuid4().hex}"
 
 
-def _dates(snaps: DataFrame) -> list:
-    """The calendar: one value per snapshot."""
-    return [r[0] for r in snaps.select(D).distinct().orderBy(D).collect()]
+def _calendar(snaps: DataFrame) -> tuple[list, int]:
+    """(dates in order, one value per snapshot; buckets for the snapshots' history,
+    which has no more versions than they have rows)."""
+    from vhist.sources import store
+
+    rows = snaps.groupBy(D).count().orderBy(D).collect()
+    return [r[0] for r in rows], store.buckets_for(sum(r[1] for r in rows))
 
 
 def history_store(spark: SparkSession, sf: str) -> DataFrame:
@@ -176,10 +178,11 @@ def _stored_days(spark: SparkSession, sf: str):
 
     root = _folder(spark, "store")
     snaps, cfg = _snaps(spark, sf, "EV")
-    last = _last_date(snaps)
+    days, buckets = _calendar(snaps)
+    last = days[-1]
     before, _ = _snaps(spark, sf, "EV", until=last)
     today, _ = _snaps(spark, sf, "EV", since=last)
-    store.write_initial(build_history(before, cfg, dedupe=False), root, cfg, BUCKETS)
+    store.write_initial(build_history(before, cfg, dedupe=False), root, cfg, buckets)
     return root, last, store.merge_into(spark, root, today.drop(D), last, cfg)
 
 
@@ -198,10 +201,10 @@ def _forgetting_store(spark: SparkSession, sf: str):
 
     root = _folder(spark, "store")
     snaps, cfg = _snaps(spark, sf, "OR")
-    months = _dates(snaps)
+    months, buckets = _calendar(snaps)
     before, _ = _snaps(spark, sf, "OR", until=months[-1])
     today, _ = _snaps(spark, sf, "OR", since=months[-1])
-    store.write_initial(build_history_forgetting(before, cfg, dedupe=False), root, cfg, BUCKETS)
+    store.write_initial(build_history_forgetting(before, cfg, dedupe=False), root, cfg, buckets)
     store.merge_into(spark, root, today.drop(D), months[-1], cfg, forget=True)
     return root, months
 
@@ -228,7 +231,8 @@ def history_store_files(spark: SparkSession, sf: str) -> DataFrame:
     from vhist.sources import store
 
     root = _folder(spark, "store")
-    store.write_initial(history_incremental(spark, sf), root, dv.ORDERS_CFG, BUCKETS)
+    buckets = _calendar(dv.orders_monthly(spark, sf))[1]
+    store.write_initial(history_incremental(spark, sf), root, dv.ORDERS_CFG, buckets)
     store.erase(spark, root, _forget(spark, sf)[1], dv.ORDERS_CFG)
     files = spark.read.option("recursiveFileLookup", "true").parquet(root)
     return files.select("o_custkey", "ValidFrom", "RowHashKey", "o_orderstatus", "o_orderpriority", "c_name", "GDPR_Compliant")
@@ -242,10 +246,10 @@ def history_store_redo(spark: SparkSession, sf: str) -> DataFrame:
 
     root = _folder(spark, "store")
     snaps, cfg = _snaps(spark, sf, "EV")
-    days = _dates(snaps)
+    days, buckets = _calendar(snaps)
     read = lambda d: snaps.filter(F.col(D) == F.lit(d)).drop(D)
     before, _ = _snaps(spark, sf, "EV", until=days[-2])
-    store.write_initial(build_history(before, cfg, dedupe=False), root, cfg, BUCKETS)
+    store.write_initial(build_history(before, cfg, dedupe=False), root, cfg, buckets)
     store.merge_into(spark, root, read(days[-2]).filter("flag = 'ok'"), days[-2], cfg)
     store.merge_into(spark, root, read(days[-1]), days[-1], cfg)
     store.reload_from(spark, root, days[-2:], read, cfg)

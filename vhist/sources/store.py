@@ -47,6 +47,7 @@ from vhist.operators.privacy import anonymise_history, detect_and_anonymise, for
 
 OPEN = "open"
 FEW_KEYS = 1000  # forget requests up to this many are pushed down as values
+ROWS_A_BUCKET = 1 << 20  # versions that one task sorts and writes when a history is stored in bulk
 _SORTED = "spark.sql.legacy.bucketedTableScan.outputOrdering"
 
 
@@ -55,6 +56,11 @@ def _files(spark: SparkSession, path: str):
     return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
 
 
+def remove_folder(spark: SparkSession, path: str) -> None:
+    fs, place = _files(spark, path)
+    fs.delete(place, True)
+
+
 def _folders(spark: SparkSession, path: str) -> list[str]:
     """Names of the folders in a folder (none if it does not exist)."""
     fs, place = _files(spark, path)
@@ -68,6 +74,13 @@ def _home(spark: SparkSession, root: str) -> Optional[str]:
     return f"{root.rstrip('/')}/{found[0]}" if found else None
 
 
+def buckets_for(rows: int) -> int:
+    """Buckets for a history of at most so many versions: a task writes one
+    bucket of all parts, so their number follows the history and a task's rows
+    do not."""
+    return max(2, -(-rows // ROWS_A_BUCKET))
+
+
 def _month(d: dt.date) -> str:
     return d.strftime("%Y-%m")
 
