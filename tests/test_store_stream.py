@@ -152,6 +152,31 @@ def test_one_merge_and_one_process_per_date(spark, monkeypatch):
         assert calls["process"] == len(days)
 
 
+def test_chain_computes_its_snapshots_once(spark):
+    s, days = random_snapshots(spark, 33, days=4)
+    cfg = HistoryConfig(key_cols=["k"], sensitive_cols=["a"], signal_col="a", signal_pattern="x")
+    want_merged, want_processed = build_history(s, cfg), build_history_forgetting(s, cfg)
+    n, empty = s.count(), empty_history(spark, s.drop(D).schema)
+    for chain, want in ((merge_snapshots, want_merged), (process_snapshots, want_processed)):
+        for every in (1, 3):
+            seen = spark.sparkContext.accumulator(0)
+
+            @F.udf("date")
+            def derived(d):  # noqa: B023
+                seen.add(1)
+                return d
+
+            folder = pathlib.Path(spark.sparkContext.getCheckpointDir().removeprefix("file:"))
+            before = set(folder.glob("vhist-chain-*-snapshots"))
+            assert _same(chain(empty, s.withColumn(D, derived(D)), cfg, checkpoint_every=every), want)
+            assert seen.value == n
+            assert set(folder.glob("vhist-chain-*-snapshots")) == before  # the unmasked copies are gone
+        # dates that are not asked for stay out
+        some = build_history if chain is merge_snapshots else build_history_forgetting
+        assert _same(chain(empty, s, cfg, dates=days[1:3], checkpoint_every=3), some(s.filter(F.col(D).isin(days[1:3])), cfg))
+
+
+
 def test_run_loads_branches(spark):
     s, days = random_snapshots(spark, 5, days=3)
     cfg, root, read = HistoryConfig(key_cols=["k"]), _scratch(), _reader(s)

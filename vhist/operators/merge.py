@@ -206,19 +206,24 @@ def merge_snapshots(
     that the one before wrote and exchanges the snapshot only.  With more, so
     many merges form one plan between two states, which saves jobs where states
     are small.  ``dates`` (one value per snapshot) are read to the driver if not
-    given.
+    given.  The snapshots are computed once, and kept by date until the chain is
+    done (``by_date``).
     """
-    from vhist.sources.store import StoredHistory, read_state
+    from vhist.sources.store import StoredHistory, read_state, remove_folder
 
-    spark, root, dates = _chain(history, snapshots, cfg, dates)
+    spark, root = _chain(snapshots)
+    snapshots, dates = by_date(snapshots, cfg, f"{root}-snapshots", dates)
     on = lambda d: snapshots.filter(F.col(cfg.date_col) == F.lit(d))
     if checkpoint_every > 1:
         merge = lambda rows, d: merge_open_rows(rows, on(d).drop(cfg.date_col), d, cfg, compare=compare, dedupe=dedupe, through=True)
-        return _in_steps(history, snapshots, cfg, root, dates, checkpoint_every, _linked(merge, cfg))
+        out = _in_steps(history, snapshots, cfg, root, dates, checkpoint_every, _linked(merge, cfg))
+        remove_folder(spark, f"{root}-snapshots")
+        return out
     with StoredHistory(spark, root, cfg, buckets) as stored:
         stored.create(align_columns(history, snapshots, cfg.date_col)[0])
         for d in dates:
             stored.load(on(d), d, compare, dedupe=dedupe)
+    remove_folder(spark, f"{root}-snapshots")
     return read_state(spark, root)
 
 
@@ -241,14 +246,31 @@ def _linked(merge, cfg: HistoryConfig):
     return step
 
 
-def _chain(history: DataFrame, snapshots: DataFrame, cfg: HistoryConfig, dates: Optional[Iterable]):
-    """(session, new folder, dates in order) of a chain."""
+def _chain(snapshots: DataFrame):
+    """(session, new folder) of a chain."""
     from vhist.session import ensure_checkpoint_dir
 
     spark = snapshots.sparkSession
-    if dates is None:
-        dates = [r[0] for r in snapshots.select(cfg.date_col).distinct().collect()]
-    return spark, f"{ensure_checkpoint_dir(spark).rstrip('/')}/vhist-chain-{uuid.uuid4().hex}", sorted(dates)
+    return spark, f"{ensure_checkpoint_dir(spark).rstrip('/')}/vhist-chain-{uuid.uuid4().hex}"
+
+
+def _in_order(snapshots: DataFrame, cfg: HistoryConfig, dates: Optional[Iterable]) -> list:
+    """The dates of a chain."""
+    return sorted([r[0] for r in snapshots.select(cfg.date_col).distinct().collect()] if dates is None else dates)
+
+
+def by_date(snapshots: DataFrame, cfg: HistoryConfig, path: str, dates: Optional[Iterable] = None) -> tuple[DataFrame, list]:
+    """(the snapshots, computed once and written as a folder per date; their
+    dates in order).  A chain reads its input date by date, and a filter on a
+    date derived from other columns does not reach the scan: without the folders
+    every date would compute all snapshots again."""
+    schema = snapshots.schema
+    if dates is not None:
+        dates = list(dates)
+        snapshots = snapshots.filter(F.col(cfg.date_col).isin(dates))
+    snapshots.hint("rebalance", cfg.date_col).write.partitionBy(cfg.date_col).parquet(path)
+    kept = snapshots.sparkSession.read.schema(schema).parquet(path).select(*schema.names)
+    return kept, _in_order(kept, cfg, dates)
 
 
 def merge_in_batches(
@@ -267,8 +289,8 @@ def merge_in_batches(
     """
     from vhist.operators.reload import extend_history
 
-    spark, root, dates = _chain(history, snapshots, cfg, dates)
-    day = F.col(cfg.date_col)
+    spark, root = _chain(snapshots)
+    dates, day = _in_order(snapshots, cfg, dates), F.col(cfg.date_col)
 
     def step(current: DataFrame, ended: DataFrame, some_dates: list) -> DataFrame:
         some = snapshots.filter((day >= F.lit(some_dates[0])) & (day <= F.lit(some_dates[-1])))

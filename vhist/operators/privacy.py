@@ -118,6 +118,11 @@ def mask_versions_up_to(history: DataFrame, upto: DataFrame, cfg) -> DataFrame:
     return mask_where(j, masked_up_to(), cfg).select(*history.columns)
 
 
+def last_signals(snapshots: DataFrame, cfg) -> DataFrame:
+    """The date of each key's last signalled snapshot (``_forget_upto``)."""
+    return snapshots.filter(signal_flag(cfg)).groupBy(*cfg.key_cols).agg(F.max(cfg.date_col).alias("_forget_upto"))
+
+
 def anonymise_from_signals(history: DataFrame, snapshots: DataFrame, cfg) -> DataFrame:
     """Mask what processing the snapshots one by one would have masked.
 
@@ -128,7 +133,4 @@ def anonymise_from_signals(history: DataFrame, snapshots: DataFrame, cfg) -> Dat
     (combined map-side) and one join on the key; the history coming out of
     ``build_history`` is already partitioned by the key.
     """
-    keys = list(cfg.key_cols)
-    flagged = signal_flag(cfg)
-    last_signal = snapshots.filter(flagged).groupBy(*keys).agg(F.max(cfg.date_col).alias("_forget_upto"))
-    return mask_versions_up_to(history, last_signal, cfg)
+    return mask_versions_up_to(history, last_signals(snapshots, cfg), cfg)

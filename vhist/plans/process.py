@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 
 from vhist.config import HistoryConfig
 from vhist.functions.hashing import with_hash_key
-from vhist.operators.merge import _chain, _in_steps, _linked, align_columns, merge_in_batches, merge_open_rows, merge_snapshot
-from vhist.operators.privacy import anonymise_history, detect_and_anonymise
+from vhist.operators.merge import _chain, _in_steps, _linked, align_columns, by_date, merge_in_batches, merge_open_rows, merge_snapshot
+from vhist.operators.privacy import anonymise_history, detect_and_anonymise, last_signals, mask_versions_up_to
 from vhist.operators.reload import reload_plan
 from vhist.sources import store
 from vhist.sources.sinks import key_file, write_key_file
@@ -73,26 +73,30 @@ def process_snapshots(
 ) -> DataFrame:
     """``process_snapshot`` for every date of ``snapshots`` in order, each on the
     state that the one before left, stored after every ``checkpoint_every`` dates
-    in a new folder under the session's ``spark.checkpoint.dir``
+    in a new folder under the session's ``spark.checkpoint.dir``; the snapshots
+    are computed once, and kept by date until the chain is done
     (``merge_snapshots``).
 
     Signals of a date mask the state when that date is processed.  On a stored
     history (``checkpoint_every=1``) closed versions are masked in the files that
     hold them; in longer steps, those of earlier steps when the result is read.
     """
-    from vhist.operators.privacy import anonymise_from_signals
-
-    spark, root, dates = _chain(history, snapshots, cfg, dates)
+    spark, root = _chain(snapshots)
+    snapshots, dates = by_date(snapshots, cfg, f"{root}-snapshots", dates)
     on = lambda d: snapshots.filter(F.col(cfg.date_col) == F.lit(d))
     if checkpoint_every > 1:
         merge = lambda rows, d: process_snapshot(on(d), rows, d, cfg, dedupe=dedupe, through=True)[1]
         out = _in_steps(history, snapshots, cfg, root, dates, checkpoint_every, _linked(merge, cfg))
-        processed = snapshots.filter(F.col(cfg.date_col).isin(dates))
-        return anonymise_from_signals(out, processed, cfg) if cfg.signal_col and cfg.signal_pattern else out
+        if cfg.signal_col and cfg.signal_pattern:
+            last_signals(snapshots, cfg).write.parquet(f"{root}/signals")
+            out = mask_versions_up_to(out, spark.read.parquet(f"{root}/signals"), cfg)
+        store.remove_folder(spark, f"{root}-snapshots")
+        return out
     with store.StoredHistory(spark, root, cfg, buckets) as stored:
         stored.create(align_columns(history, snapshots, cfg.date_col)[0])
         for d in dates:
             stored.load(on(d), d, forget=True, dedupe=dedupe, step=_step(d, cfg, dedupe))
+    store.remove_folder(spark, f"{root}-snapshots")
     return store.read_state(spark, root)
 
 
