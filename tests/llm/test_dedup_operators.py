@@ -184,6 +184,70 @@ def test_defaults_find_all_links_of_a_large_group(spark):
     assert got == {i: n for i, _, n in plain_classes(texts, ids)}
 
 
+def near_copies(seed, n):
+    """Distinct cuts of one text, some words replaced."""
+    rng = random.Random(seed)
+    word = lambda: "".join(rng.choices("abcdefghij", k=5))
+    base, texts = [word() for _ in range(240)], []
+    for _ in range(n):
+        t = base[rng.randint(0, 4) : rng.randint(230, 240)]
+        t[rng.randrange(len(t))] = word()
+        texts.append(" ".join(t))
+    return texts
+
+
+def test_a_large_group_is_tried_once_and_not_once_per_bucket(spark, monkeypatch):
+    texts, asked = near_copies(8, 400), []
+    plain = jaccard._children
+    monkeypatch.setattr(jaccard, "_children", lambda big, sets, factor: (asked.append(big.count()), plain(big, sets, factor))[1])
+    got = {r.doc_id: r.n_links for r in jaccard.near_duplicates(frame(spark, texts).repartition(4)).collect()}
+    assert asked and sum(asked) <= 2 * len(set(texts))  # once for each of some ten buckets before
+    assert got == {i: n for i, _, n in plain_classes(texts, list(range(len(texts))))}
+
+
+def test_buckets_of_one_unit_that_breaks_up_have_children_of_their_own(spark):
+    rows = [(p, n, 50, 10 - (p == 2)) for p in (1, 2) for n in range(10 - (p == 2))] + [(3, 20 + n, 50, 4) for n in range(4)]
+    big = spark.createDataFrame(rows, "path long, node long, size long, n long")
+    assert {(r.path, r.unit) for r in jaccard._united(big).select("path", "unit").distinct().collect()} == {(1, 1), (2, 1), (3, 3)}
+    rng = np.random.default_rng(3)
+    sets = {n: np.unique(rng.integers(0, 1 << 63, 50, dtype=np.uint64)) for n in [*range(10), *range(20, 24)]}
+    own = spark.createDataFrame([(n, bytearray(t.tobytes())) for n, t in sets.items()], "node long, tokens binary")
+    stays, children = jaccard._split(big, own, 0.25)
+    assert stays.count() == 0
+    want = {(c, n) for p, n, _, _ in rows for c in jaccard._picks(sets[n], p, 0.25).tolist()}
+    assert {(r.path, r.node) for r in children.collect()} == want
+
+
+def test_each_bucket_of_sets_is_one_file(spark, monkeypatch):
+    files, plain = [], jaccard.bucketed
+
+    def counted(df, name, key):
+        out, path = plain(df, name, key)
+        files.append((len(out.inputFiles()), out.select(key).distinct().count()))
+        return out, path
+
+    monkeypatch.setattr(jaccard, "bucketed", counted)
+    texts = near_copies(9, 200)
+    jaccard.near_duplicates(frame(spark, texts).repartition(12)).count()
+    assert files == [(min(n, int(spark.conf.get("spark.sql.shuffle.partitions"))), n) for _, n in files] and files[0][1] > 100
+
+
+def test_texts_with_equal_hashes_stay_apart(spark, monkeypatch):
+    seeds, plain = [], jaccard._named
+
+    def named(documents, id_col, seed):
+        seeds.append(seed)
+        out = plain(documents, id_col, seed)
+        return out.withColumn("node", F.pmod("node", F.lit(7))) if seed == 0 else out
+
+    monkeypatch.setattr(jaccard, "_named", named)
+    texts = near_texts(4, groups=2)
+    ids = [i if i % 5 else None for i in range(len(texts))]
+    got = jaccard.near_duplicates(frame(spark, texts, ids).repartition(3))
+    assert sorted((tuple(r) for r in got.collect()), key=repr) == plain_classes(texts, ids)
+    assert set(seeds) == {0, 1}
+
+
 def test_target_recall_holds_through_all_levels():
     rng = np.random.default_rng(5)
     factor = jaccard.SIMILARITY * 0.97

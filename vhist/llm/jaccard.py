@@ -7,14 +7,16 @@ similar sets expect about one common pick; a pick puts the set into that
 token's bucket.  Buckets of more than ``limit`` members are split again by
 picks under a hash of the path so far, down to ``depth`` levels; what still is
 large, and what no pick breaks up (a large group of near copies), is cut into
-blocks.  Of small buckets,
+blocks; large buckets that hold nearly the same members (a group of near copies
+shares most picks) are tried and cut as one.  Of small buckets,
 members whose size allows no link there and buckets that lie within another
 one are left out, which loses no pair.  Members of a
 small bucket first send a sketch of their set, some four bits a token, which
 bounds each intersection from above; only those that may have a partner there
-send the set itself.  Their texts are found again by a Bloom filter of their
-hashes, so other texts are not exchanged, and their sets are written in buckets,
-which every later join reads in place.  Small buckets and
+send the set itself; other sketches are not exchanged either.  A set is known by
+the hash of one of its texts.  Their texts are found again by a Bloom filter of
+text and id, so other texts are not exchanged, and go to the bucket of that hash,
+so that each task writes one file of sets, which every later join reads in place.  Small buckets and
 pairs of blocks are compared by brute force with exact intersections.  Runs
 are repeated until a pair at the threshold is found with the target recall,
 even where all its buckets are split down to the last level.
@@ -30,7 +32,8 @@ to it directly, equal sets included).
 Defined cases: null texts, and texts without words, link to nothing; rows
 repeated under one id are rows of their own (exact copies of each other, if
 their texts are); a null doc_id counts as a row, and never names a class that
-has an id; an empty table gives no row.
+has an id; an empty table gives no row; where two sets' texts have the same hash,
+all texts are hashed anew with another seed.
 """
 
 from __future__ import annotations
@@ -53,6 +56,7 @@ TARGET_RECALL = 0.9999  # of a pair at the threshold that every level must keep
 DEPTH = 3
 DEEPER = 3  # times as many picks at the levels below the first
 LIMIT = 256  # members of a bucket that is compared at once
+SEEDS = 8  # of text hashes, tried until no two sets have the same
 BLOCK = 1024  # members of a block of a bucket that no pick splits
 CELLS = 2 << 20  # cells of an incidence matrix held at once
 ROWS = 256  # rows of a pair matrix worked on at once
@@ -190,52 +194,78 @@ def _hopeful(assigned: DataFrame, sketches: DataFrame, similarity: float) -> Dat
             yield found(out)
         yield found(done())
 
-    rows = assigned.join(sketches.select("node", "size", "sketch"), "node").select("bucket", "node", "size", "sketch")
+    rows = assigned.join(sketches, "node").select("bucket", "node", "size", "sketch")
     return rows.repartition("bucket").sortWithinPartitions("bucket", "node").mapInArrow(run, "bucket long, node long")
 
 
-def _members(documents: DataFrame, runs: int, factor: float, words: int, id_col: str) -> DataFrame:
-    """node, doc_id, text_key, set key (null without words), set size, paths, sketch."""
+def _named(documents: DataFrame, id_col: str, seed: int) -> DataFrame:
+    """doc_id, raw, and the hash of the text by which a set is known: node."""
+    return text_rows(documents, id_col).withColumn("node", F.xxhash64(F.lit(seed), "raw"))
+
+
+def _members(documents: DataFrame, runs: int, factor: float, words: int, id_col: str, seed: int) -> DataFrame:
+    """node, doc_id, set key (null without words), set size, paths, sketch."""
 
     def run(rows):
-        for nodes, ids, texts, raws in batches(rows, "node", "doc_id", "text_key", "raw"):
+        for nodes, ids, raws in batches(rows, "node", "doc_id", "raw"):
             sets = [shingle_set(r, words) for r in raws]
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(nodes, pa.int64()), pa.array(ids, pa.int64()), pa.array(texts, pa.int64()),
+                    pa.array(nodes, pa.int64()), pa.array(ids, pa.int64()),
                     pa.array([xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets], pa.binary()),
                     pa.array([len(s) for s in sets], pa.int32()), pa.array([_first_paths(s, runs, factor) for s in sets], pa.list_(pa.int64())),
                     pa.array([sketch(s) for s in sets], pa.binary()),
                 ],
-                names=["node", "doc_id", "text_key", "key", "size", "paths", "sketch"],
+                names=["node", "doc_id", "key", "size", "paths", "sketch"],
             )
 
-    docs = text_rows(documents, id_col).withColumn("text_key", F.xxhash64("raw")).withColumn("node", F.monotonically_increasing_id())
-    return docs.mapInArrow(run, "node long, doc_id long, text_key long, key binary, size int, paths array<long>, sketch binary")
+    return _named(documents, id_col, seed).mapInArrow(run, "node long, doc_id long, key binary, size int, paths array<long>, sketch binary")
+
+
+def _sets_of(documents: DataFrame, runs: int, factor: float, words: int, id_col: str):
+    """(seed, members, path, distinct sets, path): ``node`` names one set each.
+
+    A set's row is that of its smallest text hash, with an id if there is one."""
+    for seed in range(SEEDS):
+        members, members_path = kept(_members(documents, runs, factor, words, id_col, seed), "members")
+        reps, reps_path = kept(
+            members.filter("key is not null").groupBy("key").agg(
+                F.min(F.struct("node", F.col("doc_id").isNull().alias("none"), "doc_id")).alias("rep"), F.min("doc_id").alias("smallest"), F.count("*").alias("copies"), F.first("size").alias("size"), F.first("paths").alias("paths"), F.first("sketch").alias("sketch")
+            ).select("key", "rep.node", "rep.doc_id", "smallest", "copies", "size", "paths", "sketch"),
+            "reps",
+        )
+        if reps.groupBy("node").count().filter("count > 1").isEmpty():
+            return seed, members, members_path, reps, reps_path
+        discard(documents.sparkSession, members_path, reps_path)
+    raise RuntimeError(f"texts of different sets have equal hashes under each of {SEEDS} seeds")
 
 
-def _candidate_sets(documents: DataFrame, wanted: DataFrame, words: int, id_col: str) -> DataFrame:
+def _candidate_sets(documents: DataFrame, wanted: DataFrame, words: int, id_col: str, seed: int) -> DataFrame:
     """node, copies, size, tokens (bytes) and sketch of the wanted (node, doc_id,
-    text_key, key, copies).
+    key, copies), dealt and sorted by node.
 
-    Rows meet on id and text hash, so rows without id are spread as well; texts
-    whose hash is certainly not wanted stay where they are."""
+    Rows whose text hash and id are certainly not wanted stay where they are, so
+    copies of a wanted text are not exchanged."""
 
     def run(rows):
+        last = None
         for nodes, copies, keys, raws in batches(rows, "node", "copies", "key", "raw"):
             out = []
             for node, n, key, raw in zip(nodes, copies, keys, raws):
+                if node == last:
+                    continue
                 tokens = shingle_set(raw, words)
-                if xxhash.xxh3_128_digest(tokens.tobytes()) == key:  # rows repeated under one id may differ
+                if xxhash.xxh3_128_digest(tokens.tobytes()) == key:  # another text may have this hash
                     out.append((node, n, len(tokens), tokens.tobytes(), sketch(tokens)))
+                    last = node
             cols = list(zip(*out)) or [()] * 5
             types = (pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.binary())
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], names=["node", "copies", "size", "tokens", "sketch"])
 
-    docs = text_rows(documents, id_col).withColumn("text_key", F.xxhash64("raw"))
-    docs = Sieve(wanted, "text_key").passing(docs, "text_key")
-    w = wanted.select("node", "copies", "key", F.col("doc_id").alias("wanted_id"), F.col("text_key").alias("wanted_text"))
-    met = docs.join(w, (docs["text_key"] == w["wanted_text"]) & docs["doc_id"].eqNullSafe(w["wanted_id"]))
+    spot = F.xxhash64("node", "doc_id").alias("spot")
+    docs = Sieve(wanted.select(spot), "spot").passing(_named(documents, id_col, seed).select("node", "raw", spot), "spot")
+    buckets = int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # as ``bucketed`` has
+    met = docs.select("node", "raw").repartition(buckets, "node").join(wanted.select("node", "copies", "key"), "node").sortWithinPartitions("node")
     return met.select("node", "copies", "key", "raw").mapInArrow(run, "node long, copies long, size int, tokens binary, sketch binary")
 
 
@@ -261,15 +291,35 @@ def _children(big: DataFrame, sets: DataFrame, factor: float) -> DataFrame:
     return sets.select("node", "tokens").join(per, "node").mapInArrow(run, "path long, node long, size long, parent long").distinct()
 
 
-def _split(big: DataFrame, children: DataFrame):
-    """(buckets that no pick breaks up, the children of the others): a bucket of
-    which one child still has half the members is compared as it is, in blocks,
-    which loses no pair, instead of once per child."""
-    children = written(children, "children")
+def _united(big: DataFrame) -> DataFrame:
+    """``big`` with the ``unit`` of each bucket: the bucket that three quarters of
+    its members at least have as their largest, and that has itself as its unit;
+    else the bucket itself."""
+    top = big.groupBy("node").agg(F.max(F.struct("n", "path")).alias("top")).select("node", F.col("top.path").alias("unit"))
+    votes = big.join(top, "node").groupBy("path", "unit").agg(F.count("*").alias("k"), F.first("n").alias("n"))
+    votes = written(votes.filter("4 * k >= 3 * n").select("path", "unit"), "votes")
+    units = votes.filter("path <> unit").join(votes.filter("path = unit").select("unit"), "unit", "left_semi")
+    return big.join(units, "path", "left").withColumn("unit", F.coalesce("unit", "path"))
+
+
+def _split(big: DataFrame, sets: DataFrame, factor: float):
+    """(path, n, node) of buckets that no pick breaks up, and the children of the
+    others: a bucket of which one child still has half the members is compared as
+    it is, in blocks, which loses no pair, instead of once per child.
+
+    Buckets of one unit are tried as one, with all their members; where that
+    breaks up, each of them has children of its own."""
+    big = written(_united(big), "units")
+    units = written(big.groupBy("unit", "node").agg(F.first("size").alias("size")).withColumnRenamed("unit", "path"), "members")
+    children = written(_children(units, sets, factor), "children")
     sizes = children.groupBy("parent", "path").agg(F.count("*").alias("k")).groupBy("parent").agg(F.max("k").alias("k"))
-    own = big.groupBy("path").agg(F.first("n").alias("m"))
-    whole = written(sizes.join(own, sizes["parent"] == own["path"]).filter("2 * k >= m").select("parent"), "whole")
-    return big.join(whole, big["path"] == whole["parent"], "left_semi"), children.join(whole, "parent", "left_anti").drop("parent")
+    own = units.groupBy("path").agg(F.count("*").alias("n"))
+    whole = written(sizes.join(own, sizes["parent"] == own["path"]).filter("2 * k >= n").select("path", "n"), "whole")
+    again = written(big.filter("path <> unit").join(whole.select(F.col("path").alias("unit")), "unit", "left_anti").select("path", "node"), "again")
+    rest = children.join(whole, children["parent"] == whole["path"], "left_anti").drop("parent")
+    if not again.isEmpty():
+        rest = rest.unionByName(_children(again, sets, factor).drop("parent"))
+    return units.join(whole, "path").select("path", "n", "node"), rest
 
 
 def _met(rows: DataFrame) -> DataFrame:
@@ -424,31 +474,27 @@ def near_duplicates(
     # equal sizes at the threshold share 2 s / (1 + s) of a set; the worst case, a subset, shares s
     runs = runs_for(recall, depth, factor / similarity, DEEPER)
     spark = documents.sparkSession
-    members, members_path = kept(_members(documents, runs, factor, words, id_col), "members")
-    reps, reps_path = kept(
-        members.filter("key is not null").groupBy("key").agg(
-            F.min(F.struct("node", "doc_id", "text_key")).alias("rep"), F.min("doc_id").alias("smallest"), F.count("*").alias("copies"), F.first("size").alias("size"), F.first("paths").alias("paths"), F.first("sketch").alias("sketch")
-        ).select("key", "rep.*", "smallest", "copies", "size", "paths", "sketch"),
-        "reps",
-    )
+    seed, members, members_path, reps, reps_path = _sets_of(documents, runs, factor, words, id_col)
     rows = written(members.select("doc_id", "key"), "rows")
     discard(spark, members_path)
     met = _met(reps.select(F.explode("paths").alias("path"), "node", F.col("size").cast("long").alias("size")))
-    small = lambda met, own: written(_hopeful(_largest(_buckets(met.filter(F.col("n") <= limit), similarity)), own, similarity), "small")
-    one, big = small(met, reps), met.filter(F.col("n") > limit)
+    parted = lambda met: written(_largest(_buckets(met.filter(F.col("n") <= limit), similarity)), "parted")
+    small = lambda pairs, own: written(_hopeful(pairs, own.select("node", "size", "sketch"), similarity), "small")
+    pairs = parted(met)
+    one, big = small(pairs, Sieve(pairs, "node").passing(reps.select("node", "size", "sketch"), "node")), met.filter(F.col("n") > limit)
     asked = one.select("node").unionByName(big.select("node")).distinct()
-    wanted = written(reps.select("node", "doc_id", "text_key", "key", "copies").join(asked, "node", "left_semi"), "wanted")
+    wanted = written(reps.select("node", "doc_id", "key", "copies").join(asked, "node", "left_semi"), "wanted")
     nodes = written(reps.select("key", "node", "smallest", "copies"), "nodes")
     discard(spark, reps_path)
-    sets, sets_path = bucketed(_candidate_sets(documents, wanted, words, id_col), "sets", "node")
+    sets, sets_path = bucketed(_candidate_sets(documents, wanted, words, id_col, seed), "sets", "node")
     whole = []
     for _ in range(depth - 1):
         if big.isEmpty():
             break
-        stays, children = _split(big, _children(big, sets, factor / DEEPER))
-        whole.append(stays.select("path", "n", "node"))
+        stays, children = _split(big, sets, factor / DEEPER)
+        whole.append(stays)
         met = _met(children)
-        one, big = one.unionByName(small(met, sets)), met.filter(F.col("n") > limit)
+        one, big = one.unionByName(small(parted(met), sets)), met.filter(F.col("n") > limit)
     one = one.select("bucket", F.lit(1).cast("long").alias("blocks"), "node")
     for stays in whole:
         big = big.select("path", "n", "node").unionByName(stays)
